@@ -151,15 +151,17 @@ def fill_missing_days(
     low = F.lit(start).cast("date") if isinstance(start, str) else start
     high = F.lit(end).cast("date") if isinstance(end, str) else end
     spine = key_table.select(*keys, F.explode(F.sequence(low, high)).alias(date))
-    seen = df.select(*keys, date, *measures, F.lit(1).alias("_seen"))
-    empty = spine.select(
-        *keys, date,
-        *[F.lit(None).cast(dict(df.dtypes)[m]).alias(m) for m in measures],
-        F.lit(0).alias("_seen"),
-    )
-    grouped = seen.unionByName(empty).groupBy(*keys, date).agg(
+    return fill_rows(df, spine, [*keys, date], measures)
+
+
+def fill_rows(df: DataFrame, spine: DataFrame, cols: Sequence[str], measures: Sequence[str]) -> DataFrame:
+    """``df`` and a zero row for every row of ``spine`` it has no row for."""
+    seen = df.select(*cols, *measures, F.lit(1).alias("_seen"))
+    kinds = dict(df.dtypes)
+    empty = spine.select(*cols, *[F.lit(None).cast(kinds[m]).alias(m) for m in measures], F.lit(0).alias("_seen"))
+    grouped = seen.unionByName(empty).groupBy(*cols).agg(
         F.max("_seen").alias("_seen"), *[F.sum(m).alias(m) for m in measures]
     )
     return grouped.select(
-        *keys, date, *[F.when(F.col("_seen") == 1, F.col(m)).otherwise(F.lit(0)).alias(m) for m in measures]
+        *cols, *[F.when(F.col("_seen") == 1, F.col(m)).otherwise(F.lit(0)).cast(kinds[m]).alias(m) for m in measures]
     )
