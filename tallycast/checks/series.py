@@ -126,7 +126,7 @@ def repair_zeros(spark, sf):
 
 
 @query("grid_best", f"""
-WITH {S}, g AS (SELECT unnest(range(2, 15)) AS n, unnest(range(0, 13)) AS grid_id),
+WITH {S}, g AS (SELECT CAST(unnest(range(2, 15)) AS INT) AS n, unnest(range(0, 13)) AS grid_id),
 p AS (SELECT g.grid_id, g.n, s.series, s.value,
   list(value) OVER (PARTITION BY g.n, s.series ORDER BY date ROWS BETWEEN 14 PRECEDING AND 1 PRECEDING) AS past FROM s CROSS JOIN g),
 e AS (SELECT series, grid_id, n, sqrt(avg((value - list_avg(past[-n:])) ^ 2)) AS rmse FROM p WHERE len(past) >= 14 GROUP BY 1, 2, 3)
