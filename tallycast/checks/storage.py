@@ -171,7 +171,7 @@ def load_full(spark, sf):
     path = scratch_path(spark, "fact")
     for _ in range(2):
         K.load_gold(_gold(spark, sf), "COVID_JHONS_HOPKINS", path)
-    return spark.read.parquet(path)
+    return K.read_fact(spark, path)
 
 
 @query("load_date", _GOLD.format(ORACLES["daily_change"]))
@@ -180,7 +180,7 @@ def load_date(spark, sf):
     path = scratch_path(spark, "fact")
     K.load_gold(_gold(spark, sf), "COVID_JHONS_HOPKINS", path)
     K.load_gold(_gold(spark, sf), "COVID_JHONS_HOPKINS", path, F.lit("1997-05-28").cast("date"))
-    return spark.read.parquet(path)
+    return K.read_fact(spark, path)
 
 
 @query("energy_load", """
@@ -196,7 +196,7 @@ def energy(spark, sf):
     rows = energy_load(li, "O", {"A": 1, "N": 2, "R": 3}, "1996-01-01", "2000-12-31", {"A": "Accepted"})
     path = scratch_path(spark, "fact")
     K.load_fact(K.to_fact(rows, "DEMANDA_ENERGIA"), path)
-    return spark.read.parquet(path).withColumn("demanda_TWh", F.round("demanda_TWh", 2))
+    return K.read_fact(spark, path).withColumn("demanda_TWh", F.round("demanda_TWh", 2))
 
 
 @query("ingest", f"""
@@ -213,7 +213,7 @@ def ingest(spark, sf):
     for part in (text.filter(early), text.filter(~early)):
         part.hint("rebalance", F.col("extract_date")).write.mode("append").option("header", True).partitionBy("extract_date").csv(src)
         ingest_new_days(spark, src, dest, state)
-    return spark.read.parquet(dest)
+    return spark.read.parquet(dest).drop("part")
 
 
 @query("stamped", "SELECT o_orderkey, 'AR' AS country, '2022-05-01' AS Date FROM orders")

@@ -418,7 +418,7 @@ def forecast(
 
     def run(row):
         model, y = Model(row), np.asarray(row.values)
-        if len(y) <= model.lost:
+        if len(y) < max(model.lost, 1):
             return None
         mean = model.origins(y, np.array([len(y) - 1]), h, None)[0]
         half = z * model.spread(h)
@@ -468,8 +468,8 @@ def backtest(
 
     def run(row):
         model, y, days = Model(row), np.asarray(row.values), np.asarray(row.days)
-        rows = np.arange(max(first - 1, model.lost, 0), len(y) - (0 if with_last else 1))
-        if history is not None and history <= model.lost or not len(rows):
+        rows = np.arange(max(first - 1, model.lost - 1, 0), len(y) - (0 if with_last else 1))
+        if history is not None and history < model.lost or not len(rows):
             return None
         paths = model.origins(y, rows, h, history)
         steps = np.tile(np.arange(1, h + 1), len(rows))

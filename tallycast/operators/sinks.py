@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as C
+from ..session import write_out
 from .shape import drop_nulls, for_date
 
 
@@ -125,17 +127,52 @@ def to_fact(df: DataFrame, table: str, with_ids: bool = False) -> DataFrame:
     return fact
 
 
-def load_fact(df: DataFrame, path: str, date=None, date_col: str = "CALENDARIO_data") -> None:
-    """Load a fact table kept as Parquet by its date.
+GRAINS = {"day": "DD", "month": "month", "year": "year"}
+
+
+def with_grain(df: DataFrame, date_col: str, grain: str, out: str = "part") -> DataFrame:
+    """Partition column of a dated table: the first day of the month or year, or
+    the day itself. Small tables want a coarse grain, or they become one tiny
+    file per day; large ones want days, so that a load rewrites little."""
+    c = F.col(date_col).cast("date")
+    return df.withColumn(out, c if grain == "day" else F.trunc(c, GRAINS[grain]))
+
+
+def load_fact(df: DataFrame, path: str, date=None, date_col: str = "CALENDARIO_data", grain: str = "month") -> None:
+    """Load a fact table kept as Parquet, partitioned by time.
 
     Without ``date`` the whole table is replaced. With it only the rows of that
-    day are written, in place of those the table has for it: a second run
-    changes nothing.
+    day are replaced: a second run changes nothing. The partition of the day is
+    the only one that is read and written.
     """
     if date is None:
-        df.hint("rebalance", F.col(date_col)).write.mode("overwrite").partitionBy(date_col).parquet(path)
+        rows = with_grain(df, date_col, grain)
+        rows.hint("rebalance", F.col("part")).write.mode("overwrite").partitionBy("part").parquet(path)
         return
-    replace_partitions(df.filter(F.col(date_col) == F.lit(date)), path, [date_col])
+    day = (date if isinstance(date, Column) else F.lit(date)).cast("date")
+    new = with_grain(df.filter(F.col(date_col) == day), date_col, grain)
+    if grain != "day":
+        old = read_table(df.sparkSession, path, new.schema)
+        if old is not None:
+            start = F.trunc(day, GRAINS[grain])
+            kept = old.filter((F.col("part") == start) & (F.col(date_col) != day)).select(*new.columns)
+            # Written first: the partition is not read while it is replaced.
+            new = write_out(new.unionByName(kept), "fact")
+    replace_partitions(new, path, ["part"])
+
+
+def read_table(spark: SparkSession, path: str, schema) -> DataFrame | None:
+    """The Parquet table at ``path``, or None where there is none yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def read_fact(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).drop("part")
 
 
 def load_gold(df: DataFrame, table: str, path: str, date=None) -> None:

@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.aggregates import group_reports
-from ..operators.sinks import replace_partitions, upsert
+from ..operators.sinks import read_table, replace_partitions, upsert, with_grain
 from ..session import write_out
 from ..sources.reports import REPORT_SCHEMA, select_measures
 from ..functions.dates import day_of, parse_date
@@ -18,31 +17,25 @@ from ..functions.dates import day_of, parse_date
 KEYS = ["Country_Region", "date"]
 
 
-def _read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-
-
-def merge_days(new: DataFrame, table: str, keys: Sequence[str] = KEYS, order: Sequence[str] = ("extract_date",), by: str = "date") -> None:
-    """Upsert into a Parquet table partitioned by day.
+def merge_days(
+    new: DataFrame, table: str, keys: Sequence[str] = KEYS, order: Sequence[str] = ("extract_date",), by: str = "date",
+    grain: str = "month",
+) -> None:
+    """Upsert into a Parquet table partitioned by time (column ``part``).
 
-    Only the days that ``new`` holds are read and replaced; they are found by a
-    semi join on the partition column, so other folders are not opened. The
-    merged days are written to the shared folder first: the table is not read
-    while it is replaced, and a lost executor costs tasks, not data. Running
-    the same batch again gives the same table.
+    Only the partitions that ``new`` falls into are read and replaced; they are
+    found by a semi join on the partition column, so other folders are not
+    opened. The merged rows are written to the shared folder first: the table
+    is not read while it is replaced, and a lost executor costs tasks, not
+    data. Running the same batch again gives the same table.
     """
-    spark = new.sparkSession
-    old = _read_table(spark, table, new.schema)
+    rows = with_grain(new, by, grain)
+    old = read_table(rows.sparkSession, table, rows.schema)
     if old is not None:
-        # Distinct days, at most one row per calendar day: safe to broadcast.
-        old = old.join(F.broadcast(new.select(by).distinct()), by, "left_semi").select(*new.columns)
-    merged = upsert(new, old, keys, order)
-    replace_partitions(write_out(merged, "merge"), table, [by])
+        # Distinct partition dates, bounded by the calendar: safe to broadcast.
+        old = old.join(F.broadcast(rows.select("part").distinct()), "part", "left_semi").select(*rows.columns)
+    merged = upsert(rows, old, keys, order)
+    replace_partitions(write_out(merged, "merge"), table, ["part"])
 
 
 def report_rows(reports: DataFrame) -> DataFrame:
