@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.text import clean_text, remove_stopwords
 from ..operators import texts as T
 from ..plans.tweets import tweets_daily
+from ..session import spread_scan
 from .joined import _TWEETS, stored_pages
 from .registry import query, table
 
@@ -21,19 +22,23 @@ def _without_stopwords(c: str) -> str:
     return f"replace(replace(array_to_string({kept}, ' '), 'covid', ''), '19', '')"
 
 
+def documents(spark, sf):
+    return spread_scan(table(spark, sf, "documents"), "doc_id")
+
+
 @query("clean_text", f"SELECT doc_id, md5({_CLEAN.format('text')}) AS texto FROM documents")
 def clean(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", F.md5(clean_text("text")).alias("texto"))
+    return documents(spark, sf).select("doc_id", F.md5(clean_text("text")).alias("texto"))
 
 
 @query("stopwords", f"SELECT doc_id, md5({_without_stopwords('text')}) AS texto FROM documents")
 def stopwords(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", F.md5(remove_stopwords("text", STOPWORDS)).alias("texto"))
+    return documents(spark, sf).select("doc_id", F.md5(remove_stopwords("text", STOPWORDS)).alias("texto"))
 
 
 @query("prep_text", f"SELECT doc_id, lang, md5({_CLEAN.format('text')}) AS texto FROM documents")
 def prep_text(spark, sf):
-    d = T.prep_text(table(spark, sf, "documents").select("doc_id", "lang", "text"))
+    d = T.prep_text(documents(spark, sf).select("doc_id", "lang", "text"))
     return d.withColumn("texto", F.md5("texto"))
 
 
@@ -42,21 +47,21 @@ def prep_text(spark, sf):
 
 def _memory(spark, sf):
     """Translations known so far: every text of two languages."""
-    d = table(spark, sf, "documents").filter(F.col("lang").isin("en", "es"))
+    d = documents(spark, sf).filter(F.col("lang").isin("en", "es"))
     return d.select("text", F.concat(F.lit("en: "), F.col("text")).alias("translation"))
 
 
 @query("translations", """
 SELECT doc_id, CASE WHEN text IN (SELECT text FROM documents WHERE lang IN ('en', 'es')) THEN md5('en: ' || text) END AS translation FROM documents""")
 def translations(spark, sf):
-    d = T.apply_translations(table(spark, sf, "documents").select("doc_id", F.col("text").alias("texto")), _memory(spark, sf))
+    d = T.apply_translations(documents(spark, sf).select("doc_id", F.col("text").alias("texto")), _memory(spark, sf))
     return d.select("doc_id", F.md5("translation").alias("translation"))
 
 
 @query("pending_translations", """
 SELECT DISTINCT md5(text) AS text FROM documents WHERE text NOT IN (SELECT text FROM documents WHERE lang IN ('en', 'es'))""")
 def pending(spark, sf):
-    d = T.pending_translations(table(spark, sf, "documents").select(F.col("text").alias("texto")), _memory(spark, sf))
+    d = T.pending_translations(documents(spark, sf).select(F.col("text").alias("texto")), _memory(spark, sf))
     return d.select(F.md5("text").alias("text"))
 
 
@@ -139,7 +144,7 @@ def _score(df, spark, key):
 @query("sentiment", sentiment_sql("base AS (SELECT doc_id, text FROM documents)", "doc_id") + " SELECT * FROM sent")
 def sentiment(spark, sf):
     """Raw documents, so that capitals and punctuation count too."""
-    return _score(table(spark, sf, "documents").select("doc_id", F.col("text").alias("translation")), spark, "doc_id")
+    return _score(documents(spark, sf).select("doc_id", F.col("text").alias("translation")), spark, "doc_id")
 
 
 @query("tweet_gold", sentiment_sql("base AS (SELECT doc_id, text FROM documents)", "doc_id") + f"""
@@ -147,7 +152,7 @@ SELECT CAST('2022-01-01' AS DATE) + CAST(d.doc_id % 365 AS INT) AS date, CASE la
   md5({_without_stopwords(_CLEAN.format('d.text'))}) AS texto, neg, neu, pos, compound
 FROM documents d JOIN sent ON sent.doc_id = d.doc_id""")
 def tweet_gold(spark, sf):
-    d = table(spark, sf, "documents")
+    d = documents(spark, sf)
     scored = sentiment(spark, sf).join(d, "doc_id").select(
         "doc_id", clean_text("text").alias("texto"), "neg", "neu", "pos", "compound",
         F.concat(F.date_add(F.lit("2022-01-01").cast("date"), (F.col("doc_id") % 365).cast("int")).cast("string"), F.lit("T10:00:00.000Z")).alias("date"),

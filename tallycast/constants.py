@@ -109,6 +109,13 @@ FACT_KEYS = {
     "COVID_WORLDOMETER": ["PAISES_ID", "CALENDARIO_data"],
 }
 
+# Partition grain of a fact: days where a day holds many rows (texts), years
+# where it holds one row per country.
+FACT_GRAINS = {
+    "COVID_JHONS_HOPKINS": "year", "SENTIMENTOS": "day", "DEMANDA_ENERGIA": "year", "PREVISAO_CASOS": "year",
+    "COVID_WORLDOMETER": "year",
+}
+
 # Header of the scraped country table, in the order it is kept.
 SNAPSHOT_NUMBERS = [
     "Population", "TotalCases", "NewCases", "TotalDeaths", "NewDeaths",

@@ -181,7 +181,7 @@ def load_gold(df: DataFrame, table: str, path: str, date=None) -> None:
     rows = df if table == "COVID_WORLDOMETER" else drop_nulls(df)
     if date is not None:
         rows = for_date(rows, date)
-    load_fact(to_fact(rows, table, with_ids=True), path, date)
+    load_fact(to_fact(rows, table, with_ids=True), path, date, grain=C.FACT_GRAINS[table])
 
 
 def check_keys(fact: DataFrame, dims: dict[str, tuple[DataFrame, str]]) -> DataFrame:

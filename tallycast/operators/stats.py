@@ -94,7 +94,7 @@ def mann_whitney(
     )
 
 
-def _slope_median(x: np.ndarray, room: int = 2_000_000) -> float:
+def _slope_median(x: np.ndarray, room: int = 8_000_000) -> float:
     """Exact median of (x[j] - x[i]) / (j - i) over i < j, a few rows of slopes
     in memory at a time: count slopes into bins, keep the bin of the middle
     rank, and repeat until the slopes in it fit in ``room``."""
@@ -106,25 +106,25 @@ def _slope_median(x: np.ndarray, room: int = 2_000_000) -> float:
             yield (x[i + 1:] - x[i]) / np.arange(1, n - i)
 
     def kth(rank: int) -> float:
-        lo, hi, under = -np.inf, np.inf, 0
-        if total > room:
-            lo, hi = min(s.min() for s in rows()), max(s.max() for s in rows())
-            inside = total
-            while inside > room and lo < hi:
-                edges = np.linspace(lo, hi, 4097)
-                counts = np.zeros(4096, dtype=np.int64)
-                for s in rows():
-                    counts += np.histogram(s, edges)[0]
-                at = int(np.searchsorted(under + np.cumsum(counts), rank, side="right"))
-                under += int(counts[:at].sum())
-                # the last bin of a histogram holds its right edge, the others do not
-                lo, hi = edges[at], edges[at + 1] if at == 4095 else np.nextafter(edges[at + 1], -np.inf)
-                inside = int(counts[at])
-            if lo >= hi:
-                return float(lo)
+        lo, hi = min(s.min() for s in rows()), max(s.max() for s in rows())
+        inside, under = total, 0
+        while inside > room and lo < hi:
+            edges = np.linspace(lo, hi, 4097)
+            counts = np.zeros(4096, dtype=np.int64)
+            for s in rows():
+                counts += np.histogram(s, edges)[0]
+            at = int(np.searchsorted(under + np.cumsum(counts), rank, side="right"))
+            under += int(counts[:at].sum())
+            # the last bin of a histogram holds its right edge, the others do not
+            lo, hi = edges[at], edges[at + 1] if at == 4095 else np.nextafter(edges[at + 1], -np.inf)
+            inside = int(counts[at])
+        if lo >= hi:
+            return float(lo)
         kept = np.concatenate([s[(s >= lo) & (s <= hi)] for s in rows()])
         return float(np.partition(kept, rank - under)[rank - under])
 
+    if total <= room:
+        return float(np.median(np.concatenate(list(rows()))))
     low = kth((total - 1) // 2)
     return low if total % 2 else (low + kth(total // 2)) / 2
 

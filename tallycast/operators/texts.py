@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .. import constants as C
 from ..functions.dates import day_of
 from ..functions.text import clean_text, remove_stopwords
+from .joins import small_side
 from .shape import map_column
 
 # ---- preparation and translation -------------------------------------------------
@@ -80,13 +81,18 @@ def _sign(v: Column, size: Column | float) -> Column:
     return F.when(v > 0, amount).otherwise(-amount)
 
 
+_PUNCTUATION_AT_ENDS = r"^\p{Punct}+|\p{Punct}+$"
+_CAPITAL_WORD = r"(?<!\S)(?=\S\S)[^\s\p{Ll}]*\p{Lu}[^\s\p{Ll}]*(?!\S)"
+
+
 def sentiment_tokens(text: Column) -> Column:
-    """Words longer than one character, punctuation at their ends removed."""
-    bare = F.transform(
-        F.split(F.trim(text), r"\s+", -1),
-        lambda w: F.when(F.length(w) > 1, F.coalesce(F.nullif(F.regexp_replace(w, r"^\p{Punct}+|\p{Punct}+$", ""), F.lit("")), w)),
-    )
-    return F.filter(bare, lambda w: w.isNotNull())
+    """Words longer than one character, punctuation still at their ends."""
+    return F.regexp_extract_all(text, F.lit(r"\S{2,}"), F.lit(0))
+
+
+def _bare(word: Column) -> Column:
+    """Punctuation at the ends removed, unless nothing would be left."""
+    return F.coalesce(F.nullif(F.regexp_replace(word, _PUNCTUATION_AT_ENDS, ""), F.lit("")), word)
 
 
 def score_sentiment(
@@ -104,42 +110,46 @@ def score_sentiment(
     before any shuffle, and what is left is summed on the map side. Every text
     also sends one empty row, so a text without any such word has scores too.
     """
-    low = lambda c: F.lower(c)
     words = df.select(key, F.coalesce(F.col(text), F.lit("")).alias("_text")).withColumn("_w", sentiment_tokens(F.col("_text")))
-    capitals = F.size(F.filter("_w", _is_capital))
+    capitals = F.regexp_count("_text", F.lit(_CAPITAL_WORD))
     marks = F.least(F.length("_text") - F.length(F.replace(F.col("_text"), F.lit("!"), F.lit(""))), F.lit(MAX_EXCLAMATIONS))
     asks = F.length("_text") - F.length(F.replace(F.col("_text"), F.lit("?"), F.lit("")))
     ask = F.when(asks <= 1, 0.0).when(asks <= 3, asks * QUESTION).otherwise(MANY_QUESTIONS)
-    words = words.select(
-        key, "_w", F.size("_w").alias("_n"),
-        ((capitals > 0) & (capitals < F.size("_w"))).alias("_mixed"),
-        (F.array_position(F.transform("_w", low), F.lit("but")) - 1).alias("_but"),
-        (marks * EXCLAMATION + ask).alias("_emphasis"),
+    but = F.array_position(F.transform("_w", lambda w: F.lower(_bare(w))), F.lit("but")) - 1
+    none = F.lit(None).cast("string")
+    # The neighbours of a word come from shifted copies of the word array; the
+    # first three elements of the shifted ones stand for no word.
+    shifted = [F.concat(F.array(*[none] * k), F.col("_w")) for k in (1, 2, 3)]
+    ahead = [F.slice("_w", k + 1, F.greatest(F.size("_w"), F.lit(1))) for k in (1, 2)]
+    zipped = F.arrays_zip(
+        F.col("_w").alias("w"), *[c.alias(f"w{k + 1}") for k, c in enumerate(shifted)], *[c.alias(f"n{k + 1}") for k, c in enumerate(ahead)]
     )
-    at = lambda i: F.when((i >= 0) & (i < F.col("_n")), F.get("_w", i))
-    items = F.transform(
-        F.col("_w"),
-        lambda w, i: F.struct(
-            i.alias("i"), w.alias("w"), at(i - 1).alias("w1"), at(i - 2).alias("w2"), at(i - 3).alias("w3"),
-            at(i + 1).alias("n1"), at(i + 2).alias("n2"),
-        ),
-    )
-    mark = F.struct(
-        F.lit(-1).alias("i"), *[F.lit(None).cast("string").alias(c) for c in ("w", "w1", "w2", "w3", "n1", "n2")]
+    # Everything about the whole text is settled before the words are exploded,
+    # so that a word row carries neither the text nor its arrays.
+    words = words.select(
+        key, F.size("_w").alias("_n"), ((capitals > 0) & (capitals < F.size("_w"))).alias("_mixed"),
+        F.when(F.lower("_text").contains("but"), but).alias("_but"), (marks * EXCLAMATION + ask).alias("_emphasis"),
+        zipped.alias("_z"),
     )
-    rows = words.select(
-        key, "_n", "_mixed", "_but", "_emphasis", F.explode(F.concat(F.array(mark), items)).alias("_t")
-    ).select(key, "_n", "_mixed", "_but", "_emphasis", "_t.*")
+    totals = [key, "_n", "_mixed", "_but", "_emphasis"]
+    rows = words.select(*totals, F.posexplode_outer("_z").alias("i", "_t")).select(*totals, "i", "_t.*")
+    # The shifted arrays are longer than the words: their last element makes one
+    # row without a word per text, which is the empty row kept for its totals.
+    rows = rows.filter(F.col("w").isNotNull() | (F.col("i") == F.col("_n") + 2))
+    rows = rows.withColumn("w", _bare(F.col("w")))
 
     lex = lexicon.groupBy(F.lower("token").alias("_token")).agg(F.max("valence").cast("double").alias("_valence"))
+    hint = small_side(lex) is not lex
 
     def valence_of(frame: DataFrame, col: str, out: str) -> DataFrame:
         side = lex.select(F.col("_token").alias(f"_{col}"), F.col("_valence").alias(out))
+        side = F.broadcast(side) if hint else side
         return frame.join(side, F.lower(F.col(col)) == F.col(f"_{col}"), "left").drop(f"_{col}")
 
     w = F.lower("w")
-    is_booster = w.isin([*boosters_up, *boosters_down]) | ((w == "kind") & (F.lower("n1") == "of"))
-    hits = valence_of(rows, "w", "v").filter((F.col("i") < 0) | (F.col("v").isNotNull() & ~F.coalesce(is_booster, F.lit(False))))
+    is_booster = w.isin([*boosters_up, *boosters_down]) | ((w == "kind") & (F.lower(_bare(F.col("n1"))) == "of"))
+    hits = valence_of(rows, "w", "v").filter(F.col("w").isNull() | (F.col("v").isNotNull() & ~F.coalesce(is_booster, F.lit(False))))
+    hits = hits.withColumns({c: _bare(F.col(c)) for c in ("w1", "w2", "w3", "n1", "n2")})
     for c in ("w1", "w2", "w3"):
         hits = valence_of(hits, c, f"{c}_v")
     shout = F.col("_mixed") & _is_capital(F.col("w"))

@@ -55,3 +55,14 @@ def task_count(spark: SparkSession) -> int:
         int(spark.conf.get("spark.sql.shuffle.partitions")),
         spark.sparkContext.defaultParallelism,
     )
+
+
+def spread_scan(df, *keys: str):
+    """Rows of a plain file scan over all cores, where the files are too few.
+
+    A file with one row group is one task, however heavy the work on its rows.
+    Data with at least as many splits as cores is left as it is, so nothing is
+    shuffled at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
