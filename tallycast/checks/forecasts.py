@@ -175,9 +175,10 @@ def _naive(spark, sf, h: int = 7):
 
 _NAIVE = "h AS (SELECT CAST(unnest(range(1, 8)) AS INT) AS h), f AS (SELECT series, date AS origin, h, value AS forecast FROM s CROSS JOIN h)"
 _AL = "a AS (SELECT f.series, f.origin, f.h, f.origin + f.h AS target_date, f.forecast, s.value AS observed FROM f JOIN s ON s.series = f.series AND s.date = f.origin + f.h)"
-_SCORE = """count(*) AS n, round(1 - sum((observed - forecast) ^ 2) / (var_pop(observed) * count(*)), 6) AS r2,
+_SCORE = """count(*) AS n, CASE WHEN var_pop(observed) <> 0 THEN round(1 - sum((observed - forecast) ^ 2) / (var_pop(observed) * count(*)), 6)
+  WHEN sum((observed - forecast) ^ 2) = 0 THEN 1.0 ELSE 0.0 END AS r2,
   round(sqrt(avg((observed - forecast) ^ 2)), 6) AS rmse, round(avg(abs(observed - forecast)), 6) AS mae,
-  round(avg(abs(observed - forecast) / greatest(abs(observed), 2.220446049250313e-16)), 6) AS mape, round(corr(observed, forecast), 6) AS correl"""
+  round(avg(abs(observed - forecast) / greatest(abs(observed), 2.220446049250313e-16)), 6) AS mape, CASE WHEN var_pop(observed) * var_pop(forecast) <> 0 THEN round(corr(observed, forecast), 6) END AS correl"""
 _METRICS = ("r2", "rmse", "mae", "mape", "correl")
 
 
@@ -273,7 +274,7 @@ def _training(spark, sf):
 WITH {S}, a AS (SELECT *, min(CASE WHEN value >= 3 THEN date END) OVER (PARTITION BY series) AS first FROM s
   WHERE date > DATE '1995-06-01' AND date < DATE '2001-01-01'),
 b AS (SELECT series, date, value, avg(value) OVER (PARTITION BY series ORDER BY date RANGE BETWEEN INTERVAL 7 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING) AS m
-  FROM a WHERE date >= first),
+  FROM a WHERE date >= first OR first IS NULL),
 c AS (SELECT series, date, CASE WHEN left(series, 1) <= '2' AND value > 3 AND m IS NOT NULL THEN m ELSE value END AS value,
   row_number() OVER (PARTITION BY series ORDER BY date) AS rn FROM b)
 SELECT series, date, round(value, 6) AS value FROM c WHERE rn <= 500""")

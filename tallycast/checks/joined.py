@@ -122,7 +122,7 @@ def key_check(spark, sf):
 
 
 @query("surrogate_id", """
-SELECT md5(CAST(o_orderkey AS VARCHAR) || '|' || CASE WHEN o_orderstatus = 'P' THEN '|-' ELSE o_orderstatus END || '|' ||
+SELECT md5(CAST(o_orderkey AS VARCHAR) || '|' || CASE WHEN o_orderstatus = 'P' THEN '\\N' ELSE o_orderstatus END || '|' ||
   CAST(CAST(o_orderdate AS DATE) AS VARCHAR)) AS ID, o_orderkey FROM orders""")
 def surrogate_id(spark, sf):
     o = table(spark, sf, "orders").select(

@@ -282,7 +282,7 @@ def residual_stats(fitted: DataFrame, key: str = "series", lags: int = 10, date:
     r, _ = _acf_array(fitted, lags, key, date, residual)
     box = F.aggregate(
         F.sequence(F.lit(1), F.lit(lags)), F.lit(0.0),
-        lambda s, i: s + F.element_at("r", i + 1) * F.element_at("r", i + 1) / (F.col("n") - i),
+        lambda s, i: s + F.try_divide(F.element_at("r", i + 1) * F.element_at("r", i + 1), F.col("n") - i),
     )
     moments = fitted.groupBy(key).agg(
         F.avg(residual).alias("mean"), F.stddev_samp(residual).alias("std"),

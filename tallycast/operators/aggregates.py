@@ -84,7 +84,8 @@ def score(df: DataFrame, by: Sequence[str], observed: str = "observed", forecast
     """n, r2, rmse, mae, mape and correl in one pass.
 
     MAPE divides by ``max(|y|, EPSILON)``, so one zero observation makes it
-    huge. r2 of a constant observation is 1 for a perfect forecast, else 0.
+    huge. r2 of a constant observation is 1 for a perfect forecast, else 0; its
+    correlation is null.
     """
     y, f = F.col(observed), F.col(forecast)
     e = y - f
@@ -94,7 +95,7 @@ def score(df: DataFrame, by: Sequence[str], observed: str = "observed", forecast
         (F.var_pop(y) * F.count(F.lit(1))).alias("_sst"),
         F.avg(F.abs(e)).alias("mae"),
         F.avg(F.abs(e) / F.greatest(F.abs(y), F.lit(EPSILON))).alias("mape"),
-        F.corr(y, f).alias("correl"),
+        F.try_divide(F.covar_pop(y, f), F.stddev_pop(y) * F.stddev_pop(f)).alias("correl"),
     )
     r2 = F.when(F.col("_sst") != 0, 1 - F.try_divide(F.col("_sse"), F.col("_sst"))).otherwise(
         F.when(F.col("_sse") == 0, F.lit(1.0)).otherwise(F.lit(0.0))

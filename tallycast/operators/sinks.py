@@ -114,7 +114,11 @@ def json_to_csv(spark: SparkSession, src: str, dest: str, schema, columns: Seque
 def with_id(df: DataFrame, natural_key: Sequence[str], col: str = "ID") -> DataFrame:
     """Surrogate ID from the natural key: the same row has the same ID in every
     run, and no global numbering is needed."""
-    parts = [F.coalesce(F.replace(F.col(c).cast("string"), F.lit("|"), F.lit("||")), F.lit("|-")) for c in natural_key]
+    # The separator and the escape are escaped, so different keys give different texts.
+    parts = []
+    for name in natural_key:
+        text = F.replace(F.col(name).cast("string"), F.lit("\\"), F.lit("\\\\"))
+        parts.append(F.coalesce(F.replace(text, F.lit("|"), F.lit("\\|")), F.lit("\\N")))
     return df.withColumn(col, F.md5(F.concat_ws("|", *parts)))
 
 

@@ -54,10 +54,10 @@ def bartlett(
     n = [F.col(f"n{i}") for i in range(k)]
     v = [F.col(f"v{i}") for i in range(k)]
     rest = sum(n[1:], n[0]) - k
-    pooled = sum([(n[i] - 1) * v[i] for i in range(1, k)], (n[0] - 1) * v[0]) / rest
+    pooled = F.try_divide(sum([(n[i] - 1) * v[i] for i in range(1, k)], (n[0] - 1) * v[0]), rest)
     spread = rest * F.ln(pooled) - sum([(n[i] - 1) * F.ln(v[i]) for i in range(1, k)], (n[0] - 1) * F.ln(v[0]))
     inverse = sum([F.try_divide(F.lit(1.0), n[i] - 1) for i in range(1, k)], F.try_divide(F.lit(1.0), n[0] - 1))
-    scale = 1 + (inverse - 1 / rest) / (3 * (k - 1))
+    scale = 1 + (inverse - F.try_divide(F.lit(1.0), rest)) / (3 * (k - 1))
     enough = F.least(*n) > 1
     return one.select(key, F.when(enough, spread / scale).alias("statistic")).withColumn(
         "p", chi2_tail(F.col("statistic"), k - 1)
