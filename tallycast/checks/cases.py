@@ -11,7 +11,7 @@ from ..operators import shape as P
 from ..operators.windows import with_daily_change
 from ..plans.covid import covid_daily
 from ..sources.reports import normalise_header, select_measures, stamp, with_extract_date
-from .registry import G, S, query, series_of, status_reports, table
+from .registry import G, S, query, series_of, status_reports, stored_series, table
 
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 _IDS = {p: i + 1 for i, p in enumerate(PRIORITIES)}
@@ -119,7 +119,7 @@ d AS (SELECT series, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DAT
 SELECT d.series, d.date, coalesce(s.value, 0) AS value FROM d LEFT JOIN s ON s.series = d.series AND s.date = d.date""")
 def missing_days(spark, sf):
     """Every day between the first and the last of each series."""
-    s = series_of(spark, sf)
+    s = stored_series(spark, sf)
     spans = s.groupBy("series").agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
     return P.fill_missing_days(s, ["series"], F.col("lo"), F.col("hi"), measures=["value"], key_table=spans)
 

@@ -12,7 +12,7 @@ from ..operators.windows import forward_mean
 from ..plans.covid import covid_forecast
 from ..plans.training import prepare_series, train_models
 from ..session import scratch_path
-from .registry import S, SN, query, r, rnd, rounded, series_of
+from .registry import S, SN, query, r, rnd, rounded, series_of, stored_series
 
 # ---- AR(1): all of it has a closed form ------------------------------------------------
 
@@ -31,6 +31,19 @@ def ar1(spark, sf):
                     rnd("loglik", 4).alias("loglik"), "n_obs")
 
 
+@query("ar2", f"""
+WITH {SN}, l AS (SELECT series, value AS y, lag(value, 1) OVER w AS x1, lag(value, 2) OVER w AS x2 FROM n WINDOW w AS (PARTITION BY series ORDER BY date)),
+c AS (SELECT series, avg(y) AS my, avg(x1) AS m1, avg(x2) AS m2, var_pop(y) AS yy, var_pop(x1) AS a, var_pop(x2) AS b, covar_pop(x1, x2) AS ab,
+  covar_pop(x1, y) AS ay, covar_pop(x2, y) AS bty, count(*) AS n FROM l WHERE x2 IS NOT NULL GROUP BY 1),
+k AS (SELECT *, (ay * b - bty * ab) / (a * b - ab * ab) AS p1, (bty * a - ay * ab) / (a * b - ab * ab) AS p2 FROM c)
+SELECT series, {r('p1')} AS phi1, {r('p2')} AS phi2, round((my - p1 * m1 - p2 * m2) / (1 - p1 - p2), 6) AS mean,
+  round(yy - p1 * ay - p2 * bty, 6) AS sigma2, n + 2 AS n_obs FROM k""")
+def ar2(spark, sf):
+    m = arima.fit_ar(series_of(spark, sf), 2)
+    return m.select("series", rnd(F.col("ar")[0]).alias("phi1"), rnd(F.col("ar")[1]).alias("phi2"), rnd("mean").alias("mean"),
+                    rnd("sigma2").alias("sigma2"), "n_obs")
+
+
 @query("ar3")
 def ar3(spark, sf):
     return arima.fit_ar(series_of(spark, sf), 3)
@@ -53,7 +66,7 @@ f AS (SELECT z.series, z.date AS forecast_date, z.date + h.h AS forecasted_date,
   1.959963984540054 * sqrt(sigma2 * list_sum([b ^ (2 * j) for j in range(0, h.h)])) AS w FROM z JOIN m ON m.series = z.series CROSS JOIN h)
 SELECT series, forecast_date, forecasted_date, h, round(f, 6) AS forecast, round(f - w, 6) AS mean_ci_lower, round(f + w, 6) AS mean_ci_upper FROM f""")
 def ar1_forecast(spark, sf):
-    s = series_of(spark, sf)
+    s = stored_series(spark, sf)
     return rounded(arima.forecast(s, arima.fit_ar(s, 1)), "forecast", "mean_ci_lower", "mean_ci_upper")
 
 
@@ -62,7 +75,7 @@ WITH {SN}, {_AR1}, h AS (SELECT CAST(unnest(range(1, 8)) AS INT) AS h)
 SELECT n.series, n.date AS origin, h.h, round(mean + b ^ h.h * (value - mean), 6) AS forecast FROM n JOIN m ON m.series = n.series CROSS JOIN h
 WHERE rn >= 92""")
 def ar1_backtest(spark, sf):
-    s = series_of(spark, sf)
+    s = stored_series(spark, sf)
     return rounded(arima.backtest(s, arima.fit_ar(s, 1), 7, 92), "forecast")
 
 
@@ -70,7 +83,7 @@ def ar1_backtest(spark, sf):
 WITH {SN}, {_AR1}, p AS (SELECT n.series, date, value, lag(value) OVER (PARTITION BY n.series ORDER BY date) AS x, b, mean FROM n JOIN m ON m.series = n.series)
 SELECT series, date, value AS observed, round(mean + b * (x - mean), 6) AS forecast, {r('value - mean - b * (x - mean)')} AS residual FROM p WHERE x IS NOT NULL""")
 def fitted(spark, sf):
-    s = series_of(spark, sf)
+    s = stored_series(spark, sf)
     return rounded(arima.fitted(s, arima.fit_ar(s, 1)), "forecast", "residual")
 
 
@@ -81,7 +94,7 @@ _RESID = "p AS (SELECT n.series, date, value, value - mean - b * (lag(value) OVE
 WITH {SN}, {_AR1}, {_RESID}
 SELECT series, round(avg(abs(e)), 6) AS mae, round(1 - sum(e * e) / (var_pop(value) * count(*)), 6) AS r2 FROM p WHERE e IS NOT NULL GROUP BY 1""")
 def train_error(spark, sf):
-    s = series_of(spark, sf)
+    s = stored_series(spark, sf)
     return rounded(A.train_error(arima.fitted(s, arima.fit_ar(s, 1)), ["series"]), "mae", "r2")
 
 
@@ -94,7 +107,7 @@ b AS (SELECT g.series, sum((g.c / z.c) ^ 2 / (t.n - g.lag)) AS box FROM g JOIN g
 SELECT t.series, t.n, round(std, 6) AS std, round(m3 / m2 ^ 1.5, 5) AS skewness, round(m4 / m2 ^ 2 - 3, 5) AS kurtosis,
   round(t.n * (t.n + 2) * box, 5) AS ljung_box FROM t JOIN b ON b.series = t.series""")
 def residual_stats(spark, sf):
-    s = series_of(spark, sf)
+    s = stored_series(spark, sf)
     d = additive.residual_stats(arima.fitted(s, arima.fit_ar(s, 1))).drop("mean", "acf")
     return rounded(rounded(d, "std"), "skewness", "kurtosis", "ljung_box", places=5)
 
@@ -102,9 +115,9 @@ def residual_stats(spark, sf):
 # ---- fixed ARIMA parameters on new data -----------------------------------------------
 
 
-def _fixed_models(spark, sf):
+def _fixed_models(s):
     """One ARIMA(1,1,1) parameter row per series, a rule of its name."""
-    k = series_of(spark, sf).select("series").distinct()
+    k = s.select("series").distinct()
     none = F.array().cast("array<double>")
     i = F.substring("series", 1, 1).cast("double")
     return k.select(
@@ -126,8 +139,8 @@ WITH RECURSIVE {SN}, {_FIXED}, h AS (SELECT CAST(unnest(range(1, 8)) AS INT) AS
 SELECT series, date AS origin, h.h, {r('value + f1 * list_sum([phi ^ j for j in range(0, h.h)])')} AS forecast FROM g CROSS JOIN h WHERE rn >= 100""")
 def arima_apply(spark, sf):
     """Seven-day forecasts of ARIMA(1,1,1) with given parameters from every day on."""
-    s = series_of(spark, sf)
-    return rounded(arima.backtest(s, _fixed_models(spark, sf), 7, 100), "forecast")
+    s = stored_series(spark, sf)
+    return rounded(arima.backtest(s, _fixed_models(s), 7, 100), "forecast")
 
 
 @query("covid_forecast", f"""
@@ -143,8 +156,9 @@ SELECT Country_Region, forecast_date, forecasted_date, h, round(f, 6) AS forecas
 def covid_forecast_query(spark, sf):
     """Last 150 days, stored parameters, 7 days ahead with intervals; run twice,
     the second time merged into the first."""
-    s = series_of(spark, sf).select(F.col("series").alias("Country_Region"), "date", F.col("value").alias("New_Confirmed"))
-    m = _fixed_models(spark, sf).withColumnRenamed("series", "Country_Region")
+    stored = stored_series(spark, sf)
+    s = stored.select(F.col("series").alias("Country_Region"), "date", F.col("value").alias("New_Confirmed"))
+    m = _fixed_models(stored).withColumnRenamed("series", "Country_Region")
     first = covid_forecast(s, m)
     return rounded(covid_forecast(s, m, old=first), "forecast", "mean_ci_lower", "mean_ci_upper")
 
@@ -160,16 +174,15 @@ SELECT series, date AS origin, CAST(h AS INT) AS h, {r('value + f1 * list_sum([p
 FROM g CROSS JOIN (SELECT unnest(range(1, 4)) AS h)""")
 def backfill(spark, sf):
     """The forecast of every past day, each from its own last 30 rows."""
-    s = series_of(spark, sf)
-    return rounded(arima.backfill(s, _fixed_models(spark, sf), s.select("date").distinct(), 3, 30), "forecast", places=5)
+    s = stored_series(spark, sf)
+    return rounded(arima.backfill(s, _fixed_models(s), s.select("date").distinct(), 3, 30), "forecast", places=5)
 
 
 # ---- naive forecasts and their scores ---------------------------------------------------
 
 
-def _naive(spark, sf, h: int = 7):
-    """Every value repeated for the h days after it."""
-    s = series_of(spark, sf)
+def _naive(s, h: int = 7):
+    """Every value of a series repeated for the h days after it."""
     return s.select("series", F.col("date").alias("origin"), F.explode(F.sequence(F.lit(1), F.lit(h))).alias("h"), F.col("value").alias("forecast"))
 
 
@@ -184,13 +197,14 @@ _METRICS = ("r2", "rmse", "mae", "mape", "correl")
 
 @query("horizons", f"WITH {S}, {_NAIVE}, {_AL} SELECT * FROM a")
 def horizons(spark, sf):
-    return J.align_horizons(_naive(spark, sf), series_of(spark, sf))
+    s = stored_series(spark, sf)
+    return J.align_horizons(_naive(s), s)
 
 
 @query("score", f"WITH {S}, {_NAIVE}, {_AL} SELECT series, h, {_SCORE} FROM a GROUP BY 1, 2")
 def score(spark, sf):
-    aligned = J.align_horizons(_naive(spark, sf), series_of(spark, sf))
-    return rounded(A.score(aligned, ["series", "h"]), *_METRICS)
+    s = stored_series(spark, sf)
+    return rounded(A.score(J.align_horizons(_naive(s), s), ["series", "h"]), *_METRICS)
 
 
 @query("score_mean", f"""
@@ -199,20 +213,21 @@ WITH {S}, m AS (SELECT series, date, value AS forecast, CASE WHEN count(value) O
 SELECT series, {_SCORE} FROM m WHERE observed IS NOT NULL GROUP BY 1""")
 def score_mean(spark, sf):
     """Mean over the horizons of each origin against the mean of the next seven rows."""
-    mean = A.with_total(_naive(spark, sf)).select("series", F.col("origin").alias("date"), F.col("mean").alias("forecast"))
-    seen = forward_mean(series_of(spark, sf)).select("series", "date", F.col("forward_mean").alias("observed"))
+    s = stored_series(spark, sf)
+    mean = A.with_total(_naive(s)).select("series", F.col("origin").alias("date"), F.col("mean").alias("forecast"))
+    seen = forward_mean(s).select("series", "date", F.col("forward_mean").alias("observed"))
     return rounded(A.score(J.align(mean, seen), ["series"]), *_METRICS)
 
 
 @query("forecast_wide", f"""
 WITH {S} SELECT series, date AS origin, {', '.join(f'value + {i} AS d{i}' for i in range(1, 8))}, 7 * value + 28 AS total FROM s""")
 def forecast_wide(spark, sf):
-    return A.forecast_wide(_naive(spark, sf).withColumn("forecast", F.col("forecast") + F.col("h")), 7)
+    return A.forecast_wide(_naive(series_of(spark, sf)).withColumn("forecast", F.col("forecast") + F.col("h")), 7)
 
 
 @query("forecast_total", f"WITH {S} SELECT series, date AS origin, 7 * value AS total, value AS mean, CAST(7 AS BIGINT) AS horizons FROM s")
 def forecast_total(spark, sf):
-    return A.with_total(_naive(spark, sf))
+    return A.with_total(_naive(series_of(spark, sf)))
 
 
 @query("metric_table", f"""
@@ -221,9 +236,9 @@ b AS (SELECT n.series, n.date + h.h AS target, mean + b ^ h.h * (value - mean) A
 c AS (SELECT b.series, b.forecast, s.value AS observed FROM b JOIN s ON s.series = b.series AND s.date = b.target)
 SELECT 'naive' AS model, series, {_SCORE} FROM a GROUP BY 2 UNION ALL SELECT 'ar1', series, {_SCORE} FROM c GROUP BY 2""")
 def metric_table(spark, sf):
-    s = series_of(spark, sf)
+    s = stored_series(spark, sf)
     ar = arima.backtest(s, arima.fit_ar(s, 1), 7)
-    parts = [(name, A.score(J.align_horizons(f, s), ["series"])) for name, f in (("naive", _naive(spark, sf)), ("ar1", ar))]
+    parts = [(name, A.score(J.align_horizons(f, s), ["series"])) for name, f in (("naive", _naive(s)), ("ar1", ar))]
     return rounded(additive.metric_table(*parts), *_METRICS)
 
 
@@ -242,14 +257,14 @@ def seasonal_arima(spark, sf):
 
 @query("forecast")
 def forecast(spark, sf):
-    s = series_of(spark, sf)
+    s = stored_series(spark, sf)
     return arima.forecast(s, arima.fit_arima(s, [(1, 1, 1)]))
 
 
 @query("backtest")
 def backtest(spark, sf):
     """Rolling origins after a train part, scored by horizon."""
-    s = series_of(spark, sf)
+    s = stored_series(spark, sf)
     f = arima.backtest(s, arima.fit_arima(s, [(1, 1, 1)]), 7, 103, False)
     return A.score(J.align_horizons(f, s), ["series", "h"])
 
@@ -260,9 +275,9 @@ def order_search(spark, sf):
     return arima.search_orders(series_of(spark, sf), grid)
 
 
-def _training(spark, sf):
+def _training(s):
     """Order, train length, outlier limit and zero repair per series."""
-    k = series_of(spark, sf).select("series").distinct()
+    k = s.select("series").distinct()
     i = F.substring("series", 1, 1).cast("int")
     return k.select(
         "series", (F.lit(1) + i % 2).alias("p"), F.lit(1).alias("d"), F.lit(1).alias("q"), *[F.lit(0).alias(c) for c in ("sp", "sd", "sq", "m")],
@@ -279,12 +294,14 @@ c AS (SELECT series, date, CASE WHEN left(series, 1) <= '2' AND value > 3 AND m
   row_number() OVER (PARTITION BY series ORDER BY date) AS rn FROM b)
 SELECT series, date, round(value, 6) AS value FROM c WHERE rn <= 500""")
 def prepare(spark, sf):
-    return rounded(prepare_series(series_of(spark, sf), _training(spark, sf), "1995-06-01", "2001-01-01", 3.0), "value")
+    s = stored_series(spark, sf)
+    return rounded(prepare_series(s, _training(s), "1995-06-01", "2001-01-01", 3.0), "value")
 
 
 @query("train_models")
 def train(spark, sf):
-    return train_models(series_of(spark, sf), _training(spark, sf), "1995-06-01", "2001-01-01", 3.0)
+    s = stored_series(spark, sf)
+    return train_models(s, _training(s), "1995-06-01", "2001-01-01", 3.0)
 
 
 # ---- additive model ---------------------------------------------------------------------
@@ -294,7 +311,7 @@ def train(spark, sf):
 WITH {S}, m AS (SELECT series, max(date) AS last FROM s GROUP BY 1)
 SELECT series, last + CAST(unnest(range(1, 15)) AS INT) AS date FROM m UNION ALL SELECT series, date FROM s""")
 def future_frame(spark, sf):
-    return additive.future_frame(series_of(spark, sf), 14, with_history=True)
+    return additive.future_frame(stored_series(spark, sf), 14, with_history=True)
 
 
 @query("cutoffs", f"""
@@ -304,9 +321,9 @@ def cutoffs(spark, sf):
     return additive.cutoffs(series_of(spark, sf), 30)
 
 
-def _windows(spark, sf):
+def _windows(s):
     """Two windows of one event per series and year."""
-    y = series_of(spark, sf).select("series", F.year("date").alias("y")).distinct()
+    y = s.select("series", F.year("date").alias("y")).distinct()
     spans = [F.struct(F.make_date("y", F.lit(m), F.lit(1)).alias("start"), F.make_date("y", F.lit(m), F.lit(10)).alias("end")) for m in (3, 9)]
     return y.select("series", F.inline(F.array(*spans))).withColumn("event", F.lit("lockdown"))
 
@@ -316,26 +333,27 @@ WITH {S}, y AS (SELECT DISTINCT series, year(date) AS y FROM s), w AS (SELECT se
 d AS (SELECT series, a, CAST(unnest(range(0, 10)) AS INT) AS i FROM w)
 SELECT series, a + i AS date, 'lockdown_+' || i AS event FROM d""")
 def event_days(spark, sf):
-    return additive.event_days(_windows(spark, sf))
+    return additive.event_days(_windows(series_of(spark, sf)))
 
 
 @query("additive")
 def additive_query(spark, sf):
     """Trend, seasons and event windows; history and 14 days ahead."""
-    s, events = series_of(spark, sf), additive.event_days(_windows(spark, sf))
+    s = stored_series(spark, sf)
+    events = additive.event_days(_windows(s))
     models = additive.fit_additive(s, {"changepoint_prior_scale": [0.5]}, events)
     return additive.predict_additive(models, additive.future_frame(s, 14, True), events)
 
 
 @query("cross_validate")
 def cross_validate(spark, sf):
-    found = additive.cross_validate(series_of(spark, sf), horizon=30, period=90)
+    found = additive.cross_validate(stored_series(spark, sf), horizon=30, period=90)
     return A.score(found, ["series", "h"])
 
 
 @query("tune")
 def tune(spark, sf):
     params = {"changepoint_prior_scale": [0.01, 0.5], "seasonality_prior_scale": [0.1, 10.0]}
-    return additive.tune(series_of(spark, sf), params, 30, period=180)
+    return additive.tune(stored_series(spark, sf), params, 30, period=180)
 
 

@@ -14,7 +14,7 @@ from ..session import scratch_path
 from ..sources import html as H
 from ..sources.dims import dim_calendar, dim_countries, dim_happiness, dim_lockdowns
 from ..sources.pages import incomplete_chains, read_pages, tweets_of, users_of
-from .registry import S, query, rounded, series_of, table
+from .registry import S, query, rounded, series_of, stored_series, table
 
 
 def stored_pages(spark, sf, cut_short: bool = False):
@@ -140,7 +140,7 @@ SELECT s.series, s.date, s.value, count(i.l) > 0 AS inside, coalesce(string_agg(
 FROM s LEFT JOIN i ON i.series = s.series AND s.date BETWEEN i.a AND i.b GROUP BY 1, 2, 3""")
 def interval_flag(spark, sf):
     """Two overlapping intervals per year and series."""
-    s = series_of(spark, sf)
+    s = stored_series(spark, sf)
     y = s.select("series", F.year("date").alias("y")).distinct()
     span = lambda a, b, n: y.select(
         "series", F.make_date("y", *map(F.lit, a)).alias("start"), F.make_date("y", *map(F.lit, b)).alias("end"), F.lit(n).alias("label")
@@ -155,7 +155,7 @@ WITH {S}, m AS (SELECT series, date, avg(value) OVER w AS m, count(*) OVER w AS
   WINDOW w AS (PARTITION BY series ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW))
 SELECT s.series, s.date, s.value, round(m, 6) AS trailing_mean FROM s JOIN m ON m.series = s.series AND m.date = s.date WHERE c = 7""")
 def aligned(spark, sf):
-    s = series_of(spark, sf)
+    s = stored_series(spark, sf)
     mean = trailing_mean(s).filter(F.col("trailing_mean").isNotNull()).select("series", "date", "trailing_mean")
     return rounded(J.align(s, mean), "trailing_mean")
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.aggregates import daily
+from ..session import write_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -48,6 +49,12 @@ def series_of(spark: SparkSession, sf: str) -> DataFrame:
     return daily(table(spark, sf, "orders"), "o_orderpriority", "o_orderdate")
 
 
+def stored_series(spark: SparkSession, sf: str) -> DataFrame:
+    """The series written as a table, for queries that use it more than once:
+    the raw orders are read a single time."""
+    return write_out(series_of(spark, sf), "series")
+
+
 # The same series in SQL, to stand after WITH.
 S = """s AS (SELECT o_orderpriority AS series, CAST(o_orderdate AS DATE) AS date, CAST(count(*) AS DOUBLE) AS value
 FROM orders GROUP BY 1, 2)"""

@@ -9,7 +9,7 @@ from ..operators import aggregates as A
 from ..operators import windows as X
 from ..operators.joins import grid
 from ..operators.shape import clamp
-from .registry import S, SN, query, r, rnd, rounded, series_of
+from .registry import S, SN, query, r, rnd, rounded, series_of, stored_series
 
 
 @query("trailing_mean", f"""
@@ -46,7 +46,7 @@ WITH {SN}, m AS (SELECT *, max(rn) OVER (PARTITION BY series) AS top FROM n)
 SELECT series, date, value, 'head' AS part FROM m WHERE rn <= 30
 UNION ALL SELECT series, date, value, 'tail' FROM m WHERE rn > top - 30""")
 def head_tail(spark, sf):
-    s = series_of(spark, sf)
+    s = stored_series(spark, sf)
     return X.head_n(s, 30).withColumn("part", F.lit("head")).unionByName(X.tail_n(s, 30).withColumn("part", F.lit("tail")))
 
 

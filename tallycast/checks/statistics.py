@@ -34,8 +34,21 @@ c AS (SELECT s.series, sum((value - m) ^ 2) / n AS m2, sum((value - m) ^ 3) / n
   FROM s JOIN m ON m.series = s.series GROUP BY s.series, n)
 SELECT series, round(m3 / m2 ^ 1.5, 6) AS skewness, round(m4 / m2 ^ 2 - 3, 6) AS kurtosis FROM c""")
 def moments(spark, sf):
-    s = series_of(spark, sf)
-    return rounded(A.skew(s, ["series"], "value").join(A.kurt(s, ["series"], "value"), "series"), "skewness", "kurtosis")
+    return rounded(A.moments(series_of(spark, sf), ["series"], "value"), "skewness", "kurtosis")
+
+
+@query("skew", f"""
+WITH {S}, m AS (SELECT series, value - avg(value) OVER (PARTITION BY series) AS d FROM s)
+SELECT series, round(avg(d ^ 3) / avg(d ^ 2) ^ 1.5, 6) AS skewness FROM m GROUP BY 1""")
+def skew(spark, sf):
+    return rounded(A.skew(series_of(spark, sf), ["series"], "value"), "skewness")
+
+
+@query("kurt", f"""
+WITH {S}, m AS (SELECT series, value - avg(value) OVER (PARTITION BY series) AS d FROM s)
+SELECT series, round(avg(d ^ 4) / avg(d ^ 2) ^ 2 - 3, 6) AS kurtosis FROM m GROUP BY 1""")
+def kurt(spark, sf):
+    return rounded(A.kurt(series_of(spark, sf), ["series"], "value"), "kurtosis")
 
 
 @query("bartlett", f"""

@@ -43,6 +43,23 @@ def csv_folders(spark, sf):
     ).select("o_orderkey", "Country_Region", "date")
 
 
+@query("drifting_headers", """
+SELECT o_orderpriority AS "Country_Region", CAST(o_orderkey AS DOUBLE) AS "Confirmed",
+  CASE WHEN o_orderdate < TIMESTAMP '1998-01-01' THEN NULL ELSE o_totalprice END AS "Deaths", NULL::DOUBLE AS "Recovered",
+  strftime(o_orderdate, '%m-%d-%Y') AS date FROM orders""")
+def drifting_headers(spark, sf):
+    """Two header layouts in one folder, read as one table."""
+    path = scratch_path(spark, "drift")
+    o = table(spark, sf, "orders")
+    early = F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")
+    day, n = F.date_format("o_orderdate", "MM-dd-yyyy").alias("date"), F.col("o_orderkey").alias("Confirmed")
+    old = o.filter(early).select(day, n, F.col("o_orderpriority").alias("Country/Region"))
+    new = o.filter(~early).select(F.lit(7).alias("FIPS"), F.col("o_orderpriority").alias("Country_Region"), n, F.col("o_totalprice").alias("Deaths"), day)
+    for part in (old, new):
+        part.write.mode("append").option("header", True).csv(path)
+    return R.select_measures(R.read_drifting_reports(spark, path))
+
+
 @query("parquet_round_trip", """
 SELECT o_orderkey, CAST(o_orderdate AS DATE) AS date, o_orderpriority AS country FROM orders WHERE o_orderpriority IN ('1-URGENT', '3-MEDIUM')""")
 def parquet_round_trip(spark, sf):

@@ -80,6 +80,11 @@ def kurt(df: DataFrame, key: Sequence[str], value: str) -> DataFrame:
     return df.groupBy(*key).agg(F.kurtosis(value).alias("kurtosis"))
 
 
+def moments(df: DataFrame, key: Sequence[str], value: str) -> DataFrame:
+    """Skewness and excess kurtosis in one pass."""
+    return df.groupBy(*key).agg(F.skewness(value).alias("skewness"), F.kurtosis(value).alias("kurtosis"))
+
+
 def score(df: DataFrame, by: Sequence[str], observed: str = "observed", forecast: str = "forecast") -> DataFrame:
     """n, r2, rmse, mae, mape and correl in one pass.
 

@@ -26,12 +26,13 @@ def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
 def join_tweet_user(tweets: DataFrame, users: DataFrame) -> DataFrame:
     """Tweets with the location of their author; exact duplicates once.
 
-    Users come again on every page, and a page may be stored twice, so both
-    sides are made distinct first: an author meets only their own locations.
+    Users come again on every page, so they are made distinct before the join:
+    a tweet meets each location of its author once, and the texts are shuffled
+    for the join and the final step only.
     """
-    t, u = tweets.distinct(), users.distinct()
+    u = users.distinct()
     return (
-        t.join(u, t.author_id == u.id, "inner")
+        tweets.join(u, tweets.author_id == u.id, "inner")
         .select("created_at", "text", "location")
         .dropDuplicates()
     )

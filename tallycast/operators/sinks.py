@@ -191,16 +191,16 @@ def load_gold(df: DataFrame, table: str, path: str, date=None) -> None:
 def check_keys(fact: DataFrame, dims: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     """Fact rows whose key is missing in a dimension, with the failing column.
 
-    ``dims`` maps a fact column to (dimension, key column). The keys of the
-    fact are made distinct before the anti join, so the join handles each key
-    once whatever its number of rows; the rows are then found by the bad keys.
+    ``dims`` maps a fact column to (dimension, key column). A null key refers
+    to nothing and is no error. One anti join per dimension: small dimensions
+    are broadcast by their known size, and for others adaptive execution splits
+    the rows of a hot key.
     """
     out = None
     for col, (dim, dim_key) in dims.items():
-        keys = fact.select(col).filter(F.col(col).isNotNull()).distinct()
         side = dim.select(F.col(dim_key).alias(col))
-        bad = keys.join(side, col, "left_anti")
-        rows = fact.join(bad, col, "left_semi").select(*fact.columns).withColumn("missing", F.lit(col))
+        rows = fact.filter(F.col(col).isNotNull()).join(side, col, "left_anti")
+        rows = rows.select(*fact.columns, F.lit(col).alias("missing"))
         out = rows if out is None else out.unionByName(rows)
     return out
 

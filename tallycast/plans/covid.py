@@ -14,7 +14,7 @@ from ..operators.aggregates import group_reports
 from ..operators.shape import map_column, with_active
 from ..operators.sinks import upsert
 from ..operators.windows import with_daily_change
-from ..sources.reports import normalise_header, read_reports, select_measures
+from ..sources.reports import normalise_header, read_drifting_reports, select_measures
 
 CASE_MEASURES = ["Confirmed", "Deaths", "Recovered"]
 
@@ -46,11 +46,11 @@ def covid_daily(
 ) -> DataFrame:
     """Daily reports to the series with change and active cases.
 
-    ``src`` is a folder of ``extract_date=`` folders, or the reports read from
-    it. ``history`` is an earlier series (Country_Region, date, measures); a
+    ``src`` is a folder of ``extract_date=`` folders, whose files may differ in
+    their headers, or the reports read from it. ``history`` is an earlier series (Country_Region, date, measures); a
     day that comes again replaces the old one.
     """
-    reports = read_reports(spark, src) if isinstance(src, str) else src
+    reports = read_drifting_reports(spark, src) if isinstance(src, str) else src
     reports = normalise_header(reports)
     if "date" not in reports.columns:
         reports = reports.withColumn("date", F.lit(None).cast("string"))

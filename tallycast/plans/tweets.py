@@ -10,6 +10,7 @@ from ..operators.joins import join_tweet_user
 from ..operators.shape import before, with_country
 from ..operators.sinks import with_id
 from ..operators.texts import apply_translations, prep_text, score_sentiment, tweet_gold
+from ..session import write_out
 from ..sources.pages import read_pages, tweets_of, users_of
 
 
@@ -20,7 +21,8 @@ def score_tweets(tweets: DataFrame, memory: DataFrame, lexicon: DataFrame, **rul
     English yet; it is listed by ``pending_translations``.
     """
     rows = with_id(tweets, ["created_at", "text", "location"], "row_id")
-    rows = apply_translations(prep_text(rows), memory)
+    # Written once: the scores are made from these rows and joined to them again.
+    rows = write_out(apply_translations(prep_text(rows), memory), "tweets")
     scores = score_sentiment(rows.filter(rows.translation.isNotNull()).select("row_id", "translation"), lexicon, "row_id", **rules)
     return rows.join(scores, "row_id", "left").withColumnRenamed("created_at", "date")
 

@@ -2,7 +2,7 @@ from .dims import dim_calendar, dim_countries, dim_happiness, dim_lockdowns
 from .html import extract_html_table, list_items
 from .pages import PAGE_SCHEMA, incomplete_chains, read_pages, tweets_of, users_of
 from .reports import (
-    REPORT_SCHEMA, load_csv_fact, normalise_header, read_reports, read_series,
+    REPORT_SCHEMA, load_csv_fact, normalise_header, read_drifting_reports, read_reports, read_series,
     read_snapshots, select_measures, stamp, with_extract_date,
 )
 

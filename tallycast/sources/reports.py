@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,6 +11,7 @@ from pyspark.sql import types as T
 from .. import constants as C
 from ..functions.dates import day_of
 from ..functions.text import to_double
+from ..operators.joins import small_side
 
 REPORT_COLUMNS = ["Country_Region", "Confirmed", "Deaths", "Recovered", "date"]
 REPORT_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in REPORT_COLUMNS])
@@ -17,25 +20,42 @@ _OLD_NAME = "Country/Region"
 _NEW_NAME = "Country_Region"
 
 
-def read_reports(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None) -> DataFrame:
+def read_reports(spark: SparkSession, path: str | list[str], schema: T.StructType | str | None = None) -> DataFrame:
     """CSV with a header, every column text.
 
-    Without a schema the header of the files is used, so a load must not mix
-    header layouts; ``read_mixed_reports`` does that. A folder named
-    ``extract_date=...`` becomes a partition column, and a filter on it prunes
-    the folders read.
+    Without a schema the header of the first file is used and a file with
+    another header fails the job; ``read_drifting_reports`` reads such folders.
+    A folder named ``extract_date=...`` becomes a partition column, and a filter
+    on it prunes the folders read.
     """
     reader = spark.read.option("header", True)
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.csv(path)
+    if schema is None:
+        return reader.option("enforceSchema", False).csv(path)
+    return reader.schema(schema).csv(path)
+
 
+def read_drifting_reports(
+    spark: SparkSession, path: str | list[str], columns: Sequence[str] = REPORT_COLUMNS, width: int = 64
+) -> DataFrame:
+    """Report files of any number of header layouts, read as one table.
 
-def read_mixed_reports(spark: SparkSession, new_path: str | list[str], old_path: str | list[str]) -> DataFrame:
-    """Files of the new and the old header in one table."""
-    new = normalise_header(read_reports(spark, new_path))
-    old = normalise_header(read_reports(spark, old_path))
-    return new.unionByName(old, allowMissingColumns=True)
+    Each file keeps its own header: its first line, known by the name of the
+    country column, says at which position a column stands. The headers, one
+    row per file, are joined to the lines of their file. Columns a layout lacks
+    are null; files have up to ``width`` columns.
+    """
+    raw = spark.read.option("header", False).schema(", ".join(f"_c{i} string" for i in range(width))).csv(path)
+    folder = [c for c in raw.columns if not c.startswith("_c")]
+    lines = raw.select(F.col("_metadata.file_path").alias("_file"), *folder, F.array(*[f"_c{i}" for i in range(width)]).alias("_cells"))
+    is_header = F.arrays_overlap("_cells", F.array(F.lit(_NEW_NAME), F.lit(_OLD_NAME))).eqNullSafe(F.lit(True))
+    headers = small_side(lines.filter(is_header).groupBy("_file").agg(F.first("_cells").alias("_names")))
+    rows = lines.filter(~is_header).join(headers, "_file")
+
+    def at(name: str) -> Column:
+        return F.try_element_at("_cells", F.nullif(F.array_position("_names", F.lit(name)).cast("int"), F.lit(0)))
+
+    named = [at(c).alias(c) for c in columns if c != _NEW_NAME]
+    return rows.select(F.coalesce(at(_NEW_NAME), at(_OLD_NAME)).alias(_NEW_NAME), *named, *folder)
 
 
 def normalise_header(df: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from ..operators.aggregates import group_reports
 from ..operators.sinks import read_table, replace_partitions, upsert, with_grain
 from ..session import write_out
 from ..sources.reports import REPORT_SCHEMA, select_measures
-from ..functions.dates import day_of, parse_date
+from ..functions.dates import parse_date
 
 KEYS = ["Country_Region", "date"]
 
@@ -23,24 +23,29 @@ def merge_days(
 ) -> None:
     """Upsert into a Parquet table partitioned by time (column ``part``).
 
-    Only the partitions that ``new`` falls into are read and replaced; they are
-    found by a semi join on the partition column, so other folders are not
-    opened. The merged rows are written to the shared folder first: the table
-    is not read while it is replaced, and a lost executor costs tasks, not
-    data. Running the same batch again gives the same table.
+    Only the partitions that ``new`` falls into are read and replaced. Their
+    dates, at most one per day of the calendar, are fetched to become literals
+    in the filter, so that other folders are not even listed for the scan. The
+    merged rows are written to the shared folder first: the table is not read
+    while it is replaced, and a lost executor costs tasks, not data. Running
+    the same batch again gives the same table.
     """
-    rows = with_grain(new, by, grain)
+    rows = write_out(with_grain(new, by, grain), "batch")
     old = read_table(rows.sparkSession, table, rows.schema)
     if old is not None:
-        # Distinct partition dates, bounded by the calendar: safe to broadcast.
-        old = old.join(F.broadcast(rows.select("part").distinct()), "part", "left_semi").select(*rows.columns)
+        old = old.filter(F.col("part").isin(distinct_days(rows, "part"))).select(*rows.columns)
     merged = upsert(rows, old, keys, order)
     replace_partitions(write_out(merged, "merge"), table, ["part"])
 
 
+def distinct_days(df: DataFrame, col: str) -> list:
+    """The days in a date column; their number is bounded by the calendar."""
+    return [r[0] for r in df.select(F.col(col).cast("date")).distinct().collect() if r[0] is not None]
+
+
 def report_rows(reports: DataFrame) -> DataFrame:
     """Raw report rows to sums by country and day of each collected folder."""
-    collected = day_of(F.col("extract_date").cast("string"))
+    collected = F.col("extract_date").cast("date")
     rows = reports.withColumn("extract_date", collected).withColumn("date", F.coalesce(parse_date("date"), collected))
     rows = select_measures(rows, extra=("extract_date",))
     return group_reports(rows, ("Country_Region", "date", "extract_date"))
@@ -56,18 +61,16 @@ def ingest_new_days(
     files: the batch only says which folders changed. A day collected again in
     a later folder replaces the earlier one.
     """
-    full = T.StructType([*schema.fields, T.StructField("extract_date", T.StringType())])
+    full = T.StructType([*schema.fields, T.StructField("extract_date", T.DateType())])
     reader = spark.readStream.schema(full).option("header", True)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
 
     def merge(batch: DataFrame, _: int) -> None:
-        session = batch.sparkSession
-        touched = batch.select("extract_date").distinct()
-        whole = session.read.schema(full).option("header", True).csv(src)
-        # Folder names are days, so this side too is bounded by the calendar.
-        rows = whole.join(F.broadcast(touched), "extract_date", "left_semi")
-        merge_days(transform(rows), table)
+        days = distinct_days(batch, "extract_date")
+        if days:
+            whole = batch.sparkSession.read.schema(full).option("header", True).csv(src)
+            merge_days(transform(whole.filter(F.col("extract_date").isin(days))), table)
 
     query = (
         reader.csv(src).writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -38,7 +38,7 @@ def test_daily_reports_from_folders(spark, tmp_path):
     """Old and new header, a missing country, bad numbers and a date from the folder."""
     for day, head, rows in [
         ("2020-03-01", "Country_Region,Confirmed,Deaths,Recovered,date,Other", ["Spain,10,1,abc,03-01-2020,x", "Spain,5,,2,03-01-2020,x", "France,9,9,9,03-01-2020,x"]),
-        ("2020-03-02", "Country_Region,Confirmed,Deaths,Recovered,date,Other", ["Spain,20,1,3,03-02-2020,x", "Chile,4,0,0,03-02-2020,x"]),
+        ("2020-03-02", "Id,Country/Region,Confirmed,Deaths,Recovered,date", ["7,Spain,20,1,3,03-02-2020", "8,Chile,4,0,0,"]),
     ]:
         folder = tmp_path / f"extract_date={day}"
         folder.mkdir()
@@ -55,10 +55,14 @@ def test_daily_reports_from_folders(spark, tmp_path):
 
 
 def test_mixed_headers(spark, tmp_path):
-    (tmp_path / "new.csv").write_text("Country_Region,Confirmed,Deaths,Recovered,date\nSpain,1,2,3,03-01-2020\n")
-    (tmp_path / "old.csv").write_text("Country/Region,Confirmed,Deaths,Recovered,date\nChile,4,,6,03-02-2020\n")
-    df = R.select_measures(R.read_mixed_reports(spark, str(tmp_path / "new.csv"), str(tmp_path / "old.csv")))
-    assert sorted(map(tuple, df.collect())) == [("Chile", "03-02-2020", 4.0, None, 6.0), ("Spain", "03-01-2020", 1.0, 2.0, 3.0)]
+    (tmp_path / "new.csv").write_text("FIPS,Country_Region,Confirmed,Deaths,Recovered,date\n1,Spain,1,2,3,03-01-2020\n")
+    (tmp_path / "old.csv").write_text('Country/Region,date,Recovered,Confirmed,Deaths\nChile,03-02-2020,6,4,\n"Korea, South",03-02-2020,0,1,0\n')
+    df = R.select_measures(R.read_drifting_reports(spark, str(tmp_path)))
+    assert sorted(map(tuple, df.collect())) == [
+        ("Chile", "03-02-2020", 4.0, None, 6.0), ("Korea, South", "03-02-2020", 1.0, 0.0, 0.0), ("Spain", "03-01-2020", 1.0, 2.0, 3.0)
+    ]
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        R.read_reports(spark, str(tmp_path)).select("Deaths").collect()
 
 
 def test_folder_date(spark, tmp_path):
