@@ -2,8 +2,9 @@
 
 Estimation is by conditional sum of squares with analytic derivatives; every
 filter is a product of power series, so a step is a few FFTs and has no loop
-over days. Coefficients agree closely, not exactly, with an exact-likelihood
-fit. Fixed parameters are applied to new data with no refit.
+over days. ``method="exact"`` goes on from there to the exact likelihood, which
+costs a loop over the days per evaluation. Fixed parameters are applied to new
+data with no refit.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .aggregates import best
+from .likelihood import whiten
 from .packed import key_field, map_rows, pack, to_dates
 from .shape import up_to
 from .windows import last_n
@@ -161,45 +163,89 @@ def _start(w, order, with_mean):
     return np.concatenate([ar, ma, sar, sma, [mean] if with_mean else []])
 
 
-def css_fit(y: np.ndarray, order, steps: int = 100) -> dict:
-    """Parameters of one series. Damped Gauss-Newton; a step that leaves the
-    stationary and invertible region is refused."""
-    p, d, q, P, D, Q, m = order
-    empty = {"status": "too_short", "n_obs": len(y)}
-    if len(y) <= d + D * m:
-        return empty
-    w = _differenced(np.asarray(y, dtype=float), d, D, m)
-    with_mean = d + D == 0
-    k = p + q + P + Q + with_mean
-    r = p + P * m
-    if len(w) - r < max(k + 2, 3):
-        return empty
-    scale = w.std() or 1.0
-    w = w / scale
-    theta = _start(w, order, with_mean)
-    e, jac, _ = _residual(w, theta, order, True)
-    sse, damping, settled = e @ e, 1e-3, k == 0
+def _search(theta, residual, feasible, steps: int):
+    """Damped Gauss-Newton for the least sum of squares. ``residual(theta)``
+    gives values and Jacobian; a step out of the feasible region is refused."""
+    e, jac = residual(theta, True)
+    sse, damping, settled = e @ e, 1e-3, len(theta) == 0
     for _ in range(steps):
         if settled:
             break
         h = jac.T @ jac
-        g = jac.T @ e
-        move = np.linalg.lstsq(h + damping * np.diag(np.diag(h) + 1e-12), -g, rcond=None)[0]
+        move = np.linalg.lstsq(h + damping * np.diag(np.diag(h) + 1e-12), -jac.T @ e, rcond=None)[0]
         trial = theta + move
-        ok = _feasible(*_unpack(trial, p, q, P, Q)[:4])
-        new = _residual(w, trial, order)[0] if ok else None
+        ok = feasible(trial)
+        new = residual(trial, False)[0] if ok else None
         if ok and np.isfinite(new @ new) and new @ new < sse:
             settled = sse - new @ new <= 1e-10 * sse
             theta = trial
-            e, jac, _ = _residual(w, theta, order, True)
+            e, jac = residual(theta, True)
             sse, damping = e @ e, max(damping / 5, 1e-9)
         else:
             damping *= 5
             settled = damping > 1e8
-    ar, ma, sar, sma, mean = _unpack(theta, p, q, P, Q)
+    return theta, sse
+
+
+def _exact_residual(w, theta, order, jacobian):
+    """Whitened values times the n-th root of the determinant's square root."""
+    p, _, q, P, _, Q, m = order
+
+    def values(t):
+        ar, ma, sar, sma, mean = _unpack(t, p, q, P, Q)
+        full_ar = np.convolve(_poly(ar, 1, -1), _poly(sar, m or 1, -1))
+        full_ma = np.convolve(_poly(ma, 1, 1), _poly(sma, m or 1, 1))
+        z, logdet = whiten(w - mean, full_ar, full_ma)
+        return z * np.exp(logdet / (2 * len(w)))
+
+    z = values(theta)
+    if not jacobian:
+        return z, None
+    cols = []
+    for i in range(len(theta)):
+        # Coefficients move towards zero, so that the second point stays feasible.
+        step = -1e-6 if theta[i] > 0 else 1e-6
+        moved = theta.copy()
+        moved[i] += step
+        cols.append((values(moved) - z) / step)
+    return z, (np.column_stack(cols) if cols else np.empty((len(w), 0)))
+
+
+def fit_series(y: np.ndarray, order, method: str = "css", steps: int = 100) -> dict:
+    """Parameters of one series, by conditional sum of squares (``css``) or, from
+    there on, by exact likelihood (``exact``)."""
+    p, d, q, P, D, Q, m = order
+    empty = {"status": "too_short", "n_obs": len(y)}
+    if len(y) <= d + D * m:
+        return empty
+    w = _differenced(np.asarray(y, dtype=float), d, D, m)
+    with_mean = d + D == 0
+    k = p + q + P + Q + with_mean
+    r = p + P * m
+    if len(w) - r < max(k + 2, 3):
+        return empty
+    scale = w.std() or 1.0
+    w = w / scale
+
+    def feasible(t):
+        return _feasible(*_unpack(t, p, q, P, Q)[:4])
+
+    theta, sse = _search(
+        _start(w, order, with_mean), lambda t, jacobian: _residual(w, t, order, jacobian)[:2], feasible, steps
+    )
     used = len(w) - r
+    if method == "exact":
+        theta, sse = _search(theta, lambda t, jacobian: _exact_residual(w, t, order, jacobian), feasible, steps)
+        used = len(w)
+    ar, ma, sar, sma, mean = _unpack(theta, p, q, P, Q)
+    # The concentrated likelihood; for the exact one the determinant is in the sum.
+    loglik = -used / 2 * (np.log(2 * np.pi * max(sse / used * scale**2, 1e-300)) + 1)
     sigma2 = sse / used * scale**2
-    loglik = -used / 2 * (np.log(2 * np.pi * max(sigma2, 1e-300)) + 1)
+    if method == "exact":
+        full_ar = np.convolve(_poly(ar, 1, -1), _poly(sar, m or 1, -1))
+        full_ma = np.convolve(_poly(ma, 1, 1), _poly(sma, m or 1, 1))
+        z, _ = whiten(w - mean, full_ar, full_ma)
+        sigma2 = z @ z / used * scale**2
     return {
         "mean": mean * scale, "ar": ar, "ma": ma, "sar": sar, "sma": sma, "sigma2": sigma2, "loglik": loglik,
         "aic": -2 * loglik + 2 * (k + 1), "bic": -2 * loglik + np.log(used) * (k + 1), "n_obs": len(y), "status": "ok",
@@ -312,7 +358,9 @@ def _with_orders(packed: DataFrame, orders, key: str) -> DataFrame:
     return packed.select("*", F.inline(F.array(*rows)))
 
 
-def fit_arima(series: DataFrame, orders, key: str = "series", date: str = "date", value: str = "value") -> DataFrame:
+def fit_arima(
+    series: DataFrame, orders, key: str = "series", date: str = "date", value: str = "value", method: str = "css"
+) -> DataFrame:
     """One parameter row per series and order.
 
     ``orders`` is a list of order tuples, each fitted to every series, or a
@@ -323,7 +371,7 @@ def fit_arima(series: DataFrame, orders, key: str = "series", date: str = "date"
 
     def fit(row):
         order = tuple(int(getattr(row, c)) for c in ORDER)
-        found = css_fit(np.asarray(row.values), order)
+        found = fit_series(np.asarray(row.values), order, method)
         base = {key: getattr(row, key), "grid_id": row.grid_id, **dict(zip(ORDER, order))}
         empty = {"mean": np.nan, "sigma2": np.nan, "loglik": np.nan, "aic": np.nan, "bic": np.nan,
                  "ar": [], "ma": [], "sar": [], "sma": []}
@@ -493,8 +541,8 @@ def backfill(
 
 def search_orders(
     series: DataFrame, grid: Sequence[Sequence[int]], key: str = "series", date: str = "date", value: str = "value",
-    metric: str = "aic",
+    metric: str = "aic", method: str = "css",
 ) -> DataFrame:
     """Best order per series: all orders are fitted in parallel, ties go to the
     first in grid order."""
-    return best(fit_arima(series, grid, key, date, value), [key], metric)
+    return best(fit_arima(series, grid, key, date, value, method), [key], metric)

@@ -57,8 +57,8 @@ def prepare_series(
 
 def train_models(
     series: DataFrame, table: DataFrame, start="2020-01-01", end="2020-07-31", ge: float | None = 100.0,
-    key: str = "series", date: str = "date", value: str = "value",
+    key: str = "series", date: str = "date", value: str = "value", method: str = "exact",
 ) -> DataFrame:
     """Parameter table, one row per series, each fitted with its own order."""
     ready = prepare_series(series, table, start, end, ge, key, date, value)
-    return arima.fit_arima(ready, table.select(key, *arima.ORDER), key, date, value)
+    return arima.fit_arima(ready, table.select(key, *arima.ORDER), key, date, value, method)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallycast.operators import additive as M
 from tallycast.operators import arima as R
+from tallycast.operators.likelihood import autocovariance, whiten
 from tallycast.plans import prepare_series, train_models
 from tallycast.plans.training import training_table
 
@@ -38,7 +39,7 @@ def test_recovery(order, truth, name, want):
         for t in range(7, len(y)):
             y[t] += y[t - 7]
     y = np.cumsum(y) if order[1] else y + 4
-    found = R.css_fit(y, order)
+    found = R.fit_series(y, order)
     assert found["status"] == "ok"
     assert np.asarray(found[name]) == pytest.approx(want, abs=0.08)
     assert found["sigma2"] == pytest.approx(1, abs=0.1)
@@ -46,6 +47,41 @@ def test_recovery(order, truth, name, want):
         assert found["mean"] == pytest.approx(4, abs=0.6)
 
 
+@pytest.mark.parametrize("ar,ma", [((0.6,), (0.4,)), ((0.5, -0.3), ()), ((), (0.5, 0.2, -0.3)), ((0.2, 0, 0.4), (0.7,)), ((), ())])
+def test_whitening_is_the_exact_likelihood(ar, ma):
+    a, b = np.r_[1, -np.asarray(ar)], np.r_[1.0, ma]
+    x = arma(60, ar, ma, 7)
+    psi = R._times(R._inverse(a, 4000), b, 4000)
+    gamma = np.array([psi[:len(psi) - h] @ psi[h:] for h in range(60)])
+    assert autocovariance(a, b, 12) == pytest.approx(gamma[:12], abs=1e-9)
+    full = gamma[np.abs(np.subtract.outer(np.arange(60), np.arange(60)))]
+    z, logdet = whiten(x, a, b)
+    assert logdet == pytest.approx(np.linalg.slogdet(full)[1], abs=1e-8)
+    assert z @ z == pytest.approx(x @ np.linalg.solve(full, x))
+
+
+def test_exact_fit_is_a_maximum():
+    y = arma(90, (0.6,), (0.4,), 11) + 3
+    order = (1, 0, 1, 0, 0, 0, 0)
+    css, exact = R.fit_series(y, order), R.fit_series(y, order, "exact")
+
+    def loglik(phi, theta, mean, sigma2):
+        z, logdet = whiten(y - mean, np.array([1, -phi]), np.array([1, theta]))
+        return -0.5 * (len(y) * np.log(2 * np.pi * sigma2) + logdet + z @ z / sigma2)
+
+    best = (exact["ar"][0], exact["ma"][0], exact["mean"], exact["sigma2"])
+    top = loglik(*best)
+    assert exact["loglik"] == pytest.approx(top)
+    assert top >= loglik(css["ar"][0], css["ma"][0], css["mean"], css["sigma2"])
+    for i in range(4):
+        for step in (-0.02, 0.02):
+            moved = list(best)
+            moved[i] += step
+            assert loglik(*moved) < top
+    seasonal = R.fit_series(np.cumsum(arma(120, (0.3,), (), 5)), (1, 1, 1, 1, 0, 0, 7), "exact")
+    assert seasonal["status"] == "ok" and np.isfinite(seasonal["aic"])
+
+
 def test_residuals_match_the_recursion():
     model = R.Model(SimpleNamespace(d=1, sd=0, m=0, ar=[0.4], ma=[0.3, -0.2], sar=[], sma=[], mean=0.0, sigma2=1.0))
     y = np.cumsum(arma(80, (0.4,), (0.3,)))
