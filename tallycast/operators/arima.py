@@ -100,6 +100,14 @@ def _unpack(theta, p, q, P, Q):
     return ar, ma, sar, sma, (theta[-1] if len(theta) > p + q + P + Q else 0.0)
 
 
+def _full(theta, order):
+    """Whole AR and MA polynomials, and the mean."""
+    p, _, q, P, _, Q, m = order
+    ar, ma, sar, sma, mean = _unpack(theta, p, q, P, Q)
+    step = m or 1
+    return np.convolve(_poly(ar, 1, -1), _poly(sar, step, -1)), np.convolve(_poly(ma, 1, 1), _poly(sma, step, 1)), mean
+
+
 def _feasible(ar, ma, sar, sma) -> bool:
     return _inside(ar, -1) and _inside(sar, -1) and _inside(ma, 1) and _inside(sma, 1)
 
@@ -189,13 +197,9 @@ def _search(theta, residual, feasible, steps: int):
 
 def _exact_residual(w, theta, order, jacobian):
     """Whitened values times the n-th root of the determinant's square root."""
-    p, _, q, P, _, Q, m = order
-
     def values(t):
-        ar, ma, sar, sma, mean = _unpack(t, p, q, P, Q)
-        full_ar = np.convolve(_poly(ar, 1, -1), _poly(sar, m or 1, -1))
-        full_ma = np.convolve(_poly(ma, 1, 1), _poly(sma, m or 1, 1))
-        z, logdet = whiten(w - mean, full_ar, full_ma)
+        ar, ma, mean = _full(t, order)
+        z, logdet = whiten(w - mean, ar, ma)
         return z * np.exp(logdet / (2 * len(w)))
 
     z = values(theta)
@@ -237,15 +241,14 @@ def fit_series(y: np.ndarray, order, method: str = "css", steps: int = 100) -> d
     if method == "exact":
         theta, sse = _search(theta, lambda t, jacobian: _exact_residual(w, t, order, jacobian), feasible, steps)
         used = len(w)
-    ar, ma, sar, sma, mean = _unpack(theta, p, q, P, Q)
     # The concentrated likelihood; for the exact one the determinant is in the sum.
     loglik = -used / 2 * (np.log(2 * np.pi * max(sse / used * scale**2, 1e-300)) + 1)
-    sigma2 = sse / used * scale**2
     if method == "exact":
-        full_ar = np.convolve(_poly(ar, 1, -1), _poly(sar, m or 1, -1))
-        full_ma = np.convolve(_poly(ma, 1, 1), _poly(sma, m or 1, 1))
+        full_ar, full_ma, mean = _full(theta, order)
         z, _ = whiten(w - mean, full_ar, full_ma)
-        sigma2 = z @ z / used * scale**2
+        sse = z @ z
+    sigma2 = sse / used * scale**2
+    ar, ma, sar, sma, mean = _unpack(theta, p, q, P, Q)
     return {
         "mean": mean * scale, "ar": ar, "ma": ma, "sar": sar, "sma": sma, "sigma2": sigma2, "loglik": loglik,
         "aic": -2 * loglik + 2 * (k + 1), "bic": -2 * loglik + np.log(used) * (k + 1), "n_obs": len(y), "status": "ok",

@@ -25,6 +25,31 @@ def normal_tail(z: pd.Series) -> pd.Series:
     return z.map(lambda v: 0.5 * math.erfc(v / math.sqrt(2.0)), na_action="ignore")
 
 
+def _rank_sum_exact(u: float, a: int, b: int) -> float:
+    """P(U >= u) for samples of a and b values without ties: the coefficients
+    of the Gaussian binomial count the orders with each value of U."""
+    small, large = sorted((a, b))
+    ways = [1] + [0] * (small * large)
+    for i in range(1, small + 1):
+        for k in range(len(ways) - 1, large + i - 1, -1):
+            ways[k] -= ways[k - large - i]
+        for k in range(i, len(ways)):
+            ways[k] += ways[k - i]
+    return sum(ways[math.ceil(u):]) / sum(ways)
+
+
+@F.pandas_udf(T.DoubleType())
+def rank_sum_tail(u: pd.Series, a: pd.Series, b: pd.Series, ties: pd.Series, z: pd.Series) -> pd.Series:
+    """Upper tail of the larger U: exact when a sample has at most eight values
+    and nothing is tied, else normal. One row per series."""
+    def tail(u, a, b, ties, z):
+        if 0 < min(a, b) <= 8 and ties == 0:
+            return _rank_sum_exact(max(u, a * b - u), int(a), int(b))
+        return 0.5 * math.erfc(z / math.sqrt(2)) if z == z and z is not None else None
+
+    return pd.Series([tail(*row) for row in zip(u, a, b, ties, z)], dtype="float64")
+
+
 def chi2_tail(x: Column, df: int) -> Column:
     """P(chi-square with ``df`` degrees > x), by the recursion over df - 2."""
     if df % 2 == 0:
@@ -70,8 +95,9 @@ def mann_whitney(
     """Rank-sum test of the first ``cut`` rows against the rest, two-sided.
 
     Counted on distinct values: a value ranks after all smaller ones and half
-    way through its own ties, so ranks need no row-level sort. Normal p with
-    tie and continuity correction.
+    way through its own ties, so ranks need no row-level sort. p is exact for a
+    sample of at most eight values without ties, else normal with tie and
+    continuity correction.
     """
     part = slices(df.filter(F.col(value).isNotNull()), [cut], key, date)
     values = part.groupBy(key, value).agg(
@@ -89,9 +115,10 @@ def mann_whitney(
     pairs = F.col("na") * F.col("nb")
     sd = F.sqrt(pairs / 12 * (n + 1 - F.try_divide(F.col("ties"), n * (n - 1))))
     z = F.try_divide(F.abs(F.col("u") - pairs / 2) - 0.5, sd)
-    return sums.select(key, F.col("u").alias("statistic"), z.alias("z")).withColumn(
-        "p", F.least(F.lit(1.0), 2 * normal_tail(F.col("z")))
-    )
+    sums = sums.withColumn("z", z)
+    sums = sums.withColumn("_tail", rank_sum_tail("u", "na", "nb", "ties", "z"))
+    p = F.when(F.col("_tail").isNotNull(), F.least(F.lit(1.0), 2 * F.col("_tail")))
+    return sums.select(key, F.col("u").alias("statistic"), "z", p.alias("p"))
 
 
 def _slope_median(x: np.ndarray, room: int = 8_000_000) -> float:

@@ -51,6 +51,18 @@ def test_mann_whitney(frame, noise):
         assert 0 <= found[k].p <= 1
 
 
+def test_rank_sum_of_few_values(series):
+    from itertools import combinations
+
+    values = [3.0, 9.0, 1.0, 8.0, 2.0, 7.0, 4.0]
+    us = [sum(values[i] > values[j] for i in c for j in range(7) if j not in c) for c in combinations(range(7), 3)]
+    seen = us[0]
+    want = min(1.0, 2 * sum(u >= max(seen, 12 - seen) for u in us) / len(us))
+    row = Z.mann_whitney(series(a=values), 3).first()
+    assert (row.statistic, row.p) == (seen, pytest.approx(want))
+    assert Z.mann_whitney(series(a=[1, 2]), 2).first().p is None
+
+
 def test_bartlett_more_slices(frame, noise):
     found = rows(Z.bartlett(frame, (30, 60, 90)))
     for k, x in noise.items():
