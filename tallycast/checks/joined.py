@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions.dates import days_between
+from ..functions.text import clean_number
 from ..operators import joins as J
 from ..operators.sinks import check_keys, with_id
 from ..operators.windows import trailing_mean
@@ -20,7 +21,7 @@ from .registry import S, query, rounded, series_of, stored_series, table
 def stored_pages(spark, sf, cut_short: bool = False):
     """Conversations as API pages of at most 100 turns: a turn is a tweet, a
     role in a conversation is a user. The page of the last turn has no next
-    token, unless the collection was cut short."""
+    token; with ``cut_short`` the longer conversations lack that page's end."""
     c = table(spark, sf, "conversations").select(
         "conv_id", "turn", "text", F.concat_ws("-", "conv_id", "role").alias("author"), "role",
         F.format_string("2024-01-%02dT%02d:00:00.000Z", F.col("turn") % 28 + 1, F.col("conv_id") % 24).alias("created_at"),
@@ -34,7 +35,7 @@ def stored_pages(spark, sf, cut_short: bool = False):
     last = c.groupBy("conv_id").agg(F.max("turn").alias("last"))
     ended = F.col("top") == F.col("last")
     if cut_short:
-        ended = ended & (F.col("conv_id") % 5 != 0)
+        ended = ended & (F.col("last") <= 3)
     token = F.when(~ended, F.concat_ws("-", F.lit("next"), "conv_id", "page"))
     return pages.join(last, "conv_id").select("conv_id", "data", "includes", F.struct(token.alias("next_token")).alias("meta"))
 
@@ -54,7 +55,7 @@ def tweet_users(spark, sf):
 
 @query("page_chain", """
 SELECT CAST(conv_id AS VARCHAR) AS chain, CAST(count(DISTINCT turn // 100) AS BIGINT) AS pages, CAST(0 AS BIGINT) AS last_pages
-FROM conversations WHERE conv_id % 5 = 0 GROUP BY 1""")
+FROM conversations GROUP BY 1 HAVING max(turn) > 3""")
 def page_chain(spark, sf):
     """Collections that were cut short, found among all of them."""
     return incomplete_chains(stored_pages(spark, sf, cut_short=True), F.col("conv_id").cast("string"))
@@ -214,8 +215,6 @@ _ROWS = """SELECT CAST(o_orderkey // 25 AS BIGINT) AS page_id,
 
 
 def _typed(t):
-    from ..functions.text import clean_number
-
     return t.select(
         "page_id", "row_pos", H.cell("Order").alias("id"), clean_number(H.cell("Customer")).alias("customer"),
         H.cell("Priority").alias("priority"),

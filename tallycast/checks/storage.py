@@ -147,16 +147,16 @@ def json_to_csv(spark, sf):
 def _two_loads(spark, sf):
     """Orders before 1999 and from 1997 on; the later load has revised prices
     for the years that are in both."""
-    o = table(spark, sf, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("date"), "o_totalprice")
+    o = table(spark, sf, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("date"), "o_totalprice", "o_orderstatus")
     old = o.filter(F.col("date") < F.lit("1999-01-01").cast("date"))
     new = o.filter(F.col("date") >= F.lit("1997-01-01").cast("date"))
-    changed = (F.col("date") < F.lit("1998-01-01").cast("date")) & (F.col("o_orderkey") % 2 == 0)
+    changed = (F.col("date") < F.lit("1998-01-01").cast("date")) & (F.col("o_orderstatus") == "F")
     return old, new.withColumn("o_totalprice", F.when(changed, F.col("o_totalprice") + 1.0).otherwise(F.col("o_totalprice")))
 
 
-_LOADS = """o AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS date, o_totalprice FROM orders),
+_LOADS = """o AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS date, o_totalprice, o_orderstatus FROM orders),
 a AS (SELECT * FROM o WHERE date < DATE '1999-01-01'),
-b AS (SELECT o_orderkey, date, CASE WHEN date < DATE '1998-01-01' AND o_orderkey % 2 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice
+b AS (SELECT o_orderkey, date, CASE WHEN date < DATE '1998-01-01' AND o_orderstatus = 'F' THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice, o_orderstatus
   FROM o WHERE date >= DATE '1997-01-01')"""
 
 

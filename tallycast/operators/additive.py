@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from .aggregates import best, score
 from .joins import grid
 from .packed import key_field, map_rows, pack, to_dates
+from .stats import acf_array
 
 # Defaults of the published model.
 DEFAULTS = {"changepoint_prior_scale": 0.05, "seasonality_prior_scale": 10.0, "holidays_prior_scale": 10.0}
@@ -87,9 +88,7 @@ def additive_predict(model: Mapping, days, flags: Mapping[str, set] | None = Non
     names = list(model["names"])
     x = _design(days, model["start"], model["span"], cps, model["weekly"], model["yearly"], names, flags or {})
     edge = np.cumsum([2 + len(cps), 2 * WEEKLY_ORDER * model["weekly"], 2 * YEARLY_ORDER * model["yearly"]])
-    trend, weekly, yearly, events = [
-        b @ c for b, c in zip((part.T.T for part in np.split(x, edge, axis=1)), np.split(beta, edge))
-    ]
+    trend, weekly, yearly, events = [b @ c for b, c in zip(np.split(x, edge, axis=1), np.split(beta, edge))]
     beyond = np.maximum((days - model["start"]) / model["span"] - 1, 0)
     size = np.abs(beta[2:2 + len(cps)]).mean() if len(cps) else 0.0
     half = Z80 * np.sqrt(model["sigma"] ** 2 + len(cps) * 2 * size**2 * beyond**3 / 3)
@@ -277,9 +276,7 @@ def metric_table(*scores: tuple[str, DataFrame], key: str = "series") -> DataFra
 
 def residual_stats(fitted: DataFrame, key: str = "series", lags: int = 10, date: str = "date", residual: str = "residual") -> DataFrame:
     """Residual diagnostics: moments, autocorrelations and the Ljung-Box sum."""
-    from .stats import _acf_array  # the same array that acf() explodes
-
-    r, _ = _acf_array(fitted, lags, key, date, residual)
+    r = acf_array(fitted, lags, key, date, residual)
     box = F.aggregate(
         F.sequence(F.lit(1), F.lit(lags)), F.lit(0.0),
         lambda s, i: s + F.try_divide(F.element_at("r", i + 1) * F.element_at("r", i + 1), F.col("n") - i),

@@ -384,14 +384,6 @@ def fit_arima(
     return map_rows(todo, f"{key_field(series, key)}, {MODEL_FIELDS}", fit, key, "grid_id")
 
 
-def _moments(sums: pd.DataFrame, p: int):
-    for s in sums.itertuples(index=False):
-        xx = np.empty((p + 1, p + 1))
-        xx[np.triu_indices(p + 1)] = s.xx
-        xx = np.triu(xx) + np.triu(xx, 1).T
-        yield xx, np.asarray(s.xy), s.yy, xx[0, 0]
-
-
 def fit_ar(series: DataFrame, p: int = 1, key: str = "series", date: str = "date", value: str = "value") -> DataFrame:
     """AR(p) with a constant by least squares on its own lags, as model rows.
 
@@ -426,8 +418,10 @@ def fit_ar(series: DataFrame, p: int = 1, key: str = "series", date: str = "date
         @F.pandas_udf("ar array<double>, mean double, sse double")
         def solve(xx: pd.Series, xy: pd.Series, yy: pd.Series) -> pd.DataFrame:
             out = []
-            for a, b, c, _ in _moments(pd.DataFrame({"xx": xx, "xy": xy, "yy": yy}), p):
-                beta = np.linalg.lstsq(a, b, rcond=None)[0]
+            for products, b, c in zip(xx, xy, yy):
+                a = np.zeros((p + 1, p + 1))
+                a[np.triu_indices(p + 1)] = products
+                beta = np.linalg.lstsq(a + np.triu(a, 1).T, b, rcond=None)[0]
                 out.append((beta[1:], beta[0] / (1 - beta[1:].sum()), c - beta @ b))
             return pd.DataFrame(out, columns=["ar", "mean", "sse"])
 

@@ -157,11 +157,13 @@ def _slope_median(x: np.ndarray, room: int = 8_000_000) -> float:
 
 
 def _mann_kendall_of(key: str, date: str, value: str, alpha: float):
+    columns = [key, "n", "s", "tau", "var_s", "z", "p", "trend", "slope", "intercept"]
+
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         x = pdf.sort_values(date, kind="stable")[value].dropna().to_numpy(dtype=float)
         n = len(x)
         if n < 2:
-            return pd.DataFrame({key: [pdf[key].iloc[0]], "n": [n]}).reindex(columns=_MK_COLUMNS(key))
+            return pd.DataFrame({key: [pdf[key].iloc[0]], "n": [n]}).reindex(columns=columns)
         s = int(sum(np.sign(x[i + 1:] - x[i]).sum() for i in range(n - 1)))
         ties = np.unique(x, return_counts=True)[1].astype(float)
         var = (n * (n - 1) * (2 * n + 5) - (ties * (ties - 1) * (2 * ties + 5)).sum()) / 18
@@ -171,15 +173,11 @@ def _mann_kendall_of(key: str, date: str, value: str, alpha: float):
         trend = "no trend" if p >= alpha else ("increasing" if z > 0 else "decreasing")
         row = [pdf[key].iloc[0], n, s, s / (0.5 * n * (n - 1)), var, z, p, trend, slope,
                float(np.median(x) - (n - 1) / 2 * slope)]
-        return pd.DataFrame([row], columns=_MK_COLUMNS(key))
+        return pd.DataFrame([row], columns=columns)
 
     return run
 
 
-def _MK_COLUMNS(key: str) -> list[str]:
-    return [key, "n", "s", "tau", "var_s", "z", "p", "trend", "slope", "intercept"]
-
-
 def mann_kendall(
     df: DataFrame, key: str = "series", date: str = "date", value: str = "value", alpha: float = 0.05
 ) -> DataFrame:
@@ -203,8 +201,8 @@ def acf(
     partitioning, the products are summed in place. Lags beyond the length of a
     series are left out.
     """
-    wide, n_col = _acf_array(df, k, key, date, value)
-    lags = wide.select(key, n_col, "r", F.explode(F.sequence(F.lit(0), F.least(F.lit(k), F.col("n").cast("int") - 1))).alias("lag"))
+    wide = acf_array(df, k, key, date, value)
+    lags = wide.select(key, "n", "r", F.explode(F.sequence(F.lit(0), F.least(F.lit(k), F.col("n").cast("int") - 1))).alias("lag"))
     squares = F.aggregate(
         F.slice("r", 2, F.greatest(F.col("lag") - 1, F.lit(0))), F.lit(0.0), lambda s, x: s + x * x
     )
@@ -212,7 +210,8 @@ def acf(
     return lags.select(key, "lag", F.try_element_at("r", F.col("lag") + 1).alias("r"), bound.alias("bound"))
 
 
-def _acf_array(df: DataFrame, k: int, key: str, date: str, value: str):
+def acf_array(df: DataFrame, k: int, key: str = "series", date: str = "date", value: str = "value") -> DataFrame:
+    """Length and autocorrelations ``r`` for lags 0 .. k, one row per series."""
     w = W.partitionBy(key).orderBy(date)
     dev = df.filter(F.col(value).isNotNull()).select(
         key, date, (F.col(value) - F.avg(value).over(W.partitionBy(key))).alias("_d")
@@ -222,7 +221,7 @@ def _acf_array(df: DataFrame, k: int, key: str, date: str, value: str):
     sums += [F.sum(F.col("_d") * F.col(f"_l{h}")).alias(f"_c{h}") for h in range(1, k + 1)]
     one = dev.groupBy(key).agg(F.count(F.lit(1)).alias("n"), *sums)
     r = F.array(*[F.try_divide(F.col(f"_c{h}"), F.col("_c0")) for h in range(k + 1)])
-    return one.select(key, "n", r.alias("r")), "n"
+    return one.select(key, "n", r.alias("r"))
 
 
 def pacf(
@@ -233,7 +232,7 @@ def pacf(
     The recursion is a fold over the lags on the array of autocorrelations of
     a series: one row per series, no Python.
     """
-    wide, _ = _acf_array(df, k, key, date, value)
+    wide = acf_array(df, k, key, date, value)
 
     def dot(a, b):
         return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)

@@ -18,7 +18,8 @@ from .shape import map_column
 
 def prep_text(df: DataFrame, text: str = "text", out: str = "texto") -> DataFrame:
     """Cleaned text in place of the raw one: a projection, so no row is doubled."""
-    return df.withColumn(out, clean_text(text)).drop(text) if out != text else df.withColumn(out, clean_text(text))
+    cleaned = df.withColumn(out, clean_text(text))
+    return cleaned if out == text else cleaned.drop(text)
 
 
 def apply_translations(df: DataFrame, memory: DataFrame, text: str = "texto", out: str = "translation") -> DataFrame:
@@ -81,7 +82,8 @@ def _sign(v: Column, size: Column | float) -> Column:
     return F.when(v > 0, amount).otherwise(-amount)
 
 
-_PUNCTUATION_AT_ENDS = r"^\p{Punct}+|\p{Punct}+$"
+# Fixed value: the ASCII punctuation that is removed at the ends of a word.
+PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _CAPITAL_WORD = r"(?<!\S)(?=\S\S)[^\s\p{Ll}]*\p{Lu}[^\s\p{Ll}]*(?!\S)"
 
 
@@ -92,7 +94,7 @@ def sentiment_tokens(text: Column) -> Column:
 
 def _bare(word: Column) -> Column:
     """Punctuation at the ends removed, unless nothing would be left."""
-    return F.coalesce(F.nullif(F.regexp_replace(word, _PUNCTUATION_AT_ENDS, ""), F.lit("")), word)
+    return F.coalesce(F.nullif(F.btrim(word, F.lit(PUNCTUATION)), F.lit("")), word)
 
 
 def score_sentiment(
@@ -110,11 +112,13 @@ def score_sentiment(
     before any shuffle, and what is left is summed on the map side. Every text
     also sends one empty row, so a text without any such word has scores too.
     """
-    words = df.select(key, F.coalesce(F.col(text), F.lit("")).alias("_text")).withColumn("_w", sentiment_tokens(F.col("_text")))
-    capitals = F.regexp_count("_text", F.lit(_CAPITAL_WORD))
-    marks = F.least(F.length("_text") - F.length(F.replace(F.col("_text"), F.lit("!"), F.lit(""))), F.lit(MAX_EXCLAMATIONS))
-    asks = F.length("_text") - F.length(F.replace(F.col("_text"), F.lit("?"), F.lit("")))
-    ask = F.when(asks <= 1, 0.0).when(asks <= 3, asks * QUESTION).otherwise(MANY_QUESTIONS)
+    without = lambda c: F.length("_text") - F.length(F.replace(F.col("_text"), F.lit(c), F.lit("")))
+    words = df.select(key, F.coalesce(F.col(text), F.lit("")).alias("_text")).select(
+        key, sentiment_tokens(F.col("_text")).alias("_w"), F.regexp_count("_text", F.lit(_CAPITAL_WORD)).alias("_caps"),
+        without("!").alias("_marks"), without("?").alias("_asks"), F.lower("_text").contains("but").alias("_has_but"),
+    )
+    ask = F.when(F.col("_asks") <= 1, 0.0).when(F.col("_asks") <= 3, F.col("_asks") * QUESTION).otherwise(MANY_QUESTIONS)
+    emphasis = F.least(F.col("_marks"), F.lit(MAX_EXCLAMATIONS)) * EXCLAMATION + ask
     but = F.array_position(F.transform("_w", lambda w: F.lower(_bare(w))), F.lit("but")) - 1
     none = F.lit(None).cast("string")
     # The neighbours of a word come from shifted copies of the word array; the
@@ -127,8 +131,8 @@ def score_sentiment(
     # Everything about the whole text is settled before the words are exploded,
     # so that a word row carries neither the text nor its arrays.
     words = words.select(
-        key, F.size("_w").alias("_n"), ((capitals > 0) & (capitals < F.size("_w"))).alias("_mixed"),
-        F.when(F.lower("_text").contains("but"), but).alias("_but"), (marks * EXCLAMATION + ask).alias("_emphasis"),
+        key, F.size("_w").alias("_n"), ((F.col("_caps") > 0) & (F.col("_caps") < F.size("_w"))).alias("_mixed"),
+        F.when(F.col("_has_but"), but).alias("_but"), emphasis.alias("_emphasis"),
         zipped.alias("_z"),
     )
     totals = [key, "_n", "_mixed", "_but", "_emphasis"]

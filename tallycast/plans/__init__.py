@@ -6,4 +6,18 @@ from .snapshot import snapshot_daily, snapshot_rows
 from .training import prepare_series, train_models
 from .tweets import score_tweets, tweets_daily
 
-__all__ = [n for n in dir() if not n.startswith("_")]
+__all__ = [
+    "CASE_MEASURES",
+    "case_series",
+    "covid_daily",
+    "covid_forecast",
+    "energy_load",
+    "forecast_gold",
+    "jhons_gold",
+    "prepare_series",
+    "score_tweets",
+    "snapshot_daily",
+    "snapshot_rows",
+    "train_models",
+    "tweets_daily",
+]

@@ -6,4 +6,26 @@ from .reports import (
     read_snapshots, select_measures, stamp, with_extract_date,
 )
 
-__all__ = [n for n in dir() if not n.startswith("_")]
+__all__ = [
+    "PAGE_SCHEMA",
+    "REPORT_SCHEMA",
+    "dim_calendar",
+    "dim_countries",
+    "dim_happiness",
+    "dim_lockdowns",
+    "extract_html_table",
+    "incomplete_chains",
+    "list_items",
+    "load_csv_fact",
+    "normalise_header",
+    "read_drifting_reports",
+    "read_pages",
+    "read_reports",
+    "read_series",
+    "read_snapshots",
+    "select_measures",
+    "stamp",
+    "tweets_of",
+    "users_of",
+    "with_extract_date",
+]
