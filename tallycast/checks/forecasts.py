@@ -44,9 +44,32 @@ def ar2(spark, sf):
                     rnd("sigma2").alias("sigma2"), "n_obs")
 
 
-@query("ar3")
+def _det(m: list[list[str]]) -> str:
+    """Determinant of three rows as SQL."""
+    (a, b, c), (d, e, f), (g, h, i) = m
+    return f"({a} * ({e} * {i} - {f} * {h}) - {b} * ({d} * {i} - {f} * {g}) + {c} * ({d} * {h} - {e} * {g}))"
+
+
+# Covariances of three lags with one another and with the value: Cramer's rule.
+_COV = [[f"s{min(i, j)}{max(i, j)}" for j in (1, 2, 3)] for i in (1, 2, 3)]
+_AR3 = [
+    _det([[f"t{i + 1}" if j == k else _COV[i][j] for j in range(3)] for i in range(3)]) + " / " + _det(_COV) for k in range(3)
+]
+
+
+@query("ar3", f"""
+WITH {SN}, l AS (SELECT series, value AS y, lag(value, 1) OVER w AS x1, lag(value, 2) OVER w AS x2, lag(value, 3) OVER w AS x3
+  FROM n WINDOW w AS (PARTITION BY series ORDER BY date)),
+c AS (SELECT series, count(*) AS n, avg(y) AS my, var_pop(y) AS yy, {', '.join(f'avg(x{i}) AS m{i}, covar_pop(x{i}, y) AS t{i}' for i in (1, 2, 3))},
+  {', '.join(f'covar_pop(x{i}, x{j}) AS s{i}{j}' for i in (1, 2, 3) for j in range(i, 4))} FROM l WHERE x3 IS NOT NULL GROUP BY 1),
+k AS (SELECT *, {', '.join(f'{e} AS p{i + 1}' for i, e in enumerate(_AR3))} FROM c)
+SELECT series, {', '.join(f"{r(f'p{i}')} AS phi{i}" for i in (1, 2, 3))}, round((my - p1 * m1 - p2 * m2 - p3 * m3) / (1 - p1 - p2 - p3), 6) AS mean,
+  round(yy - p1 * t1 - p2 * t2 - p3 * t3, 6) AS sigma2, n + 3 AS n_obs FROM k""")
 def ar3(spark, sf):
-    return arima.fit_ar(series_of(spark, sf), 3)
+    m = arima.fit_ar(series_of(spark, sf), 3)
+    return m.select(
+        "series", *[rnd(F.col("ar")[i]).alias(f"phi{i + 1}") for i in range(3)], rnd("mean").alias("mean"), rnd("sigma2").alias("sigma2"), "n_obs"
+    )
 
 
 @query("model_table", f"""
@@ -275,6 +298,13 @@ def order_search(spark, sf):
     return arima.search_orders(series_of(spark, sf), grid)
 
 
+@query("order_stepwise")
+def order_stepwise(spark, sf):
+    """Stepwise search on monthly sums of every series, by exact likelihood."""
+    s = series_of(spark, sf).groupBy("series", F.trunc("date", "month").alias("date")).agg(F.sum("value").alias("value"))
+    return arima.search_stepwise(s, d=1, limit=3)
+
+
 def _training(s):
     """Order, train length, outlier limit and zero repair per series."""
     k = s.select("series").distinct()

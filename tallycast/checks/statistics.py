@@ -115,14 +115,16 @@ def pacf(spark, sf):
 
 
 @query("adf_lag0", f"""
-WITH {SN}, d AS (SELECT series, lag(value) OVER (PARTITION BY series ORDER BY date) AS x,
-  value - lag(value) OVER (PARTITION BY series ORDER BY date) AS y FROM n),
-f AS (SELECT series, regr_slope(y, x) AS b, regr_sxx(y, x) AS sxx, regr_syy(y, x) AS syy, regr_count(y, x) AS n FROM d GROUP BY 1)
-SELECT series, CAST(0 AS INT) AS d, round(b / sqrt((syy - b * b * sxx) / (n - 2) / sxx), 6) AS statistic, CAST(0 AS BIGINT) AS lags,
+WITH {S}, d0 AS (SELECT series, date, 0 AS d, value AS u FROM s),
+{", ".join(f"d{i} AS (SELECT series, date, {i} AS d, u - lag(u) OVER (PARTITION BY series ORDER BY date) AS u FROM d{i - 1} QUALIFY lag(date) OVER (PARTITION BY series ORDER BY date) IS NOT NULL)" for i in (1, 2, 3))},
+p AS ({" UNION ALL ".join(f"SELECT * FROM d{i}" for i in range(4))}),
+l AS (SELECT series, d, lag(u) OVER w AS x, u - lag(u) OVER w AS y FROM p WINDOW w AS (PARTITION BY series, d ORDER BY date)),
+f AS (SELECT series, d, regr_slope(y, x) AS b, regr_sxx(y, x) AS sxx, regr_syy(y, x) AS syy, regr_count(y, x) AS n FROM l GROUP BY 1, 2)
+SELECT series, CAST(d AS INT) AS d, round(b / sqrt((syy - b * b * sxx) / (n - 2) / sxx), 5) AS statistic, CAST(0 AS BIGINT) AS lags,
   CAST(n AS BIGINT) AS n_used FROM f""")
 def adf_lag0(spark, sf):
     """The unit-root regression without lagged changes, which has a closed form."""
-    return rounded(Z.adf(series_of(spark, sf), d=(0,), max_lag=0), "statistic").drop("p")
+    return rounded(Z.adf(series_of(spark, sf), max_lag=0), "statistic", places=5).drop("p")
 
 
 @query("adf")

@@ -215,9 +215,14 @@ def _exact_residual(w, theta, order, jacobian):
     return z, (np.column_stack(cols) if cols else np.empty((len(w), 0)))
 
 
-def fit_series(y: np.ndarray, order, method: str = "css", steps: int = 100) -> dict:
+def fit_series(y: np.ndarray, order, method: str = "css", steps: int = 100, compare_from: int = 0) -> dict:
     """Parameters of one series, by conditional sum of squares (``css``) or, from
-    there on, by exact likelihood (``exact``)."""
+    there on, by exact likelihood (``exact``).
+
+    The conditional form leaves out the rows that an order needs to start; to
+    compare orders, ``compare_from`` leaves the same first rows of the series
+    out of all their likelihoods.
+    """
     p, d, q, P, D, Q, m = order
     empty = {"status": "too_short", "n_obs": len(y)}
     if len(y) <= d + D * m:
@@ -238,11 +243,18 @@ def fit_series(y: np.ndarray, order, method: str = "css", steps: int = 100) -> d
         _start(w, order, with_mean), lambda t, jacobian: _residual(w, t, order, jacobian)[:2], feasible, steps
     )
     used = len(w) - r
+    late = max(compare_from - d - D * m, r)
+    if late >= len(w):
+        return empty
     if method == "exact":
         theta, sse = _search(theta, lambda t, jacobian: _exact_residual(w, t, order, jacobian), feasible, steps)
         used = len(w)
     # The concentrated likelihood; for the exact one the determinant is in the sum.
-    loglik = -used / 2 * (np.log(2 * np.pi * max(sse / used * scale**2, 1e-300)) + 1)
+    shared, compared = sse, used
+    if method != "exact" and late > r:
+        e = _residual(w, theta, order)[0][late:]
+        shared, compared = e @ e, len(e)
+    loglik = -compared / 2 * (np.log(2 * np.pi * max(shared / compared * scale**2, 1e-300)) + 1)
     if method == "exact":
         full_ar, full_ma, mean = _full(theta, order)
         z, _ = whiten(w - mean, full_ar, full_ma)
@@ -251,7 +263,7 @@ def fit_series(y: np.ndarray, order, method: str = "css", steps: int = 100) -> d
     ar, ma, sar, sma, mean = _unpack(theta, p, q, P, Q)
     return {
         "mean": mean * scale, "ar": ar, "ma": ma, "sar": sar, "sma": sma, "sigma2": sigma2, "loglik": loglik,
-        "aic": -2 * loglik + 2 * (k + 1), "bic": -2 * loglik + np.log(used) * (k + 1), "n_obs": len(y), "status": "ok",
+        "aic": -2 * loglik + 2 * (k + 1), "bic": -2 * loglik + np.log(compared) * (k + 1), "n_obs": len(y), "status": "ok",
     }
 
 
@@ -361,8 +373,15 @@ def _with_orders(packed: DataFrame, orders, key: str) -> DataFrame:
     return packed.select("*", F.inline(F.array(*rows)))
 
 
+def _model_row(key: str, name, grid_id: int, order, found: dict) -> pd.DataFrame:
+    empty = {c: np.nan for c in ("mean", "sigma2", "loglik", "aic", "bic")} | {c: [] for c in ("ar", "ma", "sar", "sma")}
+    row = {**empty, key: name, "grid_id": grid_id, **dict(zip(ORDER, order)), **found}
+    return pd.DataFrame([row])[[key, *[f.split()[0] for f in MODEL_FIELDS.split(", ")]]]
+
+
 def fit_arima(
-    series: DataFrame, orders, key: str = "series", date: str = "date", value: str = "value", method: str = "css"
+    series: DataFrame, orders, key: str = "series", date: str = "date", value: str = "value", method: str = "css",
+    compare_from: int = 0,
 ) -> DataFrame:
     """One parameter row per series and order.
 
@@ -374,12 +393,8 @@ def fit_arima(
 
     def fit(row):
         order = tuple(int(getattr(row, c)) for c in ORDER)
-        found = fit_series(np.asarray(row.values), order, method)
-        base = {key: getattr(row, key), "grid_id": row.grid_id, **dict(zip(ORDER, order))}
-        empty = {"mean": np.nan, "sigma2": np.nan, "loglik": np.nan, "aic": np.nan, "bic": np.nan,
-                 "ar": [], "ma": [], "sar": [], "sma": []}
-        columns = [key, *[f.split()[0] for f in MODEL_FIELDS.split(", ")]]
-        return pd.DataFrame([{**empty, **base, **found}])[columns]
+        found = fit_series(np.asarray(row.values), order, method, compare_from=compare_from)
+        return _model_row(key, getattr(row, key), row.grid_id, order, found)
 
     return map_rows(todo, f"{key_field(series, key)}, {MODEL_FIELDS}", fit, key, "grid_id")
 
@@ -540,6 +555,47 @@ def search_orders(
     series: DataFrame, grid: Sequence[Sequence[int]], key: str = "series", date: str = "date", value: str = "value",
     metric: str = "aic", method: str = "css",
 ) -> DataFrame:
-    """Best order per series: all orders are fitted in parallel, ties go to the
-    first in grid order."""
-    return best(fit_arima(series, grid, key, date, value, method), [key], metric)
+    """Best order per series: all orders are fitted in parallel and compared on
+    the same rows; ties go to the first in grid order."""
+    full = [[*o, *([0] * (7 - len(o)))] for o in grid]
+    start = max(d + sd * m + p + sp * m for p, d, _, sp, sd, _, m in full)
+    return best(fit_arima(series, grid, key, date, value, method, start), [key], metric)
+
+
+def _stepwise(y: np.ndarray, d: int, D: int, m: int, limit: int, start, method: str, metric: str):
+    """Best neighbour after best neighbour, from a few simple orders on."""
+    tried: dict[tuple, dict] = {}
+
+    def score(o) -> float:
+        if o not in tried:
+            p, q, P, Q = o
+            tried[o] = fit_series(y, (p, d, q, P, D, Q, m if P + D + Q else 0), method)
+        found = tried[o].get(metric)
+        return np.inf if found is None or not np.isfinite(found) else found
+
+    seasonal = int(m > 0)
+    first = [tuple(start) if seasonal else (*start[:2], 0, 0), (0, 0, 0, 0), (1, 0, seasonal, 0), (0, 1, 0, seasonal)]
+    now = min(first, key=score)
+    while True:
+        moves = [(a, b, 0, 0) for a, b in ((1, 0), (-1, 0), (0, 1), (0, -1), (1, 1), (-1, -1))]
+        moves += [(0, 0, a, b) for a, b, _, _ in moves] if seasonal else []
+        near = [tuple(a + b for a, b in zip(now, move)) for move in moves]
+        near = [o for o in near if all(0 <= v <= limit for v in o)]
+        best_near = min(near, key=score)
+        if score(best_near) >= score(now):
+            p, q, P, Q = now
+            return (p, d, q, P, D, Q, m if P + D + Q else 0), tried[now]
+        now = best_near
+
+
+def search_stepwise(
+    series: DataFrame, d: int = 1, sd: int = 0, m: int = 0, limit: int = 7, start=(1, 1, 1, 1), metric: str = "aic",
+    method: str = "exact", key: str = "series", date: str = "date", value: str = "value",
+) -> DataFrame:
+    """Order search (p, q, seasonal p, q up to ``limit``) that walks from order
+    to order while the criterion improves; one series is one task's work."""
+    def run(row):
+        order, found = _stepwise(np.asarray(row.values), d, sd, m, limit, start, method, metric)
+        return _model_row(key, getattr(row, key), 0, order, found)
+
+    return map_rows(pack(series, key, date, value), f"{key_field(series, key)}, {MODEL_FIELDS}", run, key)

@@ -2,7 +2,7 @@
 
 from .covid import CASE_MEASURES, case_series, covid_daily, covid_forecast, forecast_gold, jhons_gold
 from .energy import energy_load
-from .snapshot import snapshot_daily, snapshot_rows
+from .snapshot import snapshot_daily, snapshot_gold, snapshot_rows
 from .training import prepare_series, train_models
 from .tweets import score_tweets, tweets_daily
 
@@ -17,6 +17,7 @@ __all__ = [
     "prepare_series",
     "score_tweets",
     "snapshot_daily",
+    "snapshot_gold",
     "snapshot_rows",
     "train_models",
     "tweets_daily",

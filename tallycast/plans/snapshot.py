@@ -45,7 +45,15 @@ def snapshot_daily(
     pages: DataFrame, countries: Mapping[str, int] = C.COUNTRY_IDS, **cut,
 ) -> DataFrame:
     """Snapshot pages of any number of days to one table with mortality."""
-    rows = snapshot_rows(pages, **cut).select("Country", "Date", *[F.col(f"`{n}`") for n in C.SNAPSHOT_NUMBERS])
+    return snapshot_gold(snapshot_rows(pages, **cut), countries)
+
+
+def snapshot_gold(rows: DataFrame, countries: Mapping[str, int] = C.COUNTRY_IDS) -> DataFrame:
+    """The wanted countries of snapshot rows, from pages or from stored files
+    (numbers may be text), nulls as zero, each row once, with mortality."""
+    text = {n for n, kind in rows.dtypes if kind == "string"}
+    number = lambda n: clean_number(F.col(f"`{n}`")) if n in text else F.col(f"`{n}`")
+    rows = rows.select("Country", "Date", *[number(n).alias(n) for n in C.SNAPSHOT_NUMBERS])
     rows = map_values(only_in(rows, "Country", list(countries)), "Country", countries, "int")
     rows = rows.na.fill(0.0).dropDuplicates()
     return with_mortality(rows)

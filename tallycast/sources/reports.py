@@ -40,8 +40,8 @@ def read_drifting_reports(
     """Report files of any number of header layouts, read as one table.
 
     Each file keeps its own header: its first line, known by the name of the
-    country column, says at which position a column stands. The headers, one
-    row per file, are joined to the lines of their file. Columns a layout lacks
+    country column, says at which position a column stands. A first pass finds
+    the headers; these, one row per file, are joined to the lines of their file. Columns a layout lacks
     are null; files have up to ``width`` columns.
     """
     raw = spark.read.option("header", False).schema(", ".join(f"_c{i} string" for i in range(width))).csv(path)

@@ -151,6 +151,25 @@ def test_orders_per_series_and_search(spark, series):
     assert best["b"][1] == 1
 
 
+def test_orders_are_compared_on_the_same_rows():
+    y = arma(200, (0.5,))
+    full = R.fit_series(y, (1, 0, 0, 0, 0, 0, 0))
+    late = R.fit_series(y, (1, 0, 0, 0, 0, 0, 0), compare_from=20)
+    assert late["ar"] == pytest.approx(full["ar"]) and late["loglik"] != pytest.approx(full["loglik"])
+    assert R.fit_series(y, (1, 0, 0, 0, 0, 0, 0), compare_from=200)["status"] == "too_short"
+
+
+def test_stepwise_search(spark, series):
+    s = series(a=np.cumsum(arma(250, (0.7,), (), 3)), b=np.cumsum(arma(250, (), (0.8,), 4)), c=[1.0, 2.0])
+    found = {r.series: r for r in R.search_stepwise(s, d=1, limit=3).collect()}
+    assert found["a"].p >= 1 and found["b"].q >= 1
+    single = {r.series: r.aic for r in R.fit_arima(s, [(1, 1, 0)], method="exact").collect()}
+    assert found["a"].aic <= single["a"] + 1e-6
+    assert found["c"].status == "too_short"
+    week = R.search_stepwise(series(w=np.tile([5.0, 1, 2, 8, 3, 9, 4], 20) + arma(140, seed=8) * 0.3), d=0, sd=1, m=7, limit=1).first()
+    assert (week.sd, week.m) == (1, 7)
+
+
 def test_training_job(spark):
     start = date(2020, 2, 20)
     rng = np.random.default_rng(2)

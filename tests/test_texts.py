@@ -103,6 +103,22 @@ def test_chains_by_file(spark, tmp_path):
     assert len(bad) == 1 and bad[0].chain.endswith("cut.json") and (bad[0].pages, bad[0].last_pages) == (1, 0)
 
 
+def test_snapshot_files(spark, tmp_path):
+    from tallycast.constants import SNAPSHOT_NUMBERS
+    from tallycast.plans import snapshot_gold
+    from tallycast.sources import read_snapshots
+
+    head = ",".join(f'"{c}"' for c in ["Country", "Date", *SNAPSHOT_NUMBERS])
+    blank = "," * (len(SNAPSHOT_NUMBERS) - 4)
+    for day in ("2022-05-01", "2022-05-02"):
+        lines = [head, f'Spain,{day},"1,000",10,+2,5{blank}', f"France,{day},9,9,9,9{blank}", f'Spain,{day},"1,000",10,+2,5{blank}']
+        (tmp_path / f"data_{day}.csv").write_text("\n".join(lines) + "\n")
+    out = snapshot_gold(read_snapshots(spark, str(tmp_path / "*.csv"))).orderBy("Date").collect()
+    assert [(r.Country, r.Date, r.NewCases, r.Mortality, r.NewDeaths) for r in out] == [
+        (4, "2022-05-01", 2.0, 0.005, 0.0), (4, "2022-05-02", 2.0, 0.005, 0.0)
+    ]
+
+
 def test_html_variants(spark):
     html = """<TABLE><THEAD><tr><th>A</th><th>B &amp; C</th></tr></THEAD><TBODY>
     <tr><td>1</td><td><a href='x'>two</a></td></tr><tr><th>3</th></tr></TBODY></TABLE>"""
