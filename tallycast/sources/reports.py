@@ -12,6 +12,7 @@ from .. import constants as C
 from ..functions.dates import day_of
 from ..functions.text import to_double
 from ..operators.joins import small_side
+from ..session import write_out
 
 REPORT_COLUMNS = ["Country_Region", "Confirmed", "Deaths", "Recovered", "date"]
 REPORT_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in REPORT_COLUMNS])
@@ -23,32 +24,35 @@ _NEW_NAME = "Country_Region"
 def read_reports(spark: SparkSession, path: str | list[str], schema: T.StructType | str | None = None) -> DataFrame:
     """CSV with a header, every column text.
 
-    Without a schema the header of the first file is used and a file with
+    The columns are those of the schema, or of the first file. A file with
     another header fails the job; ``read_drifting_reports`` reads such folders.
     A folder named ``extract_date=...`` becomes a partition column, and a filter
     on it prunes the folders read.
     """
-    reader = spark.read.option("header", True)
-    if schema is None:
-        return reader.option("enforceSchema", False).csv(path)
-    return reader.schema(schema).csv(path)
+    reader = spark.read.option("header", True).option("enforceSchema", False)
+    return (reader if schema is None else reader.schema(schema)).csv(path)
 
 
 def read_drifting_reports(
-    spark: SparkSession, path: str | list[str], columns: Sequence[str] = REPORT_COLUMNS, width: int = 64
+    spark: SparkSession, path: str | list[str], columns: Sequence[str] = REPORT_COLUMNS, width: int = 64,
+    days: Sequence | None = None,
 ) -> DataFrame:
     """Report files of any number of header layouts, read as one table.
 
     Each file keeps its own header: its first line, known by the name of the
     country column, says at which position a column stands. A first pass finds
     the headers; these, one row per file, are joined to the lines of their file. Columns a layout lacks
-    are null; files have up to ``width`` columns.
+    are null; files have up to ``width`` columns. ``days`` keeps both passes to
+    the folders of these collection dates.
     """
     raw = spark.read.option("header", False).schema(", ".join(f"_c{i} string" for i in range(width))).csv(path)
+    if days is not None:
+        raw = raw.filter(F.col("extract_date").isin(list(days)))
     folder = [c for c in raw.columns if not c.startswith("_c")]
     lines = raw.select(F.col("_metadata.file_path").alias("_file"), *folder, F.array(*[f"_c{i}" for i in range(width)]).alias("_cells"))
     is_header = F.arrays_overlap("_cells", F.array(F.lit(_NEW_NAME), F.lit(_OLD_NAME))).eqNullSafe(F.lit(True))
-    headers = small_side(lines.filter(is_header).groupBy("_file").agg(F.first("_cells").alias("_names")))
+    headers = lines.filter(is_header).groupBy("_file").agg(F.first("_cells").alias("_names"))
+    headers = small_side(write_out(headers, "headers"))
     rows = lines.filter(~is_header).join(headers, "_file")
 
     def at(name: str) -> Column:

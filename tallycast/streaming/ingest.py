@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from ..operators.aggregates import group_reports
 from ..operators.sinks import read_table, replace_partitions, upsert, with_grain
 from ..session import write_out
-from ..sources.reports import REPORT_SCHEMA, select_measures
+from ..sources.reports import REPORT_SCHEMA, read_drifting_reports, select_measures
 from ..functions.dates import parse_date
 
 KEYS = ["Country_Region", "date"]
@@ -52,16 +52,17 @@ def report_rows(reports: DataFrame) -> DataFrame:
 
 
 def ingest_new_days(
-    spark: SparkSession, src: str, table: str, checkpoint: str, schema: T.StructType = REPORT_SCHEMA,
+    spark: SparkSession, src: str, table: str, checkpoint: str,
     transform: Callable[[DataFrame], DataFrame] = report_rows, max_files: int | None = None,
 ) -> None:
     """Read the folders that came since the last run and merge them.
 
     A folder whose files arrive in several batches is summed anew from all its
-    files: the batch only says which folders changed. A day collected again in
+    files: the batch only says which folders changed. Files are read by their
+    own headers. A day collected again in
     a later folder replaces the earlier one.
     """
-    full = T.StructType([*schema.fields, T.StructField("extract_date", T.DateType())])
+    full = T.StructType([*REPORT_SCHEMA.fields, T.StructField("extract_date", T.DateType())])
     reader = spark.readStream.schema(full).option("header", True)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
@@ -69,8 +70,7 @@ def ingest_new_days(
     def merge(batch: DataFrame, _: int) -> None:
         days = distinct_days(batch, "extract_date")
         if days:
-            whole = batch.sparkSession.read.schema(full).option("header", True).csv(src)
-            merge_days(transform(whole.filter(F.col("extract_date").isin(days))), table)
+            merge_days(transform(read_drifting_reports(batch.sparkSession, src, days=days)), table)
 
     query = (
         reader.csv(src).writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

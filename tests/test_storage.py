@@ -92,7 +92,10 @@ def write_day(folder, day, rows):
     d = folder / f"extract_date={day}"
     d.mkdir(exist_ok=True)
     name = len(list(d.iterdir()))
-    (d / f"{name}.csv").write_text("Country_Region,Confirmed,Deaths,Recovered,date\n" + "\n".join(rows) + "\n")
+    head = "Country_Region,Confirmed,Deaths,Recovered,date"
+    if name % 2:
+        head, rows = "Id,Country/Region,Confirmed,Deaths,Recovered,date", [f"7,{r}" for r in rows]
+    (d / f"{name}.csv").write_text("\n".join([head, *rows]) + "\n")
 
 
 def test_ingest(spark, tmp_path):
