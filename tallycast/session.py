@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import os
 import uuid
 
 from pyspark.sql import SparkSession
@@ -19,6 +19,7 @@ def local_session(cpus: str = "8", app: str = "tallycast") -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", f"file:///tmp/tallycast/{os.getpid()}")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -28,17 +29,22 @@ def local_session(cpus: str = "8", app: str = "tallycast") -> SparkSession:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path under the shared folder of ``spark.checkpoint.dir``.
+    """A new path in the shared folder of ``spark.checkpoint.dir``, or else in the warehouse.
 
-    Only a local session may go without that setting: a folder of one machine
-    cannot be read by the executors of a cluster.
+    Both can be reached by all executors. What is written there is deleted when
+    the session's JVM ends; ``drop_scratch`` deletes it earlier.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="tallycast-")
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
+    path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
+
+
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Delete what was written at a scratch path."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def write_out(df, label: str):
