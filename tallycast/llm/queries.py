@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from .language import op4_language
+from .packing import op2_packing
 from .quality_qda import op3_quality
 from .quality_rules import op7_quality_rules
+from .token_counts import op9_token_counts
 from .toxicity import op6_toxicity
 
-QUERIES = {f.__name__: f for f in (op3_quality, op4_language, op6_toxicity, op7_quality_rules)}
+QUERIES = {f.__name__: f for f in (op2_packing, op3_quality, op4_language, op6_toxicity, op7_quality_rules, op9_token_counts)}
 ORACLES: dict[str, str] = {}

@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .arrays import PUNCTUATION, Words, blocks, column, mix, powers
 from .learn import labelled_texts, logistic, platt, remainder, sigmoid
@@ -151,23 +152,34 @@ def fit(texts: list[str], y: np.ndarray, share: float, vocabulary: int = 4096, s
     return model
 
 
-def toxicity_scores(
-    docs: DataFrame, labels: DataFrame, mod: int = 4, out: int = 2, per_class: int = 3000, threshold: float = 0.3
-) -> DataFrame:
-    """(doc_id, held_out, score, predicted), a row for each document.
+def fit_toxicity(docs: DataFrame, labels: DataFrame, mod: int = 4, out: int = 2, per_class: int = 3000) -> ToxicityModel:
+    """Learn from at most ``per_class`` labelled rows of each class whose id's crc32 modulo ``mod`` is not ``out``."""
+    return fit(*labelled_texts(docs, labels, "toxic", mod, out, per_class))
+
+
+def with_toxicity(docs: DataFrame, model: ToxicityModel, score: str = "score") -> DataFrame:
+    """All columns of ``docs`` and the probability that the whole ``text`` is toxic.
 
-    Learns from at most ``per_class`` labelled rows of each class whose id's
-    crc32 modulo ``mod`` is not ``out``. A null or empty text gets the score of
-    a text without any known feature. Without labels of both classes every
-    score is that of the only class (none at all: not toxic).
+    A null or empty text gets the score of a text without any known feature. A
+    model that saw labels of one class only gives each text that class's score
+    (no labels at all: not toxic).
     """
-    model = fit(*labelled_texts(docs, labels, "toxic", mod, out, per_class))
+    at = docs.columns.index("text")
 
     def rows(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.probability(_lower(batch.column(1))))], ["doc_id", "score"])
+            p = pa.array(model.probability(_lower(batch.column(at))))
+            yield pa.RecordBatch.from_arrays([*batch.columns, p], [*batch.schema.names, score])
 
-    return docs.select("doc_id", "text").mapInArrow(rows, "doc_id long, score double").select(
+    return docs.mapInArrow(rows, T.StructType([*docs.schema.fields, T.StructField(score, T.DoubleType())]))
+
+
+def toxicity_scores(
+    docs: DataFrame, labels: DataFrame, mod: int = 4, out: int = 2, per_class: int = 3000, threshold: float = 0.3
+) -> DataFrame:
+    """(doc_id, held_out, score, predicted), a row for each document."""
+    scored = with_toxicity(docs.select("doc_id", "text"), fit_toxicity(docs, labels, mod, out, per_class))
+    return scored.select(
         "doc_id",
         (remainder("doc_id", mod) == out).alias("held_out"),
         "score",
