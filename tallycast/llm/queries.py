@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .language import op4_language
+from .near_dedup import op5_near_dedup
 from .packing import op2_packing
 from .quality_qda import op3_quality
 from .quality_rules import op7_quality_rules
@@ -11,5 +12,5 @@ from .token_counts import op9_token_counts
 from .toxicity import op6_toxicity
 from .warc import OP10_SQL, op10_warc
 
-QUERIES = {f.__name__: f for f in (op2_packing, op3_quality, op4_language, op6_toxicity, op7_quality_rules, op8_substrings, op9_token_counts, op10_warc)}
+QUERIES = {f.__name__: f for f in (op2_packing, op3_quality, op4_language, op5_near_dedup, op6_toxicity, op7_quality_rules, op8_substrings, op9_token_counts, op10_warc)}
 ORACLES: dict[str, str] = {"op10_warc": OP10_SQL}
