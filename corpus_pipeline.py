@@ -1,23 +1,62 @@
-"""The corpus pipeline: from raw documents to packed sequences."""
+"""The corpus pipeline: from raw documents to packed sequences.
+
+Each stage takes what its predecessor kept. All but the last return the
+columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallycast.llm.toxicity import toxicity_scores
+from tallycast.llm.decontamination import without_leaks
+from tallycast.llm.near_dedup import near_classes
+from tallycast.llm.packing import pack
+from tallycast.llm.substrings import without_repeats
+from tallycast.llm.toxicity import fit_toxicity, with_toxicity
 from tallycast.session import scratch_path
 
-#: Not expressible in SQL: a trained classifier is its first stage.
+#: Not expressible in SQL: the first stage is a trained classifier.
 ORACLE_SQL = None
+#: Documents from this probability on are toxic.
+TOXIC_AT = 0.3
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject."""
-    rejected = toxicity_scores(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")).filter("predicted = 1").select("doc_id").distinct()
-    return docs.join(rejected, "doc_id", "left_anti")
+    model = fit_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return with_toxicity(docs, model, "_toxic").filter(F.col("_toxic") < TOXIC_AT).drop("_toxic")
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the least id of each class of near copies, once; documents without an id stay."""
+    first = near_classes(docs).filter("doc_id = class_id").select("doc_id").distinct()
+    return docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(docs.filter("doc_id is null"))
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages that occur elsewhere as well; those of which nothing is left go."""
+    left = without_repeats(docs).filter("n_removed = 0 or n_removed < n_words")
+    return left.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents with their places in sequences of 2048 tokens."""
+    return pack(docs)
 
 
-STAGES = [("toxicity", toxicity)]
+STAGES = [
+    ("toxicity", toxicity),
+    ("near_dedup", near_dedup),
+    ("substring_dedup", substring_dedup),
+    ("decontamination", decontamination),
+    ("packing", packing),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

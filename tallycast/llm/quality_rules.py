@@ -108,7 +108,7 @@ def _sparse(texts: list[str], bits: int):
     return (np.concatenate(rows), np.concatenate(cols), np.concatenate(values)) if at else (np.zeros(0, int),) * 3
 
 
-def fit(texts: list[str], y: np.ndarray, share: float, bits: int = 15) -> NgramQuality:
+def fit(texts: list[str], y: np.ndarray, share: float, bits: int = 14) -> NgramQuality:
     """Learn on four fifths of the sample, calibrate on the rest; classes weigh as among all rows."""
     if len(y) == 0 or y.min() == y.max():
         return NgramQuality(np.zeros(_KINDS << bits), 6.0 if share >= 0.5 or len(y) == 0 else -6.0, bits)
@@ -129,7 +129,7 @@ def fit(texts: list[str], y: np.ndarray, share: float, bits: int = 15) -> NgramQ
 
 
 def quality_rules(
-    docs: DataFrame, labels: DataFrame, per_class: int = 1500, bits: int = 15, keep_at: float = 0.3,
+    docs: DataFrame, labels: DataFrame, per_class: int = 800, bits: int = 14, keep_at: float = 0.3,
     min_words: int = 10, repeat_percent: int = 20,
 ) -> DataFrame:
     """Counts, base verdict and kept flag of each document.

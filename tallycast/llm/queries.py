@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .decontamination import op1_decontamination
 from .language import op4_language
 from .near_dedup import op5_near_dedup
 from .packing import op2_packing
@@ -12,5 +13,11 @@ from .token_counts import op9_token_counts
 from .toxicity import op6_toxicity
 from .warc import OP10_SQL, op10_warc
 
-QUERIES = {f.__name__: f for f in (op2_packing, op3_quality, op4_language, op5_near_dedup, op6_toxicity, op7_quality_rules, op8_substrings, op9_token_counts, op10_warc)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_decontamination, op2_packing, op3_quality, op4_language, op5_near_dedup,
+        op6_toxicity, op7_quality_rules, op8_substrings, op9_token_counts, op10_warc,
+    )
+}
 ORACLES: dict[str, str] = {"op10_warc": OP10_SQL}
