@@ -13,7 +13,8 @@ from pyspark.sql import types as T
 
 from .arrays import PUNCTUATION, Words, blocks, column, mix
 
-_BITS = 20
+#: Words below which an item has tables of its own.
+SHORT = 12
 
 
 @dataclass(frozen=True)
@@ -121,7 +122,8 @@ class Items:
         self.most = np.floor(share * self.sizes + 1e-9).astype(np.int64)
         of_reach: dict[int, list[int]] = {}
         for i, n in enumerate(self.sizes.tolist()):
-            of_reach.setdefault(self.reach(n), []).append(i)
+            if n >= SHORT:
+                of_reach.setdefault(self.reach(n), []).append(i)
         #: for each walk its tables: (near steps, tables of the items by reach)
         self.walks: list[list[tuple[np.ndarray, list[Table]]]] = []
         self.room = max([self.reach(n) for n in self.sizes.tolist()], default=0) + sampling.near + 1
@@ -135,6 +137,20 @@ class Items:
                 for (near, later), (_, parts) in zip(samples, self.walks[-1]):
                     after = sampling.near + (later * max(1, reach - sampling.near)).astype(np.int64)
                     parts.append(Table(walk, starts, ends, near, after, np.array(members)))
+        self._short(hashes)
+
+    def _short(self, hashes: list[np.ndarray]) -> None:
+        """Tables of the items below ``SHORT`` words, by their length: their walks are sampled below as many steps, which stay inside."""
+        sampling = self.sampling
+        for n in sorted({x for x in self.sizes.tolist() if x < SHORT}):
+            members = np.flatnonzero(self.sizes == n)
+            h = np.concatenate([hashes[i] for i in members])
+            starts = np.arange(len(members)) * n
+            r = np.random.default_rng(sampling.seed + n)
+            for walk, flip in zip(self.walks, sampling.flips()):
+                for _ in range(sampling.samples):
+                    steps = np.sort(r.integers(0, n, sampling.places))
+                    walk.append((steps[:2], [Table(Walk(h, flip, self.room), starts, starts + n, steps[:2], steps[2:], members)]))
 
     @staticmethod
     def reach(n: int) -> int:
@@ -161,44 +177,45 @@ def _join(key: np.ndarray, word: np.ndarray) -> np.ndarray:
     return (key * np.uint64(0xD1342543DE82EF95) + word) * np.uint64(0x9E3779B97F4A7C15)
 
 
-def _slot(key: np.ndarray) -> np.ndarray:
-    return (key >> np.uint64(64 - _BITS)).astype(np.int64)
-
-
 class Table:
-    """Sampled keys of the items of one reach, with filters for the key so far at each place."""
+    """Sampled keys of the items of one reach: a filter for the near places, sorted keys for all others."""
 
     def __init__(self, walk: Walk, starts: np.ndarray, ends: np.ndarray, near: np.ndarray, after: np.ndarray, members: np.ndarray):
         self.near, self.after = near, after
         at = walk.go(starts, 0, int(near[0]))
         key = walk.h[at]
         at = walk.go(at, int(near[0]), int(near[1]))
-        key = _join(key, walk.h[at])
-        self.masks, last = [key], int(near[1])
+        keys, last = [_join(key, walk.h[at])], int(near[1])
         for step in after.tolist():
             at = walk.go(at, last, step)
-            key, last = _join(key, walk.h[at]), step
-            self.masks.append(key)
+            keys.append(_join(keys[-1], walk.h[at]))
+            last = step
         ok = at < ends
-        masks, self.masks = self.masks, []
-        for k in masks:
-            self.masks.append(np.zeros(1 << _BITS, bool))
-            self.masks[-1][_slot(k[ok])] = True
+        self.keys = [np.unique(k[ok]) for k in keys]
+        # some 64 slots for each item: few other starts pass, and the table stays small
+        self.shift = np.uint64(64 - int(np.clip(np.ceil(np.log2(64 * max(1, ok.sum()))), 10, 22)))
+        self.filter = np.zeros(1 << (64 - int(self.shift)), bool)
+        self.filter[(self.keys[0] >> self.shift).astype(np.int64)] = True
         self.items: dict[int, list[int]] = {}
-        for i, k in zip(members[ok].tolist(), key[ok].tolist()):
+        for i, k in zip(members[ok].tolist(), keys[-1][ok].tolist()):
             self.items.setdefault(k, []).append(i)
 
-    def search(self, walk: Walk, live: np.ndarray, at: np.ndarray, key: np.ndarray, ends: np.ndarray):
-        """(start, item) for starts ``live``, whose walks stand at ``at`` after the near places with ``key``."""
-        last = int(self.near[1])
-        for step, mask in zip([None, *self.after.tolist()], self.masks):
-            if step is not None:
+    def search(self, walk: Walk, key: np.ndarray, places: np.ndarray, ends: np.ndarray):
+        """(start, item) of starts whose walks have ``key`` after the near places and stand at ``places`` then."""
+        live = np.flatnonzero(self.filter[(key >> self.shift).astype(np.int64)])
+        at, key, last = places[live], key[live], int(self.near[1])
+        for step, known in zip([last, *self.after.tolist()], self.keys):
+            if not len(live) or not len(known):
+                return
+            if step > last:
                 at = walk.go(at, last, step)
-                key, last = _join(key, walk.h[at]), step
-            pass_ = mask[_slot(key)] & (at < ends[live])
-            live, at, key = live[pass_], at[pass_], key[pass_]
+            if known is not self.keys[0]:
+                key = _join(key, walk.h[at])
+            last = step
+            same = (known[np.minimum(np.searchsorted(known, key), len(known) - 1)] == key) & (at < ends[live])
+            live, at, key = live[same], at[same], key[same]
         for start, k in zip(live.tolist(), key.tolist()):
-            for i in self.items.get(k, ()):
+            for i in self.items[k]:
                 yield start, i
 
 
@@ -225,11 +242,8 @@ def candidates(items: Items, h: np.ndarray, bounds: np.ndarray) -> set[tuple[int
             at = walk.go(at, step, step + 1)
         for near, parts in tables:
             key = _join(words[int(near[0])], words[int(near[1])])
-            slot = _slot(key)
             for table in parts:
-                live = np.flatnonzero(table.masks[0][slot])
-                if len(live):
-                    found.update(table.search(walk, live, places[int(near[1])][live], key[live], ends))
+                found.update(table.search(walk, key, places[int(near[1])], ends))
     return found
 
 
@@ -264,7 +278,7 @@ def item_blocks(benchmark: DataFrame, block_bytes: int) -> list[DataFrame]:
 
 
 def leaks(
-    docs: DataFrame, benchmark: DataFrame, share: float = 0.2, sampling: Sampling | None = None, block_bytes: int = 4 << 20
+    docs: DataFrame, benchmark: DataFrame, share: float = 0.2, sampling: Sampling | None = None, block_bytes: int = 1 << 20
 ) -> DataFrame:
     """(doc_id, item_id, distance, item_words, first_word, end_word) of items that documents hold.
 
@@ -303,7 +317,7 @@ def _search(docs: DataFrame, items: Items) -> DataFrame:
     )
 
 
-def without_leaks(docs: DataFrame, benchmark: DataFrame, share: float = 0.2, sampling: Sampling | None = None, block_bytes: int = 4 << 20) -> DataFrame:
+def without_leaks(docs: DataFrame, benchmark: DataFrame, share: float = 0.2, sampling: Sampling | None = None, block_bytes: int = 1 << 20) -> DataFrame:
     """Documents that hold no item; all columns, nothing shuffled. See ``leaks``."""
     at = docs.columns.index("text")
     for block in item_blocks(benchmark, block_bytes):

@@ -96,7 +96,7 @@ class LanguageModel:
             if script is None:
                 scores[i] = 0
             else:
-                scores[i] -= scores[i].max()
+                scores[i] -= scores[i].max(initial=-np.inf) if len(self.langs) else 0
                 candidates = self.scripts.get(script)
                 if candidates is not None and candidates.any():
                     scores[i, ~candidates] -= 50
@@ -119,14 +119,15 @@ class LanguageModel:
 def viterbi(scores: np.ndarray, bounds: np.ndarray, penalty: float) -> np.ndarray:
     """Best language of each word: scores along the path less ``penalty`` for every switch.
 
-    All texts of a block go forward together, one word each per step. A text
-    for which no stretch of words would repay two switches (one at an edge)
-    keeps its best language throughout, which is the same path.
+    All texts of a block go forward together, one word each per step. A text in
+    which no stretch of words gains more than half a penalty in another
+    language keeps its best one throughout: n stretches in other languages need
+    n - 1 switches at least and gain n halves at most, so that path is the best.
     """
     n, k = scores.shape
     path = np.zeros(n, np.int16)
     lengths = np.diff(bounds)
-    if not n or k == 1:
+    if not n or k <= 1:
         return path
     total = np.add.reduceat(np.vstack([scores, np.zeros((1, k), np.float32)]), bounds[:-1], axis=0, dtype=np.float64)
     total[lengths == 0] = 0
@@ -136,7 +137,7 @@ def viterbi(scores: np.ndarray, bounds: np.ndarray, penalty: float) -> np.ndarra
         s = scores[bounds[i] : bounds[i + 1]]
         gain = np.cumsum(s - s[:, best[i]][:, None], axis=0, dtype=np.float64)
         low = np.minimum.accumulate(np.vstack([np.zeros((1, k)), gain[:-1]]), axis=0)
-        if (gain - low).max() <= penalty:
+        if (gain - low).max() <= penalty / 2:
             path[bounds[i] : bounds[i + 1]] = best[i]
         else:
             rest.append(i)

@@ -44,18 +44,23 @@ def logistic(rows, cols, values, y, weight, n_features, l2=1e-3, pairs=None, pai
 
     ``pairs`` = (rows, cols, values) holds differences of feature vectors whose
     score differences are pushed to zero with strength ``pair_l2``. Accelerated
-    gradient steps on coordinates scaled by their curvature.
+    gradient steps on coordinates scaled by a bound of their curvature.
     """
     n = len(y)
     w, b = np.zeros(n_features), 0.0
     weight = weight / max(weight.sum(), 1e-9)
-    scale = np.bincount(cols, values**2 * weight[rows], n_features) / 4 + l2
+
+    def bound(rows, cols, values, scale):
+        """Diagonal that is at least the curvature: each value times the sum of its row."""
+        size = np.abs(values)
+        return np.bincount(cols, size * np.bincount(rows, size)[rows] * scale, n_features)
+
+    curvature = bound(rows, cols, values, weight[rows] / 4) + l2 if len(rows) else np.full(n_features, l2)
     n_pairs = 0
     if pairs is not None and len(pairs[0]):
         n_pairs = int(pairs[0].max()) + 1
-        scale = scale + 2 * pair_l2 * np.bincount(pairs[1], pairs[2] ** 2, n_features) / n_pairs
-    # the sum over features bounds the curvature across coordinates
-    step = 1 / (max(1.0, np.bincount(rows, None, n).mean() ** 0.5) * scale)
+        curvature = curvature + bound(*pairs, 2 * pair_l2 / n_pairs)
+    step = 1 / (2 * curvature)  # halved: the intercept takes the other half
     v, vb, t = w.copy(), b, 1.0
     for _ in range(steps):
         z = np.bincount(rows, values * v[cols], n) + vb
@@ -64,7 +69,7 @@ def logistic(rows, cols, values, y, weight, n_features, l2=1e-3, pairs=None, pai
         if n_pairs:
             d = np.bincount(pairs[0], pairs[2] * v[pairs[1]], n_pairs)
             g += 2 * pair_l2 / n_pairs * np.bincount(pairs[1], pairs[2] * d[pairs[0]], n_features)
-        new, new_b = v - step * g, vb - 4 * e.sum() / 4
+        new, new_b = v - step * g, vb - 2 * e.sum()
         t_new = (1 + (1 + 4 * t * t) ** 0.5) / 2
         if (g * (new - w)).sum() > 0:  # the momentum went uphill: begin anew
             t, t_new = 1.0, 1.0
