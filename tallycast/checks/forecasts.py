@@ -190,15 +190,15 @@ def covid_forecast_query(spark, sf):
 WITH RECURSIVE s0 AS (SELECT o_orderpriority AS series, CAST(o_orderdate AS DATE) AS date, CAST(count(*) AS DOUBLE) AS value FROM orders GROUP BY 1, 2),
 k AS (SELECT *, row_number() OVER (PARTITION BY series ORDER BY date) AS rn FROM s0),
 w AS (SELECT series, rn, date, value, CAST(left(series, 1) AS DOUBLE) / 10 AS phi, -CAST(left(series, 1) AS DOUBLE) / 7 AS theta,
-  list(value) OVER (PARTITION BY series ORDER BY date ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS y FROM k),
+  list(value) OVER (PARTITION BY series ORDER BY date ROWS BETWEEN 149 PRECEDING AND CURRENT ROW) AS y FROM k),
 u AS (SELECT *, [y[j] - (1 + phi) * y[j - 1] + phi * y[j - 2] for j in range(3, len(y) + 1)] AS u FROM w WHERE len(y) >= 2),
 g AS (SELECT *, phi * (y[-1] - y[-2]) + theta * coalesce(list_sum([u[j] * (-theta) ^ (len(u) - j) for j in range(1, len(u) + 1)]), 0) AS f1 FROM u)
-SELECT series, date AS origin, CAST(h AS INT) AS h, {r('value + f1 * list_sum([phi ^ j for j in range(0, h)])', 5)} AS forecast
-FROM g CROSS JOIN (SELECT unnest(range(1, 4)) AS h)""")
+SELECT series, date AS origin, CAST(h AS INT) AS h, {r('value + f1 * list_sum([phi ^ j for j in range(0, h)])', 6)} AS forecast
+FROM g CROSS JOIN (SELECT unnest(range(1, 8)) AS h)""")
 def backfill(spark, sf):
-    """The forecast of every past day, each from its own last 30 rows."""
+    """The forecast of every past day, each from its own last 150 rows."""
     s = stored_series(spark, sf)
-    return rounded(arima.backfill(s, _fixed_models(s), s.select("date").distinct(), 3, 30), "forecast", places=5)
+    return rounded(arima.backfill(s, _fixed_models(s), s.select("date").distinct(), 7, 150), "forecast", places=6)
 
 
 # ---- naive forecasts and their scores ---------------------------------------------------

@@ -60,16 +60,26 @@ def bartlett(spark, sf):
     return rounded(Z.bartlett(series_of(spark, sf)), "statistic", "p")
 
 
+def _both_tails(z: str) -> str:
+    """2 P(Z > z) of the normal distribution, by the series of its odd powers; 1 for z below zero."""
+    term = f"exp((2 * k + 1) * ln({z}) - (k + 1) * ln(2) - lgamma(k + 1.5) + 0.5 * ln(pi()))"
+    return (
+        f"CASE WHEN {z} <= 1e-9 THEN 1.0::DOUBLE WHEN {z} > 8 THEN 0.0::DOUBLE ELSE "
+        f"1 - 2 * exp(-{z} * {z} / 2) / sqrt(2 * pi()) * list_sum([{term} for k in range(0, 120)]) END"
+    )
+
+
 @query("mann_whitney", f"""
 WITH {SN}, k AS (SELECT series, rn <= 98 AS early, rank() OVER w + (count(*) OVER (PARTITION BY series, value) - 1) / 2.0::DOUBLE AS rk
   FROM n WINDOW w AS (PARTITION BY series ORDER BY value)),
 t AS (SELECT series, sum(c * c * c - c) AS ties FROM (SELECT series, value, CAST(count(*) AS DOUBLE) AS c FROM s GROUP BY 1, 2) GROUP BY 1),
 u AS (SELECT series, CAST(count(*) FILTER (early) AS DOUBLE) AS a, CAST(count(*) FILTER (NOT early) AS DOUBLE) AS b,
   sum(rk) FILTER (early) AS ra FROM k GROUP BY 1),
-v AS (SELECT u.series, a, b, ra - a * (a + 1) / 2 AS x, ties FROM u JOIN t ON t.series = u.series)
-SELECT series, x AS statistic, round((abs(x - a * b / 2) - 0.5) / sqrt(a * b / 12 * (a + b + 1 - ties / ((a + b) * (a + b - 1)))), 6) AS z FROM v""")
+v AS (SELECT u.series, a, b, ra - a * (a + 1) / 2 AS x, ties FROM u JOIN t ON t.series = u.series),
+z AS (SELECT series, x, (abs(x - a * b / 2) - 0.5) / sqrt(a * b / 12 * (a + b + 1 - ties / ((a + b) * (a + b - 1)))) AS z FROM v)
+SELECT series, x AS statistic, round(z, 6) AS z, {r(_both_tails('z'))} AS p FROM z""")
 def mann_whitney(spark, sf):
-    return rounded(Z.mann_whitney(series_of(spark, sf)), "z").drop("p")
+    return rounded(Z.mann_whitney(series_of(spark, sf)), "z", "p")
 
 
 @query("mann_kendall", f"""
@@ -80,12 +90,14 @@ t AS (SELECT series, sum(c * (c - 1) * (2 * c + 5)) AS ties FROM (SELECT series,
 m AS (SELECT series, count(*) AS n, median(value) AS med FROM s GROUP BY 1),
 v AS (SELECT m.series, m.n, q.s, CAST(q.s AS DOUBLE) / (0.5 * m.n * (m.n - 1)) AS tau,
   (CAST(m.n AS DOUBLE) * (m.n - 1) * (2 * m.n + 5) - ties) / 18 AS var_s, slope, med - (m.n - 1) / 2.0::DOUBLE * slope AS intercept
-  FROM m JOIN q ON q.series = m.series JOIN t ON t.series = m.series)
-SELECT series, n, s, round(tau, 6) AS tau, round(var_s, 3) AS var_s,
-  round(CASE WHEN s = 0 THEN 0 ELSE (s - sign(s)) / sqrt(var_s) END, 6) AS z, {r('slope')} AS slope, round(intercept, 6) AS intercept FROM v""")
+  FROM m JOIN q ON q.series = m.series JOIN t ON t.series = m.series),
+z AS (SELECT *, CASE WHEN s = 0 THEN 0 ELSE (s - sign(s)) / sqrt(var_s) END AS z FROM v)
+SELECT series, n, s, round(tau, 6) AS tau, round(var_s, 3) AS var_s, round(z, 6) AS z, {r(_both_tails('abs(z)'))} AS p,
+  CASE WHEN {_both_tails('abs(z)')} >= 0.05 THEN 'no trend' WHEN z > 0 THEN 'increasing' ELSE 'decreasing' END AS trend,
+  {r('slope')} AS slope, round(intercept, 6) AS intercept FROM z""")
 def mann_kendall(spark, sf):
-    d = Z.mann_kendall(series_of(spark, sf)).drop("p", "trend")
-    return rounded(d, "tau", "z", "slope", "intercept").withColumn("var_s", rnd("var_s", 3))
+    d = Z.mann_kendall(series_of(spark, sf))
+    return rounded(d, "tau", "z", "p", "slope", "intercept").withColumn("var_s", rnd("var_s", 3))
 
 
 _R = f"""m AS (SELECT series, rn, value - avg(value) OVER (PARTITION BY series) AS d FROM n),

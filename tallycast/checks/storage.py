@@ -5,15 +5,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .. import constants as C
 from ..operators import sinks as K
 from ..operators.shape import with_country
-from ..plans.covid import jhons_gold
+from ..plans.covid import case_series, covid_daily, forecast_gold, jhons_gold
 from ..plans.energy import energy_load
 from ..session import scratch_path
 from ..sources import reports as R
 from ..streaming import ingest_new_days
+from . import forecasts, joined, texts  # noqa: F401  their queries feed the fact tables
 from .cases import _IDS, daily_change
-from .registry import G, ORACLES, query, status_reports, table
+from .registry import G, ORACLES, QUERIES, query, status_reports, table
 
 
 @query("csv_round_trip", """
@@ -48,14 +50,16 @@ SELECT o_orderpriority AS "Country_Region", CAST(o_orderkey AS DOUBLE) AS "Confi
   CASE WHEN o_orderdate < TIMESTAMP '1998-01-01' THEN NULL ELSE o_totalprice END AS "Deaths", NULL::DOUBLE AS "Recovered",
   strftime(o_orderdate, '%m-%d-%Y') AS date FROM orders""")
 def drifting_headers(spark, sf):
-    """Two header layouts in one folder, read as one table."""
+    """Three header layouts in one folder, read as one table; in one of them the named columns stand behind 110 others."""
     path = scratch_path(spark, "drift")
     o = table(spark, sf, "orders")
     early = F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")
     day, n = F.date_format("o_orderdate", "MM-dd-yyyy").alias("date"), F.col("o_orderkey").alias("Confirmed")
     old = o.filter(early).select(day, n, F.col("o_orderpriority").alias("Country/Region"))
-    new = o.filter(~early).select(F.lit(7).alias("FIPS"), F.col("o_orderpriority").alias("Country_Region"), n, F.col("o_totalprice").alias("Deaths"), day)
-    for part in (old, new):
+    late = F.col("o_orderdate") >= F.lit("1998-05-01").cast("timestamp_ntz")
+    wide = o.filter(~early & late).select(*[F.lit(i).alias(f"c{i}") for i in range(110)], n, F.col("o_totalprice").alias("Deaths"), day, F.col("o_orderpriority").alias("Country/Region"))
+    new = o.filter(~early & ~late).select(F.lit(7).alias("FIPS"), F.col("o_orderpriority").alias("Country_Region"), n, F.col("o_totalprice").alias("Deaths"), day)
+    for part in (old, new, wide):
         part.write.mode("append").option("header", True).csv(path)
     return R.select_measures(R.read_drifting_reports(spark, path))
 
@@ -236,3 +240,55 @@ def ingest(spark, sf):
 @query("stamped", "SELECT o_orderkey, 'AR' AS country, '2022-05-01' AS Date FROM orders")
 def stamped(spark, sf):
     return R.stamp(with_country(table(spark, sf, "orders").select("o_orderkey"), "AR"), "Date", "2022-05-01")
+
+
+@query("covid_daily_folders", ORACLES["covid_daily"])
+def covid_daily_folders(spark, sf):
+    """Day folders of report files from 1996 on, with an earlier history that also holds wrong values for later days."""
+    path = scratch_path(spark, "reports")
+    rows = status_reports(spark, sf)
+    late = F.col("date") >= F.lit("1996-01-01").cast("date")
+    text = rows.filter(late).select(
+        F.lit(None).cast("string").alias("FIPS"), "Country_Region", *[F.col(c).cast("string").alias(c) for c in ("Confirmed", "Deaths", "Recovered")],
+        F.date_format("date", "MM-dd-yyyy").alias("date"), F.trunc("date", "month").alias("extract_date"),
+    )
+    K.export_csv(text, path, "extract_date")
+    wanted = {p: i for p, i in _IDS.items() if p != "5-LOW"}
+    known = case_series(rows, list(wanted))
+    history = known.select("Country_Region", "date", *[F.when(late, -1.0).otherwise(F.col(c)).alias(c) for c in ("Confirmed", "Deaths", "Recovered")])
+    return covid_daily(spark, path, wanted, history)
+
+
+@query("load_forecast", f"""
+SELECT md5(left(Country_Region, 1) || '|' || CAST(forecast_date AS VARCHAR) || '|' || CAST(forecasted_date AS VARCHAR)) AS ID,
+  left(Country_Region, 1)::INT AS PAISES_ID, forecast_date AS CALENDARIO_data, forecasted_date AS data_prevista, forecast AS casos_previstos
+FROM ({ORACLES["covid_forecast"]})""")
+def load_forecast(spark, sf):
+    """The forecast fact in full, then the day of each forecast again."""
+    path = scratch_path(spark, "fact")
+    gold = forecast_gold(QUERIES["covid_forecast"](spark, sf), _IDS)
+    K.load_gold(gold, "PREVISAO_CASOS", path)
+    for day in K.read_fact(spark, path).select("CALENDARIO_data").distinct().collect():
+        K.load_gold(gold, "PREVISAO_CASOS", path, F.lit(day[0]))
+    return K.read_fact(spark, path)
+
+
+@query("load_sentiments", f"""
+SELECT md5(country || '|' || CAST(date AS VARCHAR) || '|' || texto) AS ID, country AS PAISES_ID, date AS CALENDARIO_data, texto AS tweet,
+  neg AS negativo, pos AS positivo, neu AS neutro, compound AS composto FROM ({ORACLES["tweet_gold"]})""")
+def load_sentiments(spark, sf):
+    path = scratch_path(spark, "fact")
+    K.load_gold(QUERIES["tweet_gold"](spark, sf), "SENTIMENTOS", path)
+    return K.read_fact(spark, path)
+
+
+_WORLD = C.FACTS["COVID_WORLDOMETER"][2:]
+
+
+@query("load_snapshot", f"""
+SELECT md5("Country" || '|' || CAST("Date" AS VARCHAR)) AS "ID", CAST("Country" AS INT) AS "PAISES_ID", "Date" AS "CALENDARIO_data",
+  {", ".join(f'TRY_CAST("{src}" AS {kind.upper()}) AS "{name}"' for name, src, kind in _WORLD)} FROM ({ORACLES["snapshot_daily"]})""")
+def load_snapshot(spark, sf):
+    path = scratch_path(spark, "fact")
+    K.load_gold(QUERIES["snapshot_daily"](spark, sf), "COVID_WORLDOMETER", path)
+    return K.read_fact(spark, path)

@@ -77,26 +77,25 @@ UP, DOWN, NO = ["the", "die", "el"], ["to", "en"], ["and", "et", "und", "y", "no
 PHRASES = {"that is": 2.5, "in la": -1.5, "is that": 1.4, "by on the": -2.2}
 
 
-def _in(words) -> str:
-    return "(" + ", ".join(f"'{w}'" for w in words) + ")"
-
-
-def sentiment_sql(base: str, key: str) -> str:
+def sentiment_sql(base: str, key: str, up=UP, down=DOWN, no=NO, phrases=PHRASES) -> str:
     """The scoring rules as SQL over ``base`` (key, text)."""
+    _in = lambda words: "(" + ", ".join("'" + w.replace("'", "''") + "'" for w in words) + ")"
+    pairs = [w for w in [*down, *up] if " " in w]
+    two = f"concat_ws(' ', w3, w2) IN {_in(pairs)} OR concat_ws(' ', w2, w1) IN {_in(pairs)}" if pairs else "false"
     strip = "regexp_replace(w, '^[[:punct:]]+|[[:punct:]]+$', '', 'g')"
     capital = lambda w: f"({w} = upper({w}) AND {w} <> lower({w}))"
-    phrase = lambda c: "CASE " + c + " " + " ".join(f"WHEN '{k}' THEN {v}::DOUBLE" for k, v in PHRASES.items()) + " END"
+    phrase = lambda c: "CASE " + c + " " + " ".join(f"WHEN '{k}' THEN {v}::DOUBLE" for k, v in phrases.items()) + " END"
     steps = []
     for k, (w, damp) in enumerate((("w1", 1.0), ("w2", 0.95), ("w3", 0.9))):
         before = "e0" if k == 0 else f"n{k - 1}"
         counts = f"{w} IS NOT NULL AND {w}v IS NULL"
-        size = f"(CASE WHEN lower({w}) IN {_in(UP)} THEN 0.293 ELSE -0.293 END)::DOUBLE"
+        size = f"(CASE WHEN lower({w}) IN {_in(up)} THEN 0.293 ELSE -0.293 END)::DOUBLE"
         loud = f"CASE WHEN mixed AND {capital(w)} THEN CASE WHEN v > 0 THEN 0.733 ELSE -0.733 END ELSE 0 END::DOUBLE"
         steps.append(
-            f"b{k} AS (SELECT * REPLACE (CASE WHEN {counts} AND lower({w}) IN {_in(UP + DOWN)} THEN v + "
+            f"b{k} AS (SELECT * REPLACE (CASE WHEN {counts} AND lower({w}) IN {_in([*up, *down])} THEN v + "
             f"((CASE WHEN v < 0 THEN -{size} ELSE {size} END) + {loud}) * {damp}::DOUBLE ELSE v END AS v) FROM {before})"
         )
-        negate = f"WHEN lower({w}) IN {_in(NO)} OR contains(lower({w}), 'n''t') THEN v * -0.74::DOUBLE"
+        negate = f"WHEN lower({w}) IN {_in(no)} OR contains(lower({w}), 'n''t') THEN v * -0.74::DOUBLE"
         if k == 1:
             negate = f"WHEN w2 = 'never' AND w1 IN ('so', 'this') THEN v * 1.5 {negate}"
         if k == 2:
@@ -116,14 +115,15 @@ l AS (SELECT * FROM (VALUES {', '.join(f"('{t}', {v}::DOUBLE)" for t, v in LEXIC
 c AS (SELECT u.*, lag(w, 1) OVER o AS w1, lag(w, 2) OVER o AS w2, lag(w, 3) OVER o AS w3, lead(w, 1) OVER o AS f1, lead(w, 2) OVER o AS f2
   FROM u WINDOW o AS (PARTITION BY {key} ORDER BY i)),
 e AS (SELECT c.*, l.val AS v, l1.t AS w1v, l2.t AS w2v, l3.t AS w3v FROM c JOIN l ON l.t = lower(w) LEFT JOIN l l1 ON l1.t = lower(w1)
-  LEFT JOIN l l2 ON l2.t = lower(w2) LEFT JOIN l l3 ON l3.t = lower(w3) WHERE lower(w) NOT IN {_in(UP + DOWN)}
+  LEFT JOIN l l2 ON l2.t = lower(w2) LEFT JOIN l l3 ON l3.t = lower(w3) WHERE lower(w) NOT IN {_in([*up, *down])}
   AND NOT (lower(w) = 'kind' AND coalesce(lower(f1), '') = 'of')),
 e0 AS (SELECT * REPLACE (CASE WHEN mixed AND {capital('w')} THEN CASE WHEN v > 0 THEN v + 0.733 ELSE v - 0.733 END ELSE v END AS v) FROM e),
 {', '.join(steps)},
 p AS (SELECT * REPLACE (CASE WHEN w3 IS NOT NULL AND w3v IS NULL THEN coalesce({first}, v) ELSE v END AS v) FROM n2),
 p1 AS (SELECT * REPLACE (CASE WHEN w3 IS NOT NULL AND w3v IS NULL AND f1 IS NOT NULL THEN coalesce({phrase("concat_ws(' ', w, f1)")}, v) ELSE v END AS v) FROM p),
 p2 AS (SELECT * REPLACE (CASE WHEN w3 IS NOT NULL AND w3v IS NULL AND f2 IS NOT NULL THEN coalesce({phrase("concat_ws(' ', w, f1, f2)")}, v) ELSE v END AS v) FROM p1),
-x AS (SELECT * REPLACE (CASE WHEN lower(w1) = 'least' AND w1v IS NULL AND coalesce(lower(w2), '') NOT IN ('at', 'very') THEN v * -0.74::DOUBLE ELSE v END AS v) FROM p2),
+p3 AS (SELECT * REPLACE (CASE WHEN w3 IS NOT NULL AND w3v IS NULL AND ({two}) THEN v - 0.293 ELSE v END AS v) FROM p2),
+x AS (SELECT * REPLACE (CASE WHEN lower(w1) = 'least' AND w1v IS NULL AND coalesce(lower(w2), '') NOT IN ('at', 'very') THEN v * -0.74::DOUBLE ELSE v END AS v) FROM p3),
 y AS (SELECT * REPLACE (CASE WHEN but IS NULL THEN v WHEN i < but THEN v * 0.5 WHEN i > but THEN v * 1.5 ELSE v END AS v) FROM x),
 g AS (SELECT a.{key}, a.n, a.emphasis, coalesce(sum(v), 0) AS s, coalesce(sum(v + 1) FILTER (v > 0), 0) AS p, coalesce(sum(1 - v) FILTER (v < 0), 0) AS m,
   count(*) FILTER (v <> 0) AS h FROM a LEFT JOIN y ON y.{key} = a.{key} GROUP BY a.{key}, a.n, a.emphasis),
@@ -147,6 +147,31 @@ def sentiment(spark, sf):
     return _score(documents(spark, sf).select("doc_id", F.col("text").alias("translation")), spark, "doc_id")
 
 
+# Words of the documents and the words of the published lists that take their
+# places, so that each sort of rule is met.
+PLACED = {
+    " the ": " very ", " to ": " slightly ", " and ": " not ", " that ": " kind of ", " er ": " never ", " thon ": " so ",
+    " in ": " isn't ", " on ": " without ", " are ": " the bomb ", " be ": " sort of ", " de ": " absolutely ", " le ": " yeah right ",
+}
+
+
+def _placed_sql(c: str) -> str:
+    for old, new in PLACED.items():
+        c = f"replace({c}, '{old}', '" + new.replace("'", "''") + "')"
+    return c
+
+
+@query("sentiment_published", sentiment_sql(
+    f"base AS (SELECT doc_id, {_placed_sql('text')} AS text FROM documents)", "doc_id", T.BOOSTERS_UP, T.BOOSTERS_DOWN, T.NEGATIONS, T.IDIOMS
+) + " SELECT * FROM sent")
+def sentiment_published(spark, sf):
+    """The word lists that a user gets by default."""
+    text = F.col("text")
+    for old, new in PLACED.items():
+        text = F.replace(text, F.lit(old), F.lit(new))
+    return T.score_sentiment(documents(spark, sf).select("doc_id", text.alias("translation")), _lexicon(spark), "doc_id")
+
+
 @query("tweet_gold", sentiment_sql("base AS (SELECT doc_id, text FROM documents)", "doc_id") + f"""
 SELECT CAST('2022-01-01' AS DATE) + CAST(d.doc_id % 365 AS INT) AS date, CASE lang WHEN 'es' THEN 4 WHEN 'en' THEN 1 WHEN 'de' THEN 5 ELSE 2 END AS country,
   md5({_without_stopwords(_CLEAN.format('d.text'))}) AS texto, neg, neu, pos, compound

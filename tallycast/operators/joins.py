@@ -13,16 +13,6 @@ from pyspark.sql import functions as F
 from ..functions.dates import day_number
 
 
-BROADCAST_ROWS = 200_000
-
-
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """The frame with a broadcast hint if it is counted to be small, else as it
-    is, and Spark shuffles it. For lists of short rows, such as a lexicon; the
-    count stops at the bound."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def join_tweet_user(tweets: DataFrame, users: DataFrame) -> DataFrame:
     """Tweets with the location of their author; exact duplicates once.
 

@@ -21,17 +21,31 @@ def merge_history(new: DataFrame, old: DataFrame) -> DataFrame:
 def upsert(new: DataFrame, old: DataFrame | None, keys: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
     """One row per key: the highest ``order`` wins, new over old on a tie.
 
-    ``max_by`` aggregates on the map side, so a key with very many versions
-    sends one candidate per task instead of all of them to one window.
+    ``old`` has one row per key, as this function makes it. The batch is
+    reduced to one row per key first; the history is then only joined with the
+    keys of the batch, never aggregated or sorted as a whole: a small batch is
+    broadcast by its known size, else both sides are hashed. Null keys are equal.
     """
-    rows = new.withColumn("_new", F.lit(1))
-    if old is not None:
-        rows = rows.unionByName(old.withColumn("_new", F.lit(0)))
     rest = [c for c in new.columns if c not in keys]
     # The row itself ends the order, so that a tie is settled the same way in every run.
-    rank = F.struct(*[F.col(c) for c in (order or [])], F.col("_new"), *[F.col(c) for c in rest])
-    picked = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), rank).alias("_row"))
-    return picked.select(*keys, "_row.*").select(*new.columns)
+    rank = F.struct(*[F.col(c) for c in (order or [])], *[F.col(c) for c in rest])
+    batch = new.groupBy(*keys).agg(F.max_by(F.struct(*rest), rank).alias("_row")).select(*keys, "_row.*").select(*new.columns)
+    if old is None:
+        return batch
+
+    def side(df: DataFrame, *extra: Column) -> DataFrame:
+        return df.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], *extra)
+
+    def same(df: DataFrame) -> list[Column]:
+        return [df[k].eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+
+    if not order:
+        return batch.unionByName(old.select(*new.columns).join(side(batch), same(old), "left_anti"))
+    came = side(batch, F.struct(*order).alias("_came"), F.lit(True).alias("_hit"))
+    old = old.select(*new.columns)
+    kept = old.join(came, same(old), "left").filter(F.col("_hit").isNull() | (F.struct(*order) > F.col("_came")))
+    late = side(kept.filter("_hit"))
+    return batch.join(late, same(batch), "left_anti").unionByName(kept.select(*new.columns))
 
 
 def overwrite_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -192,17 +206,16 @@ def check_keys(fact: DataFrame, dims: dict[str, tuple[DataFrame, str]]) -> DataF
     """Fact rows whose key is missing in a dimension, with the failing column.
 
     ``dims`` maps a fact column to (dimension, key column). A null key refers
-    to nothing and is no error. One anti join per dimension: small dimensions
-    are broadcast by their known size, and for others adaptive execution splits
-    the rows of a hot key.
+    to nothing and is no error. The fact is read once and joined with the
+    distinct keys of each dimension: small ones are broadcast by their known
+    size, for others adaptive execution splits the rows of a hot key.
     """
-    out = None
-    for col, (dim, dim_key) in dims.items():
-        side = dim.select(F.col(dim_key).alias(col))
-        rows = fact.filter(F.col(col).isNotNull()).join(side, col, "left_anti")
-        rows = rows.select(*fact.columns, F.lit(col).alias("missing"))
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    rows = fact
+    for i, (col, (dim, dim_key)) in enumerate(dims.items()):
+        side = dim.select(F.col(dim_key).alias(f"_d{i}")).distinct().withColumn(f"_in{i}", F.lit(True))
+        rows = rows.join(side, rows[col] == side[f"_d{i}"], "left").drop(f"_d{i}")
+    missing = [F.when(F.col(c).isNotNull() & F.col(f"_in{i}").isNull(), F.lit(c)) for i, c in enumerate(dims)]
+    return rows.select(*fact.columns, F.explode(F.array_compact(F.array(*missing))).alias("missing"))
 
 
 def save_models(models: DataFrame, path: str) -> None:

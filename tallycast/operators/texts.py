@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from .. import constants as C
 from ..functions.dates import day_of
 from ..functions.text import clean_text, remove_stopwords
-from .joins import small_side
 from .shape import map_column
 
 # ---- preparation and translation -------------------------------------------------
@@ -143,11 +142,9 @@ def score_sentiment(
     rows = rows.withColumn("w", _bare(F.col("w")))
 
     lex = lexicon.groupBy(F.lower("token").alias("_token")).agg(F.max("valence").cast("double").alias("_valence"))
-    hint = small_side(lex) is not lex
 
     def valence_of(frame: DataFrame, col: str, out: str) -> DataFrame:
         side = lex.select(F.col("_token").alias(f"_{col}"), F.col("_valence").alias(out))
-        side = F.broadcast(side) if hint else side
         return frame.join(side, F.lower(F.col(col)) == F.col(f"_{col}"), "left").drop(f"_{col}")
 
     w = F.lower("w")

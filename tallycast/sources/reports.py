@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 from .. import constants as C
 from ..functions.dates import day_of
 from ..functions.text import to_double
-from ..operators.joins import small_side
 from ..session import write_out
 
 REPORT_COLUMNS = ["Country_Region", "Confirmed", "Deaths", "Recovered", "date"]
@@ -33,33 +32,59 @@ def read_reports(spark: SparkSession, path: str | list[str], schema: T.StructTyp
     return (reader if schema is None else reader.schema(schema)).csv(path)
 
 
+# One cell of a line and what ends it: text in quotes, in which a quote is doubled, or anything up to the next comma.
+_CELL = r'("(?:[^"]|"")*"|[^,]*)(?:,|$)'
+
+
+def _cells(line: Column) -> Column:
+    """Cells of a CSV line, quotes taken off, blank cells null."""
+    raw = F.regexp_extract_all(line, F.lit(_CELL), F.lit(1))
+    bare = lambda c: F.when(c.startswith('"') & (F.length(c) > 1), F.replace(c.substr(F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))).otherwise(c)
+    return F.transform(raw, lambda c: F.nullif(bare(c), F.lit("")))
+
+
 def read_drifting_reports(
-    spark: SparkSession, path: str | list[str], columns: Sequence[str] = REPORT_COLUMNS, width: int = 64,
-    days: Sequence | None = None,
+    spark: SparkSession, path: str | list[str], columns: Sequence[str] = REPORT_COLUMNS, days: Sequence | None = None,
 ) -> DataFrame:
     """Report files of any number of header layouts, read as one table.
 
-    Each file keeps its own header: its first line, known by the name of the
-    country column, says at which position a column stands. A first pass finds
-    the headers; these, one row per file, are joined to the lines of their file. Columns a layout lacks
-    are null; files have up to ``width`` columns. ``days`` keeps both passes to
-    the folders of these collection dates.
+    Each file keeps its own header, its first line that is not blank: it says at which
+    position a column stands, however many there are. The first lines, one row
+    per file, are found by row number and joined to the lines of their file. Columns a layout lacks are null; a
+    line that repeats the header of its file is no row. A file whose first
+    line does not name the country column fails the job. A cell may hold commas
+    in quotes but no line end. ``days`` keeps both passes to the folders of
+    these collection dates.
     """
-    raw = spark.read.option("header", False).schema(", ".join(f"_c{i} string" for i in range(width))).csv(path)
+    raw = spark.read.text(path)
     if days is not None:
         raw = raw.filter(F.col("extract_date").isin(list(days)))
-    folder = [c for c in raw.columns if not c.startswith("_c")]
-    lines = raw.select(F.col("_metadata.file_path").alias("_file"), *folder, F.array(*[f"_c{i}" for i in range(width)]).alias("_cells"))
-    is_header = F.arrays_overlap("_cells", F.array(F.lit(_NEW_NAME), F.lit(_OLD_NAME))).eqNullSafe(F.lit(True))
-    headers = lines.filter(is_header).groupBy("_file").agg(F.first("_cells").alias("_names"))
-    headers = small_side(write_out(headers, "headers"))
-    rows = lines.filter(~is_header).join(headers, "_file")
+    folder = [c for c in raw.columns if c != "value"]
+    lines = raw.select(
+        F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"), *folder,
+        F.ltrim(F.col("value"), F.lit("\ufeff")).alias("_line"),
+    ).filter(F.trim("_line") != "")
+    # A file begins in one task, which numbers its lines in their order; only lines that may be a header carry their text.
+    number = F.monotonically_increasing_id()
+    named = F.col("_line").contains(_NEW_NAME) | F.col("_line").contains(_OLD_NAME)
+    heads = lines.filter("_block = 0").select("_file", number.alias("_n"), F.when(named, F.col("_line")).alias("_head"))
+    heads = heads.groupBy("_file").agg(
+        F.min("_n").alias("_first"), F.sort_array(F.collect_list(F.when(F.col("_head").isNotNull(), F.struct("_n", "_head"))))[0].alias("_h")
+    )
+    known = (F.col("_h._n") == F.col("_first")) & F.arrays_overlap(_cells(F.col("_h._head")), F.array(F.lit(_NEW_NAME), F.lit(_OLD_NAME)))
+    heads = write_out(heads.select("_file", F.when(known, F.col("_h._head")).alias("_head")), "headers")
+    joined = lines.join(heads.withColumn("_names", _cells(F.col("_head"))), "_file", "left")
+    missing = F.raise_error(F.concat(F.lit("no country column in the first line of "), F.col("_file"))).cast("string")
+    names = F.when(F.col("_head").isNull(), F.array(missing)).otherwise(F.col("_names"))
+    rows = joined.filter(F.col("_head").isNull() | (F.col("_line") != F.col("_head"))).select(
+        *folder, names.alias("_names"), _cells(F.col("_line")).alias("_cells")
+    )
 
     def at(name: str) -> Column:
         return F.try_element_at("_cells", F.nullif(F.array_position("_names", F.lit(name)).cast("int"), F.lit(0)))
 
-    named = [at(c).alias(c) for c in columns if c != _NEW_NAME]
-    return rows.select(F.coalesce(at(_NEW_NAME), at(_OLD_NAME)).alias(_NEW_NAME), *named, *folder)
+    named_columns = [at(c).alias(c) for c in columns if c != _NEW_NAME]
+    return rows.select(F.coalesce(at(_NEW_NAME), at(_OLD_NAME)).alias(_NEW_NAME), *named_columns, *folder)
 
 
 def normalise_header(df: DataFrame) -> DataFrame:

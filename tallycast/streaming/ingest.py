@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ..operators.aggregates import group_reports
 from ..operators.sinks import read_table, replace_partitions, upsert, with_grain
-from ..session import write_out
+from ..session import drop_scratch, scratch_path
 from ..sources.reports import REPORT_SCHEMA, read_drifting_reports, select_measures
 from ..functions.dates import parse_date
 
@@ -26,21 +26,27 @@ def merge_days(
     Only the partitions that ``new`` falls into are read and replaced. Their
     dates, at most one per day of the calendar, are fetched to become literals
     in the filter, so that other folders are not even listed for the scan. The
-    merged rows are written to the shared folder first: the table is not read
-    while it is replaced, and a lost executor costs tasks, not data. Running
-    the same batch again gives the same table.
+    merged rows are written to the shared folder first, and deleted there at the
+    end: the table is not read while it is replaced, and a lost executor costs
+    tasks, not data. Rows without a date keep to a partition of their own.
+    Running the same batch again gives the same table.
     """
-    rows = write_out(with_grain(new, by, grain), "batch")
-    old = read_table(rows.sparkSession, table, rows.schema)
+    spark = new.sparkSession
+    staged = scratch_path(spark, "merge")
+    rows = with_grain(new, by, grain)
+    days = distinct_days(rows, "part")
+    old = read_table(spark, table, rows.schema)
     if old is not None:
-        old = old.filter(F.col("part").isin(distinct_days(rows, "part"))).select(*rows.columns)
-    merged = upsert(rows, old, keys, order)
-    replace_partitions(write_out(merged, "merge"), table, ["part"])
+        touched = F.col("part").isin([d for d in days if d is not None])
+        old = old.filter(touched | F.col("part").isNull() if None in days else touched).select(*rows.columns)
+    upsert(rows, old, keys, order).write.parquet(staged)
+    replace_partitions(spark.read.schema(rows.schema).parquet(staged), table, ["part"])
+    drop_scratch(spark, staged)
 
 
 def distinct_days(df: DataFrame, col: str) -> list:
-    """The days in a date column; their number is bounded by the calendar."""
-    return [r[0] for r in df.select(F.col(col).cast("date")).distinct().collect() if r[0] is not None]
+    """The days in a date column, and None if any is missing; their number is bounded by the calendar."""
+    return [r[0] for r in df.select(F.col(col).cast("date")).distinct().collect()]
 
 
 def report_rows(reports: DataFrame) -> DataFrame:
@@ -69,6 +75,8 @@ def ingest_new_days(
 
     def merge(batch: DataFrame, _: int) -> None:
         days = distinct_days(batch, "extract_date")
+        if None in days:
+            raise ValueError("a file lies outside the extract_date= folders")
         if days:
             merge_days(transform(read_drifting_reports(batch.sparkSession, src, days=days)), table)
 

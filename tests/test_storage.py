@@ -1,12 +1,13 @@
 from datetime import date
-from types import SimpleNamespace
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tallycast.operators import sinks as K
 from tallycast.operators.joins import flag_intervals, lookup
-from tallycast.session import scratch_path, task_count
+from tallycast.session import drop_scratch, scratch_path, task_count
+from tallycast.sources.reports import read_drifting_reports
 from tallycast.sources.dims import dim_calendar, dim_countries, dim_happiness, dim_lockdowns
 from tallycast.streaming import ingest_new_days, merge_days
 
@@ -126,16 +127,58 @@ def test_merge_is_the_same_twice(spark, tmp_path):
 
 
 def test_scratch_folder(spark):
-    def session(base, master):
-        return SimpleNamespace(conf={"spark.checkpoint.dir": base} if base else {}, sparkContext=SimpleNamespace(master=master))
-
-    assert scratch_path(session("/shared/", "spark://x"), "x").startswith("/shared/x-")
-    with pytest.raises(ValueError):
-        scratch_path(session(None, "spark://x"), "x")
-    assert scratch_path(spark, "x") != scratch_path(spark, "x")
+    base = spark.conf.get("spark.checkpoint.dir")
+    path = scratch_path(spark, "x")
+    assert path.startswith(f"{base}/x-") and path != scratch_path(spark, "x")
+    spark.range(3).write.parquet(path)
+    assert spark.read.parquet(path).count() == 3
+    drop_scratch(spark, path)
+    with pytest.raises(AnalysisException):
+        spark.read.parquet(path)
     assert task_count(spark) >= 8
 
 
+def test_merge_keeps_rows_without_a_date(spark, tmp_path):
+    for name in "AB":
+        merge_days(frame(spark, [(name, None, 1.0), (name, DAYS[0], 2.0)]).withColumn("extract_date", F.col("date")), str(tmp_path / "t"))
+    got = spark.read.parquet(str(tmp_path / "t")).select("Country_Region", "date").collect()
+    assert sorted(map(tuple, got), key=repr) == sorted([(n, d) for n in "AB" for d in (None, DAYS[0])], key=repr)
+
+
+def test_stray_file_fails_the_batch(spark, tmp_path):
+    src = tmp_path / "src"
+    src.mkdir()
+    (src / "stray.csv").write_text("Country_Region,Confirmed,Deaths,Recovered,date\nA,1,0,0,03-01-2020\n")
+    with pytest.raises(Exception, match="outside the extract_date"):
+        ingest_new_days(spark, str(src), str(tmp_path / "table"), str(tmp_path / "state"))
+
+
+def test_headers_of_any_width(spark, tmp_path):
+    wide = ",".join([f"c{i}" for i in range(120)] + ["Country/Region", "Confirmed", "date"])
+    (tmp_path / "wide.csv").write_text(f"{wide}\n" + ",".join(["7"] * 120 + ['"Korea, South"', "3", "03-01-2020"]) + "\n")
+    (tmp_path / "new.csv").write_text("\n\ufeffCountry_Region,Deaths\nCountry_Region,4\nCountry_Region,Deaths\n")
+    got = sorted((r.Country_Region, r.Confirmed, r.Deaths, r.date) for r in read_drifting_reports(spark, str(tmp_path)).collect())
+    assert got == [("Country_Region", None, "4", None), ("Korea, South", "3", None, "03-01-2020")]
+    (tmp_path / "bad.csv").write_text("Nation,Confirmed\nA,1\nCountry_Region,2\n")
+    with pytest.raises(Exception, match="no country column"):
+        read_drifting_reports(spark, str(tmp_path)).collect()
+
+
+def test_upsert_joins_the_history(spark):
+    cols = "k int, v int, o int"
+    old = spark.createDataFrame([(1, 10, 5), (2, 20, 5), (3, 30, 5), (None, 40, 5)], cols)
+    new = spark.createDataFrame([(1, 11, 4), (2, 21, 5), (2, 22, 4), (4, 41, None), (None, 42, 6)], cols)
+    got = K.upsert(new, old, ["k"], ["o"])
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted([(1, 10, 5), (2, 21, 5), (3, 30, 5), (4, 41, None), (None, 42, 6)], key=repr)
+    wide = spark.range(1000).select(F.col("id").cast("int").alias("k"), F.lit(1).alias("v"), F.lit(1).alias("o"))
+    merged = K.upsert(new, wide, ["k"], ["o"])
+    assert merged.count() == 1001
+    merged.collect()
+    plan = merged._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    # the history is joined with the batch, never sorted or grouped
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") >= 2
+
+
 @pytest.mark.parametrize("grain,want", [("day", DAYS[1]), ("month", DAYS[0]), ("year", date(2020, 1, 1))])
 def test_grain(spark, grain, want):
     assert K.with_grain(frame(spark, [("A", DAYS[1], 1.0)]), "date", grain).first().part == want

@@ -2,7 +2,7 @@ import pytest
 
 from tallycast.functions.text import clean_text, remove_stopwords
 from tallycast.operators import texts as T
-from tallycast.operators.joins import join_tweet_user, small_side
+from tallycast.operators.joins import join_tweet_user
 from tallycast.plans.tweets import tweets_daily
 from tallycast.sources.html import extract_html_table
 from tallycast.sources.pages import PAGE_SCHEMA, incomplete_chains, read_pages, tweets_of, users_of
@@ -50,12 +50,6 @@ def test_but_and_negation_order(spark):
     assert found[4] == norm((1.9 + 0.293) * -0.74)
 
 
-def test_a_lexicon_that_is_not_small_is_not_hinted(spark):
-    lex = spark.createDataFrame(LEXICON, "token string, valence double")
-    assert small_side(lex, 5) is lex
-    assert small_side(lex, 50) is not lex
-
-
 def test_clean_text(spark):
     df = spark.createDataFrame([("OlÁ @foo #COVID-19, 世! naïve_x",)], "t string")
     assert df.select(clean_text("t")).first()[0] == "olá @foo #covid-19  naïvex"
