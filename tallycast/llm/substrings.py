@@ -212,20 +212,22 @@ def repeated_spans(docs: DataFrame, window: int = 35, gram: int = 8, leaves_per_
     """
     keyed = _keyed(docs)
     anchors = write_out(_anchors(keyed, window, gram), "anchors")
-    often = anchors.groupBy("g").agg(F.count("*").alias("k")).filter("k > 1").select("g")
+    # Sides of joins are written where they are sums, so that adaptive execution can split a hot key of the other side.
+    often = write_out(anchors.groupBy("g").agg(F.count("*").alias("k")).filter("k > 1").select("g"), "prefixes")
     found = write_out(anchors.join(often, "g", "left_semi"), "stretches")
     leaves = found.groupBy("g", "c").agg(F.count("*").alias("m"), F.min(F.struct("key", "rid", "lo", "lead", "n")).alias("at"))
-    per_prefix = leaves.groupBy("g").agg(F.count("*").alias("k")).filter("k > 1")
+    leaves = write_out(leaves, "distinct")
+    per_prefix = write_out(leaves.groupBy("g").agg(F.count("*").alias("k")).filter("k > 1"), "sizes")
     shared = leaves.join(per_prefix, "g").select("g", "c", "m", "at.*", (F.col("k") > leaves_per_prefix).alias("large"))
     by_doc = shared.groupBy("key", "rid").agg(F.collect_list(F.struct("g", "c", "m", "lo", "lead", "n", "large")).alias("stretches"))
     content = write_out(_leaves(keyed.join(by_doc, ["key", "rid"]), window), "leaves")
     trees = _subtrees(content.filter("words is not null"), window, gram)
     windows = content.filter("words is null").select("w1", "w2", "g", "c", "j", "m").distinct()
     deep = windows.groupBy("w1", "w2").agg(F.sum("m").alias("k")).filter("k > 1")
-    large = windows.join(deep, ["w1", "w2"]).groupBy("g", "c").agg(F.min("j").alias("from"), (F.max("j") + window).alias("to"))
+    large = windows.join(write_out(deep, "deep"), ["w1", "w2"]).groupBy("g", "c").agg(F.min("j").alias("from"), (F.max("j") + window).alias("to"))
     shares = trees.unionByName(large).withColumn("m", F.lit(1).cast("long"))
     copies = leaves.filter("m > 1").select("g", "c", F.lit(0).alias("from"), F.col("at.n").alias("to"), "m")
-    ranges = shares.unionByName(copies).groupBy("g", "c").agg(F.min("from").alias("from"), F.max("to").alias("to"))
+    ranges = write_out(shares.unionByName(copies).groupBy("g", "c").agg(F.min("from").alias("from"), F.max("to").alias("to")), "ranges")
     spans = found.join(ranges, ["g", "c"]).select("key", "rid", (F.col("lo") + F.col("from")).alias("from"), (F.col("lo") + F.col("to")).alias("to"))
     return spans.distinct().groupBy("key", "rid").agg(F.collect_list(F.struct("from", "to")).alias("spans"))
 
