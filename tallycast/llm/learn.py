@@ -88,7 +88,7 @@ def platt(scores: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float,
     ones, zeros = weight @ y, weight @ (1 - y)
     target = np.where(y == 1, (ones + 1) / (ones + 2), 1 / (zeros + 2))
     beta = np.array([1.0, 0.0])
-    ridge = 1e-3 * weight.sum() * np.eye(2)
+    ridge = 1e-4 * weight.sum() * np.eye(2)
     for _ in range(50):
         p = sigmoid(x @ beta)
         grad = x.T @ (weight * (p - target)) + ridge @ beta

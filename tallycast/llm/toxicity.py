@@ -143,7 +143,7 @@ def fit(texts: list[str], y: np.ndarray, share: float, vocabulary: int = 4096, s
         test = np.zeros(len(y), bool)
     even = np.where(y == 1, 0.5 / max(1, (y[~test] == 1).sum()), 0.5 / max(1, (y[~test] == 0).sum())) * ~test
     keep = ~test[rows]
-    w, bias = logistic(rows[keep], cols[keep], values[keep], y, even, len(top), l2=1e-3, pairs=pairs, pair_l2=swap_weight, steps=200)
+    w, bias = logistic(rows[keep], cols[keep], values[keep], y, even, len(top), l2=2e-4, pairs=pairs, pair_l2=swap_weight, steps=800)
     model.weights, model.bias = w, bias
     margin = bias + np.bincount(rows, w[cols] * values, len(y))
     weight = np.where(y == 1, share / y.mean(), (1 - share) / (1 - y.mean()))
