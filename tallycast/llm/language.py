@@ -6,10 +6,11 @@ import bisect
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .arrays import Words, blocks, column
+from .arrays import SPACE, Words, blocks, column, powers
 from .learn import lowest, remainder
 
 # First code point of each script range, and its script.
@@ -33,87 +34,96 @@ def script_of(word: str) -> str | None:
     return None
 
 
+#: Words scored at once.
+_CHUNK = 20_000
+_ASCII_LETTER = np.array([b < 128 and chr(b).isalpha() for b in range(256)])
+
+
+def word_blocks(texts: pa.Array, limit: int):
+    """(first text, end text, words) of blocks of lower-cased texts, each with blanks around it and every separator a blank."""
+    blank = lambda n: pa.scalar(" " * n, pa.large_string())
+    padded = pc.binary_join_element_wise(blank(1), pc.utf8_lower(column(texts)), blank(3), blank(0))
+    for lo, hi, data, offsets in blocks(padded, limit):
+        yield lo, hi, Words(np.where(SPACE[data], np.uint8(0x20), data), offsets)
+
+
 class LanguageModel:
-    """Naive Bayes over hashed byte runs of a word, with the scripts that each language uses.
+    """Naive Bayes over hashed byte runs, with the scripts that each language uses.
 
-    A word scores, for each language, the sum of the log probabilities of its
-    runs of 2 to 4 bytes (edges marked) and of the word itself. A language that
-    never uses the word's script is ruled out for it, unless no language does.
+    A word scores, for each language, the sum of the log probabilities of the
+    runs of 2 to 4 bytes that begin in it or in the blank before it, and of the
+    word itself. A language that never uses the word's script is ruled out for
+    it, unless no language does. A word with an ASCII letter is Latin, any
+    other has the script of its first letter.
     """
 
     def __init__(self, langs: list[str], tables: np.ndarray, scripts: dict[str, np.ndarray], bits: int):
         self.langs, self.tables, self.scripts, self.bits = langs, tables, scripts, bits
-        self.known: dict[bytes, int] = {}
-        self.rows: list[np.ndarray] = []
-        self.letters: list[bool] = []
+        self.known: dict[bytes, str | None] = {}
 
     @staticmethod
-    def buckets(words: list[bytes], bits: int) -> tuple[np.ndarray, np.ndarray]:
-        """(bucket, word) of the byte runs of words."""
-        marked = [b"<" + w + b">" for w in words]
-        texts = pa.array(marked, pa.large_binary()).view(pa.large_string()) if words else pa.array([], pa.large_string())
-        out, of = [], []
-        for lo, hi, data, offsets in blocks(texts):
-            w = Words(data, offsets)
-            for k, n in enumerate((2, 3, 4)):
-                g, bounds = w.grams(n)
-                out.append((g >> np.uint64(64 - bits)).astype(np.int64) + (k << bits))
-                of.append(np.repeat(np.arange(lo, hi), np.diff(bounds)))
-            out.append((w.hashes() >> np.uint64(64 - bits)).astype(np.int64) + (3 << bits))
-            of.append(np.arange(lo, hi))
-        return (np.concatenate(out), np.concatenate(of)) if out else (np.zeros(0, np.int64),) * 2
+    def runs(w: Words, a: int, b: int, bits: int) -> list[np.ndarray]:
+        """Buckets of the runs that begin at each byte from the blank before word ``a`` to the end of word ``b`` - 1."""
+        lo, hi = w.starts[a] - 1, w.stops[b - 1]
+        inverse = powers(len(w.data) + 1)[1][lo:hi] * np.uint64(0xD1342543DE82EF95)
+        return [((w.sums[lo + n : hi + n] - w.sums[lo:hi]) * inverse >> np.uint64(64 - bits)).astype(np.int64) for n in (2, 3, 4)]
+
+    def scripts_of(self, w: Words) -> list[tuple[str | None, np.ndarray]]:
+        """(script, words that have it); None for words without a letter."""
+        c = np.concatenate([[0], np.cumsum(_ASCII_LETTER[w.data])])
+        latin = c[w.stops] > c[w.starts]
+        found: dict[str | None, list[int]] = {}
+        if len(self.known) > 200_000:  # memory only
+            self.known = {}
+        for i in np.flatnonzero(~latin).tolist():
+            word = bytes(w.data[w.starts[i] : w.stops[i]])
+            if word not in self.known:
+                self.known[word] = script_of(word.decode(errors="replace"))
+            found.setdefault(self.known[word], []).append(i)
+        out = [(s, np.array(at)) for s, at in found.items()]
+        return out + ([("Latin", np.flatnonzero(latin))] if latin.any() else [])
 
     @classmethod
     def fit(cls, texts: list[str], langs: list[str], bits: int = 16) -> LanguageModel:
         names = sorted(set(langs))
-        counts = np.zeros((4 << bits, len(names)))
-        scripts: dict[str, np.ndarray] = {}
+        counts = np.zeros((4, 1 << bits, len(names)))
+        model = cls(names, counts, {}, bits)
         for k, name in enumerate(names):
-            seen: dict[bytes, int] = {}
-            for text, lang in zip(texts, langs):
-                if lang == name:
-                    for w in text.lower().encode().split():
-                        seen[w] = seen.get(w, 0) + 1
-            words = [w for w in seen if script_of(w.decode()) is not None]
-            for w in words:
-                scripts.setdefault(script_of(w.decode()), np.zeros(len(names)))[k] += seen[w]
-            bucket, of = cls.buckets(words, bits)
-            counts[:, k] = np.bincount(bucket, np.array([seen[w] for w in words], float)[of] if words else None, 4 << bits)
-        shares = {s: c / np.maximum(counts[3 << bits :].sum(0), 1) for s, c in scripts.items()}
-        parts = counts.reshape(4, 1 << bits, len(names))
-        tables = np.log((parts + 0.05) / (parts.sum(1, keepdims=True) + 0.05 * (1 << bits)))
-        return cls(names, tables.reshape(4 << bits, len(names)).astype(np.float32), {s: v > 1e-3 for s, v in shares.items()}, bits)
-
-    def learn_words(self, words: list[bytes]) -> None:
-        """Score words that were not met before."""
-        bucket, of = self.buckets(words, self.bits)
-        scores = np.zeros((len(words), len(self.langs)), np.float32)
-        for k in range(len(self.langs)):
-            scores[:, k] = np.bincount(of, self.tables[bucket, k], len(words))
-        for i, w in enumerate(words):
-            script = script_of(w.decode(errors="replace"))
-            self.letters.append(script is not None)
+            own = pa.array([t for t, lang in zip(texts, langs) if lang == name], pa.large_string())
+            for _, _, w in word_blocks(own, 1 << 20):
+                for script, at in model.scripts_of(w):
+                    if script is not None:
+                        model.scripts.setdefault(script, np.zeros(len(names)))[k] += len(at)
+                for a in range(0, len(w.starts), _CHUNK):
+                    for n, bucket in enumerate(cls.runs(w, a, min(a + _CHUNK, len(w.starts)), bits)):
+                        counts[n, :, k] += np.bincount(bucket, minlength=1 << bits)
+                counts[3, :, k] += np.bincount((w.hashes() >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+        total = np.maximum(counts[3].sum(0), 1)
+        model.scripts = {s: v / total > 1e-3 for s, v in model.scripts.items()}
+        model.tables = np.log((counts + 0.05) / (counts.sum(1, keepdims=True) + 0.05 * (1 << bits))).astype(np.float32)
+        return model
+
+    def word_scores(self, w: Words) -> tuple[np.ndarray, np.ndarray]:
+        """(scores, has a letter) of the words of a block; the best language of a word has 0, none less than -60."""
+        n = len(w.starts)
+        scores, letters = np.zeros((n, len(self.langs)), np.float32), np.ones(n, bool)
+        if not n or not self.langs:
+            return scores, letters
+        for a in range(0, n, _CHUNK):
+            b = min(a + _CHUNK, n)
+            rows = sum(self.tables[k][bucket] for k, bucket in enumerate(self.runs(w, a, b, self.bits)))
+            scores[a:b] = np.add.reduceat(rows, w.starts[a:b] - w.starts[a], axis=0)
+        scores += self.tables[3][(w.hashes() >> np.uint64(64 - self.bits)).astype(np.int64)]
+        scores -= scores.max(1, keepdims=True)
+        for script, at in self.scripts_of(w):
             if script is None:
-                scores[i] = 0
-            else:
-                scores[i] -= scores[i].max(initial=-np.inf) if len(self.langs) else 0
-                candidates = self.scripts.get(script)
-                if candidates is not None and candidates.any():
-                    scores[i, ~candidates] -= 50
-                np.maximum(scores[i], -60, out=scores[i])
-            self.known[w] = len(self.rows)
-            self.rows.append(scores[i])
-
-    def word_scores(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """(scores, has a letter) of the words of a block."""
-        if len(self.known) > 400_000:  # memory only: words are scored anew
-            self.known, self.rows, self.letters = {}, [], []
-        new = [w for w in dict.fromkeys(words) if w not in self.known]
-        if new:
-            self.learn_words(new)
-            self._matrix, self._has = np.array(self.rows, np.float32), np.array(self.letters)
-        at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-        return self._matrix[at], self._has[at]
+                letters[at] = False
+                scores[at] = 0
+                continue
+            candidates = self.scripts.get(script)
+            if candidates is not None and candidates.any():
+                scores[np.ix_(at, ~candidates)] -= 50
+        return np.maximum(scores, -60), letters
 
 
 def viterbi(scores: np.ndarray, bounds: np.ndarray, penalty: float) -> np.ndarray:
@@ -185,12 +195,9 @@ def label_texts(docs: DataFrame, model: LanguageModel, penalty: float = 12.0, sp
     langs = model.langs
 
     def words_of(batch):
-        texts = column(batch.column(1))
-        for lo, hi, data, offsets in blocks(texts, 4 << 20):
-            lower = [t.lower().encode().split() for t in texts.slice(lo, hi - lo).to_pylist()]
-            bounds = np.concatenate([[0], np.cumsum([len(x) for x in lower])])
-            scores, letters = model.word_scores([w for x in lower for w in x]) if bounds[-1] else (np.zeros((0, len(langs)), np.float32), np.zeros(0, bool))
-            yield lo, hi, bounds, scores, letters, viterbi(scores, bounds, penalty)
+        for lo, hi, w in word_blocks(batch.column(1), max(1 << 16, (8 << 20) // max(1, len(langs)))):
+            scores, letters = model.word_scores(w)
+            yield lo, hi, w.bounds, scores, letters, viterbi(scores, w.bounds, penalty)
 
     def verdicts(batches):
         for batch in batches:
