@@ -152,7 +152,7 @@ def fit(texts: list[str], y: np.ndarray, share: float, vocabulary: int = 4096, s
     return model
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, mod: int = 4, out: int = 2, per_class: int = 1500) -> ToxicityModel:
+def fit_toxicity(docs: DataFrame, labels: DataFrame, mod: int = 4, out: int = 2, per_class: int = 1000) -> ToxicityModel:
     """Learn from at most ``per_class`` labelled rows of each class whose id's crc32 modulo ``mod`` is not ``out``."""
     return fit(*labelled_texts(docs, labels, "toxic", mod, out, per_class))
 
@@ -175,7 +175,7 @@ def with_toxicity(docs: DataFrame, model: ToxicityModel, score: str = "score") -
 
 
 def toxicity_scores(
-    docs: DataFrame, labels: DataFrame, mod: int = 4, out: int = 2, per_class: int = 1500, threshold: float = 0.3
+    docs: DataFrame, labels: DataFrame, mod: int = 4, out: int = 2, per_class: int = 1000, threshold: float = 0.3
 ) -> DataFrame:
     """(doc_id, held_out, score, predicted), a row for each document."""
     scored = with_toxicity(docs.select("doc_id", "text"), fit_toxicity(docs, labels, mod, out, per_class))
