@@ -7,7 +7,6 @@ or uses two independent hashes.
 
 from __future__ import annotations
 
-import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,8 +22,16 @@ PUNCTUATION = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 
 _BASE = np.uint64(0x9E3779B97F4A7C17)
 _BYTE = np.random.default_rng(20).integers(0, 2**64, 256, np.uint64)
-_powers: list[np.ndarray] = []
-_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+class _PerProcess(list):
+    """A list that stays empty when functions are sent to tasks."""
+
+    def __reduce__(self):
+        return _PerProcess, ()
+
+
+_powers: list[np.ndarray] = _PerProcess()
 
 
 def _inverse(a: int) -> int:
@@ -82,8 +89,6 @@ def blocks(texts: pa.Array, limit: int | None = None) -> Iterator[tuple[int, int
 def give_back() -> None:
     """Return freed memory to the system: workers live on for the next job and count against their executor."""
     pa.default_memory_pool().release_unused()
-    if _trim is not None:
-        _trim(0)
 
 
 class Words:
