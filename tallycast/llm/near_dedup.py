@@ -140,35 +140,91 @@ def aligned(a: np.ndarray, b: np.ndarray, least: float) -> float:
     return matched / (total - matched)
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, k: int, least: float) -> DataFrame:
-    """(a, b, similarity) of pairs of documents; each text is shuffled once for each side."""
-    texts = docs.select("doc_id", "text").filter("doc_id is not null")
-    left, right = (texts.select(F.col("doc_id").alias(c), F.col("text").alias(f"t{c}")) for c in ("a", "b"))
+#: Buckets of so many texts are compared pair by pair.
+FEW = 16
+_REORDERED = np.uint64(1)
+_MINIMA = np.random.default_rng(8).integers(0, 2**64, (12, 1), np.uint64)
+
+
+def difference_marks(text: np.ndarray, lead: np.ndarray, linked: bool, least: float) -> np.ndarray:
+    """Marks that a text must share with any text it is linked to, unless the lead links both.
+
+    ``text`` and ``lead`` are labelled runs. What the text has more or less than
+    the lead is its difference. If x and y are linked, their differences differ
+    in at most T = (1 - least) / (1 + least) (|x| + |y|) items. A text y that is
+    not linked to the lead has more than T of them, so any x linked to y shares
+    at least |difference of y| - T of them, and at least four ninths of its own.
+    Two lists that share t items share one among the first (length - t + 1) of
+    each in any common order (prefix filter); those are marks. A difference of
+    more than 2 T has to be shared for the most part (Jaccard similarity of a
+    half at least), so its marks are ``_MINIMA`` minimum hashes only, which miss
+    with a chance below 0.0003; all texts have these as well. Where only the
+    order of the runs speaks against a link, a mark for that brings such texts
+    together with all that are linked to the lead.
+    """
+    marks = np.sort(np.concatenate([mix(np.setdiff1d(text, lead)), mix(np.setdiff1d(lead, text) ^ np.uint64(0x5851F42D4C957F2D))]))
+    size, share = len(marks), (1 - least) / (1 + least)
+    most = int(share * len(text) * (1 + 1 / least) + 1e-9)
+    minima = mix(((marks ^ _MINIMA) * np.uint64(0x9E3779B97F4A7C15)).min(1)) ^ _MINIMA[:, 0] if size else marks
+    reordered = not linked and size <= share * (len(text) + len(lead)) + 1e-9
+    if linked:
+        common = int(np.ceil(size * (1 - share) / 2 - 1e-9))
+    elif reordered:
+        common = 1
+    else:
+        common = size - most
+    marks = marks[: size - max(1, common) + 1] if size <= 2 * most else marks[:0]
+    return np.concatenate([marks, minima, np.full(int(linked or reordered), _REORDERED)])
+
+
+def _compared(pairs: DataFrame, docs: DataFrame, k: int, least: float) -> DataFrame:
+    """(tid, lead, similarity, marks) of pairs of texts; each text of ``docs`` is shuffled once for each side."""
+    own, other = (docs.select(F.col("doc_id").alias(c), F.col("text").alias(f"t{c}")) for c in ("tid", "lead"))
 
     def rows(batches):
         for batch in batches:
-            size = batch.num_rows
-            sims = np.zeros(size)
             sides = [column(batch.column(2)), column(batch.column(3))]
-            for lo in range(0, size, 200):
-                n = min(200, size - lo)
+            for lo in range(0, batch.num_rows, 200):
+                n = min(200, batch.num_rows - lo)
                 runs = []
                 for side in sides:
-                    own = []
+                    got = []
                     for _, _, data, offsets in blocks(side.slice(lo, n)):
                         w = Words(data, offsets)
                         s, bounds = shingles(w, w.hashes(), k)
-                        own += [s[bounds[i] : bounds[i + 1]] for i in range(len(bounds) - 1)]
-                    runs.append(own)
-                sims[lo : lo + n] = [aligned(x, y, least) for x, y in zip(*runs)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sims)], ["a", "b", "similarity"])
-
-    joined = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "ta", "tb")
-    return joined.mapInArrow(rows, "a long, b long, similarity double")
-
-
-def _ordered(x: str, y: str):
-    return F.least(x, y).alias("a"), F.greatest(x, y).alias("b")
+                        items = labelled(s, bounds)
+                        got += [(s[x:y], items[x:y]) for x, y in zip(bounds[:-1], bounds[1:])]
+                    runs.append(got)
+                sims = [aligned(x[0], y[0], least) for x, y in zip(*runs)]
+                marks = [difference_marks(x[1], y[1], sim >= least, least).view(np.int64) for sim, x, y in zip(sims, *runs)]
+                ends = np.concatenate([[0], np.cumsum([len(m) for m in marks])]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(lo, n), batch.column(1).slice(lo, n), pa.array(sims, pa.float64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(marks)))],
+                    ["tid", "lead", "similarity", "marks"],
+                )
+
+    joined = pairs.select("tid", "lead").join(own, "tid").join(other, "lead").select("tid", "lead", "ttid", "tlead")
+    return joined.mapInArrow(rows, "tid long, lead long, similarity double, marks array<long>")
+
+
+def _with_roots(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    return rows.join(roots, "tid", "left").withColumn("root", F.coalesce("root", "tid"))
+
+
+def _joined(roots: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(tid, root) after new links (a, b); only the roots they join are gone through again."""
+    if roots is None:
+        return components(links.distinct()).select(F.col("v").alias("tid"), "root")
+    for c in ("a", "b"):
+        known = roots.select(F.col("tid").alias(c), F.col("root").alias("to"))
+        links = links.join(known, c, "left").withColumn(c, F.coalesce("to", c)).drop("to")
+    links = write_out(links.filter("a <> b").distinct(), "links")
+    if not links.limit(1).count():
+        return roots
+    step = write_out(components(links), "steps")
+    nodes = step.select(F.col("v").alias("tid")).join(roots, "tid", "left_anti").withColumn("root", F.col("tid"))
+    moved = roots.unionByName(nodes).join(step.select(F.col("v").alias("root"), F.col("root").alias("to")), "root", "left")
+    return write_out(moved.select("tid", F.coalesce("to", "root").alias("root")), "classes")
 
 
 def near_classes(docs: DataFrame, k: int = 5, least: float = 0.8, sketch: OrderSketch | None = None) -> DataFrame:
@@ -177,43 +233,62 @@ def near_classes(docs: DataFrame, k: int = 5, least: float = 0.8, sketch: OrderS
     Texts with the same words are copies and become one text first. Two texts
     are linked if their runs of ``k`` words align with at least ``least`` of
     them shared; classes are what links connect. Texts that share a band meet
-    in its bucket: each is compared with the bucket's first and last text, and
-    while a bucket holds texts of several classes, each class sends its first
-    text to be compared with all of the others. That ends once no new link
-    turns up, so a member of a bucket is left apart only after it, or the text
-    that stands for its class, was compared with each other class there. No
-    bucket is cut or dropped.
+    in its bucket. In one of at most ``FEW`` texts all pairs are compared; in a
+    larger one each text is compared with one of them, the bucket's lead. If that
+    leaves the bucket with more than one class, its texts are dealt anew by marks
+    of how they differ from the lead: two texts that are linked but not in
+    one class yet share a mark (see ``difference_marks``). Smaller buckets are
+    treated in the same way, no pair twice, until none holds two classes. So no
+    link between texts of a bucket is given up, no bucket is cut or dropped, and
+    a bucket gives as many pairs as it has texts, not their square.
 
     Rows that share a doc_id are in one class. Rows without an id take no part
     and get a null class. Texts without words are copies of one another.
     """
     have = docs.select("doc_id", "text").filter("doc_id is not null")
     sketched = write_out(sketches(have, k, sketch or OrderSketch()), "sketches")
-    copies = sketched.groupBy("w1", "w2").agg(F.min("doc_id").alias("tid"))
+    copies = write_out(sketched.groupBy("w1", "w2").agg(F.min("doc_id").alias("tid")), "copies")
     known = sketched.join(copies, ["w1", "w2"])
-    member = write_out(known.select("doc_id", "tid"), "copies")
-    texts = known.filter("doc_id = tid").select("tid", F.explode("bands").alias("band")).distinct()
-    ends = texts.groupBy("band").agg(F.min("tid").alias("first"), F.max("tid").alias("last")).filter("first < last")
-    buckets = write_out(texts.join(ends, "band"), "buckets")
-    pairs = buckets.select(F.col("tid"), F.explode(F.array("first", "last")).alias("other")).filter("tid <> other")
-    pairs = pairs.select(*_ordered("tid", "other")).distinct()
-    same_id = member.filter("doc_id <> tid").select(F.col("tid").alias("a"), F.col("doc_id").alias("b"))
-    twice = sketched.groupBy("doc_id").agg(F.min("w1").alias("x"), F.max("w1").alias("y")).filter("x <> y").select("doc_id")
+    member = write_out(known.select("doc_id", "tid"), "members")
     # a document whose id stands for another text as well links both
-    extra = same_id.join(twice.select(F.col("doc_id").alias("b")), "b", "left_semi").select("a", "b")
-    checked = write_out(_verified(pairs, have, k, least), "verified")
+    twice = sketched.groupBy("doc_id").agg(F.min("w1").alias("x"), F.max("w1").alias("y")).filter("x <> y").select("doc_id")
+    extra = member.filter("doc_id <> tid").join(twice, "doc_id", "left_semi").select(F.col("tid").alias("a"), F.col("doc_id").alias("b"))
+    texts = known.filter("doc_id = tid").select("tid", F.explode("bands").alias("bucket")).distinct()
+    sizes = write_out(texts.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1"), "sizes")
+    buckets = write_out(texts.join(sizes, "bucket"), "buckets")
+    # texts that meet many others are the likeliest to be linked to them, so they lead
+    weight = write_out(buckets.groupBy("tid").agg(F.sum("n").alias("weight")), "weights")
+    have = write_out(have.join(weight.select(F.col("tid").alias("doc_id")), "doc_id", "left_semi"), "texts")
+    buckets = buckets.select("bucket", "tid").join(weight, "tid")
+    compared, roots = None, None
     while True:
-        links = checked.filter(F.col("similarity") >= least).select("a", "b").unionByName(extra).distinct()
-        roots = components(links).select(F.col("v").alias("tid"), "root")
-        placed = buckets.select("band", "tid").join(roots, "tid", "left").select("band", "tid", F.coalesce("root", "tid").alias("root"))
-        mixed = placed.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x < y").select("band")
-        placed = placed.join(mixed, "band")
-        firsts = placed.groupBy("band", "root").agg(F.min("tid").alias("lead")).withColumnRenamed("root", "lead_root")
-        pairs = placed.join(firsts, "band").filter("root <> lead_root").select(*_ordered("tid", "lead")).distinct()
-        fresh = write_out(_verified(pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti"), have, k, least), "verified")
-        if not fresh.filter(F.col("similarity") >= least).limit(1).count():
+        leads = write_out(
+            buckets.groupBy("bucket").agg(F.max(F.struct("weight", "tid")).alias("top"), F.count("*").alias("n")).select("bucket", F.col("top.tid").alias("lead"), "n"), "leads"
+        )
+        pairs = buckets.join(leads.filter(F.col("n") > FEW), "bucket").filter("tid <> lead").select("bucket", "tid", "lead", "weight")
+        few = buckets.join(leads.filter(F.col("n") <= FEW), "bucket").groupBy("bucket").agg(F.sort_array(F.collect_list("tid")).alias("all"))
+        few = few.select("all", F.posexplode("all").alias("i", "lead")).select("lead", F.explode(F.slice("all", F.col("i") + 2, F.lit(FEW))).alias("tid"))
+        few = few.select("tid", "lead").distinct()
+        if roots is not None:  # texts of one class need no link
+            other = roots.select(F.col("tid").alias("lead"), F.col("root").alias("lead_root"))
+            few = _with_roots(few, roots).join(other, "lead", "left").filter(F.col("root") != F.coalesce("lead_root", "lead")).select("tid", "lead")
+        if compared is not None:
+            pairs, few = (p.join(compared, ["tid", "lead"], "left_anti") for p in (pairs, few))
+        pairs = write_out(pairs, "pairs")
+        found = write_out(_compared(pairs.select("tid", "lead").unionByName(few).distinct(), have, k, least), "compared")
+        done = found.select("tid", "lead").unionByName(found.select(F.col("lead").alias("tid"), F.col("tid").alias("lead")))
+        compared = done if compared is None else write_out(compared.unionByName(done), "done")
+        new = found.filter(F.col("similarity") >= least).select(F.least("tid", "lead").alias("a"), F.greatest("tid", "lead").alias("b"))
+        roots = _joined(roots, new if roots is not None else new.unionByName(extra))
+        placed = _with_roots(pairs, roots).join(roots.select(F.col("tid").alias("lead"), F.col("root").alias("lead_root")), "lead", "left")
+        apart = placed.groupBy("bucket").agg(F.max(F.col("root") != F.coalesce("lead_root", "lead")).alias("mixed")).filter("mixed").select("bucket")
+        again = pairs.join(apart, "bucket", "left_semi").select("tid", "lead", "weight").distinct()
+        dealt = again.join(found.select("tid", "lead", F.explode("marks").alias("mark")), ["tid", "lead"])
+        dealt = write_out(dealt.select(F.xxhash64("lead", "mark").alias("bucket"), "tid", "weight"), "dealt")
+        mixed = _with_roots(dealt, roots).groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x < y").select("bucket")
+        buckets = write_out(dealt.join(write_out(mixed, "mixed"), "bucket", "left_semi"), "buckets")
+        if not buckets.limit(1).count():
             break
-        checked = write_out(checked.unionByName(fresh), "verified")
     classes = member.join(roots, "tid", "left").select("doc_id", F.coalesce("root", "tid").alias("class_id"))
     classes = classes.groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
     return docs.select("doc_id").join(classes, "doc_id", "left")

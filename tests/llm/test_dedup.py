@@ -10,7 +10,8 @@ from conftest import SF
 from fixtures import documents  # noqa: F401
 
 from tallycast.llm.components import components
-from tallycast.llm.near_dedup import OrderSketch, aligned, near_classes
+from tallycast.llm.arrays import mix
+from tallycast.llm.near_dedup import OrderSketch, aligned, difference_marks, labelled, near_classes
 from tallycast.llm.substrings import without_repeats
 
 R = random.Random(2)
@@ -40,6 +41,37 @@ def test_banded_alignment():
         assert (got >= 0.8) == (s >= 0.8 - 1e-12) and (s < 0.8 or abs(got - s) < 1e-9)
 
 
+def test_linked_texts_share_a_mark():
+    r = random.Random(3)
+    items = lambda t: labelled(mix(np.array(t, np.uint64)), np.array([0, len(t)]))
+    linked = lambda a, b: aligned(np.array(a, np.uint64), np.array(b, np.uint64), 0.8) >= 0.8
+
+    def changed(text, edits):
+        t = list(text)
+        for _ in range(edits):
+            at, kind = r.randrange(len(t)), r.random()
+            if kind < 0.3 and len(t) > 3:
+                t.pop(at)
+            elif kind < 0.6:
+                t.insert(at, r.randint(0, 10**9))
+            else:
+                t[at] = r.randint(0, 10**9)
+        at = r.randrange(len(t)) if r.random() < 0.15 else 0
+        return t[at:] + t[:at]
+
+    n = 0
+    for _ in range(1500):
+        lead = [r.randint(0, 10**9) for _ in range(r.randint(10, 60))]
+        y = changed(lead, r.randint(0, len(lead)))
+        x = changed(y, r.randint(0, max(1, len(y) // 6)))
+        by_lead = [linked(t, lead) for t in (x, y)]
+        if linked(x, y) and not all(by_lead):
+            a, b = (set(difference_marks(items(t), items(lead), k, 0.8).tolist()) for t, k in zip((x, y), by_lead))
+            assert a & b
+            n += 1
+    assert n > 500
+
+
 def roots(edges, nodes):
     p = {n: n for n in nodes}
 
