@@ -41,7 +41,7 @@ def test_stages_on_odd_rows(spark, plain):
     passage = " ".join(f"p{i}" for i in range(60))
     rows = [(None, "no id"), (None, "no id"), (1, None), (2, ""), (3, "a few words"), (3, "a few words"), (4, "a few words"), (5, f"start {passage} end"), (6, f"other {passage} place")]
     near = pipeline.near_dedup(spark, plain(rows), SF).collect()
-    assert sorted((r["doc_id"] for r in near), key=repr) == sorted([None, None, 1, 3, 5, 6], key=repr)
+    assert sorted((r["doc_id"] for r in near), key=repr) == sorted([None, None, 1, 3, 5], key=repr)  # 6 is a near copy of 5
     cut = {r["doc_id"]: (r["text"], r["n_chars"]) for r in pipeline.substring_dedup(spark, plain(rows[5:]), SF).collect()}
     assert cut == {3: ("a few words", 11), 4: ("a few words", 11), 5: ("start end", 9), 6: ("other place", 11)}
     assert pipeline.substring_dedup(spark, plain([(1, passage), (2, passage)]), SF).collect() == []
