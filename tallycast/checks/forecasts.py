@@ -294,15 +294,16 @@ def backtest(spark, sf):
 
 @query("order_search")
 def order_search(spark, sf):
-    grid = arima.order_grid(p=(1, 2), d=(1,), q=(1, 2)) + arima.order_grid(p=(1,), d=(1,), q=(1,), sp=(1,), m=7)
+    """All seasonal orders of weekly data with p, q, P and Q up to seven."""
+    to = range(8)
+    grid = arima.order_grid(p=to, d=(1,), q=to, sp=to, sd=(1,), sq=to, m=7)
     return arima.search_orders(series_of(spark, sf), grid)
 
 
 @query("order_stepwise")
 def order_stepwise(spark, sf):
-    """Stepwise search on monthly sums of every series, by exact likelihood."""
-    s = series_of(spark, sf).groupBy("series", F.trunc("date", "month").alias("date")).agg(F.sum("value").alias("value"))
-    return arima.search_stepwise(s, d=1, limit=3)
+    """Stepwise search of the same orders on every daily series, by exact likelihood."""
+    return arima.search_stepwise(series_of(spark, sf), d=1, sd=1, m=7, limit=7)
 
 
 def _training(s):
@@ -377,13 +378,13 @@ def additive_query(spark, sf):
 
 @query("cross_validate")
 def cross_validate(spark, sf):
-    found = additive.cross_validate(stored_series(spark, sf), horizon=30, period=90)
+    found = additive.cross_validate(stored_series(spark, sf), horizon=30)
     return A.score(found, ["series", "h"])
 
 
 @query("tune")
 def tune(spark, sf):
-    params = {"changepoint_prior_scale": [0.01, 0.5], "seasonality_prior_scale": [0.1, 10.0]}
-    return additive.tune(stored_series(spark, sf), params, 30, period=180)
+    params = {"changepoint_prior_scale": [0.001, 0.01, 0.1, 0.5], "seasonality_prior_scale": [0.01, 0.1, 1.0, 10.0]}
+    return additive.tune(stored_series(spark, sf), params, 30)
 
 

@@ -9,6 +9,7 @@ data with no refit.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 import numpy as np
@@ -373,8 +374,9 @@ def _with_orders(packed: DataFrame, orders, key: str) -> DataFrame:
             (F.col("grid_id") if "grid_id" in orders.columns else F.lit(0)).cast("int").alias("grid_id"),
         )
         return packed.join(side, key)
-    rows = [F.struct(*[F.lit(v).alias(k) for k, v in o.items()]) for o in order_rows(orders)]
-    return packed.select("*", F.inline(F.array(*rows)))
+    fields = ", ".join(f"{c}: int" for c in ["grid_id", *ORDER])
+    # one literal for the whole list: a plan of thousands of them takes minutes
+    return packed.select("*", F.inline(F.from_json(F.lit(json.dumps(order_rows(orders))), f"array<struct<{fields}>>")))
 
 
 def _model_row(key: str, name, grid_id: int, order, found: dict) -> pd.DataFrame:

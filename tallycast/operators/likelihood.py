@@ -2,7 +2,7 @@
 
 The values past the first max(p, q) are put through the autoregressive part, so
 that their covariance has a narrow band (Brockwell and Davis 1991, ch. 5 and 8);
-a band Cholesky factor whitens the series and gives the determinant. With the
+a band Cholesky factor, taken block by block, whitens the series and gives the determinant. With the
 variance concentrated out, the likelihood is largest where the whitened values,
 scaled by the determinant, have the least sum of squares: the same damped
 Gauss-Newton search as for conditional least squares finds it.
@@ -18,16 +18,16 @@ def autocovariance(ar: np.ndarray, ma: np.ndarray, n: int) -> np.ndarray:
     p, q = len(ar) - 1, len(ma) - 1
     psi = np.zeros(q + 1)
     for j in range(q + 1):
-        psi[j] = ma[j] - sum(ar[i] * psi[j - i] for i in range(1, min(p, j) + 1))
+        i = np.arange(1, min(p, j) + 1)
+        psi[j] = ma[j] - ar[i] @ psi[j - i]
     right = np.array([ma[k:] @ psi[:q + 1 - k] if k <= q else 0.0 for k in range(max(p + 1, n))])
     left = np.zeros((p + 1, p + 1))
-    for k in range(p + 1):
-        for i in range(p + 1):
-            left[k, abs(k - i)] += ar[i]
+    rows, cols = np.indices(left.shape)
+    np.add.at(left, (rows, np.abs(rows - cols)), ar[cols])
     gamma = np.zeros(max(p + 1, n))
     gamma[:p + 1] = np.linalg.solve(left, right[:p + 1])
     for k in range(p + 1, n):
-        gamma[k] = right[k] - sum(ar[i] * gamma[k - i] for i in range(1, p + 1))
+        gamma[k] = right[k] - ar[1:] @ gamma[k - np.arange(1, p + 1)]
     return gamma[:n]
 
 
@@ -39,28 +39,37 @@ def whiten(x: np.ndarray, ar: np.ndarray, ma: np.ndarray) -> tuple[np.ndarray, f
     value = np.concatenate([x[:m], filtered[m:]])
     width = max(m - 1, q, 0)
     # band[j, k] is the covariance of values j and j + k.
-    band = np.zeros((n + width, width + 1))
+    # Blocks at least as wide as the band have neighbours only; ones fill up the last.
+    size = max(width, 16)
+    count = -(-n // size)
+    band = np.zeros((count * size, width + 1))
     far = np.array([ma[k:] @ ma[:q + 1 - k] if k <= q else 0.0 for k in range(width + 1)])
     band[m:n] = far
     if m:
         gamma = autocovariance(ar, ma, m + width + 1)
         # Covariance of an unfiltered value with the filtered one k days later.
-        mixed = np.array([sum(ar[i] * gamma[abs(k - i)] for i in range(p + 1)) for k in range(width + 1)])
+        mixed = np.array([ar @ gamma[np.abs(k - np.arange(p + 1))] for k in range(width + 1)])
         for j in range(m):
             inside = np.arange(width + 1) + j < m
             band[j] = np.where(inside, gamma[:width + 1], mixed)
-    band[n:] = 0
-    rows, cols = np.tril_indices(width)
-    flat, stride = band.ravel(), width + 1
-    at = (cols + 1) * stride + (rows - cols)
-    z, logdet = np.zeros(n + width), 0.0
-    z[:n] = value
-    for j in range(n):
-        d = np.sqrt(flat[j * stride])
-        logdet += 2 * np.log(d)
-        z[j] /= d
-        if width:
-            low = flat[j * stride + 1:(j + 1) * stride] / d
-            flat[at + j * stride] -= low[rows] * low[cols]
-            z[j + 1:j + 1 + width] -= low * z[j]
-    return z[:n], logdet
+    band[n:, 0] = 1
+    ahead = np.arange(width + 1)
+    band[(np.arange(len(band))[:, None] + ahead >= n) & (ahead > 0)] = 0
+    i, j = np.indices((size, size))
+    gap, below = np.abs(i - j), size + i - j
+    at = np.arange(count)[:, None, None] * size
+    inner = np.where(gap <= width, band[at + np.minimum(i, j), np.minimum(gap, width)], 0.0)
+    lower = np.where(below <= width, band[at + j, np.minimum(below, width)], 0.0)
+    left = np.concatenate([value, np.zeros(len(band) - n)]).reshape(count, size)
+    z, logdet, side = np.zeros((count, size)), 0.0, np.zeros((size, size))
+    for b in range(count):
+        try:
+            factor = np.linalg.cholesky(inner[b] - side @ side.T)
+        except np.linalg.LinAlgError:
+            return np.full(n, np.nan), np.nan
+        if b:
+            left[b] -= side @ z[b - 1]
+        solved = np.linalg.solve(factor, np.column_stack([lower[b].T, left[b]]))
+        side, z[b] = solved[:, :-1].T, solved[:, -1]
+        logdet += 2 * np.log(np.diag(factor)).sum()
+    return z.ravel()[:n], logdet
