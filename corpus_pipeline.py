@@ -29,9 +29,17 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each class of near copies, once; documents without an id stay."""
-    first = near_classes(docs).filter("doc_id = class_id").select("doc_id").distinct()
-    return docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(docs.filter("doc_id is null"))
+    """The row with the least id of each class of near copies, once; documents without an id stay.
+
+    Classes are of rows, known by id and text, so an id that stands for two texts joins nothing.
+    """
+    rid = F.xxhash64("doc_id", "text")
+    rows = docs.filter("doc_id is not null").select("doc_id", rid.alias("_rid"), "text")
+    classes = near_classes(rows.select(F.col("_rid").alias("doc_id"), "text")).distinct().withColumnRenamed("doc_id", "_rid")
+    least = F.min(F.struct("doc_id", "_rid"))["_rid"].alias("_rid")
+    first = rows.select("doc_id", "_rid").join(classes, "_rid").groupBy("class_id").agg(least).select("_rid")
+    kept = docs.filter("doc_id is not null").withColumn("_rid", rid).join(first, "_rid", "left_semi").dropDuplicates(["_rid"])
+    return kept.select(docs.columns).unionByName(docs.filter("doc_id is null"))
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -50,6 +50,12 @@ def test_stages_on_odd_rows(spark, plain):
         assert stage(spark, plain(rows), SF).count() > 0
 
 
+def test_an_id_of_two_texts_joins_nothing(spark, plain):
+    rows = [(1, "one clean text"), (2, "one clean text"), (2, "quite another thing"), (3, "quite another thing"), (3, "quite another thing")]
+    near = pipeline.near_dedup(spark, plain(rows), SF).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in near) == [(1, "one clean text"), (2, "quite another thing")]
+
+
 def test_registered():
     import __spark_entry__ as entry
 
