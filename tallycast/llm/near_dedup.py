@@ -238,7 +238,8 @@ def near_classes(docs: DataFrame, k: int = 5, least: float = 0.8, sketch: OrderS
     leaves the bucket with more than one class, its texts are dealt anew by marks
     of how they differ from the lead: two texts that are linked but not in
     one class yet share a mark (see ``difference_marks``). Smaller buckets are
-    treated in the same way, no pair twice, until none holds two classes. So no
+    treated in the same way, no pair aligned twice in one direction, until none
+    holds two classes; each is without the lead it was dealt by. So no
     link between texts of a bucket is given up, no bucket is cut or dropped, and
     a bucket gives as many pairs as it has texts, not their square.
 
@@ -260,7 +261,7 @@ def near_classes(docs: DataFrame, k: int = 5, least: float = 0.8, sketch: OrderS
     weight = write_out(buckets.groupBy("tid").agg(F.sum("n").alias("weight")), "weights")
     have = write_out(have.join(weight.select(F.col("tid").alias("doc_id")), "doc_id", "left_semi"), "texts")
     buckets = buckets.select("bucket", "tid").join(weight, "tid")
-    compared, roots = None, None
+    known, roots = None, None
     while True:
         leads = write_out(
             buckets.groupBy("bucket").agg(F.max(F.struct("weight", "tid")).alias("top"), F.count("*").alias("n")).select("bucket", F.col("top.tid").alias("lead"), "n"), "leads"
@@ -272,18 +273,21 @@ def near_classes(docs: DataFrame, k: int = 5, least: float = 0.8, sketch: OrderS
         if roots is not None:  # texts of one class need no link
             other = roots.select(F.col("tid").alias("lead"), F.col("root").alias("lead_root"))
             few = _with_roots(few, roots).join(other, "lead", "left").filter(F.col("root") != F.coalesce("lead_root", "lead")).select("tid", "lead")
-        if compared is not None:
-            pairs, few = (p.join(compared, ["tid", "lead"], "left_anti") for p in (pairs, few))
         pairs = write_out(pairs, "pairs")
-        found = write_out(_compared(pairs.select("tid", "lead").unionByName(few).distinct(), have, k, least), "compared")
-        done = found.select("tid", "lead").unionByName(found.select(F.col("lead").alias("tid"), F.col("tid").alias("lead")))
-        compared = done if compared is None else write_out(compared.unionByName(done), "done")
+        todo = pairs.select("tid", "lead")
+        if known is not None:  # known pairs are not aligned again, but still count below; marks hold for one direction
+            done = known.select("tid", "lead")
+            todo = todo.join(done, ["tid", "lead"], "left_anti")
+            either = done.unionByName(done.select(F.col("lead").alias("tid"), F.col("tid").alias("lead")))
+            few = few.join(either, ["tid", "lead"], "left_anti")
+        found = write_out(_compared(todo.unionByName(few).distinct(), have, k, least), "compared")
+        known = found if known is None else known.unionByName(found)
         new = found.filter(F.col("similarity") >= least).select(F.least("tid", "lead").alias("a"), F.greatest("tid", "lead").alias("b"))
         roots = _joined(roots, new if roots is not None else new.unionByName(extra))
         placed = _with_roots(pairs, roots).join(roots.select(F.col("tid").alias("lead"), F.col("root").alias("lead_root")), "lead", "left")
         apart = placed.groupBy("bucket").agg(F.max(F.col("root") != F.coalesce("lead_root", "lead")).alias("mixed")).filter("mixed").select("bucket")
         again = pairs.join(apart, "bucket", "left_semi").select("tid", "lead", "weight").distinct()
-        dealt = again.join(found.select("tid", "lead", F.explode("marks").alias("mark")), ["tid", "lead"])
+        dealt = again.join(known.select("tid", "lead", F.explode("marks").alias("mark")), ["tid", "lead"])
         dealt = write_out(dealt.select(F.xxhash64("lead", "mark").alias("bucket"), "tid", "weight"), "dealt")
         mixed = _with_roots(dealt, roots).groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x < y").select("bucket")
         buckets = write_out(dealt.join(write_out(mixed, "mixed"), "bucket", "left_semi"), "buckets")

@@ -200,3 +200,20 @@ def test_repeats_of_the_documents(spark):
 
 def test_no_documents(documents):
     assert without_repeats(documents([])).collect() == []
+
+
+def test_known_pair_is_dealt_again(documents):
+    """x and y meet in bucket 1 only, under lead m; then l leads them, which x was compared with before."""
+    r = random.Random(5)
+    text = lambda runs: [f"w{r.randint(0, 10**9)}" for _ in range(runs + 4)]
+    x = text(24)
+    sizes = [100, 30, *[26] * 15, 40, 41]  # m, l, others, two that make m and l heavy
+    texts = {1: x, 2: [*x, "more"]} | {i + 3: text(n) for i, n in enumerate(sizes)}
+    bands = {24: [1, 2], 25: [1], 26: [1], 30: [1, 2, 3], 40: [3, 4], 41: [4], 100: [1, 3, 4]}
+
+    class Dealt:  # bands by the number of runs, so that the test decides who meets whom
+        def keys(self, items):
+            return np.array(bands.get(len(items), []), np.uint64)
+
+    got = near_classes(documents([(i, " ".join(t)) for i, t in texts.items()]), sketch=Dealt()).collect()
+    assert {r["doc_id"]: r["class_id"] for r in got} == {i: 1 if i == 2 else i for i in texts}
