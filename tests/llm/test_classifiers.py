@@ -164,3 +164,11 @@ def test_learned_rules_keep_good_rows(spark):
     sound = got[~got["base_failed"]]
     assert sound[sound["quality"] == 1]["kept"].mean() > 0.99
     assert sound[sound["quality"] == 0]["kept"].mean() < 0.2
+
+
+def test_toxicity_learns_from_1500_of_each_class(monkeypatch):
+    from tallycast.llm import toxicity
+
+    monkeypatch.setattr(toxicity, "labelled_texts", lambda *a: a[-1:])
+    monkeypatch.setattr(toxicity, "fit", lambda per_class: per_class)
+    assert toxicity.fit_toxicity(None, None) == 1500
