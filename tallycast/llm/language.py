@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .arrays import SPACE, Words, blocks, column, powers
@@ -175,10 +176,18 @@ def viterbi(scores: np.ndarray, bounds: np.ndarray, penalty: float) -> np.ndarra
     return path
 
 
-def fit_language(docs: DataFrame, mod: int = 4, out: int = 2, sample: int = 6000, bits: int = 16) -> LanguageModel:
-    """Learn from at most ``sample`` documents with a language, an id and a remainder other than ``out``."""
-    rows = docs.select("doc_id", "lang").filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (remainder("doc_id", mod) != out))
-    ids = lowest(rows.distinct(), sample, "lang")
+def learning_ids(docs: DataFrame, mod: int, out: int, sample: int, each: int) -> DataFrame:
+    """(doc_id, lang) of the ``sample`` lowest id hashes, and of the ``each`` lowest of every language."""
+    rows = docs.select("doc_id", "lang").filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (remainder("doc_id", mod) != out)).distinct()
+    place = F.row_number().over(W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
+    rare = rows.withColumn("_n", place).filter(F.col("_n") <= each).drop("_n")  # a limit that is applied before the shuffle
+    return lowest(rows, sample, "lang").unionByName(rare).distinct()
+
+
+def fit_language(docs: DataFrame, mod: int = 4, out: int = 2, sample: int = 6000, bits: int = 16, each: int = 500) -> LanguageModel:
+    """Learn from documents with a language, an id and a remainder other than ``out``: at most ``sample``, and
+    up to ``each`` more of every language, so that a rare one is learned from as many."""
+    ids = learning_ids(docs, mod, out, sample, each)
     got = docs.select("doc_id", "lang", "text").join(F.broadcast(ids), ["doc_id", "lang"]).toPandas().sort_values(["doc_id", "lang"])
     return LanguageModel.fit(got["text"].fillna("").tolist(), got["lang"].tolist(), bits)
 

@@ -172,3 +172,10 @@ def test_toxicity_learns_from_1500_of_each_class(monkeypatch):
     monkeypatch.setattr(toxicity, "labelled_texts", lambda *a: a[-1:])
     monkeypatch.setattr(toxicity, "fit", lambda per_class: per_class)
     assert toxicity.fit_toxicity(None, None) == 1500
+
+
+def test_a_rare_language_is_learned(spark):
+    from tallycast.llm.language import fit_language
+
+    rows = [(i, "the words of a common text", "en") for i in range(400)] + [(i, "sanat ovat harvinaisia", "fi") for i in range(400, 404)]
+    assert fit_language(spark.createDataFrame(rows, "doc_id long, text string, lang string"), sample=1, each=3).langs == ["en", "fi"]
