@@ -164,12 +164,13 @@ class LoserTree:
 
 
 def range_bounds(pages: DataFrame, entries_per_range: int, sample: int = 4096, epoch: int = 1_577_836_800) -> list[tuple]:
-    """Keys that cut the index into ranges of about ``entries_per_range``, from a sample of ``sample`` pages.
+    """Keys that cut the index into ranges of about ``entries_per_range``, from a sample of ``sample`` pages, or 20 for each range if that is more.
 
     A key holds URL, time and page, so that the captures of a hot URL are cut by time.
     """
     n = pages.count()
-    parts = min(max(1, -(-n // entries_per_range)), sample)
+    parts = max(1, -(-n // entries_per_range))
+    sample = max(sample, 20 * parts)
     if parts == 1:
         return []
     captured = F.date_format(F.timestamp_seconds(F.lit(epoch) + F.pmod(F.coalesce("page_id", F.lit(0)), F.lit(10**9))), "yyyyMMddHHmmss")

@@ -80,3 +80,10 @@ def test_archives_are_records(spark):
     text = spark.read.text(path, wholetext=True).collect()
     assert sum(t["value"].count("WARC/1.1\r\n") for t in text) == 2
     assert all(t["value"].endswith("\r\n\r\n") for t in text)
+
+
+def test_ranges_grow_with_the_pages(spark):
+    from tallycast.llm.warc import range_bounds
+
+    pages = rows(spark, [(i, f"http://a.com/{i:03}", "x") for i in range(200)]).select("page_id", "url")
+    assert len(range_bounds(pages, 10, sample=4)) == 19
