@@ -79,8 +79,9 @@ def clustered(
         return kept.limit(0).select("vec_id", F.lit(0).alias("cluster"), F.lit(0).cast("long").alias("distance")), []
     for _ in range(rounds):
         centroids = updated(kept, centroids)
-    near = kept.select("vec_id", nearest(F.col("v"), centroids).alias("near"))
-    return near.select("vec_id", "near.cluster", "near.distance"), centroids
+    # inline makes both columns of one evaluation
+    near = kept.select("vec_id", F.inline(F.array(nearest(F.col("v"), centroids))))
+    return near.select("vec_id", "cluster", "distance"), centroids
 
 
 def with_inertia(assigned: DataFrame, centroids: list[list[int]]) -> DataFrame:

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import write_out
+from ..session import scratch_path, write_out
 from .arrays import Words, blocks, column, mix, window_hashes
 from .components import components
 
@@ -98,113 +98,239 @@ def sketches(docs: DataFrame, k: int, sketch: OrderSketch) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(rows, "doc_id long, w1 long, w2 long, n long, bands array<long>")
 
 
-def aligned(a: np.ndarray, b: np.ndarray, least: float) -> float:
-    """m / (len a + len b - m) for the m items matched by the best alignment in the band; 0 where it can't reach ``least``.
+def matches(a: np.ndarray, b: np.ndarray, need: int) -> int:
+    """Items matched by the best alignment of two lists where that is ``need`` or more, else -1.
 
-    An alignment of that similarity leaves at most (1 - least) / (1 + least)
-    of all items unmatched, so no match lies farther from the diagonal than
-    that. Columns of the table are bits of one integer, a row is a few
-    operations on it.
+    Such an alignment leaves at most len a + len b - 2 need items unmatched, so
+    no match lies farther than that from the diagonal. A row of the table is one
+    integer whose bits are the columns of that band; it moves by a column a row.
     """
-    total = len(a) + len(b)
-    if not total:
-        return 1.0
-    need = int(np.ceil(least * total / (1 + least) - 1e-9))
     if min(len(a), len(b)) < need:
-        return 0.0
+        return -1
     short = min(len(a), len(b))
     differ = np.flatnonzero(a[:short] != b[:short])
     head = int(differ[0]) if len(differ) else short
     differ = np.flatnonzero(a[len(a) - short + head :][::-1] != b[len(b) - short + head :][::-1])
     tail = int(differ[0]) if len(differ) else short - head
+    band = len(a) + len(b) - 2 * need
     a, b = a[head : len(a) - tail], b[head : len(b) - tail]
-    matched = head + tail
-    if len(a) and len(b) and matched + min(len(a), len(b)) >= need:
+    found = head + tail
+    if len(a) and len(b) and found + min(len(a), len(b)) >= need:
         common = np.isin(a, b)
-        if matched + common.sum() < need:
-            return 0.0
-        band = total - 2 * need
+        if found + common.sum() < need:
+            return -1
         places: dict[int, list[int]] = {}
-        for j, x in zip(np.flatnonzero(np.isin(b, a)).tolist(), b[np.isin(b, a)].tolist()):
+        held = np.isin(b, a)
+        for j, x in zip(np.flatnonzero(held).tolist(), b[held].tolist()):
             places.setdefault(x, []).append(j)
-        full = (1 << len(b)) - 1
-        v = full
+        width = 2 * band + 1
+        full = (1 << width) - 1
+        v, base = full, -band  # bit k is column base + k; a bit is 0 where the column adds a match
         for i in np.flatnonzero(common).tolist():
+            step = i - band - base
+            if step:
+                gone = min(step, width)
+                found += gone - (v & ((1 << gone) - 1)).bit_count()
+                v = (v >> gone) | (full >> (width - gone) << (width - gone))
+                base += step
             m = 0
             for j in places[int(a[i])]:
-                if -band <= i - j <= band:
-                    m |= 1 << j
+                if 0 <= j - base < width:
+                    m |= 1 << (j - base)
             u = v & m
             v = ((v + u) | (v ^ u)) & full
-        matched += len(b) - v.bit_count()
-    return matched / (total - matched)
+        found += width - v.bit_count()
+    return found if found >= need else -1
+
 
+def least_matches(total: int, least: float) -> int:
+    """Matches from which on lists of ``total`` items together have the similarity ``least``."""
+    return int(np.ceil(least * total / (1 + least) - 1e-9))
 
-#: Buckets of so many texts are compared pair by pair.
-FEW = 16
+
+def aligned(a: np.ndarray, b: np.ndarray, least: float) -> float:
+    """m / (len a + len b - m) for the m items matched by the best alignment; 0 below ``least``."""
+    total = len(a) + len(b)
+    m = matches(a, b, least_matches(total, least))
+    return 0.0 if m < 0 else m / (total - m) if total else 1.0
+
+
+#: So many texts of a bucket may lead it at once in the first round, twice as many in each later one.
+LEADS = 16
 _REORDERED = np.uint64(1)
-_MINIMA = np.random.default_rng(8).integers(0, 2**64, (12, 1), np.uint64)
-
-
-def difference_marks(text: np.ndarray, lead: np.ndarray, linked: bool, least: float) -> np.ndarray:
-    """Marks that a text must share with any text it is linked to, unless the lead links both.
-
-    ``text`` and ``lead`` are labelled runs. What the text has more or less than
-    the lead is its difference. If x and y are linked, their differences differ
-    in at most T = (1 - least) / (1 + least) (|x| + |y|) items. A text y that is
-    not linked to the lead has more than T of them, so any x linked to y shares
-    at least |difference of y| - T of them, and at least four ninths of its own.
-    Two lists that share t items share one among the first (length - t + 1) of
-    each in any common order (prefix filter); those are marks. A difference of
-    more than 2 T has to be shared for the most part (Jaccard similarity of a
-    half at least), so its marks are ``_MINIMA`` minimum hashes only, which miss
-    with a chance below 0.0003; all texts have these as well. Where only the
-    order of the runs speaks against a link, a mark for that brings such texts
-    together with all that are linked to the lead.
+
+
+def difference(text: tuple[np.ndarray, np.ndarray], lead: tuple[np.ndarray, np.ndarray], similarity: float, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(additions, missing, order marks) of a text, as (runs, labelled runs), against a lead.
+
+    Let d be the number of runs that an alignment leaves unmatched; it is a
+    metric, and texts x and y are linked if d(x, y) <= share (|x| + |y|) with
+    share = (1 - least) / (1 + least). A text y of small difference which the
+    lead does not link has its runs in another order; such texts have a mark of
+    their own. A text x that the lead links can be linked to y only if d(y, lead)
+    is at most d(x, lead) + share (|x| + |y|): both have marks for cells of that
+    distance. The last bit of a mark says that a text makes a bucket; one
+    without such a text is not needed.
     """
-    marks = np.sort(np.concatenate([mix(np.setdiff1d(text, lead)), mix(np.setdiff1d(lead, text) ^ np.uint64(0x5851F42D4C957F2D))]))
-    size, share = len(marks), (1 - least) / (1 + least)
-    most = int(share * len(text) * (1 + 1 / least) + 1e-9)
-    minima = mix(((marks ^ _MINIMA) * np.uint64(0x9E3779B97F4A7C15)).min(1)) ^ _MINIMA[:, 0] if size else marks
-    reordered = not linked and size <= share * (len(text) + len(lead)) + 1e-9
-    if linked:
-        common = int(np.ceil(size * (1 - share) / 2 - 1e-9))
-    elif reordered:
-        common = 1
+    items, other = text[1], lead[1]
+    more, missing = mix(np.setdiff1d(items, other)), mix(np.setdiff1d(other, items) ^ np.uint64(0x5851F42D4C957F2D))
+    total, share = len(items) + len(other), (1 - least) / (1 + least)
+    cell, marks = max(1.0, share * len(other) / 4), np.zeros(0, np.uint64)
+    if similarity >= least:
+        distance = total - 2 * round(similarity * total / (1 + similarity))
+        first = int(share * (1 + least) * len(other) / cell)
+        last = int((distance + share * len(items) * (1 + 1 / least)) / cell)
+        marks = mix(np.arange(first, max(first, last + 1)).astype(np.uint64) + np.uint64(77)) & ~np.uint64(1)
+    elif len(more) + len(missing) <= share * total + 1e-9:
+        farthest = share * (2 * min(len(items), len(other)) / least + total)
+        m = matches(text[0], lead[0], max(0, int(np.ceil((total - farthest) / 2 - 1e-9))))
+        at = np.full(int(m >= 0), int((total - 2 * m) / cell), np.uint64)
+        marks = np.concatenate([np.full(1, _REORDERED), mix(at + np.uint64(77))]) | np.uint64(1)
+    return np.sort(more), np.sort(missing), marks
+
+
+def difference_marks(more: np.ndarray, missing: np.ndarray, own: int, other: int, common: np.ndarray, least: float) -> np.ndarray:
+    """Marks of which a text shares one with any text it is linked to, unless the lead links both or their order differs.
+
+    ``own`` and ``other`` are the sizes of the text and the lead, ``common``
+    are items that many texts differ in from this lead. Let x and y be linked.
+
+    - If the difference of y is larger than share (own + other), x and y share
+      more than (size of x's difference + share (|lead| - |x|)) / 2 of their
+      items; y shares at least its size less share (|x| + |y|). In any common
+      order the first (size - shared + 1) items of both meet (prefix filter).
+      The order puts common items last, and additions before what is missing.
+      The longer prefix of a y is needed only to meet an x of small difference,
+      whose prefix makes the bucket.
+    - If nothing is common, and x and y share no addition, all they share is
+      missing from both, and all additions count against the bound. Then x
+      misses more than it adds, so only such texts need marks of missing items,
+      or a y that meets such a text.
+    """
+    mo, mi, size, share = len(more), len(missing), len(more) + len(missing), (1 - least) / (1 + least)
+    most = int(share * own * (1 + 1 / least) + 1e-9)
+    small = size <= share * (own + other) + 1e-9
+    shared = int(np.floor((size + share * (other - own)) / 2 - 1e-9)) + 1
+    makes = max(0, size - shared + 1)
+    joins = makes if small else max(makes, size - max(1, size - most) + 1)
+    if len(common):
+        rare = [x[~np.isin(x, common)] for x in (more, missing)]
+        held = np.sort(np.concatenate([x[np.isin(x, common)] for x in (more, missing)]))
+        order = np.concatenate([*rare, held])
+        parts = [order[:makes]], [order[makes:joins]]
     else:
-        common = size - most
-    marks = marks[: size - max(1, common) + 1] if size <= 2 * most else marks[:0]
-    return np.concatenate([marks, minima, np.full(int(linked or reordered), _REORDERED)])
+        parts = [more[:makes]], [more[makes:joins]]
+        if mo <= most:
+            alone = max(0, mi - shared + 1) if mi > mo else 0
+            parts[0].append(missing[:alone])
+            if not small:
+                parts[1].append(missing[alone : max(alone, mi - max(1, size - most) + 1)])
+    return np.concatenate([np.concatenate(parts[0]) | np.uint64(1), np.concatenate(parts[1]) & ~np.uint64(1)])
 
 
-def _compared(pairs: DataFrame, docs: DataFrame, k: int, least: float) -> DataFrame:
-    """(tid, lead, similarity, marks) of pairs of texts; each text of ``docs`` is shuffled once for each side."""
+def _joined_texts(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """Pairs (tid, lead, ...) with both texts; a text is shuffled for each pair."""
     own, other = (docs.select(F.col("doc_id").alias(c), F.col("text").alias(f"t{c}")) for c in ("tid", "lead"))
+    return pairs.join(own, "tid").join(other, "lead").select(*pairs.columns, "ttid", "tlead")
+
+
+def _runs(side: pa.Array, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(runs, labelled runs) of each text."""
+    out = []
+    for _, _, data, offsets in blocks(side):
+        w = Words(data, offsets)
+        s, bounds = shingles(w, w.hashes(), k)
+        items = labelled(s, bounds)
+        out += [(s[x:y], items[x:y]) for x, y in zip(bounds[:-1], bounds[1:])]
+    return out
+
+
+def _lists(arrays: list) -> pa.Array:
+    return pa.array([x if x is None else x.view(np.int64) for x in arrays], pa.list_(pa.int64()))
+
+
+_COMPARED = "tid long, lead long, similarity double, more array<long>, missing array<long>, marks array<long>, own long, other long"
+
+
+def _compared(pairs: DataFrame, docs: DataFrame, k: int, least: float) -> DataFrame:
+    """Similarities of pairs of texts, and how they differ where ``deal`` asks for it."""
+    names = [c.split()[0] for c in _COMPARED.split(", ")]
+
+    def rows(batches):
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 200):
+                part = batch.slice(lo, 200)
+                own, other = (_runs(column(part.column(c)), k) for c in (3, 4))
+                sims = [aligned(x[0], y[0], least) for x, y in zip(own, other)]
+                diffs = [difference(x, y, sim, least) if d else (None, None, None) for d, sim, x, y in zip(part.column(2).to_pylist(), sims, own, other)]
+                sizes = [pa.array([len(x[0]) for x in side], pa.int64()) for side in (own, other)]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(sims, pa.float64()), *(_lists(list(c)) for c in zip(*diffs)), *sizes], names)
+
+    return _joined_texts(pairs.select("tid", "lead", "deal"), docs).mapInArrow(rows, _COMPARED)
+
+
+def _arrays(lists: pa.Array) -> list[np.ndarray]:
+    """The rows of a column of lists; null counts as empty."""
+    values, bounds = lists.values.to_numpy().view(np.uint64), lists.offsets.to_numpy()
+    return [values[lo:hi] for lo, hi in zip(bounds[:-1], bounds[1:])]
+
+
+def _marked(diffs: DataFrame, least: float) -> DataFrame:
+    """(tid, lead, marks) of compared texts. Common are items that a quarter of a lead's texts, and eight, differ in within some batch; that decides an order only."""
+
+    def often(batches):
+        for batch in batches:
+            leads = batch.column(0).to_numpy()
+            items = [np.concatenate(x) for x in zip(_arrays(batch.column(1)), _arrays(batch.column(2)))]
+            out = [[], []]
+            for lead in np.unique(leads):
+                rows = np.flatnonzero(leads == lead)
+                item, n = np.unique(np.concatenate([items[i] for i in rows]), return_counts=True)
+                item = item[(n >= 8) & (4 * n > len(rows))]
+                out[0].append(np.full(len(item), lead))
+                out[1].append(item.view(np.int64))
+            if out[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in out], ["lead", "item"])
+
+    def rows(batches):
+        for batch in batches:
+            get = {c: batch.column(i) for i, c in enumerate(batch.schema.names)}
+            parts = zip(*(_arrays(get[c]) for c in ("more", "missing", "marks", "common")), get["own"].to_pylist(), get["other"].to_pylist())
+            marks = [np.concatenate([order, difference_marks(more, missing, own, other, common, least)]) for more, missing, order, common, own, other in parts]
+            yield pa.RecordBatch.from_arrays([get["tid"], get["lead"], _lists(marks)], ["tid", "lead", "marks"])
+
+    common = diffs.select("lead", "more", "missing").mapInArrow(often, "lead long, item long")
+    common = common.groupBy("lead").agg(F.collect_set("item").alias("common"))
+    told = diffs.join(common, "lead", "left").select("tid", "lead", "more", "missing", "marks", F.coalesce("common", F.array().cast("array<long>")).alias("common"), "own", "other")
+    return told.mapInArrow(rows, "tid long, lead long, marks array<long>")
+
+
+def _centres(pairs: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """(lead, centre): of the texts of a lead the one that is nearest to what most of them hold.
+
+    A group of copies is best dealt by its original, as what the lead itself has
+    changed would be a mark of all others. Half of the runs (by their hashes) are
+    looked at: a centre only decides who leads.
+    """
 
     def rows(batches):
         for batch in batches:
-            sides = [column(batch.column(2)), column(batch.column(3))]
             for lo in range(0, batch.num_rows, 200):
-                n = min(200, batch.num_rows - lo)
-                runs = []
-                for side in sides:
-                    got = []
-                    for _, _, data, offsets in blocks(side.slice(lo, n)):
-                        w = Words(data, offsets)
-                        s, bounds = shingles(w, w.hashes(), k)
-                        items = labelled(s, bounds)
-                        got += [(s[x:y], items[x:y]) for x, y in zip(bounds[:-1], bounds[1:])]
-                    runs.append(got)
-                sims = [aligned(x[0], y[0], least) for x, y in zip(*runs)]
-                marks = [difference_marks(x[1], y[1], sim >= least, least).view(np.int64) for sim, x, y in zip(sims, *runs)]
-                ends = np.concatenate([[0], np.cumsum([len(m) for m in marks])]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, n), batch.column(1).slice(lo, n), pa.array(sims, pa.float64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(marks)))],
-                    ["tid", "lead", "similarity", "marks"],
-                )
-
-    joined = pairs.select("tid", "lead").join(own, "tid").join(other, "lead").select("tid", "lead", "ttid", "tlead")
-    return joined.mapInArrow(rows, "tid long, lead long, similarity double, marks array<long>")
+                part = batch.slice(lo, 200)
+                diffs = []
+                for x, y in zip(*(_runs(column(part.column(c)), k) for c in (2, 3))):
+                    diff = np.concatenate([mix(np.setdiff1d(x[1], y[1])), mix(np.setdiff1d(y[1], x[1]) ^ np.uint64(1))])
+                    diffs.append(diff[diff & np.uint64(1) == 0])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), _lists(diffs)], ["tid", "lead", "items"])
+
+    diffs = write_out(_joined_texts(pairs.select("tid", "lead"), docs).mapInArrow(rows, "tid long, lead long, items array<long>"), "differences")
+    each = diffs.select("lead", "tid", F.explode("items").alias("item"))
+    counts = each.groupBy("lead", "item").agg(F.count("*").alias("c")).join(diffs.groupBy("lead").agg(F.count("*").alias("n")), "lead")
+    shared = each.join(counts.filter("2 * c > n").select("lead", "item"), ["lead", "item"]).groupBy("lead", "tid").agg(F.count("*").alias("common"))
+    away = (F.size("items") - 2 * F.coalesce("common", F.lit(0))).alias("away")
+    away = diffs.join(shared, ["lead", "tid"], "left").select("lead", away, "tid")
+    away = away.unionByName(pairs.select("lead", F.lit(0).alias("away"), F.col("lead").alias("tid")).distinct())
+    return away.groupBy("lead").agg(F.min(F.struct("away", "tid"))["tid"].alias("centre"))
 
 
 def _with_roots(rows: DataFrame, roots: DataFrame) -> DataFrame:
@@ -227,25 +353,39 @@ def _joined(roots: DataFrame | None, links: DataFrame) -> DataFrame:
     return write_out(moved.select("tid", F.coalesce("to", "root").alias("root")), "classes")
 
 
-def near_classes(docs: DataFrame, k: int = 5, least: float = 0.8, sketch: OrderSketch | None = None) -> DataFrame:
+def _buckets_of(rows: DataFrame) -> DataFrame:
+    """(bucket, others, makers, main) of buckets that are not done: texts outside the largest class, texts that make it, and that class."""
+    sizes = rows.groupBy("bucket", "root").agg(F.count("*").alias("c"), F.count_if("makes").alias("makers"))
+    out = sizes.groupBy("bucket").agg(F.sum("c").alias("n"), F.max(F.struct("c", "root")).alias("top"), F.sum("makers").alias("makers"))
+    return out.select("bucket", (F.col("n") - F.col("top.c")).alias("others"), "makers", F.col("top.root").alias("main")).filter("others > 0 and makers > 0")
+
+
+def near_classes(docs: DataFrame, k: int = 5, least: float = 0.8, sketch: OrderSketch | None = None, log: list | None = None) -> DataFrame:
     """(doc_id, class_id), a row for each document; class_id is the least doc_id of its class.
 
     Texts with the same words are copies and become one text first. Two texts
     are linked if their runs of ``k`` words align with at least ``least`` of
     them shared; classes are what links connect. Texts that share a band meet
-    in its bucket. In one of at most ``FEW`` texts all pairs are compared; in a
-    larger one each text is compared with one of them, the bucket's lead. If that
-    leaves the bucket with more than one class, its texts are dealt anew by marks
-    of how they differ from the lead: two texts that are linked but not in
-    one class yet share a mark (see ``difference_marks``). Smaller buckets are
-    treated in the same way, no pair aligned twice in one direction, until none
-    holds two classes; each is without the lead it was dealt by. So no
-    link between texts of a bucket is given up, no bucket is cut or dropped, and
-    a bucket gives as many pairs as it has texts, not their square.
+    in its bucket. In each round a bucket whose texts are in one class is done.
+    Where few texts are outside its largest class, or few make it (``LEADS``,
+    doubled in each round), those are compared with all texts of other classes, which ends
+    the bucket. Any other
+    bucket has one lead: at first the centre of what its texts meet anywhere
+    (the original of a group of copies, also where it is not in the bucket),
+    later that of its texts that meets most others. All its texts are compared with the
+    lead and dealt anew by marks of how they differ from it: two texts that are
+    linked but not in one class yet share a mark (see ``difference_marks``). So
+    no link between texts of a bucket is given up and no bucket is cut or
+    dropped. A large class of copies costs two pairs a text, and up to ``LEADS``
+    more where others are among them. Rounds are logarithmic in the largest
+    bucket, as at last its texts may all lead; only texts that differ from their
+    lead in the same ways, but are not linked, come to that. ``log`` takes (texts in buckets, pairs) of
+    each round.
 
     Rows that share a doc_id are in one class. Rows without an id take no part
     and get a null class. Texts without words are copies of one another.
     """
+    spark = docs.sparkSession
     have = docs.select("doc_id", "text").filter("doc_id is not null")
     sketched = write_out(sketches(have, k, sketch or OrderSketch()), "sketches")
     copies = write_out(sketched.groupBy("w1", "w2").agg(F.min("doc_id").alias("tid")), "copies")
@@ -260,39 +400,50 @@ def near_classes(docs: DataFrame, k: int = 5, least: float = 0.8, sketch: OrderS
     # texts that meet many others are the likeliest to be linked to them, so they lead
     weight = write_out(buckets.groupBy("tid").agg(F.sum("n").alias("weight")), "weights")
     have = write_out(have.join(weight.select(F.col("tid").alias("doc_id")), "doc_id", "left_semi"), "texts")
-    buckets = buckets.select("bucket", "tid").join(weight, "tid")
-    known, roots = None, None
+    buckets = buckets.select("bucket", "tid", F.lit(True).alias("makes")).join(weight, "tid").withColumn("root", F.col("tid"))
+    compared, known, roots, most_leads = scratch_path(spark, "compared"), None, None, LEADS
     while True:
-        leads = write_out(
-            buckets.groupBy("bucket").agg(F.max(F.struct("weight", "tid")).alias("top"), F.count("*").alias("n")).select("bucket", F.col("top.tid").alias("lead"), "n"), "leads"
-        )
-        pairs = buckets.join(leads.filter(F.col("n") > FEW), "bucket").filter("tid <> lead").select("bucket", "tid", "lead", "weight")
-        few = buckets.join(leads.filter(F.col("n") <= FEW), "bucket").groupBy("bucket").agg(F.sort_array(F.collect_list("tid")).alias("all"))
-        few = few.select("all", F.posexplode("all").alias("i", "lead")).select("lead", F.explode(F.slice("all", F.col("i") + 2, F.lit(FEW))).alias("tid"))
-        few = few.select("tid", "lead").distinct()
-        if roots is not None:  # texts of one class need no link
-            other = roots.select(F.col("tid").alias("lead"), F.col("root").alias("lead_root"))
-            few = _with_roots(few, roots).join(other, "lead", "left").filter(F.col("root") != F.coalesce("lead_root", "lead")).select("tid", "lead")
-        pairs = write_out(pairs, "pairs")
-        todo = pairs.select("tid", "lead")
+        state = write_out(_buckets_of(buckets), "state")
+        rows = write_out(buckets.join(state, "bucket"), "rows")
+        # a few texts, outside the largest class or those that make the bucket, lead; where two of them meet, one of them does
+        alone = F.when(F.col("others") <= most_leads, F.col("root") != F.col("main")).otherwise(F.col("makes"))
+        few = (F.col("others") <= most_leads) | (F.col("makers") <= most_leads)
+        small = rows.filter(few).withColumn("leads", alone)
+        leads = small.filter("leads").select("bucket", F.col("tid").alias("lead"), F.col("root").alias("lead_root"), F.col("makes").alias("lead_makes"))
+        met = small.join(leads, "bucket").filter("root <> lead_root and (makes or lead_makes) and (not leads or tid > lead)").select("tid", "lead").distinct()
+        large = rows.filter(~few)
+        if known is None:
+            tops = rows.groupBy("bucket").agg(F.max(F.struct("weight", "tid")).alias("top"))
+            mates = rows.join(tops, "bucket").groupBy("tid").agg(F.max("top").alias("top"))
+            votes = large.join(mates, "tid").groupBy("bucket", "top").agg(F.count("*").alias("c"))
+            first = write_out(votes.groupBy("bucket").agg(F.max(F.struct("c", "top"))["top"]["tid"].alias("lead")), "voted")
+            voted = large.join(first, "bucket").filter("tid <> lead").select("tid", "lead").distinct()
+            first = first.join(_centres(voted, have, k), "lead").select("bucket", F.col("centre").alias("lead"))
+        else:
+            first = large.groupBy("bucket").agg(F.max(F.struct("weight", "tid"))["tid"].alias("lead"))
+        pairs = write_out(large.join(first, "bucket").filter("tid <> lead").select("bucket", "tid", "lead", "weight", "makes"), "pairs")
+        todo = pairs.select("tid", "lead").distinct()
         if known is not None:  # known pairs are not aligned again, but still count below; marks hold for one direction
+            todo = todo.join(known.filter("marks is not null").select("tid", "lead"), ["tid", "lead"], "left_anti")
             done = known.select("tid", "lead")
-            todo = todo.join(done, ["tid", "lead"], "left_anti")
-            either = done.unionByName(done.select(F.col("lead").alias("tid"), F.col("tid").alias("lead")))
-            few = few.join(either, ["tid", "lead"], "left_anti")
-        found = write_out(_compared(todo.unionByName(few).distinct(), have, k, least), "compared")
-        known = found if known is None else known.unionByName(found)
+            met = met.join(done.unionByName(done.select(F.col("lead").alias("tid"), F.col("tid").alias("lead"))), ["tid", "lead"], "left_anti")
+        asked = todo.withColumn("deal", F.lit(True)).unionByName(met.withColumn("deal", F.lit(False)))
+        found = write_out(_compared(asked.groupBy("tid", "lead").agg(F.max("deal").alias("deal")), have, k, least), "found")
+        found.write.mode("append").parquet(compared)
+        known = spark.read.schema(found.schema).parquet(compared)
+        if log is not None:
+            log.append((rows.count(), found.count()))
         new = found.filter(F.col("similarity") >= least).select(F.least("tid", "lead").alias("a"), F.greatest("tid", "lead").alias("b"))
         roots = _joined(roots, new if roots is not None else new.unionByName(extra))
-        placed = _with_roots(pairs, roots).join(roots.select(F.col("tid").alias("lead"), F.col("root").alias("lead_root")), "lead", "left")
-        apart = placed.groupBy("bucket").agg(F.max(F.col("root") != F.coalesce("lead_root", "lead")).alias("mixed")).filter("mixed").select("bucket")
-        again = pairs.join(apart, "bucket", "left_semi").select("tid", "lead", "weight").distinct()
-        dealt = again.join(known.select("tid", "lead", F.explode("marks").alias("mark")), ["tid", "lead"])
-        dealt = write_out(dealt.select(F.xxhash64("lead", "mark").alias("bucket"), "tid", "weight"), "dealt")
-        mixed = _with_roots(dealt, roots).groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x < y").select("bucket")
-        buckets = write_out(dealt.join(write_out(mixed, "mixed"), "bucket", "left_semi"), "buckets")
-        if not buckets.limit(1).count():
+        if not pairs.limit(1).count():
             break
+        most_leads *= 2
+        mixed = _buckets_of(_with_roots(pairs, roots)).select("bucket")  # a lead has met all others
+        again = write_out(pairs.join(mixed, "bucket", "left_semi").select("tid", "lead", "weight").distinct(), "again")
+        differ = write_out(known.filter("marks is not null").join(again.select("tid", "lead"), ["tid", "lead"], "left_semi"), "differ")
+        dealt = again.join(_marked(differ, least).select("tid", "lead", F.explode("marks").alias("mark")), ["tid", "lead"])
+        dealt = dealt.select(F.xxhash64("lead", F.shiftright("mark", 1)).alias("bucket"), "tid", "weight", F.col("mark").bitwiseAND(1).cast("boolean").alias("makes"))
+        buckets = write_out(_with_roots(dealt, roots), "dealt")
     classes = member.join(roots, "tid", "left").select("doc_id", F.coalesce("root", "tid").alias("class_id"))
     classes = classes.groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
     return docs.select("doc_id").join(classes, "doc_id", "left")

@@ -11,7 +11,7 @@ from fixtures import documents  # noqa: F401
 
 from tallycast.llm.components import components
 from tallycast.llm.arrays import mix
-from tallycast.llm.near_dedup import OrderSketch, aligned, difference_marks, labelled, near_classes
+from tallycast.llm.near_dedup import OrderSketch, aligned, difference, difference_marks, labelled, near_classes
 from tallycast.llm.substrings import without_repeats
 
 R = random.Random(2)
@@ -44,7 +44,8 @@ def test_banded_alignment():
 def test_linked_texts_share_a_mark():
     r = random.Random(3)
     items = lambda t: labelled(mix(np.array(t, np.uint64)), np.array([0, len(t)]))
-    linked = lambda a, b: aligned(np.array(a, np.uint64), np.array(b, np.uint64), 0.8) >= 0.8
+    sim = lambda a, b: aligned(np.array(a, np.uint64), np.array(b, np.uint64), 0.8)
+    linked = lambda a, b: sim(a, b) >= 0.8
 
     def changed(text, edits):
         t = list(text)
@@ -66,8 +67,11 @@ def test_linked_texts_share_a_mark():
         x = changed(y, r.randint(0, max(1, len(y) // 6)))
         by_lead = [linked(t, lead) for t in (x, y)]
         if linked(x, y) and not all(by_lead):
-            a, b = (set(difference_marks(items(t), items(lead), k, 0.8).tolist()) for t, k in zip((x, y), by_lead))
-            assert a & b
+            told = [difference((np.array(t, np.uint64), items(t)), (np.array(lead, np.uint64), items(lead)), sim(t, lead), 0.8) for t in (x, y)]
+            often = [v for d in told for side in d[:2] for v in side.tolist()]
+            few = np.array(R.sample(often, min(len(often), R.choice([0, 0, 3, 12]))), np.uint64)
+            a, b = ({int(m) >> 1: int(m) & 1 for part in (d[2], difference_marks(*d[:2], len(t), len(lead), few, 0.8)) for m in part} for t, d in zip((x, y), told))
+            assert any(a[m] or b[m] for m in a.keys() & b.keys())
             n += 1
     assert n > 500
 
@@ -202,18 +206,71 @@ def test_no_documents(documents):
     assert without_repeats(documents([])).collect() == []
 
 
-def test_known_pair_is_dealt_again(documents):
-    """x and y meet in bucket 1 only, under lead m; then l leads them, which x was compared with before."""
-    r = random.Random(5)
-    text = lambda runs: [f"w{r.randint(0, 10**9)}" for _ in range(runs + 4)]
-    x = text(24)
-    sizes = [100, 30, *[26] * 15, 40, 41]  # m, l, others, two that make m and l heavy
-    texts = {1: x, 2: [*x, "more"]} | {i + 3: text(n) for i, n in enumerate(sizes)}
-    bands = {24: [1, 2], 25: [1], 26: [1], 30: [1, 2, 3], 40: [3, 4], 41: [4], 100: [1, 3, 4]}
-
-    class Dealt:  # bands by the number of runs, so that the test decides who meets whom
+def edited(words, edits, r):
+    out = list(words)
+    for _ in range(edits):
+        i = r.randrange(len(out))
+        kind = r.random()
+        if kind < 0.7:
+            out[i] = f"e{r.randrange(10**9)}" if r.random() < 0.8 else f"e{i % 7}"
+        elif kind < 0.85:
+            out.insert(i, f"i{r.randrange(10**9)}")
+        else:
+            out.pop(i)
+    if r.random() < 0.05:  # a moved part
+        i, n = r.randrange(len(out)), r.randrange(5, 30)
+        part = out[i : i + n]
+        del out[i : i + n]
+        at = r.randrange(len(out))
+        out[at:at] = part
+    return out
+
+
+def one_bucket():
+    """A sketch by which all texts meet, so that what is linked follows from the texts alone."""
+
+    class One:  # of this function, so that tasks get it by value
         def keys(self, items):
-            return np.array(bands.get(len(items), []), np.uint64)
-
-    got = near_classes(documents([(i, " ".join(t)) for i, t in texts.items()]), sketch=Dealt()).collect()
-    assert {r["doc_id"]: r["class_id"] for r in got} == {i: 1 if i == 2 else i for i in texts}
+            return np.array([1] if len(items) else [], np.uint64)
+
+    return One()
+
+
+@pytest.mark.parametrize(("seed", "most_edits", "with_original"), [(1, 8, True), (2, 5, False)])
+def test_large_buckets_lose_no_link(documents, seed, most_edits, with_original):
+    """Copies of one text and of one copy, about half of them too far from it, against all pairs."""
+    r = random.Random(seed)
+    base = [f"w{r.randrange(10**9)}" for _ in range(90)]
+    second = edited(base, 4, r)
+    texts = {0: base} if with_original else {}
+    texts |= {i: edited(base if r.random() < 0.7 else second, r.randrange(1, most_edits), r) for i in range(1, 150)}
+    runs = {i: np.array([hash(tuple(t[j : j + 5])) & 2**63 - 1 for j in range(len(t) - 4)], np.uint64) for i, t in texts.items()}
+    ids = sorted(runs)
+    links = [(a, b) for i, a in enumerate(ids) for b in ids[:i] if aligned(runs[a], runs[b], 0.8) >= 0.8]
+    log = []
+    got = near_classes(documents([(i, " ".join(t)) for i, t in texts.items()]), sketch=one_bucket(), log=log).collect()
+    assert {x["doc_id"]: x["class_id"] for x in got} == roots(links, ids)
+    assert len(log) <= 6, log
+
+
+def test_rounds_and_pairs_of_a_large_group(documents):
+    """2,000 copies with 20 strangers of the same bucket: a few rounds, pairs in proportion to the texts."""
+    r = random.Random(9)
+    base = [f"w{r.randrange(10**9)}" for _ in range(64)]
+    texts = [edited(base, 1, random.Random(1000 + i)) for i in range(2000)]
+    far = [[*base[32:], *base[:32]], *([f"s{r.randrange(10**9)}" for _ in range(60)] for _ in range(19))]
+    log = []
+    got = near_classes(documents([(i, " ".join(t)) for i, t in enumerate([base, *texts, *far])]), sketch=one_bucket(), log=log).collect()
+    classes = Counter(x["class_id"] for x in got)
+    assert classes[0] >= 1990 and sum(n == 1 for n in classes.values()) >= 19
+    assert len(log) <= 4 and sum(n for _, n in log) <= 10_000, log
+
+
+def test_very_long_texts(documents):
+    r = random.Random(3)
+    long = [f"w{r.randrange(5000)}" for _ in range(60_000)]
+    other = list(long)
+    for i in range(0, 60_000, 97):
+        other[i] = "x"
+    got = near_classes(documents([(1, " ".join(long)), (2, " ".join(other)), (3, " ".join(reversed(long)))])).collect()
+    assert {x["doc_id"]: x["class_id"] for x in got} == {1: 1, 2: 1, 3: 3}
