@@ -292,14 +292,6 @@ def backtest(spark, sf):
     return A.score(J.align_horizons(f, s), ["series", "h"])
 
 
-@query("order_search")
-def order_search(spark, sf):
-    """All seasonal orders of weekly data with p, q, P and Q up to seven."""
-    to = range(8)
-    grid = arima.order_grid(p=to, d=(1,), q=to, sp=to, sd=(1,), sq=to, m=7)
-    return arima.search_orders(series_of(spark, sf), grid)
-
-
 @query("order_stepwise")
 def order_stepwise(spark, sf):
     """Stepwise search of the same orders on every daily series, by exact likelihood."""

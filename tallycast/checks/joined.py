@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .. import constants as C
@@ -13,6 +14,7 @@ from ..operators.windows import trailing_mean
 from ..plans.snapshot import PAGE_ORDER, snapshot_daily
 from ..session import scratch_path
 from ..sources import html as H
+from ..sources.grids import html_grids
 from ..sources.dims import dim_calendar, dim_countries, dim_happiness, dim_lockdowns
 from ..sources.pages import incomplete_chains, read_pages, tweets_of, users_of
 from .registry import S, query, rounded, series_of, stored_series, table
@@ -243,6 +245,26 @@ def wiki_table(spark, sf):
     return _typed(H.extract_html_table(pages, css_class="wikitable", nth=1, head=1, tail=1))
 
 
+@query("table_grid", """
+WITH o AS (SELECT CAST(o_orderkey // 25 AS BIGINT) AS page_id, o_orderkey, o_custkey, 'A & ' || o_orderpriority AS p,
+  CAST(row_number() OVER (PARTITION BY o_orderkey // 25 ORDER BY o_orderkey) - 1 AS INT) AS i FROM orders),
+r AS (SELECT page_id, i, CASE WHEN i % 2 = 0 THEN p ELSE lag(p) OVER (PARTITION BY page_id ORDER BY i) END AS p, o_orderkey, o_custkey FROM o)
+SELECT page_id, 0 AS table_pos, 0 AS depth, 0 AS row_pos, TRUE AS is_header, 'Orders|Orders|Customer' AS cells FROM (SELECT DISTINCT page_id FROM r)
+UNION ALL SELECT page_id, 0, 0, i + 1, FALSE, o_orderkey || '|' || p || '|' || o_custkey FROM r
+UNION ALL SELECT page_id, i // 2 + 1, 1, 0, FALSE, CAST(o_custkey AS VARCHAR) FROM r WHERE i % 2 = 0""")
+def table_grid(spark, sf):
+    """Cells that span columns and rows, a table in every second row, cells and rows that are never closed."""
+    i = F.row_number().over(Window.partitionBy("page_id").orderBy("o_orderkey")) - 1
+    o = table(spark, sf, "orders").withColumn("page_id", F.floor(F.col("o_orderkey") / 25)).withColumn("i", i)
+    even = F.format_string("<tr><td>%d<td rowspan='2'>A &amp; %s<td><table class=in><tr><td>%d</table>", "o_orderkey", "o_orderpriority", "o_custkey")
+    odd = F.format_string("<TR><td>%d</td><td>%d", "o_orderkey", "o_custkey")
+    rows = F.array_sort(F.collect_list(F.struct("i", F.when(F.col("i") % 2 == 0, even).otherwise(odd).alias("row"))))
+    pages = o.groupBy("page_id").agg(rows.alias("rows")).select(
+        "page_id", F.concat(F.lit("<p>x<table><tr><th colspan=2>Orders<th>Customer</tr><!-- <td> -->"), F.array_join("rows.row", "\n"), F.lit("</table>")).alias("html")
+    )
+    return html_grids(pages).drop("css_class").withColumn("cells", F.array_join("cells", "|"))
+
+
 # Header of the country page as it is scraped.
 _PAGE_HEADER = [
     "#", *PAGE_ORDER, "Continent", "1 Caseevery X ppl", "1 Deathevery X ppl", "1 Testevery X ppl",

@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -37,6 +37,10 @@ def lookup(fact: DataFrame, dim: DataFrame, on: Mapping[str, str], cols: Sequenc
     return fact.join(side, cond, how).drop(*[f"_k{i}" for i in range(len(on))])
 
 
+#: Levels of dyadic nodes: 2**23 days are more than all of a date's range.
+LEVELS = 23
+
+
 def flag_intervals(
     series: DataFrame,
     intervals: DataFrame,
@@ -48,16 +52,30 @@ def flag_intervals(
 ) -> DataFrame:
     """Whether a series date lies inside an interval of its key, both ends in.
 
-    Intervals are unrolled to days, so the range join becomes an equi join on
-    (key, date): it hashes on both columns and a hot key is spread over its
-    days. Overlapping intervals do not double a row. With ``label`` the names
-    of all intervals that hold the day come as a sorted array.
+    An interval is cut into dyadic nodes, blocks of 2**level days that start at
+    a multiple of their length: at most two of each level, whatever its length.
+    A day lies in one node of each level, so the range join becomes an equi join
+    on (key, level, node) that spreads a hot key. Days look up only levels that
+    occur. Overlapping intervals do not double a row; one that ends before it
+    begins, or lacks an end, holds no day. With ``label`` the names of all
+    intervals that hold the day come as a sorted array.
     """
-    days = intervals.select(
-        F.col(key).alias("_k"),
-        F.explode(F.sequence(F.col(start), F.col(end))).alias("_d"),
-        *([F.col(label).alias("_l")] if label else []),
-    )
+    first, after = F.unix_date(start), F.unix_date(end) + 1
+    level = F.sequence(F.lit(0), F.lit(LEVELS))
+
+    def nodes(j: Column) -> Column:
+        step = F.pow(F.lit(2.0), j)
+        low, high = F.ceil(first / step).cast("int"), F.floor(after / step).cast("int")
+        odd = lambda c: (low < high) & (F.pmod(c, F.lit(2)) == 1)
+        return F.array(F.when(odd(low), F.struct(j.alias("level"), low.alias("node"))), F.when(odd(high), F.struct(j.alias("level"), (high - 1).alias("node"))))
+
+    parts = intervals.select(
+        F.col(key).alias("_k"), F.explode(F.array_compact(F.flatten(F.transform(level, nodes)))).alias("_n"), *([F.col(label).alias("_l")] if label else [])
+    ).select("_k", "_n.level", "_n.node", *(["_l"] if label else []))
+    found = series.select(F.col(key).alias("_k"), F.col(date).alias("_d")).filter("_d is not null").distinct()
+    found = found.select("_k", "_d", F.explode(level).alias("level")).join(F.broadcast(parts.select("level").distinct()), "level", "left_semi")
+    found = found.withColumn("node", F.floor(F.unix_date("_d") / F.pow(F.lit(2.0), "level")).cast("int"))
+    days = found.join(parts, ["_k", "level", "node"])
     names = [F.sort_array(F.collect_set("_l")).alias("labels")] if label else []
     days = days.groupBy("_k", "_d").agg(F.lit(True).alias("inside"), *names)
     joined = series.join(days, (series[key] == days._k) & (series[date] == days._d), "left").drop("_k", "_d")

@@ -1,4 +1,5 @@
 from .dims import dim_calendar, dim_countries, dim_happiness, dim_lockdowns
+from .grids import html_grids
 from .html import extract_html_table, list_items
 from .pages import PAGE_SCHEMA, incomplete_chains, read_pages, tweets_of, users_of
 from .reports import (
@@ -14,6 +15,7 @@ __all__ = [
     "dim_happiness",
     "dim_lockdowns",
     "extract_html_table",
+    "html_grids",
     "incomplete_chains",
     "list_items",
     "load_csv_fact",

@@ -8,14 +8,6 @@ from tallycast.checks import QUERIES, forecasts
 from tallycast.operators.likelihood import autocovariance, whiten
 
 
-def test_order_search_covers_weekly_orders_to_seven(spark, monkeypatch):
-    monkeypatch.setattr(forecasts.arima, "search_orders", lambda series, grid: (series, grid))
-    series, grid = QUERIES["order_search"](spark, SF)
-    assert {(o[1], o[4], o[6]) for o in grid} == {(1, 1, 7)} and len(set(grid)) == 8**4 == len(grid)
-    assert [max(o[i] for o in grid) for i in (0, 2, 3, 5)] == [7] * 4
-    assert series.count() > 5 * 200  # days, not months
-
-
 def test_order_stepwise_is_weekly(spark):
     found = QUERIES["order_stepwise"](spark, SF).collect()
     assert len(found) == 5 and {(r.d, r.sd, r.m) for r in found} == {(1, 1, 7)} and min(r.n_obs for r in found) > 200
