@@ -4,15 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.dates import day_number
-from ..session import task_count
 
 
 def _by_date(key: str, date: str):
@@ -78,38 +74,36 @@ def repair_outliers(
     return df.withColumn(value, F.when(F.col("repaired"), before).otherwise(F.col(value)))
 
 
-def _repair_zeros_of(date: str, value: str, days: int):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(date, kind="stable").reset_index(drop=True)
-        day = pd.to_datetime(pdf[date]).to_numpy().astype("datetime64[D]").astype(np.int64)
-        values = pdf[value].to_numpy(dtype=float).copy()
-        status = np.full(len(values), "kept", dtype=object)
-        calendar = np.full(day[-1] - day[0] + 1, np.nan)
-        calendar[day - day[0]] = values
-        # In date order: a repaired day counts for the zeros after it.
-        for i in np.flatnonzero(values == 0):
-            at = day[i] - day[0]
-            window = calendar[max(at - days, 0):at]
-            if len(window) == days and not np.isnan(window).any():
-                values[i] = calendar[at] = window.mean()
-                status[i] = "repaired"
-            else:
-                status[i] = "left"
-        return pdf.assign(**{value: values, "zero_status": status})
-
-    return run
-
-
 def repair_zeros(df: DataFrame, key: str = "series", date: str = "date", value: str = "value", days: int = 7) -> DataFrame:
     """Zeros become the mean of the calendar days before, earlier repairs included.
 
-    Each repair feeds the next one, which no window frame can express; the
-    series is short (days), so one group goes to one task. ``zero_status`` is
-    kept, repaired or left (fewer than ``days`` days known before it).
+    Each repair feeds the next one, which no window frame can express. So the
+    days and values of a series (bounded by the calendar) are folded in date
+    order, with the last ``days`` known days as a ring; only repairs are handed
+    on and joined to the rows, other columns are not packed. ``zero_status`` is
+    kept, repaired or left (fewer than ``days`` days known right before it, or a
+    day among them twice). A zero without a date is left.
     """
-    schema = T.StructType([*df.schema.fields, T.StructField("zero_status", T.StringType())])
-    spread = df.repartition(task_count(df.sparkSession), key)
-    return spread.groupBy(key).applyInPandas(_repair_zeros_of(date, value, days), schema)
+    known = df.filter(F.col(date).isNotNull() & F.col(value).isNotNull())
+    packed = known.groupBy(F.col(key).alias("_repair_key")).agg(
+        F.array_sort(F.collect_list(F.struct(F.unix_date(date).alias("d"), F.col(value).cast("double").alias("v")))).alias("_p")
+    )
+    empty = F.array().cast("array<struct<d:int,v:double>>")
+
+    def step(acc: Column, e: Column) -> Column:
+        ring = acc["ring"]
+        hit = (e["v"] == 0) & (F.size(ring) == days) & (F.get(ring, F.lit(0))["d"] == e["d"] - days)
+        mean = F.aggregate(ring, F.lit(0.0), lambda total, x: total + x["v"]) / days
+        now = F.array(F.struct(e["d"].alias("d"), F.when(hit, mean).otherwise(e["v"]).alias("v")))
+        last = F.when(F.size(ring) == days, F.slice(ring, 2, days - 1)).otherwise(ring)
+        return F.struct(F.concat(last, now).alias("ring"), F.when(hit, F.concat(acc["fixed"], now)).otherwise(acc["fixed"]).alias("fixed"))
+
+    fixed = F.aggregate("_p", F.struct(empty.alias("ring"), empty.alias("fixed")), step)["fixed"]
+    repairs = packed.filter(F.exists("_p", lambda e: e["v"] == 0)).select("_repair_key", F.inline(fixed)).withColumnsRenamed({"d": "_repair_day", "v": "_repair"}).dropDuplicates(["_repair_key", "_repair_day"])
+    joined = df.join(repairs, F.col(key).eqNullSafe(F.col("_repair_key")) & (F.unix_date(date) == F.col("_repair_day")) & (F.col(value) == 0), "left")
+    status = F.when(F.coalesce(F.col(value) != 0, F.lit(True)), "kept").when(F.col("_repair").isNotNull(), "repaired").otherwise("left")
+    repaired = F.coalesce(F.col("_repair").cast(df.schema[value].dataType), F.col(value))
+    return joined.select(*[repaired.alias(c) if c == value else F.col(c) for c in df.columns], status.alias("zero_status"))
 
 
 def last_n(df: DataFrame, n: int = 150, key: str = "series", date: str = "date") -> DataFrame:

@@ -1,4 +1,5 @@
-from datetime import date
+import random
+from datetime import date, timedelta
 
 import pytest
 from conftest import column
@@ -117,6 +118,32 @@ def test_two_zeros_in_a_row(spark, series):
     assert rows["b"][2] == (0.0, "left")
 
 
+def test_zeros_against_a_plain_loop(spark):
+    r = random.Random(12)
+    rows = []
+    for k in ["a", "b", "c", None]:
+        for n in range(400):
+            if r.random() < 0.97:
+                rows.append((k, date(2020, 1, 1) + timedelta(days=n), r.choice([0.0, 0.0, None, *range(1, 30)]) if k != "c" else 5.0, f"x{n}"))
+    rows.append(("a", None, 0.0, "no date"))
+    want = []
+    for k in {x[0] for x in rows}:
+        known = {}
+        for _, d, v, x in sorted((x for x in rows if x[0] == k), key=lambda x: (x[1] is None, x[1])):
+            before = [known.get(d - timedelta(days=i)) for i in range(1, 8)] if d else [None]
+            status = "kept" if v != 0 else "left" if None in before else "repaired"
+            if status == "repaired":
+                v = sum(before) / 7
+            if d and v is not None:
+                known[d] = v
+            want.append((k, d, None if v is None else round(v, 9), x, status))
+    df = X.repair_zeros(spark.createDataFrame([(k, d, None if v is None else float(v), x) for k, d, v, x in rows], "series string, date date, value double, _p string"))
+    assert "Python" not in df._jdf.queryExecution().toString()
+    got = [(x.series, x.date, None if x.value is None else round(x.value, 9), x._p, x.zero_status) for x in df.collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    assert sum(x[4] == "repaired" for x in got) > 10
+
+
 def test_start_at_without_hit_keeps_all(spark, series):
     df = series(a=[1, 150, 3], b=[1, 2, 3])
     assert column(A.start_at(df), "series", "value", order=("series", "date")) == [("a", 150), ("a", 3), ("b", 1), ("b", 2), ("b", 3)]
