@@ -156,7 +156,7 @@ def aligned(a: np.ndarray, b: np.ndarray, least: float) -> float:
 
 
 #: So many texts of a bucket may lead it at once in the first round, twice as many in each later one.
-LEADS = 16
+LEADS = 32
 _REORDERED = np.uint64(1)
 
 
@@ -224,7 +224,8 @@ def difference_marks(more: np.ndarray, missing: np.ndarray, own: int, other: int
             alone = max(0, mi - shared + 1) if mi > mo else 0
             parts[0].append(missing[:alone])
             if not small:
-                parts[1].append(missing[alone : max(alone, mi - max(1, size - most) + 1)])
+                beyond = int(np.ceil(size - share * (own + other) - 1e-9))  # a text that misses more than it adds is shorter than the lead
+                parts[1].append(missing[alone : max(alone, mi - max(1, beyond) + 1)])
     return np.concatenate([np.concatenate(parts[0]) | np.uint64(1), np.concatenate(parts[1]) & ~np.uint64(1)])
 
 
@@ -299,9 +300,14 @@ def _marked(diffs: DataFrame, least: float) -> DataFrame:
             marks = [np.concatenate([order, difference_marks(more, missing, own, other, common, least)]) for more, missing, order, common, own, other in parts]
             yield pa.RecordBatch.from_arrays([get["tid"], get["lead"], _lists(marks)], ["tid", "lead", "marks"])
 
+    none = F.array().cast("array<long>")
     common = diffs.select("lead", "more", "missing").mapInArrow(often, "lead long, item long")
     common = common.groupBy("lead").agg(F.collect_set("item").alias("common"))
-    told = diffs.join(common, "lead", "left").select("tid", "lead", "more", "missing", "marks", F.coalesce("common", F.array().cast("array<long>")).alias("common"), "own", "other")
+    # cells of distances are for leads that have texts of another order
+    turned = diffs.filter(F.exists("marks", lambda m: m.bitwiseAND(1) == 1)).select("lead").distinct().withColumn("turned", F.lit(True))
+    told = diffs.join(common, "lead", "left").join(turned, "lead", "left").select(
+        "tid", "lead", "more", "missing", F.when(F.col("turned"), F.col("marks")).otherwise(none).alias("marks"), F.coalesce("common", none).alias("common"), "own", "other"
+    )
     return told.mapInArrow(rows, "tid long, lead long, marks array<long>")
 
 
