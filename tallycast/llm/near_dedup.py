@@ -449,7 +449,9 @@ def near_classes(docs: DataFrame, k: int = 5, least: float = 0.8, sketch: OrderS
         differ = write_out(known.filter("marks is not null").join(again.select("tid", "lead"), ["tid", "lead"], "left_semi"), "differ")
         dealt = again.join(_marked(differ, least).select("tid", "lead", F.explode("marks").alias("mark")), ["tid", "lead"])
         dealt = dealt.select(F.xxhash64("lead", F.shiftright("mark", 1)).alias("bucket"), "tid", "weight", F.col("mark").bitwiseAND(1).cast("boolean").alias("makes"))
-        buckets = write_out(_with_roots(dealt, roots), "dealt")
+        dealt = write_out(dealt, "dealt")
+        met_again = dealt.groupBy("bucket").agg(F.count("*").alias("n"), F.count_if("makes").alias("makers")).filter("n > 1 and makers > 0").select("bucket")
+        buckets = write_out(_with_roots(dealt.join(met_again, "bucket", "left_semi"), roots), "buckets")
     classes = member.join(roots, "tid", "left").select("doc_id", F.coalesce("root", "tid").alias("class_id"))
     classes = classes.groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
     return docs.select("doc_id").join(classes, "doc_id", "left")
