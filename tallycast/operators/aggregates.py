@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -58,17 +59,74 @@ def last_dates(df: DataFrame, key: Sequence[str] = ("series",), date: str = "dat
     return df.groupBy(*key).agg(F.max(date).alias("origin"))
 
 
-def describe(df: DataFrame, key: Sequence[str], cols: Sequence[str]) -> DataFrame:
-    """count, mean, std, min, quartiles and max of each column, one row per key."""
+QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
+
+
+def describe(df: DataFrame, key: Sequence[str], cols: Sequence[str], accuracy: int = 10_000) -> DataFrame:
+    """count, mean, std, min, quartiles and max of each column, one row per key.
+
+    Quartiles are exact, interpolated. A first pass brackets each with a sketch
+    of ``accuracy``; a second counts the values below its bracket and the
+    distinct ones inside, about 4 / accuracy of a group, on which the middle
+    ranks are found. No state grows with a group. ``df`` is read twice.
+    """
+    near = 2.0 / accuracy
     aggs = []
     for c in cols:
-        q = F.percentile(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
         aggs += [
             F.count(c).alias(f"{c}_count"), F.avg(c).alias(f"{c}_mean"), F.stddev_samp(c).alias(f"{c}_std"),
-            F.min(c).alias(f"{c}_min"), q[0].alias(f"{c}_q25"), q[1].alias(f"{c}_q50"), q[2].alias(f"{c}_q75"),
-            F.max(c).alias(f"{c}_max"),
+            F.min(c).alias(f"{c}_min"), F.max(c).alias(f"{c}_max"),
+            F.percentile_approx(
+                c, [e for p in QUARTILES.values() for e in (p - near, p + near)], accuracy
+            ).alias(f"_{c}_ends"),
         ]
-    return df.groupBy(*key).agg(*aggs)
+    whole = df.groupBy(*key).agg(*aggs)
+    found = whole
+    for c in cols:
+        found = _same_key(found, _quartiles(df, whole, key, c, accuracy), key)
+    out = [f"{c}_{m}" for c in cols for m in ("count", "mean", "std", "min", *QUARTILES, "max")]
+    return found.select(*key, *out)
+
+
+def _same_key(left: DataFrame, right: DataFrame, key: Sequence[str], how: str = "left") -> DataFrame:
+    """Join on keys of which nulls are one; the right side's keys go."""
+    right = right.withColumnsRenamed({k: f"_r_{k}" for k in key})
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in key], F.lit(True))
+    return left.join(right, same, how).drop(*[f"_r_{k}" for k in key])
+
+
+def _quartiles(df: DataFrame, whole: DataFrame, key: Sequence[str], c: str, accuracy: int) -> DataFrame:
+    """Exact quartiles of one column from the brackets in ``whole``; a group of
+    at most 4 x ``accuracy`` values is its own bracket, as neighbours of a rank
+    may lie outside the sketch's."""
+    n = F.col(f"{c}_count")
+    few = F.array_repeat(F.array(F.col(f"{c}_min"), F.col(f"{c}_max")), len(QUARTILES))
+    ends = F.when(n > 4 * accuracy, F.col(f"_{c}_ends")).otherwise(F.flatten(few))
+    ends = whole.select(*key, ends.alias("_ends"), n.alias("_n"))
+    rows = _same_key(df.filter(F.col(c).isNotNull()).select(*key, F.col(c).alias("_v")), ends, key, "inner")
+    # a value below a bracket only counts: it becomes null, one above is not needed
+    at = [
+        F.when(F.col("_v") <= F.col("_ends")[2 * i + 1],
+               F.struct(F.lit(i).alias("q"), F.when(F.col("_v") >= F.col("_ends")[2 * i], F.col("_v")).alias("v")))
+        for i in range(len(QUARTILES))
+    ]
+    rows = rows.select(*key, "_n", F.inline(F.filter(F.array(*at), lambda s: s.isNotNull())))
+    rows = rows.groupBy(*key, "_n", "q", "v").agg(F.count(F.lit(1)).alias("_many"))
+    upto = W.partitionBy(*key, "q").orderBy(F.col("v").asc_nulls_first()).rowsBetween(W.unboundedPreceding, 0)
+    rows = rows.withColumn("_upto", F.sum("_many").over(upto))
+    share = F.element_at(F.array(*[F.lit(p) for p in QUARTILES.values()]), F.col("q") + 1)
+    place = (F.col("_n") - 1) * share
+
+    def value(rank):
+        return F.min(F.when(F.col("_upto") > rank, F.col("v").cast("double")))
+
+    part = rows.groupBy(*key, "q").agg(
+        value(F.floor(place)).alias("_a"), value(F.ceil(place)).alias("_b"), F.max(place - F.floor(place)).alias("_f")
+    )
+    exact = F.when(F.col("_f") == 0, F.col("_a")).otherwise((1 - F.col("_f")) * F.col("_a") + F.col("_f") * F.col("_b"))
+    return part.groupBy(*key).agg(
+        *[F.max(F.when(F.col("q") == i, exact)).alias(f"{c}_{name}") for i, name in enumerate(QUARTILES)]
+    )
 
 
 def skew(df: DataFrame, key: Sequence[str], value: str) -> DataFrame:

@@ -121,39 +121,102 @@ def mann_whitney(
     return sums.select(key, F.col("u").alias("statistic"), "z", p.alias("p"))
 
 
-def _slope_median(x: np.ndarray, room: int = 8_000_000) -> float:
-    """Exact median of (x[j] - x[i]) / (j - i) over i < j, a few rows of slopes
-    in memory at a time: count slopes into bins, keep the bin of the middle
-    rank, and repeat until the slopes in it fit in ``room``."""
+def _merges(rank: np.ndarray):
+    """The levels of a merge sort from halves of one value up: (left places in
+    order of rank, right places, first and end of the left ones that outrank
+    each right one). All left values of a pair of halves are one run."""
+    n = len(rank)
+    at, width = np.arange(n), 1
+    while width < n:
+        half = at // width
+        pair, right = half >> 1, half & 1 == 1
+        keys = pair * n + rank
+        left = at[~right][np.argsort(keys[~right], kind="stable")]
+        run = keys[left]
+        yield left, at[right], np.searchsorted(run, keys[right], "right"), np.searchsorted(run, (pair[right] + 1) * n)
+        width *= 2
+
+
+def _falls(rank: np.ndarray) -> int:
+    """Pairs i < j with rank[i] > rank[j], by sorted runs, in memory of n."""
+    return sum(int((end - first).sum()) for _, _, first, end in _merges(rank))
+
+
+def _slope_median(x: np.ndarray, room: int = 2_000_000, draws: int = 4_000_000, seed: int = 5) -> float:
+    """Exact median of (x[j] - x[i]) / (j - i) over i < j, up to rounding.
+
+    A slope is at most s where x - s t falls or stays from i to j, so slopes up
+    to s are counted as falls. Random pairs bracket the middle ranks, counts
+    confirm the bracket, and once at most ``room`` slopes lie inside they are
+    listed: the pairs whose order differs at its two ends. A bracket that holds
+    too few of the drawn pairs is halved; one without width is the answer.
+    """
     n = len(x)
     total = n * (n - 1) // 2
-
-    def rows():
-        for i in range(n - 1):
-            yield (x[i + 1:] - x[i]) / np.arange(1, n - i)
-
-    def kth(rank: int) -> float:
-        lo, hi = min(s.min() for s in rows()), max(s.max() for s in rows())
-        inside, under = total, 0
-        while inside > room and lo < hi:
-            edges = np.linspace(lo, hi, 4097)
-            counts = np.zeros(4096, dtype=np.int64)
-            for s in rows():
-                counts += np.histogram(s, edges)[0]
-            at = int(np.searchsorted(under + np.cumsum(counts), rank, side="right"))
-            under += int(counts[:at].sum())
-            # the last bin of a histogram holds its right edge, the others do not
-            lo, hi = edges[at], edges[at + 1] if at == 4095 else np.nextafter(edges[at + 1], -np.inf)
-            inside = int(counts[at])
-        if lo >= hi:
-            return float(lo)
-        kept = np.concatenate([s[(s >= lo) & (s <= hi)] for s in rows()])
-        return float(np.partition(kept, rank - under)[rank - under])
-
     if total <= room:
-        return float(np.median(np.concatenate(list(rows()))))
-    low = kth((total - 1) // 2)
-    return low if total % 2 else (low + kth(total // 2)) / 2
+        return float(np.median(np.concatenate([(x[i + 1:] - x[i]) / np.arange(1, n - i) for i in range(n - 1)])))
+    t = np.arange(n, dtype=float)
+    r = np.random.default_rng(seed)
+    scale = max(float(np.ptp(x)), 1e-300)
+    x = x - x[0]
+
+    def order(s: float) -> np.ndarray:
+        return np.lexsort((-t, x - s * t))
+
+    def rank(places: np.ndarray) -> np.ndarray:
+        out = np.empty(n, dtype=np.int64)
+        out[places] = np.arange(n)
+        return out
+
+    def up_to(s: float) -> int:
+        return _falls(rank(order(s)))
+
+    low, high = (total - 1) // 2, total // 2
+    lo, hi, under, upto = -2 * scale, 2 * scale, 0, total
+    while upto - under > room and hi - lo > 1e-13 * scale:
+        i, j = r.integers(0, n, draws), r.integers(0, n, draws)
+        i, j = i[i != j], j[i != j]
+        s = (x[j] - x[i]) / (t[j] - t[i])
+        s = np.sort(s[(s > lo) & (s <= hi)])
+        middle = (lo + hi) / 2
+        cuts = [middle]
+        if len(s) >= 1000:
+            share, margin = (low - under) / (upto - under) * len(s), 3 * math.sqrt(len(s))
+            cuts = [float(s[max(0, int(share - margin))]), float(s[min(len(s) - 1, int(share + margin))])]
+            # an end that stands for many equal slopes goes just below or above them
+            cuts = [cuts[0] - 1e-14 * scale, cuts[1] + 1e-14 * scale]
+            if cuts[0] <= lo and cuts[1] >= hi:
+                cuts = [middle]
+        for cut in cuts:
+            if lo < cut < hi:
+                count = up_to(cut)
+                if count <= low:
+                    lo, under = cut, count
+                elif count > high:
+                    hi, upto = cut, count
+                else:  # the two middle slopes lie on both sides
+                    return _between(x, t, cut)
+    if upto - under > room:
+        return (lo + hi) / 2
+    first = order(lo)
+    found = []
+    for left, right, start, end in _merges(rank(order(hi))[first]):
+        many = end - start
+        runs = np.repeat(start - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
+        i, j = first[left[runs]], first[np.repeat(right, many)]
+        found.append((x[j] - x[i]) / (t[j] - t[i]))
+    inside = np.partition(np.concatenate(found), [low - under, high - under])
+    return float(inside[low - under] + inside[high - under]) / 2
+
+
+def _between(x: np.ndarray, t: np.ndarray, cut: float) -> float:
+    """Mean of the largest slope up to ``cut`` and the smallest above it: both
+    are slopes of places next to each other in the order of x - cut t."""
+    y = x - cut * t
+    places = np.lexsort((-t, y))
+    i, j = places[:-1], places[1:]
+    s = (x[j] - x[i]) / (t[j] - t[i])
+    return float(s[s <= cut].max() + s[s > cut].min()) / 2
 
 
 def _mann_kendall_of(key: str, date: str, value: str, alpha: float):
@@ -164,8 +227,9 @@ def _mann_kendall_of(key: str, date: str, value: str, alpha: float):
         n = len(x)
         if n < 2:
             return pd.DataFrame({key: [pdf[key].iloc[0]], "n": [n]}).reindex(columns=columns)
-        s = int(sum(np.sign(x[i + 1:] - x[i]).sum() for i in range(n - 1)))
-        ties = np.unique(x, return_counts=True)[1].astype(float)
+        _, dense, ties = np.unique(x, return_inverse=True, return_counts=True)
+        s = n * (n - 1) // 2 - int((ties * (ties - 1) // 2).sum()) - 2 * _falls(dense)
+        ties = ties.astype(float)
         var = (n * (n - 1) * (2 * n + 5) - (ties * (ties - 1) * (2 * ties + 5)).sum()) / 18
         z = 0.0 if s == 0 or var == 0 else (s - np.sign(s)) / math.sqrt(var)
         p = math.erfc(abs(z) / math.sqrt(2))
@@ -183,8 +247,8 @@ def mann_kendall(
 ) -> DataFrame:
     """Monotone trend test with tie correction, median slope and intercept.
 
-    Signs and slopes are taken row against the rows after it inside numpy, in
-    memory of one row at a time; pairs never become rows.
+    Falls are counted by merging, the median slope is selected between counts:
+    n log n for a series of n days, pairs never become rows.
     """
     kt = dict(df.dtypes)[key]
     schema = f"`{key}` {kt}, n long, s long, tau double, var_s double, z double, p double, trend string, slope double, intercept double"

@@ -5,6 +5,7 @@ import math
 import numpy as np
 import pytest
 
+from tallycast.operators import aggregates as A
 from tallycast.operators import stats as Z
 from tallycast.operators import wavelet as V
 
@@ -39,7 +40,36 @@ def test_mann_kendall(frame, noise):
 def test_slope_median_in_little_memory(noise):
     for x in [*noise.values(), np.zeros(50), np.arange(60.0), np.r_[np.zeros(40), 5.0]]:
         want = np.median([(x[j] - x[i]) / (j - i) for i in range(len(x)) for j in range(i + 1, len(x))])
-        assert Z._slope_median(x, room=40) == pytest.approx(want, abs=1e-12)
+        assert Z._slope_median(x, room=40, draws=5000) == pytest.approx(want, abs=1e-9)
+
+
+def test_slope_median_of_many_days():
+    r = np.random.default_rng(3)
+    for x in [np.cumsum(r.normal(size=3000)), r.integers(0, 9, 3000).astype(float), np.where(np.arange(3000) < 2900, 0.0, 7.0)]:
+        want = np.median(np.concatenate([(x[i + 1:] - x[i]) / np.arange(1, len(x) - i) for i in range(len(x) - 1)]))
+        assert Z._slope_median(x, room=20_000) == pytest.approx(want, abs=1e-9)
+    assert Z._slope_median(np.arange(100_000) * 0.25) == pytest.approx(0.25)
+
+
+def test_describe_quartiles_are_exact(spark):
+    r = np.random.default_rng(4)
+    groups = {
+        "ties": r.integers(0, 5, 4000).astype(float), "wide": r.normal(size=6001) * 1e6, "one": np.array([2.5]),
+        "two": np.array([1.0, 4.0]), None: r.exponential(size=777), "none": np.array([]),
+    }
+    rows = [(k, float(v), int(v)) for k, x in groups.items() for v in x] + [("none", None, None), ("ties", None, None)]
+    df = spark.createDataFrame(rows, "k string, x double, i int").repartition(7)
+    for accuracy in (20, 10_000):
+        found = {row["k"]: row for row in A.describe(df, ["k"], ["x", "i"], accuracy).collect()}
+        assert set(found) == set(groups)
+        for k, x in groups.items():
+            assert found[k]["x_count"] == len(x)
+            for c, values in (("x", x), ("i", x.astype(int))):
+                got = [found[k][f"{c}_{q}"] for q in A.QUARTILES]
+                want = [np.quantile(values, p) for p in A.QUARTILES.values()] if len(x) else [None] * 3
+                assert got == want or got == pytest.approx(want, rel=1e-12)
+    assert A.describe(df.limit(0), ["k"], ["x"]).collect() == []
+    assert A.describe(df, [], ["x"]).first()["x_q50"] == pytest.approx(np.median(np.concatenate(list(groups.values()))))
 
 
 def test_mann_whitney(frame, noise):
