@@ -15,6 +15,8 @@ from .arrays import PUNCTUATION, Words, blocks, column, mix
 
 #: Words below which an item has tables of its own.
 SHORT = 12
+#: Words of a part of an item; see ``parts_of``.
+PART = 6
 
 
 @dataclass(frozen=True)
@@ -25,9 +27,10 @@ class Sampling:
     next by a random bit of (word, step): the CGK embedding, under which few
     edits change few places. Each sample of places is one hash table: two
     places among the first ``near`` steps, the others anywhere in the reach of
-    the item. One table agrees on a window with a fifth of its words edited
-    with a chance of about 0.1, on one with a tenth with about 0.3, so 36
-    tables find over 0.97 and over 0.999; the tests measure it.
+    a part of the item. One table agrees on a part with a fifth of its words
+    edited with a chance of about 0.1, so 36 tables find about 0.95 of such
+    parts, and a longer item has several of them; the tests measure recall by
+    length.
     """
 
     walks: int = 4
@@ -55,8 +58,11 @@ def normalised(texts: pa.Array) -> pa.Array:
     return pc.utf8_lower(column(texts))
 
 
-def least_edits(item: list, text: list) -> tuple[int, int]:
-    """(distance, end) of the stretch of ``text`` nearest to ``item``; the earliest end wins. Columns are bits of an integer."""
+def least_edits(item: list, text: list, from_start: bool = False) -> tuple[int, int]:
+    """(distance, end) of the stretch of ``text`` nearest to ``item``; the earliest end wins. Columns are bits of an integer.
+
+    With ``from_start`` only stretches from the first word on count.
+    """
     m = len(item)
     places: dict = {}
     for i, x in enumerate(item):
@@ -73,7 +79,7 @@ def least_edits(item: list, text: list) -> tuple[int, int]:
             score += 1
         elif down & top:
             score -= 1
-        up, down = (up << 1) & full, (down << 1) & full
+        up, down = (up << 1 | from_start) & full, (down << 1) & full
         plus, minus = down | (full & ~(x | up)), up & x
         if score < best:
             best, end = score, j
@@ -90,16 +96,8 @@ def edit_distance(item: list, text: list, most: int) -> tuple[int, int, int]:
     distance, end = least_edits(item, text)
     if distance > most:
         return most + 1, 0, 0
-    m = len(item)
-    row = list(range(m + 1))  # edits from the item's last i words to the text's last j before the end
-    start, best = end, row[m]
-    for j, t in enumerate(reversed(text[max(0, end - m - distance) : end]), 1):
-        diagonal, row[0] = row[0], j
-        for i in range(1, m + 1):
-            diagonal, row[i] = row[i], min(diagonal + (item[m - i] != t), row[i] + 1, row[i - 1] + 1)
-        if row[m] < best:
-            best, start = row[m], end - j
-    return distance, start, end
+    back = text[max(0, end - len(item) - distance) : end][::-1]
+    return distance, end - least_edits(item[::-1], back, True)[1], end
 
 
 class Items:
@@ -120,31 +118,41 @@ class Items:
         self.sets = [set(x) for x in self.words]
         self.sizes = np.array([len(x) for x in hashes], np.int64)
         self.most = np.floor(share * self.sizes + 1e-9).astype(np.int64)
-        of_reach: dict[int, list[int]] = {}
+        #: parts of the items: item, words before the part
+        self.owner, self.offset = [], []
+        lengths = []
         for i, n in enumerate(self.sizes.tolist()):
-            if n >= SHORT:
-                of_reach.setdefault(self.reach(n), []).append(i)
-        #: for each walk its tables: (near steps, tables of the items by reach)
+            cuts = parts_of(n)
+            self.owner += [i] * (len(cuts) - 1)
+            self.offset += cuts[:-1]
+            lengths += np.diff(cuts).tolist()
+        of_reach: dict[int, list[int]] = {}
+        for part, n in enumerate(lengths):
+            if self.sizes[self.owner[part]] >= SHORT:
+                of_reach.setdefault(self.reach(n), []).append(part)
+        #: for each walk its tables: (near steps, tables of the parts by reach)
         self.walks: list[list[tuple[np.ndarray, list[Table]]]] = []
-        self.room = max([self.reach(n) for n in self.sizes.tolist()], default=0) + sampling.near + 1
+        self.room = max([self.reach(n) for n in lengths], default=0) + sampling.near + 1
+        h = np.concatenate([*hashes, np.zeros(0, np.uint64)])
+        ends = np.cumsum(self.sizes)
         for samples, flip in zip(sampling.tables(), sampling.flips()):
             self.walks.append([(near, []) for near, _ in samples])
+            walk = Walk(h, flip, self.room)
             for reach, members in sorted(of_reach.items()):
-                h = np.concatenate([hashes[i] for i in members])
-                ends = np.cumsum([len(hashes[i]) for i in members])
-                walk = Walk(h, flip, self.room)
-                starts = np.concatenate([[0], ends[:-1]])
+                owners = np.array(self.owner)[members]
+                starts = (ends - self.sizes)[owners] + np.array(self.offset)[members]
                 for (near, later), (_, parts) in zip(samples, self.walks[-1]):
                     after = sampling.near + (later * max(1, reach - sampling.near)).astype(np.int64)
-                    parts.append(Table(walk, starts, ends, near, after, np.array(members)))
+                    parts.append(Table(walk, starts, ends[owners], near, after, np.array(members)))
         self._short(hashes)
 
     def _short(self, hashes: list[np.ndarray]) -> None:
         """Tables of the items below ``SHORT`` words, by their length: their walks are sampled below as many steps, which stay inside."""
         sampling = self.sampling
         for n in sorted({x for x in self.sizes.tolist() if x < SHORT}):
-            members = np.flatnonzero(self.sizes == n)
-            h = np.concatenate([hashes[i] for i in members])
+            items = np.flatnonzero(self.sizes == n)
+            members = np.searchsorted(self.owner, items)  # a short item is one part
+            h = np.concatenate([hashes[i] for i in items])
             starts = np.arange(len(members)) * n
             r = np.random.default_rng(sampling.seed + n)
             for walk, flip in zip(self.walks, sampling.flips()):
@@ -158,6 +166,17 @@ class Items:
         return max(2, 1 << int(np.log2(max(2, 1.5 * n))))
 
 
+def parts_of(n: int) -> list[int]:
+    """Bounds of the even parts, of ``PART`` words or a few more, that an item of ``n`` words is looked up by.
+
+    Some part has no greater share of its words edited than the whole, and
+    walks over a part do not drift far: a long item is found by any of its
+    parts, and compared whole.
+    """
+    many = max(1, n // PART)
+    return [i * n // many for i in range(many + 1)]
+
+
 class Walk:
     """CGK walk over the words of a block. Past the block it stands still; users compare places with the ends of texts."""
 
@@ -178,7 +197,7 @@ def _join(key: np.ndarray, word: np.ndarray) -> np.ndarray:
 
 
 class Table:
-    """Sampled keys of the items of one reach: a filter for the near places, sorted keys for all others."""
+    """Sampled keys of the parts of one reach: a filter for the near places, sorted keys for all others."""
 
     def __init__(self, walk: Walk, starts: np.ndarray, ends: np.ndarray, near: np.ndarray, after: np.ndarray, members: np.ndarray):
         self.near, self.after = near, after
@@ -192,16 +211,16 @@ class Table:
             last = step
         ok = at < ends
         self.keys = [np.unique(k[ok]) for k in keys]
-        # some 64 slots for each item: few other starts pass, and the table stays small
+        # some 64 slots for each part: few other starts pass, and the table stays small
         self.shift = np.uint64(64 - int(np.clip(np.ceil(np.log2(64 * max(1, ok.sum()))), 10, 22)))
         self.filter = np.zeros(1 << (64 - int(self.shift)), bool)
         self.filter[(self.keys[0] >> self.shift).astype(np.int64)] = True
-        self.items: dict[int, list[int]] = {}
-        for i, k in zip(members[ok].tolist(), keys[-1][ok].tolist()):
-            self.items.setdefault(k, []).append(i)
+        self.parts: dict[int, list[int]] = {}
+        for part, k in zip(members[ok].tolist(), keys[-1][ok].tolist()):
+            self.parts.setdefault(k, []).append(part)
 
     def search(self, walk: Walk, key: np.ndarray, places: np.ndarray, ends: np.ndarray):
-        """(start, item) of starts whose walks have ``key`` after the near places and stand at ``places`` then."""
+        """(start, part) of starts whose walks have ``key`` after the near places and stand at ``places`` then."""
         live = np.flatnonzero(self.filter[(key >> self.shift).astype(np.int64)])
         at, key, last = places[live], key[live], int(self.near[1])
         for step, known in zip([last, *self.after.tolist()], self.keys):
@@ -215,12 +234,12 @@ class Table:
             same = (known[np.minimum(np.searchsorted(known, key), len(known) - 1)] == key) & (at < ends[live])
             live, at, key = live[same], at[same], key[same]
         for start, k in zip(live.tolist(), key.tolist()):
-            for i in self.items[k]:
-                yield start, i
+            for part in self.parts[k]:
+                yield start, part
 
 
 def candidates(items: Items, h: np.ndarray, bounds: np.ndarray) -> set[tuple[int, int]]:
-    """(start, item) of windows that share a sampled key with an item.
+    """(start, part) of windows that share a sampled key with a part of an item.
 
     All starts walk the near steps together; the few whose words pass the
     filters of a table go on alone.
@@ -250,19 +269,26 @@ def candidates(items: Items, h: np.ndarray, bounds: np.ndarray) -> set[tuple[int
 def leaks_of_block(items: Items, w: Words, h: np.ndarray):
     """(text, item, distance, first word, end word): the best window of each text and item within the bound."""
     best: dict[tuple[int, int], tuple[int, int, int]] = {}
-    tried: dict[tuple[int, int], int] = {}
     owners = np.searchsorted(w.bounds, np.arange(len(h)), "right") - 1
-    for start, i in sorted(candidates(items, h, w.bounds)):
-        doc, most, size = int(owners[start]), int(items.most[i]), int(items.sizes[i])
-        if best.get((doc, i), (1,))[0] == 0 or tried.get((doc, i), -1) >= start:
+    # where the whole item would start, if nothing before the part were edited
+    found = {(int(owners[at]), items.owner[part], at - items.offset[part]) for at, part in candidates(items, h, w.bounds)}
+    windows: list[list[int]] = []
+    for doc, i, start in sorted(found):
+        near = int(items.most[i]) + 2
+        if windows and windows[-1][:2] == [doc, i] and start - windows[-1][3] <= near:
+            windows[-1][3] = start  # hits of one stretch are compared at once
+        else:
+            windows.append([doc, i, start, start])
+    for doc, i, start, last in windows:
+        most, size = int(items.most[i]), int(items.sizes[i])
+        if best.get((doc, i), (1,))[0] == 0:
             continue
         lo = max(int(w.bounds[doc]), start - most - 2)
-        hi = min(int(w.bounds[doc + 1]), start + size + most + 2)
+        hi = min(int(w.bounds[doc + 1]), last + size + most + 2)
         text = h[lo:hi].tolist()
         if sum(x in items.sets[i] for x in text) < size - most:
             continue
         distance, a, b = edit_distance(items.words[i], text, most)
-        tried[(doc, i)] = start
         if distance <= most and distance < best.get((doc, i), (most + 1,))[0]:
             first = int(w.bounds[doc])
             best[(doc, i)] = (distance, lo + a - first, lo + b - first)
