@@ -115,8 +115,13 @@ class Items:
                     self.ids.append(ids[i])
                     hashes.append(own)
         self.words = [own.tolist() for own in hashes]
-        self.sets = [set(x) for x in self.words]
         self.sizes = np.array([len(x) for x in hashes], np.int64)
+        h = np.concatenate([*hashes, np.zeros(0, np.uint64)])
+        own = _join(np.repeat(np.arange(len(hashes), dtype=np.uint64), self.sizes), h)
+        self.shift = _shift(len(own))
+        #: slots of (item, word): a word of the item is always in, one of 64 others as well
+        self.known = np.zeros(1 << (64 - int(self.shift)), bool)
+        self.known[(own >> self.shift).astype(np.int64)] = True
         self.most = np.floor(share * self.sizes + 1e-9).astype(np.int64)
         #: parts of the items: item, words before the part
         self.owner, self.offset = [], []
@@ -133,7 +138,6 @@ class Items:
         #: for each walk its tables: (near steps, tables of the parts by reach)
         self.walks: list[list[tuple[np.ndarray, list[Table]]]] = []
         self.room = max([self.reach(n) for n in lengths], default=0) + sampling.near + 1
-        h = np.concatenate([*hashes, np.zeros(0, np.uint64)])
         ends = np.cumsum(self.sizes)
         for samples, flip in zip(sampling.tables(), sampling.flips()):
             self.walks.append([(near, []) for near, _ in samples])
@@ -145,6 +149,7 @@ class Items:
                     after = sampling.near + (later * max(1, reach - sampling.near)).astype(np.int64)
                     parts.append(Table(walk, starts, ends[owners], near, after, np.array(members)))
         self._short(hashes)
+        self.owner, self.offset = np.array(self.owner, np.int64), np.array(self.offset, np.int64)
 
     def _short(self, hashes: list[np.ndarray]) -> None:
         """Tables of the items below ``SHORT`` words, by their length: their walks are sampled below as many steps, which stay inside."""
@@ -192,6 +197,11 @@ class Walk:
         return at
 
 
+def _shift(n: int) -> np.uint64:
+    """Shift of a hash to some 64 slots for each of ``n`` entries: few others pass, and the table stays small."""
+    return np.uint64(64 - int(np.clip(np.ceil(np.log2(64 * max(1, n))), 10, 22)))
+
+
 def _join(key: np.ndarray, word: np.ndarray) -> np.ndarray:
     return (key * np.uint64(0xD1342543DE82EF95) + word) * np.uint64(0x9E3779B97F4A7C15)
 
@@ -211,43 +221,47 @@ class Table:
             last = step
         ok = at < ends
         self.keys = [np.unique(k[ok]) for k in keys]
-        # some 64 slots for each part: few other starts pass, and the table stays small
-        self.shift = np.uint64(64 - int(np.clip(np.ceil(np.log2(64 * max(1, ok.sum()))), 10, 22)))
+        self.shift = _shift(int(ok.sum()))
         self.filter = np.zeros(1 << (64 - int(self.shift)), bool)
         self.filter[(self.keys[0] >> self.shift).astype(np.int64)] = True
-        self.parts: dict[int, list[int]] = {}
-        for part, k in zip(members[ok].tolist(), keys[-1][ok].tolist()):
-            self.parts.setdefault(k, []).append(part)
+        order = np.argsort(keys[-1][ok], kind="stable")
+        self.parts, all_keys = members[ok][order], keys[-1][ok][order]
+        self.first, self.end = np.searchsorted(all_keys, self.keys[-1]), np.searchsorted(all_keys, self.keys[-1], "right")
 
     def search(self, walk: Walk, key: np.ndarray, places: np.ndarray, ends: np.ndarray):
-        """(start, part) of starts whose walks have ``key`` after the near places and stand at ``places`` then."""
+        """Starts and parts, of starts whose walks have ``key`` after the near places and stand at ``places`` then."""
         live = np.flatnonzero(self.filter[(key >> self.shift).astype(np.int64)])
         at, key, last = places[live], key[live], int(self.near[1])
         for step, known in zip([last, *self.after.tolist()], self.keys):
             if not len(live) or not len(known):
-                return
+                return live[:0], self.parts[:0]
             if step > last:
                 at = walk.go(at, last, step)
             if known is not self.keys[0]:
                 key = _join(key, walk.h[at])
             last = step
-            same = (known[np.minimum(np.searchsorted(known, key), len(known) - 1)] == key) & (at < ends[live])
-            live, at, key = live[same], at[same], key[same]
-        for start, k in zip(live.tolist(), key.tolist()):
-            for part in self.parts[k]:
-                yield start, part
+            found = np.minimum(np.searchsorted(known, key), len(known) - 1)
+            same = (known[found] == key) & (at < ends[live])
+            live, at, key, found = live[same], at[same], key[same], found[same]
+        many = self.end[found] - self.first[found]
+        return np.repeat(live, many), self.parts[_ranges(self.first[found], many)]
 
 
-def candidates(items: Items, h: np.ndarray, bounds: np.ndarray) -> set[tuple[int, int]]:
-    """(start, part) of windows that share a sampled key with a part of an item.
+def _ranges(first: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """first[0], first[0] + 1, ... of ``many[0]`` numbers, then those from first[1] on."""
+    return np.repeat(first - np.cumsum(many) + many, many) + np.arange(many.sum())
+
+
+def candidates(items: Items, h: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and parts of windows that share a sampled key with a part of an item.
 
     All starts walk the near steps together; the few whose words pass the
     filters of a table go on alone.
     """
     n = len(h)
-    found: set[tuple[int, int]] = set()
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
     if not n or not len(items.sizes):
-        return found
+        return found[0]
     ends = np.repeat(bounds[1:], np.diff(bounds))
     for tables, flip in zip(items.walks, items.sampling.flips()):
         walk = Walk(h, flip, items.room)
@@ -262,33 +276,49 @@ def candidates(items: Items, h: np.ndarray, bounds: np.ndarray) -> set[tuple[int
         for near, parts in tables:
             key = _join(words[int(near[0])], words[int(near[1])])
             for table in parts:
-                found.update(table.search(walk, key, places[int(near[1])], ends))
-    return found
+                found.append(table.search(walk, key, places[int(near[1])], ends))
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def windows_of(items: Items, w: Words, h: np.ndarray):
+    """(text, item, first word, end word) of the windows to compare: hits of one stretch are one window."""
+    at, part = candidates(items, h, w.bounds)
+    doc, item = np.searchsorted(w.bounds, at, "right") - 1, items.owner[part]
+    # where the whole item would start, if nothing before the part were edited; a text's first word may come later
+    room = int(items.sizes.max(initial=0))
+    span = len(h) + room + 1
+    hits = np.unique((doc * len(items.sizes) + item) * span + at - items.offset[part] + room)
+    both, start = hits // span, hits % span - room
+    item = both % max(1, len(items.sizes))
+    near = items.most[item] + 2
+    new = np.ones(len(hits), bool)
+    new[1:] = (both[1:] != both[:-1]) | (np.diff(start) > near[1:])
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(hits))[: len(first)] - 1
+    both, item = both[first], item[first]
+    doc = both // max(1, len(items.sizes))
+    lo = np.maximum(w.bounds[doc], start[first] - near[first])
+    hi = np.minimum(w.bounds[doc + 1], start[last] + items.sizes[item] + near[first])
+    # enough words of the item in it
+    keep = np.zeros(len(first), bool)
+    for k in range(0, len(first), 10_000):
+        part = slice(k, k + 10_000)
+        many = hi[part] - lo[part]
+        words = _join(np.repeat(item[part].astype(np.uint64), many), h[_ranges(lo[part], many)])
+        sums = np.concatenate([[0], np.cumsum(items.known[(words >> items.shift).astype(np.int64)])])
+        ends = np.cumsum(many)
+        keep[part] = sums[ends] - sums[ends - many] >= (items.sizes - items.most)[item[part]]
+    return zip(*(x[keep].tolist() for x in (doc, item, lo, hi)))
 
 
 def leaks_of_block(items: Items, w: Words, h: np.ndarray):
     """(text, item, distance, first word, end word): the best window of each text and item within the bound."""
     best: dict[tuple[int, int], tuple[int, int, int]] = {}
-    owners = np.searchsorted(w.bounds, np.arange(len(h)), "right") - 1
-    # where the whole item would start, if nothing before the part were edited
-    found = {(int(owners[at]), items.owner[part], at - items.offset[part]) for at, part in candidates(items, h, w.bounds)}
-    windows: list[list[int]] = []
-    for doc, i, start in sorted(found):
-        near = int(items.most[i]) + 2
-        if windows and windows[-1][:2] == [doc, i] and start - windows[-1][3] <= near:
-            windows[-1][3] = start  # hits of one stretch are compared at once
-        else:
-            windows.append([doc, i, start, start])
-    for doc, i, start, last in windows:
-        most, size = int(items.most[i]), int(items.sizes[i])
+    for doc, i, lo, hi in windows_of(items, w, h):
         if best.get((doc, i), (1,))[0] == 0:
             continue
-        lo = max(int(w.bounds[doc]), start - most - 2)
-        hi = min(int(w.bounds[doc + 1]), last + size + most + 2)
-        text = h[lo:hi].tolist()
-        if sum(x in items.sets[i] for x in text) < size - most:
-            continue
-        distance, a, b = edit_distance(items.words[i], text, most)
+        most = int(items.most[i])
+        distance, a, b = edit_distance(items.words[i], h[lo:hi].tolist(), most)
         if distance <= most and distance < best.get((doc, i), (most + 1,))[0]:
             first = int(w.bounds[doc])
             best[(doc, i)] = (distance, lo + a - first, lo + b - first)
