@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import aggregates as A
 from ..operators import stats as Z
+from ..operators.unit_root import adf as adf_test
 from ..operators.wavelet import global_spectrum, wavelet_power
 from .registry import S, SN, query, r, rnd, rounded, series_of
 
@@ -126,22 +127,60 @@ def pacf(spark, sf):
     return rounded(Z.pacf(series_of(spark, sf), 20).filter(F.col("lag") > 0), "pacf", "bound")
 
 
-@query("adf_lag0", f"""
-WITH {S}, d0 AS (SELECT series, date, 0 AS d, value AS u FROM s),
+# Each series at its orders of differencing 0 to 3, as ``p``.
+_DIFFERENCED = f"""{S}, d0 AS (SELECT series, date, 0 AS d, value AS u FROM s),
 {", ".join(f"d{i} AS (SELECT series, date, {i} AS d, u - lag(u) OVER (PARTITION BY series ORDER BY date) AS u FROM d{i - 1} QUALIFY lag(date) OVER (PARTITION BY series ORDER BY date) IS NOT NULL)" for i in (1, 2, 3))},
-p AS ({" UNION ALL ".join(f"SELECT * FROM d{i}" for i in range(4))}),
+p AS ({" UNION ALL ".join(f"SELECT * FROM d{i}" for i in range(4))})"""
+
+
+@query("adf_lag0", f"""
+WITH {_DIFFERENCED},
 l AS (SELECT series, d, lag(u) OVER w AS x, u - lag(u) OVER w AS y FROM p WINDOW w AS (PARTITION BY series, d ORDER BY date)),
 f AS (SELECT series, d, regr_slope(y, x) AS b, regr_sxx(y, x) AS sxx, regr_syy(y, x) AS syy, regr_count(y, x) AS n FROM l GROUP BY 1, 2)
 SELECT series, CAST(d AS INT) AS d, round(b / sqrt((syy - b * b * sxx) / (n - 2) / sxx), 5) AS statistic, CAST(0 AS BIGINT) AS lags,
   CAST(n AS BIGINT) AS n_used FROM f""")
 def adf_lag0(spark, sf):
     """The unit-root regression without lagged changes, which has a closed form."""
-    return rounded(Z.adf(series_of(spark, sf), max_lag=0), "statistic", places=5).drop("p")
+    return rounded(adf_test(series_of(spark, sf), max_lag=0), "statistic", places=5).drop("p")
+
+
+def _regression(chosen: str, at: str) -> str:
+    """CTEs that eliminate constant and lagged changes, one by one, from the products of all columns over the days after
+    lag ``l`` of table ``chosen``; ``f{at}`` has the rest of the matrix ``a`` after ``step`` columns."""
+    return f"""x{at} AS (SELECT e.series, e.d, e.t, unnest(range(0, k.l + 3)) AS i,
+  unnest([1.0::DOUBLE] || list_reverse(e.back)[1:k.l] || [e.u, e.y]) AS v FROM e JOIN {chosen} k ON k.series = e.series AND k.d = e.d WHERE e.t > k.l),
+g{at} AS (SELECT a.series, a.d, a.i, b.i AS j, sum(a.v * b.v) AS v FROM x{at} a JOIN x{at} b ON a.series = b.series AND a.d = b.d AND a.t = b.t GROUP BY ALL),
+m{at} AS (SELECT series, d, list(r ORDER BY i) AS a FROM (SELECT series, d, i, list(v ORDER BY j) AS r FROM g{at} GROUP BY 1, 2, 3) GROUP BY 1, 2),
+f{at} AS (SELECT series, d, 0 AS step, a FROM m{at} UNION ALL SELECT series, d, step + 1,
+  [[a[i][j] - a[i][1] * a[1][j] / a[1][1] for j in range(2, len(a) + 1)] for i in range(2, len(a) + 1)] FROM f{at} WHERE len(a) > 2)"""
+
+
+_LEFT = "(a[-1][-1] - a[-2][-1] ^ 2 / a[-2][-2])"
+_SURFACE = (
+    "CASE WHEN statistic <= -1.61 THEN 2.1659 + 1.4412 * statistic + 0.038269 * statistic ^ 2 "
+    "ELSE 1.7339 + 0.93202 * statistic - 0.12745 * statistic ^ 2 - 0.010368 * statistic ^ 3 END"
+)
 
 
-@query("adf")
+@query("adf", f"""
+WITH RECURSIVE {_DIFFERENCED},
+c AS (SELECT series, d, row_number() OVER w AS t, u - floor(avg(u) OVER (PARTITION BY series, d)) AS u, lead(u) OVER w - u AS y
+  FROM p WINDOW w AS (PARTITION BY series, d ORDER BY date)),
+e AS (SELECT *, coalesce(list(y) OVER (PARTITION BY series, d ORDER BY t ROWS BETWEEN 100 PRECEDING AND 1 PRECEDING), []) AS back
+  FROM c WHERE y IS NOT NULL),
+k AS (SELECT series, d, count(*) AS n, CAST(least(ceil(12 * (count(*) / 100) ^ 0.25), count(*) // 2 - 2) AS BIGINT) AS l FROM p GROUP BY 1, 2),
+{_regression("k", "0")},
+b AS (SELECT k.series, k.d, k.n, arg_min(f.step - 1, (k.n - 1 - k.l) * ln({_LEFT}) + 2 * f.step) AS l
+  FROM f0 f JOIN k ON k.series = f.series AND k.d = f.d WHERE f.step > 0 GROUP BY 1, 2, 3),
+{_regression("b", "1")},
+z AS (SELECT b.series, b.d, b.l, b.n - 1 - b.l AS used, a[1][2] / sqrt({_LEFT} / (b.n - 2 * b.l - 3) * a[1][1]) AS statistic
+  FROM f1 f JOIN b ON b.series = f.series AND b.d = f.d WHERE len(a) = 2),
+q AS (SELECT *, {_SURFACE} AS z FROM z)
+SELECT series, CAST(d AS INT) AS d, {r("statistic", 4)} AS statistic, {r(f"""CASE WHEN statistic > 2.74 THEN 1.0::DOUBLE WHEN statistic < -18.83 THEN 0.0::DOUBLE
+  WHEN z < 0 THEN 0.5 * {_both_tails("abs(z)")} ELSE 1 - 0.5 * {_both_tails("abs(z)")} END""")} AS p,
+  CAST(l AS BIGINT) AS lags, CAST(used AS BIGINT) AS n_used FROM q""")
 def adf(spark, sf):
-    return rounded(Z.adf(series_of(spark, sf)), "statistic", "p")
+    return rounded(adf_test(series_of(spark, sf)), "p").withColumn("statistic", rnd("statistic", 4))
 
 
 @query("periodogram", f"""

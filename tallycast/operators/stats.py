@@ -318,84 +318,6 @@ def pacf(
     return rows.select(key, "lag", "pacf", bound.alias("bound"))
 
 
-# Published response surface for the unit-root p-value, one
-# variable with a constant (MacKinnon 1994).
-ADF_MIN, ADF_MAX, ADF_STAR = -18.83, 2.74, -1.61
-ADF_SMALL = (2.1659, 1.4412, 0.038269)
-ADF_LARGE = (1.7339, 0.93202, -0.12745, -0.010368)
-
-
-def adf_p(stat: float) -> float:
-    if stat > ADF_MAX:
-        return 1.0
-    if stat < ADF_MIN:
-        return 0.0
-    coef = ADF_SMALL if stat <= ADF_STAR else ADF_LARGE
-    z = sum(c * stat**i for i, c in enumerate(coef))
-    return 0.5 * math.erfc(-z / math.sqrt(2))
-
-
-def _ols(x: np.ndarray, y: np.ndarray):
-    beta = np.linalg.lstsq(x, y, rcond=None)[0]
-    sse = float(((y - x @ beta) ** 2).sum())
-    return beta, sse
-
-
-def _adf_stat(y: np.ndarray, max_lag: int | None):
-    n = len(y)
-    if max_lag is None:
-        max_lag = min(math.ceil(12 * (n / 100) ** 0.25), n // 2 - 2)
-    if n < 6 or max_lag < 0 or np.ptp(y) == 0:
-        return None
-    dy = np.diff(y)
-
-    def design(lags: int, start: int):
-        cols = [y[start:-1]] + [dy[start - i:len(dy) - i] for i in range(1, lags + 1)] + [np.ones(len(dy) - start)]
-        return np.column_stack(cols), dy[start:]
-
-    # All lag counts are compared on the same rows; the chosen one is refitted on all it can use.
-    full, target = design(max_lag, max_lag)
-    m = len(target)
-    aic = []
-    for lags in range(max_lag + 1):
-        x = np.column_stack([full[:, :lags + 1], full[:, -1]])
-        sse = _ols(x, target)[1]
-        aic.append(m * math.log(max(sse, 1e-300) / m) + 2 * (lags + 2))
-    lags = int(np.argmin(aic))
-    x, target = design(lags, lags)
-    beta, sse = _ols(x, target)
-    free = len(target) - x.shape[1]
-    if free < 1:
-        return None
-    se = math.sqrt(sse / free * np.linalg.pinv(x.T @ x)[0, 0])
-    return (float(beta[0] / se) if se else None), lags, len(target)
-
-
-def _adf_of(key: str, date: str, value: str, orders: Sequence[int], max_lag: int | None):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        y = pdf.sort_values(date, kind="stable")[value].dropna().to_numpy(dtype=float)
-        rows = []
-        for d in orders:
-            found = _adf_stat(np.diff(y, d), max_lag) if len(y) > d else None
-            stat, lags, used = found or (None, None, None)
-            rows.append([pdf[key].iloc[0], d, stat, None if stat is None else adf_p(stat), lags, used])
-        return pd.DataFrame(rows, columns=[key, "d", "statistic", "p", "lags", "n_used"]).astype(
-            {"statistic": "float64", "p": "float64", "lags": "Int64", "n_used": "Int64"}
-        )
-
-    return run
-
-
-def adf(
-    df: DataFrame, d: Sequence[int] = (0, 1, 2, 3), key: str = "series", date: str = "date", value: str = "value",
-    max_lag: int | None = None,
-) -> DataFrame:
-    """Augmented Dickey-Fuller test with a constant at each order of differencing."""
-    schema = f"`{key}` {dict(df.dtypes)[key]}, d int, statistic double, p double, lags long, n_used long"
-    spread = df.select(key, date, value).repartition(task_count(df.sparkSession), key)
-    return spread.groupBy(key).applyInPandas(_adf_of(key, date, value, tuple(d), max_lag), schema)
-
-
 def _periodogram_of(key: str, date: str, value: str):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         y = pdf.sort_values(date, kind="stable")[value].dropna().to_numpy(dtype=float)

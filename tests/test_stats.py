@@ -123,23 +123,6 @@ def test_lags_beyond_a_short_series(series):
     assert sorted(r.lag for r in Z.pacf(df, 10).collect()) == [0, 1, 2, 3]
 
 
-def test_adf(frame, noise, series):
-    found = {(r.series, r.d): r for r in Z.adf(frame).collect()}
-    assert found["a", 0].p > 0.05 > found["a", 1].p
-    x = noise["b"]
-    lags = found["b", 0].lags
-    dx = np.diff(x)
-    design = np.column_stack([x[lags:-1], *[dx[lags - i:len(dx) - i] for i in range(1, lags + 1)], np.ones(len(dx) - lags)])
-    beta, *_ = np.linalg.lstsq(design, dx[lags:], rcond=None)
-    resid = dx[lags:] - design @ beta
-    se = math.sqrt(resid @ resid / (len(resid) - design.shape[1]) * np.linalg.inv(design.T @ design)[0, 0])
-    assert found["b", 0].statistic == pytest.approx(beta[0] / se)
-    # Published 5 % point of the test with a constant.
-    assert Z.adf_p(-2.86) == pytest.approx(0.05, abs=2e-3)
-    assert Z.adf_p(-3.43) == pytest.approx(0.01, abs=1e-3)
-    assert [r.statistic for r in Z.adf(series(c=[1, 1, 1]), d=(0,)).collect()] == [None]
-
-
 def test_periodogram_peak(series):
     t = np.arange(140)
     df = Z.periodogram(series(a=10 + 3 * np.sin(2 * np.pi * t / 7)))
