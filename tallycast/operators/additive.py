@@ -1,24 +1,29 @@
 """Trend + season + event model of each series, its cross-validation and tuning.
 
-Piecewise linear trend, Fourier seasons and event regressors, solved as a
-weighted ridge regression: normal priors become ridge weights and the Laplace
-prior of the trend changes is reached by re-weighting. It is the point estimate
-of the published additive model, not its posterior: intervals come from the
-residual spread and, beyond the data, from the variance of future trend changes.
+A straight trend that may change at evenly spaced days, Fourier seasons and
+event regressors, with normal priors as ridge weights. A fit needs only the
+sums of products of these columns: Spark adds them up over the days, so a
+series is never held as a whole, and a small system per series is solved. For
+cross-validation the sums of the days between two cut-offs are added up from
+the first on, so a cut-off is a row and no day is read twice. Intervals come
+from the residual spread and, beyond the data, from the variance of future
+trend changes.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
+from itertools import product
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..session import task_count
 from .aggregates import best, score
-from .joins import grid
-from .packed import key_field, map_rows, pack, to_dates
 from .stats import acf_array
 
 # Defaults of the published model.
@@ -27,142 +32,185 @@ CHANGEPOINTS, CHANGEPOINT_SHARE = 25, 0.8
 WEEKLY_ORDER, YEARLY_ORDER, YEAR = 3, 10, 365.25
 Z80 = 1.2815515655446004
 
+#: Where the trend may change, as shares of a series.
+KNOTS = [CHANGEPOINT_SHARE * (j + 1) / CHANGEPOINTS for j in range(CHANGEPOINTS)]
+#: Days that a series must span for a weekly and a yearly season.
+WEEKLY_FROM, YEARLY_FROM = 14, 730
+#: Variance of level and slope, as multiples of the largest value.
+BASE_VARIANCE = 25.0
+#: Event names that a model may have.
+MOST_EVENTS = 200
 
-def _fourier(days: np.ndarray, period: float, order: int) -> np.ndarray:
-    angle = 2 * np.pi * np.outer(days / period, np.arange(1, order + 1))
-    return np.concatenate([np.sin(angle), np.cos(angle)], axis=1)
-
-
-def _design(days, start, span, cps, weekly, yearly, names, flags) -> np.ndarray:
-    t = (days - start) / span
-    parts = [np.ones((len(days), 1)), t[:, None], np.maximum(t[:, None] - cps, 0)]
-    if weekly:
-        parts.append(_fourier(days, 7, WEEKLY_ORDER))
-    if yearly:
-        parts.append(_fourier(days, YEAR, YEARLY_ORDER))
-    if names:
-        parts.append(np.array([[day in flags.get(n, ()) for n in names] for day in days.tolist()], dtype=float))
-    return np.concatenate(parts, axis=1)
-
-
-def additive_fit(days, y, scales: Mapping[str, float], flags: Mapping[str, set] | None = None) -> dict | None:
-    days, y = np.asarray(days, dtype=float), np.asarray(y, dtype=float)
-    flags = flags or {}
-    n = len(y)
-    if n < 2:
-        return None
-    start, span = days[0], max(days[-1] - days[0], 1.0)
-    unit = np.abs(y).max() or 1.0
-    used = int(np.floor(n * CHANGEPOINT_SHARE))
-    count = max(min(CHANGEPOINTS, used - 1), 0)
-    at = np.linspace(0, used - 1, count + 1).round().astype(int)[1:]
-    cps = (days[at] - start) / span
-    weekly = days[-1] - start >= 14 and np.diff(days).min(initial=99) < 7
-    yearly = days[-1] - start >= 730
-    seen = set(days.tolist())
-    names = sorted(k for k, v in flags.items() if seen & v)
-    x = _design(days, start, span, cps, weekly, yearly, names, flags)
-    seasonal = 2 * (WEEKLY_ORDER * weekly + YEARLY_ORDER * yearly)
-    variance = np.concatenate([
-        [25.0, 25.0], np.full(count, np.nan), np.full(seasonal, scales["seasonality_prior_scale"] ** 2),
-        np.full(len(names), scales["holidays_prior_scale"] ** 2),
-    ])
-    tau = scales["changepoint_prior_scale"]
-    gram, target = x.T @ x, x.T @ (y / unit)
-    delta, noise = np.full(count, tau), max(float(np.var(y / unit)), 1e-10)
-    for _ in range(12):
-        variance[2:2 + count] = tau * np.maximum(np.abs(delta), 1e-6)
-        beta = np.linalg.solve(gram + np.diag(noise / variance) + 1e-12 * np.eye(len(gram)), target)
-        resid = y / unit - x @ beta
-        noise = max(float(resid @ resid) / n, 1e-10)
-        delta = beta[2:2 + count]
-    return {
-        "start": float(start), "span": float(span), "unit": float(unit), "changepoints": cps, "beta": beta,
-        "weekly": bool(weekly), "yearly": bool(yearly), "names": names, "sigma": float(np.sqrt(noise)),
-    }
-
-
-def additive_predict(model: Mapping, days, flags: Mapping[str, set] | None = None) -> pd.DataFrame:
-    days = np.asarray(days, dtype=float)
-    cps, beta = np.asarray(model["changepoints"]), np.asarray(model["beta"])
-    names = list(model["names"])
-    x = _design(days, model["start"], model["span"], cps, model["weekly"], model["yearly"], names, flags or {})
-    edge = np.cumsum([2 + len(cps), 2 * WEEKLY_ORDER * model["weekly"], 2 * YEARLY_ORDER * model["yearly"]])
-    trend, weekly, yearly, events = [b @ c for b, c in zip(np.split(x, edge, axis=1), np.split(beta, edge))]
-    beyond = np.maximum((days - model["start"]) / model["span"] - 1, 0)
-    size = np.abs(beta[2:2 + len(cps)]).mean() if len(cps) else 0.0
-    half = Z80 * np.sqrt(model["sigma"] ** 2 + len(cps) * 2 * size**2 * beyond**3 / 3)
-    mean, unit = trend + weekly + yearly + events, model["unit"]
-    return pd.DataFrame({
-        "yhat": mean * unit, "yhat_lower": (mean - half) * unit, "yhat_upper": (mean + half) * unit,
-        "trend": trend * unit, "weekly": weekly * unit, "yearly": yearly * unit, "events": events * unit,
-    })
 
+# ---- the columns of the model ----------------------------------------------------
 
-# ---- DataFrame operators --------------------------------------------------------
 
-MODEL_FIELDS = (
-    "start double, span double, unit double, changepoints array<double>, beta array<double>, weekly boolean, "
-    "yearly boolean, names array<string>, sigma double"
-)
-_MODEL_COLUMNS = [f.split()[0] for f in MODEL_FIELDS.split(", ")]
+def _waves(day: Column, period: float, order: int) -> list[Column]:
+    """Sines, then cosines, of the first harmonics."""
+    angles = [2 * math.pi * k * day / period for k in range(1, order + 1)]
+    return [F.sin(a) for a in angles] + [F.cos(a) for a in angles]
 
 
-def event_days(
-    intervals: DataFrame, key: str = "series", start: str = "start", end: str = "end", name: str = "event"
-) -> DataFrame:
-    """Event windows as regressors: one per day of the window, named by the
-    event and the offset, so that windows of the same event share them."""
-    return intervals.select(
-        key, F.col(name).alias("_n"), F.posexplode(F.sequence(F.col(start), F.col(end))).alias("_i", "date")
-    ).select(key, "date", F.concat("_n", F.lit("_+"), F.col("_i").cast("string")).alias("event"))
+def _basis(yearly: bool, names: Sequence[str]) -> list[Column]:
+    """Columns of a row with ``_day``, ``_start``, ``_span`` and ``_flags``, in the order of the coefficients."""
+    day, span = F.col("_day"), F.col("_span")
+    t = (day - F.col("_start")) / span
+    on = lambda c, days: F.when(span >= days, c).otherwise(0.0)
+    weekly = [on(c, WEEKLY_FROM) for c in _waves(day, 7.0, WEEKLY_ORDER)]
+    yearly_waves = [on(c, YEARLY_FROM) for c in _waves(day, YEAR, YEARLY_ORDER)] if yearly else []
+    flags = [F.when(F.array_contains("_flags", n), 1.0).otherwise(0.0) for n in names]
+    return [F.lit(1.0), t, *[F.greatest(t - c, F.lit(0.0)) for c in KNOTS], *weekly, *yearly_waves, *flags]
+
+
+def _variances(combos: Sequence[Mapping[str, float]], yearly: bool, n_events: int) -> np.ndarray:
+    """Prior variance of each coefficient, one row per combination of scales."""
+    waves = 2 * (WEEKLY_ORDER + YEARLY_ORDER * yearly)
+    return np.array([
+        [BASE_VARIANCE] * 2 + [c["changepoint_prior_scale"] ** 2] * CHANGEPOINTS + [c["seasonality_prior_scale"] ** 2] * waves
+        + [c["holidays_prior_scale"] ** 2] * n_events
+        for c in combos
+    ])
+
 
+def _combos(params: Mapping[str, Sequence] | None) -> list[dict[str, float]]:
+    lists = {**{k: [v] for k, v in DEFAULTS.items()}, **(params or {})}
+    return [dict(zip(lists, map(float, c))) for c in product(*lists.values())]
 
-def _with_events(packed: DataFrame, events: DataFrame | None, key: str) -> DataFrame:
-    """Event names and days of a series as arrays; days bound their length."""
-    kind = "array<struct<event:string,d:int>>"
+
+def event_names(events: DataFrame | None) -> list[str]:
+    """Names of the regressors; more than ``MOST_EVENTS`` are refused."""
     if events is None:
-        return packed.withColumn("events", F.array().cast(kind))
-    side = events.select(key, "event", F.unix_date("date").alias("d")).distinct().groupBy(key).agg(
-        F.collect_list(F.struct("event", "d")).alias("events")
+        return []
+    found = [r[0] for r in events.select("event").filter("event is not null").distinct().limit(MOST_EVENTS + 1).collect()]
+    if len(found) > MOST_EVENTS:
+        raise ValueError(f"more than {MOST_EVENTS} event names")
+    return sorted(found)
+
+
+def _days(df: DataFrame, events: DataFrame | None, key: str, date: str, *more: Column) -> DataFrame:
+    """``key``, ``_day``, the names of the events of that day as ``_flags``, and ``more``."""
+    rows = df.filter(F.col(date).isNotNull()).select(key, F.unix_date(F.col(date).cast("date")).alias("_day"), *more)
+    if events is None:
+        return rows.withColumn("_flags", F.array().cast("array<string>"))
+    side = events.groupBy(key, F.unix_date("date").alias("_day")).agg(F.collect_set("event").alias("_flags"))
+    return rows.join(side, [key, "_day"], "left").withColumn("_flags", F.coalesce("_flags", F.array().cast("array<string>")))
+
+
+def _observed(series: DataFrame, events: DataFrame | None, key: str, date: str, value: str) -> DataFrame:
+    """Days with a value, beside the first day and the length of their series."""
+    rows = _days(series.filter(F.col(value).isNotNull()), events, key, date, F.col(value).cast("double").alias("_y"))
+    ends = rows.groupBy(key).agg(F.min("_day").alias("_start"), F.max("_day").alias("_end"))
+    return rows.join(ends, key).withColumn("_span", F.greatest(F.col("_end") - F.col("_start"), F.lit(1)).cast("double"))
+
+
+# ---- sums of products and their solution -------------------------------------------
+
+
+def _products(rows: DataFrame, by: Sequence[str], x: Sequence[Column]) -> DataFrame:
+    """Rows i = 0 .. len(x) of the products of the columns and the value: ``_i``, ``_r`` (sums over j), ``_top`` (largest value).
+
+    Summed on the map side, so a group reaches its reducer as one row for each column and map task.
+    """
+    wide = rows.select(*by, F.array(*x, F.col("_y")).alias("_x"))
+    long = wide.select(*by, "_x", F.posexplode("_x").alias("_i", "_v"))
+    sums = [F.sum(F.col("_v") * F.col("_x")[j]).alias(f"_s{j}") for j in range(len(x) + 1)]
+    return long.groupBy(*by, "_i").agg(*sums, F.max(F.abs(F.col("_x")[len(x)])).alias("_top"))
+
+
+def _solver(variances: np.ndarray):
+    """Coefficients and residual spread of each combination, from a matrix of products, the largest value and the
+    share of the series that was seen; changes of the trend after the first 0.8 of that share are left out."""
+    knots = np.array(KNOTS)
+
+    @F.pandas_udf("array<array<double>>")
+    def solve(products: pd.Series, unit: pd.Series, seen: pd.Series) -> pd.Series:
+        found = []
+        for rows, top, share in zip(products, unit, seen):
+            full = np.stack([np.asarray(r, dtype=float) for r in rows])
+            p = len(full) - 1
+            on = np.ones(p)
+            on[2:2 + len(knots)] = knots <= CHANGEPOINT_SHARE * share + 1e-9
+            gram, target, squares, n = full[:p, :p] * np.outer(on, on), full[:p, p] * on, full[p, p], full[0, 0]
+            noise = max((squares / n - (target[0] / n) ** 2) / (top or 1.0) ** 2, 1e-10)
+            system = gram + np.eye(p) * (noise / variances)[:, None, :]
+            beta = np.linalg.solve(system, np.broadcast_to(target[:, None], (len(variances), p, 1)))[..., 0]
+            left = squares - 2 * beta @ target + np.einsum("ci,ij,cj->c", beta, gram, beta)
+            found.append(np.column_stack([beta, np.sqrt(np.maximum(left / n, 0))]).tolist())
+        return pd.Series(found)
+
+    return solve
+
+
+def _models(sums: DataFrame, by: Sequence[str], seen: Column, combos: Sequence[Mapping[str, float]], yearly: bool, names: Sequence[str]) -> DataFrame:
+    """One row per group and combination: scales, coefficients by part, spread. Groups of fewer than two days have none."""
+    p = 2 + CHANGEPOINTS + 2 * (WEEKLY_ORDER + YEARLY_ORDER * yearly) + len(names)
+    row = F.struct("_i", F.array(*[f"_s{j}" for j in range(p + 1)]).alias("r"))
+    whole = sums.groupBy(*by).agg(F.array_sort(F.collect_list(row)).alias("_m"), F.max("_top").alias("_top"))
+    whole = whole.filter(F.col("_m")[0]["r"][0] >= 2).select(*by, F.transform("_m", lambda r: r["r"]).alias("_m"), "_top", seen.alias("_seen"))
+    solve = _solver(_variances(combos, yearly, len(names)))
+    whole = whole.repartition(task_count(sums.sparkSession), *by).withColumn("_b", solve("_m", "_top", "_seen"))
+    scales = F.array(*[F.struct(*[F.lit(c[k]).alias(k) for k in DEFAULTS]) for c in combos])
+    each = whole.select(*by, "_seen", F.posexplode("_b").alias("grid_id", "_c"))
+    edge, parts = 1, []
+    for name, size in (("trend", 2 + CHANGEPOINTS), ("weekly", 2 * WEEKLY_ORDER), ("yearly", 2 * YEARLY_ORDER * yearly), ("events", len(names))):
+        parts.append(F.slice("_c", edge, size).alias(f"b_{name}"))
+        edge += size
+    return each.select(
+        *by, "grid_id", *[scales[F.col("grid_id")][k].alias(k) for k in DEFAULTS], F.col("_seen").alias("seen"), *parts,
+        F.array(*[F.lit(n) for n in names]).cast("array<string>").alias("names"), F.element_at("_c", -1).alias("sigma"),
     )
-    return packed.join(side, key, "left").withColumn("events", F.coalesce("events", F.array().cast(kind)))
 
 
-def _flags(row) -> dict[str, set]:
-    out: dict[str, set] = {}
-    for e in row.events:
-        out.setdefault(e["event"], set()).add(float(e["d"]))
-    return out
+def _dot(a: Column, b: Column) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
 
 
-def _with_params(packed: DataFrame, params: Mapping[str, Sequence] | None) -> DataFrame:
-    lists = {k: [float(v)] for k, v in DEFAULTS.items()}
-    lists.update({k: [float(x) for x in v] for k, v in (params or {}).items()})
-    return grid(packed, lists)
+def _forecasts(rows: DataFrame) -> DataFrame:
+    """Mean, interval and components of rows with a day and a model."""
+    day = F.col("_day")
+    t = (day - F.col("start")) / F.col("span")
+    changes = F.slice("b_trend", 3, CHANGEPOINTS)
+    knots = F.array(*[F.lit(c) for c in KNOTS])
+    trend = F.col("b_trend")[0] + F.col("b_trend")[1] * t + _dot(changes, F.transform(knots, lambda c: F.greatest(t - c, F.lit(0.0))))
+    wave = lambda b, period, order: F.when(F.size(b) > 0, _dot(F.col(b), F.array(*_waves(day, period, order)))).otherwise(0.0)
+    weekly, yearly = wave("b_weekly", 7.0, WEEKLY_ORDER), wave("b_yearly", YEAR, YEARLY_ORDER)
+    events = _dot(F.col("b_events"), F.transform("names", lambda n: F.when(F.array_contains("_flags", n), 1.0).otherwise(0.0)))
+    used = F.size(F.filter(knots, lambda c: c <= CHANGEPOINT_SHARE * F.col("seen") + 1e-9))
+    size = F.coalesce(F.try_divide(F.aggregate(changes, F.lit(0.0), lambda s, x: s + F.abs(x)), used), F.lit(0.0))
+    beyond = F.greatest(t - F.col("seen"), F.lit(0.0))
+    half = Z80 * F.sqrt(F.col("sigma") * F.col("sigma") + used * 2 * size * size * F.pow(beyond, F.lit(3)) / (3 * F.col("seen")))
+    parts = rows.select("*", trend.alias("trend"), weekly.alias("weekly"), yearly.alias("yearly"), events.alias("events"), half.alias("_half"))
+    return parts.withColumn("yhat", F.col("trend") + F.col("weekly") + F.col("yearly") + F.col("events"))
 
 
-_PARAM_FIELDS = "grid_id int, " + ", ".join(f"{k} double" for k in DEFAULTS)
+# ---- DataFrame operators --------------------------------------------------------
 
 
-def _param_values(row) -> dict:
-    return {"grid_id": row.grid_id, **{k: getattr(row, k) for k in DEFAULTS}}
+def event_days(
+    intervals: DataFrame, key: str = "series", start: str = "start", end: str = "end", name: str = "event"
+) -> DataFrame:
+    """Event windows as regressors: one per day of the window, named by the
+    event and the offset, so that windows of the same event share them."""
+    return intervals.select(
+        key, F.col(name).alias("_n"), F.posexplode(F.sequence(F.col(start), F.col(end))).alias("_i", "date")
+    ).select(key, "date", F.concat("_n", F.lit("_+"), F.col("_i").cast("string")).alias("event"))
 
 
 def fit_additive(
     series: DataFrame, params: Mapping[str, Sequence] | None = None, events: DataFrame | None = None,
-    key: str = "series", date: str = "date", value: str = "value",
+    key: str = "series", date: str = "date", value: str = "value", yearly: bool = True,
 ) -> DataFrame:
-    """One parameter row per series and combination of prior scales."""
-    todo = _with_params(_with_events(pack(series, key, date, value), events, key), params)
+    """One parameter row per series and combination of prior scales.
 
-    def fit(row):
-        found = additive_fit(row.days, row.values, _param_values(row), _flags(row))
-        if found is None:
-            return None
-        return pd.DataFrame([{key: getattr(row, key), **_param_values(row), **found}])
-
-    return map_rows(todo, f"{key_field(series, key)}, {_PARAM_FIELDS}, {MODEL_FIELDS}", fit, key, "grid_id")
+    Null days and values are left out, a day that comes twice counts twice, a
+    series of fewer than two days has no row. Seasons need 14 and 730 days;
+    ``yearly=False`` leaves the yearly one out everywhere.
+    """
+    names = event_names(events)
+    rows = _observed(series, events, key, date, value)
+    ends = rows.groupBy(key).agg(F.max("_start").cast("double").alias("start"), F.max("_span").alias("span"))
+    sums = _products(rows, [key], _basis(yearly, names))
+    return ends.join(_models(sums, [key], F.lit(1.0), _combos(params), yearly, names), key)
 
 
 def future_frame(
@@ -178,22 +226,13 @@ def future_frame(
 def predict_additive(
     models: DataFrame, frame: DataFrame, events: DataFrame | None = None, key: str = "series", date: str = "date"
 ) -> DataFrame:
-    """Mean, interval and components for the days in ``frame``."""
-    days = frame.groupBy(key).agg(F.array_sort(F.collect_set(F.unix_date(date))).alias("days"))
-    todo = _with_events(days, events, key).join(models.select(key, "grid_id", *_MODEL_COLUMNS), key)
-
-    def run(row):
-        found = additive_predict(row._asdict(), row.days, _flags(row))
-        found.insert(0, "date", to_dates(row.days))
-        found.insert(0, "grid_id", row.grid_id)
-        found.insert(0, key, getattr(row, key))
-        return found
-
-    schema = (
-        f"{key_field(frame, key)}, grid_id int, date date, yhat double, yhat_lower double, yhat_upper double, "
-        "trend double, weekly double, yearly double, events double"
+    """Mean, interval and components for the days in ``frame``, each once."""
+    days = _days(frame.select(key, date).distinct(), events, key, date)
+    rows = _forecasts(days.join(models, key))
+    return rows.select(
+        key, "grid_id", F.date_from_unix_date("_day").alias("date"), "yhat", (F.col("yhat") - F.col("_half")).alias("yhat_lower"),
+        (F.col("yhat") + F.col("_half")).alias("yhat_upper"), "trend", "weekly", "yearly", "events",
     )
-    return map_rows(todo, schema, run, key, "grid_id")
 
 
 def cutoffs(
@@ -218,41 +257,42 @@ def _steps(horizon: int, period: int | None, initial: int | None) -> tuple[int,
 def cross_validate(
     series: DataFrame, params: Mapping[str, Sequence] | None = None, horizon: int = 30, period: int | None = None,
     initial: int | None = None, events: DataFrame | None = None,
-    key: str = "series", date: str = "date", value: str = "value",
+    key: str = "series", date: str = "date", value: str = "value", yearly: bool = True,
 ) -> DataFrame:
     """Forecasts of the ``horizon`` days after each cut-off from a fit on the
-    days up to it, for every series and combination of prior scales."""
-    packed = _with_events(pack(series, key, date, value), events, key)
-    ends = cutoffs(series.filter(F.col(value).isNotNull()), horizon, period, initial, key, date).groupBy(key).agg(
-        F.array_sort(F.collect_list(F.unix_date("cutoff"))).alias("cutoffs")
+    days up to it, for every series and combination of prior scales.
+
+    Columns are those of the whole series; a fit uses the changes of the trend
+    in the first 0.8 of its own days. Days fall into steps between cut-offs,
+    counted back from the last one, and a running sum over the steps gives the
+    products of every cut-off.
+    """
+    step, first = _steps(horizon, period, initial)
+    names = event_names(events)
+    rows = _observed(series, events, key, date, value)
+    back = F.floor((F.col("_end") - horizon - F.col("_day")) / step).cast("int")
+    most = F.floor((F.col("_end") - horizon - first - F.col("_start")) / step).cast("int")
+    train = rows.withColumn("_k", F.least(back, most)).filter(F.col("_k") >= 0)
+    sums = _products(train, [key, "_k"], _basis(yearly, names))
+    columns = [c for c in sums.columns if c.startswith("_s")]
+    ends = rows.groupBy(key).agg(F.max("_start").alias("_start"), F.max("_end").alias("_end"), F.max("_span").alias("span"))
+    cuts = ends.filter(most >= 0).select(key, "_start", "_end", "span", F.explode(F.sequence(F.lit(0), most)).alias("_k"))
+    spine = cuts.select(key, "_k", F.explode(F.sequence(F.lit(0), F.lit(len(columns) - 1))).alias("_i"))
+    upto = W.partitionBy(key, "_i").orderBy(F.desc("_k")).rowsBetween(W.unboundedPreceding, 0)
+    whole = spine.join(sums, [key, "_k", "_i"], "left").select(
+        key, "_k", "_i", *[F.coalesce(F.sum(c).over(upto), F.lit(0.0)).alias(c) for c in columns], F.max("_top").over(upto).alias("_top")
     )
-    todo = _with_params(packed.join(ends, key), params)
-
-    def run(row):
-        days, y, flags, out = np.asarray(row.days), np.asarray(row.values), _flags(row), []
-        for cut in row.cutoffs:
-            n = int(np.searchsorted(days, cut, side="right"))
-            model = additive_fit(days[:n], y[:n], _param_values(row), flags)
-            ahead = slice(n, int(np.searchsorted(days, cut + horizon, side="right")))
-            if model is None or ahead.start == ahead.stop:
-                continue
-            found = additive_predict(model, days[ahead], flags)[["yhat", "yhat_lower", "yhat_upper"]]
-            out.append(found.assign(date=days[ahead], cutoff=cut, observed=y[ahead]))
-        if not out:
-            return None
-        all_rows = pd.concat(out, ignore_index=True)
-        return pd.DataFrame({
-            key: getattr(row, key), **_param_values(row), "cutoff": to_dates(all_rows["cutoff"]),
-            "date": to_dates(all_rows["date"]), "h": (all_rows["date"] - all_rows["cutoff"]).astype("int32"),
-            "observed": all_rows["observed"], "forecast": all_rows["yhat"],
-            "yhat_lower": all_rows["yhat_lower"], "yhat_upper": all_rows["yhat_upper"],
-        })
-
-    schema = (
-        f"{key_field(series, key)}, {_PARAM_FIELDS}, cutoff date, date date, h int, observed double, forecast double, "
-        "yhat_lower double, yhat_upper double"
+    cuts = cuts.select(key, "_k", F.col("_start").cast("double").alias("start"), "span", (F.col("_end") - horizon - F.col("_k") * step).alias("_cut"))
+    seen = F.col("_cut") - F.col("start")
+    whole = whole.join(cuts.select(key, "_k", (seen / F.col("span")).alias("_share")), [key, "_k"])
+    models = _models(whole, [key, "_k", "_share"], F.col("_share"), _combos(params), yearly, names)
+    ahead = models.join(cuts, [key, "_k"]).withColumn("_day", F.explode(F.sequence(F.col("_cut") + 1, F.col("_cut") + horizon)))
+    found = _forecasts(ahead.join(rows.select(key, "_day", "_flags", "_y"), [key, "_day"]))
+    return found.select(
+        key, "grid_id", *DEFAULTS, F.date_from_unix_date("_cut").alias("cutoff"), F.date_from_unix_date("_day").alias("date"),
+        (F.col("_day") - F.col("_cut")).alias("h"), F.col("_y").alias("observed"), F.col("yhat").alias("forecast"),
+        (F.col("yhat") - F.col("_half")).alias("yhat_lower"), (F.col("yhat") + F.col("_half")).alias("yhat_upper"),
     )
-    return map_rows(todo, schema, run, key, "grid_id")
 
 
 def tune(

@@ -5,6 +5,7 @@ import pytest
 from conftest import SF
 
 from tallycast.checks import QUERIES, forecasts
+from tallycast.operators import aggregates as A
 from tallycast.operators.likelihood import autocovariance, whiten
 
 
@@ -13,10 +14,13 @@ def test_order_stepwise_is_weekly(spark):
     assert len(found) == 5 and {(r.d, r.sd, r.m) for r in found} == {(1, 1, 7)} and min(r.n_obs for r in found) > 200
 
 
-def test_tune_takes_the_whole_grid(spark, monkeypatch):
-    monkeypatch.setattr(forecasts.additive, "tune", lambda *a, **k: (a[1:], k))
-    (params, horizon), more = QUERIES["tune"](spark, SF)
-    assert sorted(len(v) for v in params.values()) == [4, 4] and horizon == 30 and not more
+def test_tune_takes_the_best_of_the_whole_grid(spark):
+    got = {r.series: r for r in QUERIES["tune"](spark, SF).collect()}
+    scored = A.score(forecasts.additive.cross_validate(
+        forecasts.series_of(spark, SF), forecasts._GRID, 30, yearly=False), ["series", "grid_id", *forecasts._GRID]).collect()
+    assert len(got) == 5 and len(scored) == 5 * 16
+    for k, r in got.items():
+        assert r.rmse == pytest.approx(min(x.rmse for x in scored if x.series == k), abs=1e-6)
 
 
 def test_cross_validate_takes_every_cutoff(spark):
