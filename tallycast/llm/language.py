@@ -177,10 +177,23 @@ def viterbi(scores: np.ndarray, bounds: np.ndarray, penalty: float) -> np.ndarra
 
 
 def learning_ids(docs: DataFrame, mod: int, out: int, sample: int, each: int) -> DataFrame:
-    """(doc_id, lang) of the ``sample`` lowest id hashes, and of the ``each`` lowest of every language."""
-    rows = docs.select("doc_id", "lang").filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (remainder("doc_id", mod) != out)).distinct()
-    place = F.row_number().over(W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    rare = rows.withColumn("_n", place).filter(F.col("_n") <= each).drop("_n")  # a limit that is applied before the shuffle
+    """(doc_id, lang) of the ``sample`` lowest id hashes, and of the ``each`` lowest of every language.
+
+    Ids are counted per language first, on the map side, and only hashes up to
+    four times the share that is wanted are shuffled: some 4 x ``each`` of a
+    language and 4 x ``sample`` in all, however many rows it has. The counts
+    are one row for each language, of which the model holds a table as well.
+    """
+    wanted = F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (remainder("doc_id", mod) != out)
+    rows = docs.select("doc_id", "lang").filter(wanted)
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("n")).collect()}
+    if not counts:
+        return rows.limit(0)
+    shares = [F.lit(x) for lang, n in counts.items() for x in (lang, max(4.0 * each / n, 4.0 * sample / sum(counts.values())))]
+    place = F.xxhash64("doc_id").cast("double") / 2.0**64 + 0.5
+    rows = rows.filter(place <= F.create_map(*shares)[F.col("lang")]).distinct()
+    number = F.row_number().over(W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
+    rare = rows.withColumn("_n", number).filter(F.col("_n") <= each).drop("_n")
     return lowest(rows, sample, "lang").unionByName(rare).distinct()
 
 

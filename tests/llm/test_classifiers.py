@@ -179,3 +179,22 @@ def test_a_rare_language_is_learned(spark):
 
     rows = [(i, "the words of a common text", "en") for i in range(400)] + [(i, "sanat ovat harvinaisia", "fi") for i in range(400, 404)]
     assert fit_language(spark.createDataFrame(rows, "doc_id long, text string, lang string"), sample=1, each=3).langs == ["en", "fi"]
+
+
+def test_learning_ids_are_the_lowest_of_each_language(spark):
+    """A language with nearly all rows, rare ones, one id for very many rows, ids with two languages."""
+    from pyspark.sql import functions as F
+
+    from tallycast.llm.language import learning_ids
+
+    ids = spark.range(60_000, numPartitions=13)
+    docs = ids.select(F.col("id").alias("doc_id"), F.expr("case when id % 500 = 0 then 'xx' when id % 4999 = 1 then 'yy' else 'aa' end").alias("lang"))
+    docs = docs.unionAll(ids.select(F.lit(77).cast("long"), F.lit("zz"))).unionAll(ids.limit(40).selectExpr("id", "'aa'")).unionAll(ids.limit(9).selectExpr("id", "null"))
+    found = {(r["doc_id"], r["lang"]) for r in learning_ids(docs, 4, 2, 300, 100).collect()}
+    rows = docs.filter("lang is not null and crc32(cast(doc_id as string)) % 4 != 2").distinct().selectExpr("*", "xxhash64(doc_id) as h").collect()
+    order = sorted(rows, key=lambda r: (r["h"], r["doc_id"], r["lang"]))
+    want = {(r["doc_id"], r["lang"]) for r in order[:300]}
+    for lang in {r["lang"] for r in rows}:
+        want |= {(r["doc_id"], lang) for r in [r for r in order if r["lang"] == lang][:100]}
+    assert found == want and {lang for _, lang in found} >= {"aa", "xx", "yy"}
+    assert learning_ids(docs.limit(0), 4, 2, 300, 100).collect() == []
