@@ -189,12 +189,12 @@ def learning_ids(docs: DataFrame, mod: int, out: int, sample: int, each: int) ->
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("n")).collect()}
     if not counts:
         return rows.limit(0)
-    shares = [F.lit(x) for lang, n in counts.items() for x in (lang, max(4.0 * each / n, 4.0 * sample / sum(counts.values())))]
     place = F.xxhash64("doc_id").cast("double") / 2.0**64 + 0.5
-    rows = rows.filter(place <= F.create_map(*shares)[F.col("lang")]).distinct()
+    share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, 4.0 * each / n)])[F.col("lang")]
     number = F.row_number().over(W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    rare = rows.withColumn("_n", number).filter(F.col("_n") <= each).drop("_n")
-    return lowest(rows, sample, "lang").unionByName(rare).distinct()
+    rare = rows.filter(place <= share).distinct().withColumn("_n", number).filter(F.col("_n") <= each).drop("_n")
+    low = rows.filter(place <= 4.0 * sample / sum(counts.values())).distinct()
+    return lowest(low, sample, "lang").unionByName(rare).distinct()
 
 
 def fit_language(docs: DataFrame, mod: int = 4, out: int = 2, sample: int = 6000, bits: int = 16, each: int = 500) -> LanguageModel:
