@@ -277,7 +277,7 @@ def _arrays(lists: pa.Array) -> list[np.ndarray]:
 
 
 def _marked(diffs: DataFrame, least: float) -> DataFrame:
-    """(tid, lead, marks) of compared texts. Common are items that a quarter of a lead's texts, and eight, differ in within some batch; that decides an order only."""
+    """(tid, lead, marks, n) of compared texts and the number of texts of their lead. Common are items that a quarter of a lead's texts, and eight, differ in within some batch; that decides an order only."""
 
     def often(batches):
         for batch in batches:
@@ -298,17 +298,71 @@ def _marked(diffs: DataFrame, least: float) -> DataFrame:
             get = {c: batch.column(i) for i, c in enumerate(batch.schema.names)}
             parts = zip(*(_arrays(get[c]) for c in ("more", "missing", "marks", "common")), get["own"].to_pylist(), get["other"].to_pylist())
             marks = [np.concatenate([order, difference_marks(more, missing, own, other, common, least)]) for more, missing, order, common, own, other in parts]
-            yield pa.RecordBatch.from_arrays([get["tid"], get["lead"], _lists(marks)], ["tid", "lead", "marks"])
+            yield pa.RecordBatch.from_arrays([get["tid"], get["lead"], _lists(marks), get["n"]], ["tid", "lead", "marks", "n"])
 
     none = F.array().cast("array<long>")
     common = diffs.select("lead", "more", "missing").mapInArrow(often, "lead long, item long")
     common = common.groupBy("lead").agg(F.collect_set("item").alias("common"))
     # cells of distances are for leads that have texts of another order
-    turned = diffs.filter(F.exists("marks", lambda m: m.bitwiseAND(1) == 1)).select("lead").distinct().withColumn("turned", F.lit(True))
-    told = diffs.join(common, "lead", "left").join(turned, "lead", "left").select(
-        "tid", "lead", "more", "missing", F.when(F.col("turned"), F.col("marks")).otherwise(none).alias("marks"), F.coalesce("common", none).alias("common"), "own", "other"
+    turned = F.max(F.exists("marks", lambda m: m.bitwiseAND(1) == 1)).alias("turned")
+    told = diffs.join(common, "lead", "left").join(diffs.groupBy("lead").agg(turned, F.count("*").alias("n")), "lead").select(
+        "tid", "lead", "more", "missing", F.when(F.col("turned"), F.col("marks")).otherwise(none).alias("marks"), F.coalesce("common", none).alias("common"), "own", "other", "n"
     )
-    return told.mapInArrow(rows, "tid long, lead long, marks array<long>")
+    return told.mapInArrow(rows, "tid long, lead long, marks array<long>, n long")
+
+
+#: Texts of a lead for each part that its marks are dealt to.
+PART = 512
+
+
+def _met(marked: DataFrame) -> DataFrame:
+    """(tid, lead, mark) of those marks (tid, lead, marks, n) that another text of the lead has too; n is the number of its texts.
+
+    Most marks are of one text only and are of no use, so they never become
+    rows. What meets within a batch is told at once, and one of each such mark
+    goes on without its text. The others travel as lists by part of the lead:
+    a mark comes at most once from each batch, however many texts share it.
+    """
+
+    def split(batches):
+        for batch in batches:
+            get = {c: batch.column(i) for i, c in enumerate(batch.schema.names)}
+            tid, lead, n = (get[c].to_numpy() for c in ("tid", "lead", "n"))
+            lists = _arrays(get["marks"])
+            owner = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+            if not len(owner):
+                continue
+            mark = np.concatenate(lists)
+            order = np.lexsort((mark, lead[owner]))
+            owner, mark = owner[order], mark[order]
+            tid, lead, n, key = tid[owner], lead[owner], n[owner], mark >> np.uint64(1)
+            at = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (lead[1:] != lead[:-1])]))
+            count = np.diff(np.append(at, len(key)))
+            many, first = np.repeat(count > 1, count), at[count > 1]
+            part = (key % (1 + n // PART).astype(np.uint64)).astype(np.int64)
+            rows = np.concatenate([np.flatnonzero(many), np.flatnonzero(~many), first])
+            kind = np.repeat([0, 1, 2], [many.sum(), (~many).sum(), len(first)])
+            tid, lead, part, mark = np.where(kind < 2, tid[rows], 0), lead[rows], np.where(kind > 0, part[rows], -1), mark[rows]
+            order = np.lexsort((part, tid, lead, kind))
+            cols = [x[order] for x in (kind, tid, lead, part)]
+            at = np.flatnonzero(np.concatenate([[True], np.any([x[1:] != x[:-1] for x in cols], axis=0)]))
+            kind, tid, lead, part = (x[at] for x in cols)
+            marks = pa.ListArray.from_arrays(pa.array(np.append(at, len(mark)), pa.int32()), pa.array(mark[order].view(np.int64)))
+            yield pa.RecordBatch.from_arrays([pa.array(tid, pa.int64(), mask=kind == 2), pa.array(lead), pa.array(part), marks], ["tid", "lead", "part", "marks"])
+
+    def shared(table):
+        lists = _arrays(table.column("marks").combine_chunks())
+        owner = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+        told = table.column("tid").is_null().to_numpy()[owner]
+        mark = np.concatenate(lists)
+        _, key = np.unique(mark >> np.uint64(1), return_inverse=True)
+        meets = (np.bincount(key, 1.0 + told) > 1)[key] & ~told
+        take = pa.array(owner[meets])
+        return pa.table({"tid": table.column("tid").take(take), "lead": table.column("lead").take(take), "mark": mark[meets].view(np.int64)})
+
+    parts = write_out(marked.mapInArrow(split, "tid long, lead long, part long, marks array<long>"), "marks")
+    here = parts.filter("part < 0").select("tid", "lead", F.explode("marks").alias("mark"))
+    return here.unionByName(parts.filter("part >= 0").groupBy("lead", "part").applyInArrow(shared, "tid long, lead long, mark long"))
 
 
 def _centres(pairs: DataFrame, docs: DataFrame, k: int) -> DataFrame:
@@ -447,7 +501,7 @@ def near_classes(docs: DataFrame, k: int = 5, least: float = 0.8, sketch: OrderS
         mixed = _buckets_of(_with_roots(pairs, roots)).select("bucket")  # a lead has met all others
         again = write_out(pairs.join(mixed, "bucket", "left_semi").select("tid", "lead", "weight").distinct(), "again")
         differ = write_out(known.filter("marks is not null").join(again.select("tid", "lead"), ["tid", "lead"], "left_semi"), "differ")
-        dealt = again.join(_marked(differ, least).select("tid", "lead", F.explode("marks").alias("mark")), ["tid", "lead"])
+        dealt = again.join(_met(_marked(differ, least)), ["tid", "lead"])
         dealt = dealt.select(F.xxhash64("lead", F.shiftright("mark", 1)).alias("bucket"), "tid", "weight", F.col("mark").bitwiseAND(1).cast("boolean").alias("makes"))
         dealt = write_out(dealt, "dealt")
         met_again = dealt.groupBy("bucket").agg(F.count("*").alias("n"), F.count_if("makes").alias("makers")).filter("n > 1 and makers > 0").select("bucket")

@@ -9,6 +9,7 @@ import pytest
 from conftest import SF
 from fixtures import documents  # noqa: F401
 
+from tallycast.llm import near_dedup
 from tallycast.llm.components import components
 from tallycast.llm.arrays import mix
 from tallycast.llm.near_dedup import OrderSketch, aligned, difference, difference_marks, labelled, near_classes
@@ -266,6 +267,43 @@ def test_rounds_and_pairs_of_a_large_group(documents):
     assert len(log) <= 4 and sum(n for _, n in log) <= 10_000, log
 
 
+def test_marks_that_meet(spark):
+    """Marks of several leads, one of them with more texts than a part has, against all of them."""
+    r = random.Random(4)
+    rows = [(1, 7, [], 700)]
+    for lead, n in ((7, 700), (8, 40), (9, 1)):
+        for i in range(n - (lead == 7)):
+            marks = {r.randrange(-(2**62), 2**62) for _ in range(30)} | {2 * x + r.randint(0, 1) for x in r.sample(range(-(4**6), 4**6), 8)}
+            rows.append((10 * i + lead, lead, list({m >> 1: m for m in [*marks, 10**9, 2 * lead]}.values()), n))
+    has = {}
+    for tid, lead, marks, _ in rows:
+        for m in marks:
+            has.setdefault((lead, m >> 1), set()).add(tid)
+    want = {(tid, lead, m) for tid, lead, marks, _ in rows for m in marks if len(has[lead, m >> 1]) > 1}
+    frame = spark.createDataFrame(rows, "tid long, lead long, marks array<long>, n long")
+    for parts in (1, 5, 60):
+        got = [tuple(x) for x in near_dedup._met(frame.repartition(parts)).collect()]
+        assert set(got) == want and len(got) == len(want)
+
+
+def test_no_rows_for_marks_of_one_text(documents, monkeypatch):
+    """Copies of one text, half of them too far from it: what they alone differ in makes no rows."""
+    r, dealt = random.Random(6), []
+    base = [f"w{r.randrange(10**9)}" for _ in range(90)]
+    texts = {0: base} | {i: edited(base, r.randrange(1, 9), r) for i in range(1, 600)}
+    write_out = near_dedup.write_out
+
+    def kept(df, label):
+        out = write_out(df, label)
+        if label == "dealt":
+            dealt.append(Counter(x["bucket"] for x in out.collect()))
+        return out
+
+    monkeypatch.setattr(near_dedup, "write_out", kept)
+    near_classes(documents([(i, " ".join(t)) for i, t in texts.items()]), sketch=one_bucket()).collect()
+    assert dealt and sum(dealt[0].values()) > 100 and all(n > 1 for d in dealt for n in d.values())
+
+
 def test_very_long_texts(documents):
     r = random.Random(3)
     long = [f"w{r.randrange(5000)}" for _ in range(60_000)]
