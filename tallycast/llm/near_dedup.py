@@ -469,8 +469,11 @@ def near_classes(docs: DataFrame, k: int = 5, least: float = 0.8, sketch: OrderS
         alone = F.when(F.col("others") <= most_leads, F.col("root") != F.col("main")).otherwise(F.col("makes"))
         few = (F.col("others") <= most_leads) | (F.col("makers") <= most_leads)
         small = rows.filter(few).withColumn("leads", alone)
-        leads = small.filter("leads").select("bucket", F.col("tid").alias("lead"), F.col("root").alias("lead_root"), F.col("makes").alias("lead_makes"))
-        met = small.join(leads, "bucket").filter("root <> lead_root and (makes or lead_makes) and (not leads or tid > lead)").select("tid", "lead").distinct()
+        # two texts meet in many buckets: a text gathers its leads over them, so that a pair is one row
+        leads = small.filter("leads").groupBy("bucket").agg(F.collect_list(F.struct("tid", "root", "makes")).alias("by"))
+        apart = lambda x: (x["root"] != F.col("root")) & (x["makes"] | F.col("makes")) & (~F.col("leads") | (x["tid"] < F.col("tid")))
+        met = small.join(leads, "bucket").select("tid", F.filter("by", apart)["tid"].alias("by")).filter("size(by) > 0")
+        met = met.groupBy("tid").agg(F.array_distinct(F.flatten(F.collect_list("by"))).alias("by")).select("tid", F.explode("by").alias("lead"))
         large = rows.filter(~few)
         if known is None:
             tops = rows.groupBy("bucket").agg(F.max(F.struct("weight", "tid")).alias("top"))
