@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .. import constants as C
 from ..functions.dates import day_of
 from ..functions.text import clean_text, remove_stopwords
+from ..session import write_out
 from .shape import map_column
 
 # ---- preparation and translation -------------------------------------------------
@@ -83,7 +84,9 @@ def _sign(v: Column, size: Column | float) -> Column:
 
 # Fixed value: the ASCII punctuation that is removed at the ends of a word.
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
-_CAPITAL_WORD = r"(?<!\S)(?=\S\S)[^\s\p{Ll}]*\p{Lu}[^\s\p{Ll}]*(?!\S)"
+# A word of several characters, one upper case and none lower case, with the space before
+# it: a text is given one in front, as looking behind each character takes three times as long.
+_CAPITAL_WORD = r"\s(?:[^\s\p{Ll}\p{Lu}]+\p{Lu}[^\s\p{Ll}]*|\p{Lu}[^\s\p{Ll}]+)(?!\S)"
 
 
 def sentiment_tokens(text: Column) -> Column:
@@ -91,9 +94,10 @@ def sentiment_tokens(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(r"\S{2,}"), F.lit(0))
 
 
-def _bare(word: Column) -> Column:
-    """Punctuation at the ends removed, unless nothing would be left."""
-    return F.coalesce(F.nullif(F.btrim(word, F.lit(PUNCTUATION)), F.lit("")), word)
+def _bare(words: Column) -> Column:
+    """Punctuation at the ends of each word removed, unless nothing would be left."""
+    trimmed = F.transform(words, lambda w: F.btrim(w, F.lit(PUNCTUATION)))
+    return F.zip_with(words, trimmed, lambda w, t: F.when(t == "", w).otherwise(t))
 
 
 def score_sentiment(
@@ -106,58 +110,56 @@ def score_sentiment(
     A word with a valence in ``lexicon`` (token, valence) is changed by the
     three words before it: boosters, negation, "least", idioms and capitals;
     "but" halves what stands before it and lifts what follows; punctuation adds
-    emphasis. Words carry their neighbours along, so no window over a text is
-    needed: words without valence are dropped by the join with the lexicon
-    before any shuffle, and what is left is summed on the map side. Every text
+    emphasis. Neighbours are read from the array of words, so no window over a
+    text is needed: words without valence are dropped by the join with the lexicon
+    before any shuffle, and what is left is summed on the map side. For that the
+    lexicon is written first: its size is then known when the joins are planned,
+    and up to Spark's broadcast threshold no word is shuffled for it. Every text
     also sends one empty row, so a text without any such word has scores too.
     """
     without = lambda c: F.length("_text") - F.length(F.replace(F.col("_text"), F.lit(c), F.lit("")))
     words = df.select(key, F.coalesce(F.col(text), F.lit("")).alias("_text")).select(
-        key, sentiment_tokens(F.col("_text")).alias("_w"), F.regexp_count("_text", F.lit(_CAPITAL_WORD)).alias("_caps"),
+        key, sentiment_tokens(F.col("_text")).alias("_w"), F.regexp_count(F.concat(F.lit(" "), "_text"), F.lit(_CAPITAL_WORD)).alias("_caps"),
         without("!").alias("_marks"), without("?").alias("_asks"), F.lower("_text").contains("but").alias("_has_but"),
     )
     ask = F.when(F.col("_asks") <= 1, 0.0).when(F.col("_asks") <= 3, F.col("_asks") * QUESTION).otherwise(MANY_QUESTIONS)
     emphasis = F.least(F.col("_marks"), F.lit(MAX_EXCLAMATIONS)) * EXCLAMATION + ask
-    but = F.array_position(F.transform("_w", lambda w: F.lower(_bare(w))), F.lit("but")) - 1
-    none = F.lit(None).cast("string")
-    # The neighbours of a word come from shifted copies of the word array; the
-    # first three elements of the shifted ones stand for no word.
-    shifted = [F.concat(F.array(*[none] * k), F.col("_w")) for k in (1, 2, 3)]
-    ahead = [F.slice("_w", k + 1, F.greatest(F.size("_w"), F.lit(1))) for k in (1, 2)]
-    zipped = F.arrays_zip(
-        F.col("_w").alias("w"), *[c.alias(f"w{k + 1}") for k, c in enumerate(shifted)], *[c.alias(f"n{k + 1}") for k, c in enumerate(ahead)]
+    but = F.array_position(F.transform("_b", F.lower), F.lit("but")) - 1
+    # One element more than there are words: it makes the empty row of each text.
+    bare = F.concat(_bare(F.col("_w")), F.array(F.lit(None).cast("string")))
+    # Everything about the whole text is settled before the words are exploded, and
+    # a word takes its neighbours out of the array before the join: Spark reads them
+    # after it, for the words with a valence only.
+    words = words.select("*", F.size("_w").alias("_n"), bare.alias("_b")).select(
+        key, "_n", ((F.col("_caps") > 0) & (F.col("_caps") < F.col("_n"))).alias("_mixed"),
+        F.when(F.col("_has_but"), but).alias("_but"), emphasis.alias("_emphasis"), "_b",
     )
-    # Everything about the whole text is settled before the words are exploded,
-    # so that a word row carries neither the text nor its arrays.
-    words = words.select(
-        key, F.size("_w").alias("_n"), ((F.col("_caps") > 0) & (F.col("_caps") < F.size("_w"))).alias("_mixed"),
-        F.when(F.col("_has_but"), but).alias("_but"), emphasis.alias("_emphasis"),
-        zipped.alias("_z"),
-    )
-    totals = [key, "_n", "_mixed", "_but", "_emphasis"]
-    rows = words.select(*totals, F.posexplode_outer("_z").alias("i", "_t")).select(*totals, "i", "_t.*")
-    # The shifted arrays are longer than the words: their last element makes one
-    # row without a word per text, which is the empty row kept for its totals.
-    rows = rows.filter(F.col("w").isNotNull() | (F.col("i") == F.col("_n") + 2))
-    rows = rows.withColumn("w", _bare(F.col("w")))
+    # Outer, as Spark else filters by the size of the array first and makes it twice.
+    rows = words.select("*", F.posexplode_outer("_b").alias("i", "w"))
+    at = F.when(F.col("w").isNotNull(), F.col("i"))
+    near = [F.get("_b", at - k).alias(f"w{k}") for k in (1, 2, 3)] + [F.get("_b", at + k).alias(f"n{k}") for k in (1, 2)]
+    rows = rows.select(key, "_n", "_mixed", "_but", "_emphasis", "i", "w", *near)
 
-    lex = lexicon.groupBy(F.lower("token").alias("_token")).agg(F.max("valence").cast("double").alias("_valence"))
+    lex = write_out(lexicon.groupBy(F.lower("token").alias("_token")).agg(F.max("valence").cast("double").alias("_valence")), "lexicon")
 
     def valence_of(frame: DataFrame, col: str, out: str) -> DataFrame:
         side = lex.select(F.col("_token").alias(f"_{col}"), F.col("_valence").alias(out))
         return frame.join(side, F.lower(F.col(col)) == F.col(f"_{col}"), "left").drop(f"_{col}")
 
     w = F.lower("w")
-    is_booster = w.isin([*boosters_up, *boosters_down]) | ((w == "kind") & (F.lower(_bare(F.col("n1"))) == "of"))
+    is_booster = w.isin([*boosters_up, *boosters_down]) | ((w == "kind") & (F.lower("n1") == "of"))
     hits = valence_of(rows, "w", "v").filter(F.col("w").isNull() | (F.col("v").isNotNull() & ~F.coalesce(is_booster, F.lit(False))))
-    hits = hits.withColumns({c: _bare(F.col(c)) for c in ("w1", "w2", "w3", "n1", "n2")})
     for c in ("w1", "w2", "w3"):
         hits = valence_of(hits, c, f"{c}_v")
+    # Spark keeps a lambda out of the code it makes. So the loop over all words ends
+    # here, small enough to be compiled: the JVM leaves methods of over 8,000 bytes out.
+    hits = hits.withColumn("_low", F.transform(F.array("w1", "w2", "w3"), F.lower))
+    low = [F.get("_low", F.lit(k)) for k in range(3)]
     shout = F.col("_mixed") & _is_capital(F.col("w"))
     hits = hits.withColumn("v", F.when(shout, F.col("v") + _sign(F.col("v"), CAPITALS)).otherwise(F.col("v")))
 
     def negates(c: Column) -> Column:
-        return F.lower(c).isin(list(negations)) | F.lower(c).contains("n't")
+        return c.isin(list(negations)) | c.contains("n't")
 
     so = lambda c: F.col(c).isin("so", "this")
     for k, c in enumerate(("w1", "w2", "w3")):
@@ -165,24 +167,22 @@ def score_sentiment(
         # A neighbour counts unless it carries a valence of its own.
         counts = here.isNotNull() & F.col(f"{c}_v").isNull()
         v = F.col("v")
-        size = F.when(F.lower(here).isin(list(boosters_up)), F.lit(BOOST)).when(
-            F.lower(here).isin(list(boosters_down)), F.lit(-BOOST)
-        )
+        size = F.when(low[k].isin(list(boosters_up)), F.lit(BOOST)).when(low[k].isin(list(boosters_down)), F.lit(-BOOST))
         toward = F.when(v < 0, -size).otherwise(size)
         loud = F.when(F.col("_mixed") & _is_capital(here), _sign(v, CAPITALS)).otherwise(0.0)
         hits = hits.withColumn("v", F.when(counts & size.isNotNull(), v + (toward + loud) * DISTANCE[k]).otherwise(v))
         v = F.col("v")
         if k == 0:
-            turned = F.when(negates(here), v * NEGATE)
+            turned = F.when(negates(low[k]), v * NEGATE)
         elif k == 1:
-            turned = F.when((here == "never") & so("w1"), v * 1.5).when(negates(here), v * NEGATE)
+            turned = F.when((here == "never") & so("w1"), v * 1.5).when(negates(low[k]), v * NEGATE)
         else:
-            turned = F.when(((here == "never") & so("w2")) | so("w1"), v * 1.25).when(negates(here), v * NEGATE)
+            turned = F.when(((here == "never") & so("w2")) | so("w1"), v * 1.25).when(negates(low[k]), v * NEGATE)
         hits = hits.withColumn("v", F.when(counts, F.coalesce(turned, v)).otherwise(v))
         if k == 2 and idioms:
             hits = hits.withColumn("v", F.when(counts, _idiom(F.col("v"), idioms, boosters_down, boosters_up)).otherwise(F.col("v")))
 
-    least = (F.lower("w1") == "least") & F.col("w1_v").isNull() & ~F.coalesce(F.lower("w2").isin("at", "very"), F.lit(False))
+    least = (low[0] == "least") & F.col("w1_v").isNull() & ~F.coalesce(low[1].isin("at", "very"), F.lit(False))
     hits = hits.withColumn("v", F.when(least, F.col("v") * NEGATE).otherwise(F.col("v")))
     side = F.when(F.col("i") < F.col("_but"), 0.5).when(F.col("i") > F.col("_but"), 1.5).otherwise(1.0)
     hits = hits.withColumn("v", F.when(F.coalesce(F.col("_but"), F.lit(-1)) >= 0, F.col("v") * side).otherwise(F.col("v")))
@@ -214,13 +214,12 @@ def _idiom(v: Column, idioms: Mapping[str, float], down: Sequence[str], up: Sequ
     before = [text("w1", "w"), text("w2", "w1", "w"), text("w2", "w1"), text("w3", "w2", "w1"), text("w3", "w2")]
     after = [(F.col("n1"), text("w", "n1")), (F.col("n2"), text("w", "n1", "n2"))]
 
+    values = F.create_map(*[F.lit(x) for k, v in idioms.items() for x in (k, float(v))])
+
     def value(phrase: Column) -> Column:
-        out = F.lit(None).cast("double")
-        for k, x in idioms.items():
-            out = F.when(phrase == k, F.lit(x)).otherwise(out)
-        return out
+        return F.try_element_at(values, phrase)
 
-    v = F.coalesce(*[value(b) for b in before], v)
+    v = F.coalesce(F.get(F.array_compact(F.transform(F.array(*before), value)), F.lit(0)), v)
     for present, phrase in after:
         v = F.coalesce(F.when(present.isNotNull(), value(phrase)), v)
     pairs = [b for b in [*down, *up] if " " in b]

@@ -119,3 +119,29 @@ def test_html_variants(spark):
     df = spark.createDataFrame([(1, html), (2, "<p>none</p>")], "page_id int, html string")
     rows = extract_html_table(df).orderBy("row_pos").collect()
     assert [(r.page_id, r.header, r.cells) for r in rows] == [(1, ["A", "B & C"], ["1", "two"]), (1, ["A", "B & C"], ["3"])]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_no_word_is_shuffled(spark):
+    """The only shuffle is that of the sums of each text; the lexicon goes to the words."""
+    lex = spark.createDataFrame(LEXICON, "token string, valence double")
+    df = spark.createDataFrame([(i, t) for i, (t, *_) in enumerate(KNOWN)], "id int, translation string")
+    plan = plan_of(T.score_sentiment(df, lex))
+    assert "SortMergeJoin" not in plan
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_end_of_text_takes_no_value(spark):
+    """Words at the end of a text count once, also where they are a fixed phrase; lone punctuation stays a word."""
+    lex = spark.createDataFrame(LEXICON, "token string, valence double")
+    texts = ["so good he is the bomb", "he is the bomb", "good --", "-- !! good", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, translation string")
+    found = {r.id: (r.neu, r.pos) for r in T.score_sentiment(df, lex).collect()}
+    assert found[1] == (1.0, 0.0) and found[4] == (0.0, 0.0)
+    # Words without a valence count 1 each, one of valence v counts 1 + v.
+    assert found[0] == (pytest.approx(5 / (5 + 2.9 + 0.293), abs=6e-4), pytest.approx((2.9 + 0.293) / (5 + 2.9 + 0.293), abs=6e-4))
+    assert found[2][0] == pytest.approx(1 / (1 + 2.9), abs=6e-4)
+    assert found[3][0] == pytest.approx(2 / (2 + 2.9 + 2 * 0.292), abs=6e-4)
