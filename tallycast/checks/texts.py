@@ -177,13 +177,14 @@ SELECT CAST('2022-01-01' AS DATE) + CAST(d.doc_id % 365 AS INT) AS date, CASE la
   md5({_without_stopwords(_CLEAN.format('d.text'))}) AS texto, neg, neu, pos, compound
 FROM documents d JOIN sent ON sent.doc_id = d.doc_id""")
 def tweet_gold(spark, sf):
-    d = documents(spark, sf)
-    scored = sentiment(spark, sf).join(d, "doc_id").select(
-        "doc_id", clean_text("text").alias("texto"), "neg", "neu", "pos", "compound",
+    """The text is cleaned and hashed before the join with its scores, so that no whole text is shuffled."""
+    rows = documents(spark, sf).select(
+        "doc_id", clean_text("text").alias("texto"),
         F.concat(F.date_add(F.lit("2022-01-01").cast("date"), (F.col("doc_id") % 365).cast("int")).cast("string"), F.lit("T10:00:00.000Z")).alias("date"),
         F.when(F.col("lang") == "es", "ES").when(F.col("lang") == "en", "AR").when(F.col("lang") == "de", "MX").otherwise("CL").alias("country"),
     )
-    return T.tweet_gold(scored, STOPWORDS).withColumn("texto", F.md5("texto"))
+    short = rows.select("doc_id", *T.export_columns(STOPWORDS)).withColumn("texto", F.md5("texto"))
+    return short.join(sentiment(spark, sf), "doc_id").drop("doc_id")
 
 
 @query("tweets_daily", sentiment_sql(f"{_TWEETS}, base AS (SELECT created_at, location, text AS raw, {_CLEAN.format('text')} AS text, "

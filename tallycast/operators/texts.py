@@ -230,9 +230,14 @@ def _idiom(v: Column, idioms: Mapping[str, float], down: Sequence[str], up: Sequ
 # ---- export -------------------------------------------------------------------------
 
 
+def export_columns(stopwords: Sequence[str], country: str = "country", text: str = "texto", date: str = "date") -> list[Column]:
+    """Columns of the export that need no scores: day, country id, text without stop words."""
+    return [
+        day_of(date).alias("date"), map_column(country, C.CODE_IDS, "int").alias("country"),
+        remove_stopwords(text, stopwords).alias("texto"),
+    ]
+
+
 def tweet_gold(df: DataFrame, stopwords: Sequence[str], country: str = "country", text: str = "texto", date: str = "date") -> DataFrame:
     """Export shape: day, country id, text without stop words, scores."""
-    return df.select(
-        day_of(date).alias("date"), map_column(country, C.CODE_IDS, "int").alias("country"),
-        remove_stopwords(text, stopwords).alias("texto"), "neg", "neu", "pos", "compound",
-    )
+    return df.select(*export_columns(stopwords, country, text, date), "neg", "neu", "pos", "compound")

@@ -1,5 +1,6 @@
 import pytest
 
+from tallycast.checks import QUERIES
 from tallycast.functions.text import clean_text, remove_stopwords
 from tallycast.operators import texts as T
 from tallycast.operators.joins import join_tweet_user
@@ -145,3 +146,27 @@ def test_end_of_text_takes_no_value(spark):
     assert found[0] == (pytest.approx(5 / (5 + 2.9 + 0.293), abs=6e-4), pytest.approx((2.9 + 0.293) / (5 + 2.9 + 0.293), abs=6e-4))
     assert found[2][0] == pytest.approx(1 / (1 + 2.9), abs=6e-4)
     assert found[3][0] == pytest.approx(2 / (2 + 2.9 + 2 * 0.292), abs=6e-4)
+
+
+def joined_columns(node):
+    """Names of all columns that any join of a plan takes in."""
+    kids = [node.children().apply(i) for i in range(node.children().size())]
+    own = {k.output().apply(i).name() for k in kids for i in range(k.output().size())} if node.nodeName() == "Join" else set()
+    return own.union(*map(joined_columns, kids))
+
+
+@pytest.fixture
+def texts_dir(spark, tmp_path):
+    """Documents of which one id comes twice, one is null and one text is null."""
+    rows = [(1, "is it the AND is", "en"), (2, "la que los", "es"), (2, "is", "fr"), (None, "is", "en"), (3, None, "de")]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    return str(tmp_path)
+
+
+def test_export_joins_no_text(spark, texts_dir):
+    df = QUERIES["tweet_gold"](spark, texts_dir)
+    assert df.columns == ["date", "country", "texto", "neg", "neu", "pos", "compound"]
+    assert not joined_columns(df._jdf.queryExecution().optimizedPlan()) & {"text", "_text", "_b"}
+    scores = {r.doc_id: r.compound for r in QUERIES["sentiment"](spark, texts_dir).collect()}
+    found = sorted((r.date.day, r.country, r.texto is None, r.compound) for r in df.collect())
+    assert found == [(2, 1, False, scores[1]), (3, 2, False, scores[2]), (3, 4, False, scores[2]), (4, 5, True, scores[3])]
