@@ -170,3 +170,10 @@ def test_export_joins_no_text(spark, texts_dir):
     scores = {r.doc_id: r.compound for r in QUERIES["sentiment"](spark, texts_dir).collect()}
     found = sorted((r.date.day, r.country, r.texto is None, r.compound) for r in df.collect())
     assert found == [(2, 1, False, scores[1]), (3, 2, False, scores[2]), (3, 4, False, scores[2]), (4, 5, True, scores[3])]
+
+
+def test_published_lists_shuffle_no_word(spark, texts_dir):
+    plan = plan_of(QUERIES["sentiment_published"](spark, texts_dir))
+    assert "SortMergeJoin" not in plan
+    # The one that spreads a small file over the cores; the sums lie as it dealt the ids.
+    assert plan.count("Exchange hashpartitioning") == 1
