@@ -2,6 +2,7 @@ import pytest
 
 from tallycast.checks import QUERIES
 from tallycast.functions.text import clean_text, remove_stopwords
+from tallycast.operators import sinks
 from tallycast.operators import texts as T
 from tallycast.operators.joins import join_tweet_user
 from tallycast.plans.tweets import tweets_daily
@@ -177,3 +178,13 @@ def test_published_lists_shuffle_no_word(spark, texts_dir):
     assert "SortMergeJoin" not in plan
     # The one that spreads a small file over the cores; the sums lie as it dealt the ids.
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_load_of_scores_joins_no_text(spark, texts_dir, monkeypatch):
+    loaded, load = [], sinks.load_gold
+    monkeypatch.setattr(sinks, "load_gold", lambda df, *more: (loaded.append(df), load(df, *more)))
+    fact = QUERIES["load_sentiments"](spark, texts_dir)
+    assert not joined_columns(loaded[0]._jdf.queryExecution().optimizedPlan()) & {"text", "_text", "_b"}
+    # A text that is null has no row; the id that comes twice has its scores in both.
+    assert sorted((r.PAISES_ID, r.CALENDARIO_data.day) for r in fact.collect()) == [(1, 2), (2, 3), (4, 3)]
+    assert len({r.composto for r in fact.collect() if r.CALENDARIO_data.day == 3}) == 1
