@@ -8,21 +8,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path, write_out
-from .arrays import Words, blocks, column, mix, window_hashes
+from .arrays import Words, blocks, column, mix, powers, window_hashes
 from .components import components
 
 #: Texts with at most so many runs get bands of two runs as well.
 SHORT = 20
 
 
+def text_hashes(w: Words, h: np.ndarray) -> np.ndarray:
+    """A hash of all words of each text of a block; 0 for a text without words."""
+    p, inv = powers(len(h) + 1)
+    q = np.zeros(len(h) + 1, np.uint64)
+    np.cumsum(h * p[: len(h)], out=q[1:])
+    return mix((q[w.bounds[1:]] - q[w.bounds[:-1]]) * inv[w.bounds[:-1]])
+
+
 def shingles(w: Words, h: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(hash, bounds) of the k-word runs of each text of a block; a shorter text is one run."""
     g, valid = window_hashes(h, k, w.left())
-    for i in np.flatnonzero((w.counts > 0) & (w.counts < k)):
-        b = w.bounds[i]
-        n = w.counts[i]
-        valid[b] = True
-        g[b] = window_hashes(h[b : b + n], int(n), np.arange(n, 0, -1))[0][0]
+    short = (w.counts > 0) & (w.counts < k)
+    if short.any():
+        at = w.bounds[:-1][short]
+        valid[at], g[at] = True, text_hashes(w, h)[short]
     n_valid = np.concatenate([[0], np.cumsum(valid)])
     return g[valid], n_valid[w.bounds]
 
@@ -30,7 +37,7 @@ def shingles(w: Words, h: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
 def labelled(s: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Runs with their occurrence number in their text mixed in, so that repeats are different items."""
     owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-    order = np.lexsort((s, owner))
+    order = np.argsort(s, kind="stable")  # equal runs stay in the order of their places, so those of a text are together
     new = np.ones(len(s), bool)
     new[1:] = (s[order[1:]] != s[order[:-1]]) | (owner[order[1:]] != owner[order[:-1]])
     at = np.flatnonzero(new)
@@ -40,6 +47,18 @@ def labelled(s: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return out
 
 
+def least_places(rank: np.ndarray, k: int) -> np.ndarray:
+    """Places of the ``k`` least values of each row, in the order of the row."""
+    n = rank.shape[1]
+    if n == k:
+        return np.tile(np.arange(n), (len(rank), 1))
+    most = np.partition(rank, k - 1, axis=1)[:, k - 1 : k].copy()
+    at = np.flatnonzero(rank <= most)
+    if len(at) == k * len(rank):
+        return at.reshape(-1, k) % n
+    return np.sort(np.argpartition(rank, k - 1, axis=1)[:, :k], axis=1)  # equal values at the bound
+
+
 class OrderSketch:
     """Order MinHash: for each of ``bands`` random orders, the ``rows`` least labelled runs, kept in the order of the text.
 
@@ -53,6 +72,7 @@ class OrderSketch:
         self.rows = rows
         self.flip = r.integers(0, 2**64, (bands, 1), np.uint64)
         self.scale = r.integers(0, 2**64, (bands, 1), np.uint64) | np.uint64(1)
+        self.band = {k: mix(np.arange(bands, dtype=np.uint64) + np.uint64(1000 * k)) for k in (rows, 2)}
         self.order = np.random.default_rng(seed + 1).integers(0, 2**64, max(rows, 2), np.uint64) | np.uint64(1)
 
     def keys(self, items: np.ndarray) -> np.ndarray:
@@ -60,14 +80,13 @@ class OrderSketch:
         n, out = len(items), []
         if n < 2:
             return np.zeros(0, np.uint64)
-        rank = (items ^ self.flip) * self.scale
+        rank = items ^ self.flip
+        rank *= self.scale
         for rows in (self.rows, 2):
             if n < rows or (rows == 2 and n > SHORT):
                 continue
-            least = np.argpartition(rank, rows - 1, axis=1)[:, :rows] if n > rows else np.tile(np.arange(n), (len(rank), 1))
-            least.sort(axis=1)
-            band = np.arange(len(rank), dtype=np.uint64) + np.uint64(1000 * rows)
-            out.append(mix((mix(items[least]) * self.order[:rows]).sum(1, dtype=np.uint64) + mix(band)))
+            least = least_places(rank, rows)
+            out.append(mix((mix(items[least]) * self.order[:rows]).sum(1, dtype=np.uint64) + self.band[rows]))
         return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
@@ -82,13 +101,7 @@ def sketches(docs: DataFrame, k: int, sketch: OrderSketch) -> DataFrame:
                 h = w.hashes()
                 s, bounds = shingles(w, h, k)
                 items = labelled(s, bounds)
-                whole = np.zeros((2, e - b), np.uint64)
-                for i in range(e - b):
-                    x = h[w.bounds[i] : w.bounds[i + 1]]
-                    n = len(x)
-                    for j in (0, 1):
-                        v = mix(x + np.uint64(11)) if j else x
-                        whole[j, i] = window_hashes(v, n, np.arange(n, 0, -1))[0][0] if n else 0
+                whole = [text_hashes(w, v) for v in (h, mix(h + np.uint64(11)))]
                 keys = [sketch.keys(items[bounds[i] : bounds[i + 1]]) for i in range(e - b)]
                 ends = np.concatenate([[0], np.cumsum([len(x) for x in keys])]).astype(np.int32)
                 bands = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(keys).view(np.int64)))
@@ -160,6 +173,18 @@ LEADS = 32
 _REORDERED = np.uint64(1)
 
 
+def unshared(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Items of ``a`` that ``b`` lacks and items of ``b`` that ``a`` lacks, sorted; neither has an item twice. Sorted lists are merged."""
+    both = np.concatenate([a, b])
+    order = np.argsort(both, kind="stable")
+    both = both[order]
+    edge = np.ones(len(both) + 1, bool)
+    edge[1:-1] = both[1:] != both[:-1]
+    alone = edge[1:] & edge[:-1]
+    own = order < len(a)
+    return both[alone & own], both[alone & ~own]
+
+
 def difference(text: tuple[np.ndarray, np.ndarray], lead: tuple[np.ndarray, np.ndarray], similarity: float, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(additions, missing, order marks) of a text, as (runs, labelled runs), against a lead.
 
@@ -173,7 +198,8 @@ def difference(text: tuple[np.ndarray, np.ndarray], lead: tuple[np.ndarray, np.n
     without such a text is not needed.
     """
     items, other = text[1], lead[1]
-    more, missing = mix(np.setdiff1d(items, other)), mix(np.setdiff1d(other, items) ^ np.uint64(0x5851F42D4C957F2D))
+    more, missing = unshared(items, other)
+    more, missing = mix(more), mix(missing ^ np.uint64(0x5851F42D4C957F2D))
     total, share = len(items) + len(other), (1 - least) / (1 + least)
     cell, marks = max(1.0, share * len(other) / 4), np.zeros(0, np.uint64)
     if similarity >= least:
@@ -236,16 +262,23 @@ def _joined_texts(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def _runs(side: pa.Array, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(runs, labelled runs) of each text."""
+    """(runs, sorted labelled runs) of each text."""
     out = []
     for _, _, data, offsets in blocks(side):
         w = Words(data, offsets)
         s, bounds = shingles(w, w.hashes(), k)
         items = labelled(s, bounds)
-        out += [(s[x:y], items[x:y]) for x, y in zip(bounds[:-1], bounds[1:])]
+        out += [(s[x:y], np.sort(items[x:y])) for x, y in zip(bounds[:-1], bounds[1:])]
     return out
 
 
+def _paired_runs(texts: pa.Array, leads: pa.Array, k: int) -> tuple[list, list]:
+    """The runs of both sides of pairs; a lead has many texts, but its runs are made once."""
+    told = column(leads).dictionary_encode()
+    made = _runs(told.dictionary, k)
+    return _runs(column(texts), k), [made[i] for i in told.indices.to_pylist()]
+
+
 def _lists(arrays: list) -> pa.Array:
     return pa.array([x if x is None else x.view(np.int64) for x in arrays], pa.list_(pa.int64()))
 
@@ -261,7 +294,7 @@ def _compared(pairs: DataFrame, docs: DataFrame, k: int, least: float) -> DataFr
         for batch in batches:
             for lo in range(0, batch.num_rows, 200):
                 part = batch.slice(lo, 200)
-                own, other = (_runs(column(part.column(c)), k) for c in (3, 4))
+                own, other = _paired_runs(part.column(3), part.column(4), k)
                 sims = [aligned(x[0], y[0], least) for x, y in zip(own, other)]
                 diffs = [difference(x, y, sim, least) if d else (None, None, None) for d, sim, x, y in zip(part.column(2).to_pylist(), sims, own, other)]
                 sizes = [pa.array([len(x[0]) for x in side], pa.int64()) for side in (own, other)]
@@ -378,8 +411,9 @@ def _centres(pairs: DataFrame, docs: DataFrame, k: int) -> DataFrame:
             for lo in range(0, batch.num_rows, 200):
                 part = batch.slice(lo, 200)
                 diffs = []
-                for x, y in zip(*(_runs(column(part.column(c)), k) for c in (2, 3))):
-                    diff = np.concatenate([mix(np.setdiff1d(x[1], y[1])), mix(np.setdiff1d(y[1], x[1]) ^ np.uint64(1))])
+                for x, y in zip(*_paired_runs(part.column(2), part.column(3), k)):
+                    more, missing = unshared(x[1], y[1])
+                    diff = mix(np.concatenate([more, missing ^ np.uint64(1)]))
                     diffs.append(diff[diff & np.uint64(1) == 0])
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), _lists(diffs)], ["tid", "lead", "items"])
 
@@ -449,13 +483,16 @@ def near_classes(docs: DataFrame, k: int = 5, least: float = 0.8, sketch: OrderS
     have = docs.select("doc_id", "text").filter("doc_id is not null")
     sketched = write_out(sketches(have, k, sketch or OrderSketch()), "sketches")
     copies = write_out(sketched.groupBy("w1", "w2").agg(F.min("doc_id").alias("tid")), "copies")
-    known = sketched.join(copies, ["w1", "w2"])
-    member = write_out(known.select("doc_id", "tid"), "members")
+    first = F.when(F.col("doc_id") == F.col("tid"), F.col("bands")).alias("bands")
+    member = write_out(sketched.join(copies, ["w1", "w2"]).select("doc_id", "tid", first), "members")
     # a document whose id stands for another text as well links both
     twice = sketched.groupBy("doc_id").agg(F.min("w1").alias("x"), F.max("w1").alias("y")).filter("x <> y").select("doc_id")
     extra = member.filter("doc_id <> tid").join(twice, "doc_id", "left_semi").select(F.col("tid").alias("a"), F.col("doc_id").alias("b"))
-    texts = known.filter("doc_id = tid").select("tid", F.explode("bands").alias("bucket")).distinct()
-    sizes = write_out(texts.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1"), "sizes")
+    # most bands are of one text only, so they go before repeated rows are looked for and texts are counted
+    texts = member.select("tid", F.explode("bands").alias("bucket"))
+    meet = write_out(texts.groupBy("bucket").agg(F.min("tid").alias("x"), F.max("tid").alias("y")).filter("x <> y").select("bucket"), "meet")
+    texts = write_out(texts.join(meet, "bucket", "left_semi").distinct(), "met")
+    sizes = write_out(texts.groupBy("bucket").agg(F.count("*").alias("n")), "sizes")
     buckets = write_out(texts.join(sizes, "bucket"), "buckets")
     # texts that meet many others are the likeliest to be linked to them, so they lead
     weight = write_out(buckets.groupBy("tid").agg(F.sum("n").alias("weight")), "weights")

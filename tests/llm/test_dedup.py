@@ -5,13 +5,14 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SF
 from fixtures import documents  # noqa: F401
 
 from tallycast.llm import near_dedup
 from tallycast.llm.components import components
-from tallycast.llm.arrays import mix
+from tallycast.llm.arrays import Words, blocks, column, mix, window_hashes
 from tallycast.llm.near_dedup import OrderSketch, aligned, difference, difference_marks, labelled, near_classes
 from tallycast.llm.substrings import without_repeats
 
@@ -312,3 +313,68 @@ def test_very_long_texts(documents):
         other[i] = "x"
     got = near_classes(documents([(1, " ".join(long)), (2, " ".join(other)), (3, " ".join(reversed(long)))])).collect()
     assert {x["doc_id"]: x["class_id"] for x in got} == {1: 1, 2: 1, 3: 3}
+
+
+def test_least_places_and_unshared():
+    r = np.random.default_rng(1)
+    for n in (6, 7, 20, 300):
+        rank = r.integers(0, 2**64, (24, n), np.uint64)
+        if n == 20:
+            rank[3] = 5  # equal values at the bound: some six places
+        got = near_dedup.least_places(rank, 6)
+        assert got.shape == (24, 6) and (np.diff(got, axis=1) > 0).all()
+        assert (np.sort(np.take_along_axis(rank, got, 1)) == np.sort(rank)[:, :6]).all()
+    for a, b in (([], []), ([3, 1], []), ([], [2]), ([9, 1, 4], [4, 2, 9]), ([1, 2, 3], [1, 2, 3])):
+        a, b = np.array(a, np.uint64), np.array(b, np.uint64)
+        more, missing = near_dedup.unshared(a, b)
+        assert (more.tolist(), missing.tolist()) == (np.setdiff1d(a, b).tolist(), np.setdiff1d(b, a).tolist())
+
+
+def test_runs_of_a_lead_are_made_once(monkeypatch):
+    texts = ["a b c d e f g", "", "a b", None, "x y x y x y x y"]
+    leads = ["a b c d e f h", "a b c d e f h", None, "", "a b c d e f h"]
+    seen, labelled_of = [], near_dedup.labelled
+
+    def counted(s, bounds):
+        seen.append(len(bounds) - 1)
+        return labelled_of(s, bounds)
+
+    monkeypatch.setattr(near_dedup, "labelled", counted)
+    own, other = near_dedup._paired_runs(pa.array(texts), pa.array(leads), 5)
+    assert sum(seen) == len(texts) + 2  # the leads are one text, and nothing
+    for side, want in ((own, texts), (other, leads)):
+        for (s, items), t in zip(side, want):
+            w = Words(*next(blocks(column(pa.array([t]))))[2:])
+            h = w.hashes()
+            n = len(runs(t))
+            assert len(s) == len(items) == n and (np.diff(items.astype(object)) > 0).all()
+            if n:
+                k = min(5, len(h))
+                left = np.arange(len(h), 0, -1)
+                assert s.tolist() == window_hashes(h, k, left)[0][:n].tolist()
+
+
+def test_bands_of_lone_texts_are_shuffled_once(documents, monkeypatch):
+    """Only the look for bands of two texts goes through all bands; repeated rows, and an id of two texts, are no bucket."""
+    r = random.Random(8)
+    base = [f"w{i}" for i in range(60)]
+    twin = [*base[:30], "other", *base[31:]]
+    alone = {i: " ".join(f"a{r.randrange(10**9)}" for _ in range(50)) for i in range(100, 140)}
+    rows = [(1, " ".join(base)), (1, " ".join(base)), (1, " ".join(twin)), (None, " ".join(base)), (2, None), (3, ""), *alone.items(), *alone.items()]
+    plans, met, write_out = {}, [], near_dedup.write_out
+
+    def kept(df, label):
+        plans.setdefault(label, df._jdf.queryExecution().optimizedPlan().toString())
+        out = write_out(df, label)
+        met.extend(out.collect() if label == "met" else [])
+        return out
+
+    monkeypatch.setattr(near_dedup, "write_out", kept)
+    near = [*twin[:-1], "end"]
+    got = {x["doc_id"]: x["class_id"] for x in near_classes(documents([*rows, (4, " ".join(near))])).collect()}
+    assert got == {i: i for i in alone} | {1: 1, 4: 1, 2: 2, 3: 2, None: None}
+    assert {x["tid"] for x in met} == {1, 4} and len(met) == len(set(met))
+    assert all("Generate" not in plans[x] for x in ("sizes", "buckets")) and sum("w2" in p and "Join" in p for p in plans.values()) == 1
+    met.clear()
+    got = {x["doc_id"]: x["class_id"] for x in near_classes(documents(rows)).collect()}
+    assert got == {i: i for i in alone} | {1: 1, 2: 2, 3: 2, None: None} and not met
