@@ -123,6 +123,26 @@ def test_html_variants(spark):
     assert [(r.page_id, r.header, r.cells) for r in rows] == [(1, ["A", "B & C"], ["1", "two"]), (1, ["A", "B & C"], ["3"])]
 
 
+def odd_pages(spark, before, after):
+    """A page twice, and pages that are null, empty, without a table, with few rows, with rows of few cells, without an end tag."""
+    row = "<tr><td>{0}</td>\n<td><b>&lt;{0}</b></td></tr>"
+    rows = ["".join(row.format(i) for i in range(n)) for n in (5, 5, 2, 1, 0)]
+    texts = [*(before + x + after for x in rows), None, "", "<p>none</p>", before + "<tr></tr><TR class='r'><td>7</td><tr><td>8</td></TR ><tr></tr>" + after, before + row]
+    return spark.createDataFrame([(min(i, 1) if i < 2 else i, x) for i, x in enumerate(texts)], "page_id int, html string").replace({0: None})
+
+
+def test_pages_are_read_once(spark):
+    """Pages are not searched for their rows by a filter before the rows are exploded."""
+    pages = odd_pages(spark, "<table><thead><tr><th>A</th><th> B </th></tr></thead><tbody>", "</tbody></table>")
+    table = extract_html_table(pages, head=1, tail=1)
+    assert not [x for x in table._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Filter" in x and "regexp" in x]
+    got = sorted(((r.page_id, r.row_pos, r.header, r.cells) for r in table.collect()), key=repr)
+    full = [(i, n - 1, ["A", " B "], [f"{n}", f"<{n}"]) for i in (None, 1) for n in (1, 2, 3)]
+    assert got == sorted([*full, (8, 0, ["A", " B "], ["7", "8"])], key=repr)
+    assert extract_html_table(pages.filter("page_id > 3"), head=0).filter("row_pos is null").count() == 0
+    assert extract_html_table(pages.filter("page_id > 8 or page_id in (4, 5, 6, 7)")).count() == 0
+
+
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
