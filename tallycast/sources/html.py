@@ -64,9 +64,10 @@ def extract_html_table(
             _all(doc, rf"(?is)<table\b[^>]*class=[\"'][^\"']*\b{css_class}\b[^\"']*[\"'][^>]*>(.*?)</table\s*>"),
             nth or 0,
         )
-        rows = _all(table, row)
-        header = _cells(F.try_element_at(rows, F.lit(1)), cell_tags)
-        body = F.slice(rows, F.lit(2), F.greatest(F.size(rows) - 1, F.lit(0)))
+        # the rows are a column first: written out in the header and in the body, they would be searched for in each
+        pages = pages.select(*keys, _all(table, row).alias("_rows"))
+        header = _cells(F.try_element_at("_rows", F.lit(1)), cell_tags)
+        body = F.slice("_rows", F.lit(2), F.greatest(F.size("_rows") - 1, F.lit(0)))
     else:
         header = _cells(_pick(_all(doc, r"(?is)<thead\b[^>]*>(.*?)</thead\s*>"), -1), cell_tags)
         body = _all(_pick(_all(doc, r"(?is)<tbody\b[^>]*>(.*?)</tbody\s*>"), nth or 0), row)

@@ -143,6 +143,19 @@ def test_pages_are_read_once(spark):
     assert extract_html_table(pages.filter("page_id > 8 or page_id in (4, 5, 6, 7)")).count() == 0
 
 
+def test_rows_of_a_classed_table_are_read_once(spark):
+    """Header and body come from one search of the page."""
+    pages = odd_pages(spark, "<table class='t'><tr><td>no</td></tr></table><table class=\"u t\"><tr><th>A</th><th> B </th></tr>", "</table>")
+    table = extract_html_table(pages, css_class="t", nth=1, head=1, tail=1)
+    assert table._jdf.queryExecution().optimizedPlan().toString().count("<table") == 1
+    got = sorted(((r.page_id, r.row_pos, r.header, r.cells) for r in table.collect()), key=repr)
+    full = [(i, n - 1, ["A", " B "], [f"{n}", f"<{n}"]) for i in (None, 1) for n in (1, 2, 3)]
+    assert got == sorted([*full, (8, 0, ["A", " B "], ["7", "8"])], key=repr)
+    assert [(r.page_id, r.header, r.cells) for r in extract_html_table(pages, css_class="t", nth=-1).filter("page_id in (3, 4, 9)").collect()] == [
+        (3, ["A", " B "], ["0", "<0"])
+    ]
+
+
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
